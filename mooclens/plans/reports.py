@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from mooclens.operators import logs
+from mooclens.operators import language, logs, timing
 
 BASE_TABLES = ("tracking_log", "course_axis", "forum", "user_info_combo", "problem_analysis", "studentmodule",
                "grading_policy", "grades_persistent", "roles", "geoip", "youtube")
@@ -41,6 +41,13 @@ CATALOG: dict[str, Report] = {
     "video_stats_day": Report(logs.video_stats_day, ["tracking_log"], params=["start", "end"]),
     "forum_events": Report(logs.forum_events, ["tracking_log"], params=["start", "end"]),
     "ora_events": Report(logs.ora_events, ["tracking_log"], params=["start", "end"]),
+    "time_on_task": Report(timing.time_on_task, ["tracking_log"],
+                           params=["timeout_short", "timeout_long", "start", "end"]),
+    "time_on_task_totals": Report(timing.time_on_task_totals, ["time_on_task"]),
+    "time_on_asset_daily": Report(timing.time_on_asset_daily, ["tracking_log"], params=["start", "end"]),
+    "pc_day_trlang": Report(language.pc_day_trlang, ["tracking_log"], params=["start", "end"]),
+    "language_multi_transcripts": Report(language.language_multi_transcripts, ["pc_day_trlang"]),
+    "course_modal_language": Report(language.course_modal_language, ["language_multi_transcripts"]),
 }
 
 
