@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from mooclens.operators import language, logs, timing
+from mooclens.operators import grades, items, language, logs, timing
 
 BASE_TABLES = ("tracking_log", "course_axis", "forum", "user_info_combo", "problem_analysis", "studentmodule",
                "grading_policy", "grades_persistent", "roles", "geoip", "youtube")
@@ -48,6 +48,16 @@ CATALOG: dict[str, Report] = {
     "pc_day_trlang": Report(language.pc_day_trlang, ["tracking_log"], params=["start", "end"]),
     "language_multi_transcripts": Report(language.language_multi_transcripts, ["pc_day_trlang"]),
     "course_modal_language": Report(language.course_modal_language, ["language_multi_transcripts"]),
+    "problem_grades": Report(grades.problem_grades, ["studentmodule"]),
+    "chapter_grades": Report(grades.chapter_grades, ["problem_grades", "course_axis"]),
+    "pc_nchapters": Report(grades.pc_nchapters, ["studentmodule", "course_axis"]),
+    "show_answer_stats_by_user": Report(grades.show_answer_stats_by_user,
+                                        ["problem_grades", "show_answer", "user_info_combo"]),
+    "show_answer_stats_by_course": Report(grades.show_answer_stats_by_course, ["show_answer_stats_by_user"]),
+    "course_item": Report(items.course_item, ["problem_analysis", "course_axis", "grading_policy"]),
+    "person_item": Report(items.person_item, ["problem_analysis", "course_item"]),
+    "person_problem": Report(items.person_problem, ["person_item", "course_item"]),
+    "course_problem": Report(items.course_problem, ["person_item", "course_item"]),
 }
 
 
