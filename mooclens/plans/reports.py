@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from mooclens.operators import grades, items, language, logs, timing
+from mooclens.operators import activity, forum, grades, items, language, learner, logs, timing, video
 
 BASE_TABLES = ("tracking_log", "course_axis", "forum", "user_info_combo", "problem_analysis", "studentmodule",
                "grading_policy", "grades_persistent", "roles", "geoip", "youtube")
@@ -58,6 +58,22 @@ CATALOG: dict[str, Report] = {
     "person_item": Report(items.person_item, ["problem_analysis", "course_item"]),
     "person_problem": Report(items.person_problem, ["person_item", "course_item"]),
     "course_problem": Report(items.course_problem, ["person_item", "course_item"]),
+    "pc_forum": Report(forum.pc_forum, ["forum"]),
+    "forum_posts": Report(forum.forum_posts, ["forum"], params=["dedupe"]),
+    "forum_person": Report(forum.forum_person, ["forum_posts", "forum_events"]),
+    "video_axis": Report(video.video_axis, ["course_axis"], optional=["youtube"]),
+    "pc_video_watched": Report(video.pc_video_watched,
+                               ["video_stats_day", "user_info_combo", "roles", "video_axis"]),
+    "person_course_day": Report(activity.person_course_day,
+                                ["tracking_log", "video_stats_day", "forum_events", "person_problem",
+                                 "course_problem", "course_axis", "user_info_combo"], params=["start", "end"]),
+    "pc_day_totals": Report(activity.pc_day_totals, ["person_course_day"]),
+    "person_course": Report(learner.person_course,
+                            ["user_info_combo", "course_axis", "grading_policy", "course_modal_ip", "pc_day_totals",
+                             "pc_nchapters", "course_modal_language", "person_enrollment_verified",
+                             "course_modal_agent"],
+                            optional=["grades_persistent", "pc_forum", "roles", "pc_video_watched", "geoip"]),
+    "time_on_asset_totals": Report(timing.time_on_asset_totals, ["time_on_asset_daily", "person_course"]),
 }
 
 

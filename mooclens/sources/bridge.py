@@ -392,7 +392,7 @@ def geoip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def youtube(spark: SparkSession, sf_dir: str) -> DataFrame:
     ax = course_axis(spark, sf_dir).where((F.col("category") == "video") & F.col("data.ytid").isNotNull())
-    p = F.substring("url_name", 2, 10).cast("bigint")
+    p = F.substring("url_name", 2, 10).try_cast("bigint")
     return ax.where(p % 16 == 0).select(
         F.concat(F.lit("yt"), _s(p)).alias("id"),
         F.concat(F.lit("video "), _s(p)).alias("title"),

@@ -201,10 +201,10 @@ from nation cross join (values (0),(1),(2),(3)) t(b) where n_nationkey < 6
 """
 
 YOUTUBE = """
-select 'yt' || cast(cast(substr(url_name, 2) as bigint) as string) as id,
-  'video ' || cast(cast(substr(url_name, 2) as bigint) as string) as title,
-  cast(30 + cast(substr(url_name, 2) as bigint) % 200 as bigint) as duration
-from course_axis where category = 'video' and ytid is not null and cast(substr(url_name, 2) as bigint) % 16 = 0
+select 'yt' || cast(try_cast(substr(url_name, 2) as bigint) as string) as id,
+  'video ' || cast(try_cast(substr(url_name, 2) as bigint) as string) as title,
+  cast(30 + try_cast(substr(url_name, 2) as bigint) % 200 as bigint) as duration
+from course_axis where category = 'video' and ytid is not null and try_cast(substr(url_name, 2) as bigint) % 16 = 0
 """
 
 # name -> (sql, dependencies)
