@@ -25,7 +25,7 @@ def time_bucket(time_col: str = "time", unit: str | None = DEFAULT_BUCKET) -> Co
 
 
 def previous_values(df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column],
-                    bucket: Column | None = None) -> DataFrame:
+                    bucket: Column | None = None, monotone: bool = False) -> DataFrame:
     """Add one column per ``values`` entry: the last non-null value of that
     expression among the rows strictly before the current one in its ``keys``
     partition, ordered by ``order`` (which must be unique within a partition).
@@ -33,6 +33,11 @@ def previous_values(df: DataFrame, keys: list[str], order: list[str], values: di
     ``bucket`` must be monotone in ``order`` (e.g. the hour of the ordering
     time).  Keys must be non-null (callers filter them) so the carry join can
     reuse the window's hash partitioning.
+
+    ``monotone=True`` declares that every value, where non-null, never
+    decreases along ``order`` (e.g. ``lag(time)`` ordered by time): the last
+    value of a bucket is then its ``max``, a hash aggregate, instead of a
+    ``max(struct(order, value))`` that needs a sort-based aggregate.
     """
     names = list(values)
     if bucket is None:
@@ -43,18 +48,23 @@ def previous_values(df: DataFrame, keys: list[str], order: list[str], values: di
     tmp = {n: f"_pv_{i}" for i, n in enumerate(names)}
     x = df.withColumn(b, bucket).select("*", *[values[n].alias(tmp[n] + "_v") for n in names])
 
+    # in-bucket running values first: the bucket summary below reads the same
+    # (keys, bucket)-partitioned rows, so it reuses this shuffle and adds none
+    w = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    x = x.select("*", *[F.last(tmp[n] + "_v", ignorenulls=True).over(w).alias(tmp[n] + "_w") for n in names])
+
     # last non-null value of each expression inside each (keys, bucket)
     ordkey = F.struct(*[F.col(o) for o in order])
-    last_in_bucket = x.groupBy(*keys, b).agg(*[
-        F.max(F.when(F.col(tmp[n] + "_v").isNotNull(), F.struct(ordkey.alias("o"), F.col(tmp[n] + "_v").alias("v"))))
-         .getField("v").alias(tmp[n] + "_b")
-        for n in names])
+    if monotone:
+        lasts = [F.max(tmp[n] + "_v").alias(tmp[n] + "_b") for n in names]
+    else:
+        lasts = [F.max(F.when(F.col(tmp[n] + "_v").isNotNull(),
+                              F.struct(ordkey.alias("o"), F.col(tmp[n] + "_v").alias("v"))))
+                 .getField("v").alias(tmp[n] + "_b") for n in names]
+    last_in_bucket = x.groupBy(*keys, b).agg(*lasts)
     wb = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     carry = last_in_bucket.select(*keys, b, *[
         F.last(tmp[n] + "_b", ignorenulls=True).over(wb).alias(tmp[n] + "_c") for n in names])
-
-    w = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    x = x.select("*", *[F.last(tmp[n] + "_v", ignorenulls=True).over(w).alias(tmp[n] + "_w") for n in names])
     x = x.join(carry, keys + [b], "left")
     out = x.select(*df.columns, *[F.coalesce(tmp[n] + "_w", tmp[n] + "_c").alias(n) for n in names])
     return out
