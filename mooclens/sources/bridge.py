@@ -402,7 +402,12 @@ def youtube(spark: SparkSession, sf_dir: str) -> DataFrame:
         (30 + p % 200).cast("bigint").alias("duration"))
 
 
+def _raw_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_log_lines(tracking_log(spark, sf_dir))
+
+
 TABLES = {
+    "raw_log_lines": _raw_log_lines,
     "tracking_log": tracking_log, "course_axis": course_axis, "forum": forum,
     "user_info_combo": user_info_combo, "problem_analysis": problem_analysis,
     "studentmodule": studentmodule, "grading_policy": grading_policy,
@@ -467,3 +472,41 @@ class Tables:
                 df = TABLES[name](self.spark, self.sf_dir)
             self._memo[name] = df
         return self._memo[name]
+
+
+# ---------------------------------------------------------------- raw inputs
+# Every 50th log line is damaged, in one of four ways chosen by (seq / 50) % 4:
+# 0 cut in half, 1 wrapped in a JSON array, 2 plain text, 3 text before the '{'.
+BROKEN_EVERY = 50
+
+
+def raw_log_lines(log: DataFrame) -> DataFrame:
+    """Platform-style JSON lines for the bridged log (input of the log ingest).
+
+    The course id is given by ``context.course_id`` on odd lines and only by
+    the page URL (``course-v1:`` spelling) on even lines; the module id only as
+    an ``i4x://`` usage key; ``event`` is an object on every third line and a
+    JSON-encoded string otherwise.
+    """
+    seq = F.col("seq")
+    even = seq % 2 == 0
+    page = F.when(even, F.concat(F.lit("https://x.org/courses/course-v1:"),
+                                 F.regexp_replace("course_id", "/", "+"), F.lit("/courseware")))
+    ctx = F.struct(F.when(~even, F.col("course_id")).alias("course_id"),
+                   F.col("context.user_id").cast("string").alias("user_id"),
+                   F.struct(F.when(F.col("module_id").isNotNull(), F.concat(F.lit("i4x://"), F.col("module_id")))
+                            .alias("usage_key")).alias("module"))
+    head = F.to_json(F.struct(
+        F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("time"), "username", "ip",
+        "event_source", "event_type", "agent", page.alias("page"), ctx.alias("context")))
+    quoted = F.regexp_replace(F.regexp_replace(F.to_json(F.array("event")), r"^\[", ""), r"\]$", "")
+    ev = F.when(seq % 3 == 0, F.col("event")).otherwise(quoted)
+    line = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(', "event": '), ev, F.lit("}"))
+    kind = (seq / BROKEN_EVERY).cast("bigint") % 4
+    broken = seq % BROKEN_EVERY == 0
+    value = (F.when(broken & (kind == 0), F.expr("substring(_line, 1, cast(length(_line) / 2 as int))"))
+             .when(broken & (kind == 1), F.concat(F.lit("["), F.col("_line"), F.lit("]")))
+             .when(broken & (kind == 2), F.concat(F.lit("garbage line "), seq.cast("string")))
+             .when(broken & (kind == 3), F.concat(F.lit("LOG: "), F.col("_line")))
+             .otherwise(F.col("_line")))
+    return log.select("seq", line.alias("_line")).select("seq", value.alias("value"))
