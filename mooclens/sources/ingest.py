@@ -1,3 +1,699 @@
-"""Database-dump and side-table ingest."""
+"""Database-dump and side-table ingest.
 
-QUERIES: dict = {}
+Each builder is a DataFrame function over rows read from the export files
+(text lines, TSV, JSON); the file readers are thin (``spark.read.text``).  In
+the source each builder walks one course's files in memory; here every builder
+handles all courses in one job, keyed by ``(course_id, ...)``.
+
+``QUERIES`` registers one round-trip query per builder: its input is written
+from the bridged tables in the export's shape, and the builder must give the
+bridged table back (see ``oracles/ingest_sql.py``).
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from mooclens.functions.ids import clean_course_id, course_from_block, module_from_block
+from mooclens.session import checkpoint_dir
+from mooclens.sources.bridge import ROLE_FLAGS, Tables
+
+C = "course_id"
+
+
+# ------------------------------------------------------------------ I5 conform
+def _coerce(c: Column, src: T.DataType, tgt: T.DataType) -> Column:
+    if isinstance(tgt, T.StructType):
+        if isinstance(src, T.StructType):
+            have = {f.name: f.dataType for f in src.fields}
+            return F.struct(*[(_coerce(c.getField(f.name), have[f.name], f.dataType) if f.name in have
+                               else F.lit(None).cast(f.dataType)).alias(f.name) for f in tgt.fields])
+        if isinstance(src, T.StringType):
+            return F.from_json(c, tgt)
+        return F.lit(None).cast(tgt)
+    if isinstance(tgt, T.ArrayType):
+        if isinstance(src, T.ArrayType):
+            return F.transform(c, lambda x: _coerce(x, src.elementType, tgt.elementType))
+        if isinstance(src, T.StringType):
+            return F.from_json(c, tgt)
+        return F.lit(None).cast(tgt)
+    if isinstance(tgt, T.StringType):
+        if isinstance(src, T.StringType):
+            return F.trim(c)
+        if isinstance(src, (T.StructType, T.ArrayType, T.MapType)):
+            return F.trim(F.to_json(c))
+        return F.trim(c.cast("string"))
+    if isinstance(tgt, T.BooleanType):
+        # truthiness: any non-empty text is true (also "false"), numbers are true unless 0
+        if isinstance(src, T.StringType):
+            return F.when(c.isNotNull(), F.length(c) > 0)
+        if isinstance(src, T.BooleanType):
+            return c
+        return F.when(c.isNotNull(), c != 0)
+    if isinstance(tgt, (T.DoubleType, T.FloatType)):
+        x = c.try_cast("double")
+        return F.when(~(F.isnan(x) | (F.abs(x) == float("inf"))), x)
+    if isinstance(tgt, T.TimestampType):
+        if isinstance(src, T.StringType):
+            return F.coalesce(F.try_to_timestamp(c), c.try_cast("timestamp"))
+        return c.try_cast("timestamp")
+    if isinstance(tgt, T.DateType):
+        return F.coalesce(F.try_to_date(c) if isinstance(src, T.StringType) else F.lit(None), c.try_cast("date"))
+    return c.try_cast(tgt)
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Coerce ``df`` to a declared schema.
+
+    Missing fields become NULL, extra fields are dropped (recursively), values
+    that do not convert become NULL, NaN/Inf become NULL, non-text values
+    going into text become JSON text, and booleans follow truthiness.
+    """
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[(_coerce(F.col(f"`{f.name}`"), have[f.name], f.dataType) if f.name in have
+                        else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+
+
+# --------------------------------------------------------------- TSV readers
+def read_tsv(lines: DataFrame, schema: T.StructType, text_col: str = "value", quote: str = "'",
+             null_value: str | None = "NULL") -> DataFrame:
+    """Tab-separated dump lines -> typed columns (NUL bytes removed first)."""
+    opts = {"sep": "\t", "quote": quote}
+    if null_value is not None:
+        opts["nullValue"] = null_value
+    clean = F.regexp_replace(F.col(text_col), "\u0000", "")
+    return lines.select(F.from_csv(clean, schema.simpleString(), opts).alias("_r")).select("_r.*")
+
+
+def grades_persistent_from_tsv(lines: DataFrame) -> DataFrame:
+    """Persistent-grade dump -> typed rows; course ids cleaned, "NULL" -> NULL."""
+    schema = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("course_id", T.StringType()),
+                           T.StructField("percent_grade", T.DoubleType()),
+                           T.StructField("letter_grade", T.StringType())])
+    return read_tsv(lines, schema).withColumn(C, clean_course_id(C)).select(
+        C, "user_id", "percent_grade", "letter_grade")
+
+
+STUDENTMODULE_TSV = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("module_type", T.StringType()),
+    T.StructField("module_id", T.StringType()), T.StructField("student_id", T.LongType()),
+    T.StructField("state", T.StringType()), T.StructField("grade", T.StringType()),
+    T.StructField("created", T.StringType()), T.StructField("max_grade", T.StringType()),
+])
+
+
+def studentmodule_from_tsv(lines: DataFrame) -> DataFrame:
+    """Courseware-state dump -> rows; NUL bytes dropped, block ids turned
+    into ``course_id`` and ``ORG/NUM/TERM/type/id`` module ids.  Grade texts
+    are kept as text ("NULL" included) for the grade report to interpret."""
+    x = read_tsv(lines, STUDENTMODULE_TSV, null_value=None)
+    return x.select(course_from_block("module_id").alias(C), "id", "module_type",
+                    module_from_block("module_id").alias("module_id"), "student_id", "state", "grade",
+                    "max_grade", F.coalesce(F.try_to_timestamp("created"), F.col("created").try_cast("timestamp"))
+                    .alias("created"))
+
+
+# ----------------------------------------------------- I7 user_info_combo merge
+def _last_per_user(df: DataFrame, order_col: str | None) -> DataFrame:
+    if order_col is None or order_col not in df.columns:
+        return df.dropDuplicates([C, "user_id"])
+    others = [c for c in df.columns if c not in (C, "user_id")]
+    return (df.groupBy(C, "user_id").agg(F.max_by(F.struct(*others), F.col(order_col)).alias("_r"))
+            .select(C, "user_id", "_r.*").drop(order_col))
+
+
+def _nullify(df: DataFrame) -> DataFrame:
+    return df.select(*[F.when(F.col(c) != "NULL", F.col(c)).alias(c) if t == "string" else F.col(c)
+                       for c, t in df.dtypes])
+
+
+def user_info_combo(auth_user: DataFrame, profile: DataFrame, enrollment: DataFrame, certificate: DataFrame,
+                    id_map: DataFrame, order_col: str | None = "seq") -> DataFrame:
+    """Merge the five user dumps into one row per (course, user).
+
+    Each source keeps its last row per user (``order_col``), columns get their
+    source prefix, "NULL" text becomes NULL, and the sources are full-outer
+    joined on ``(course_id, user_id)``; rows without a user id are dropped.
+    """
+    def prep(df, prefix, rename_id=None):
+        df = _nullify(df)
+        if rename_id:
+            df = df.withColumnRenamed(rename_id, "user_id")
+        df = df.withColumn(C, clean_course_id(C)).where(F.col("user_id").isNotNull())
+        df = _last_per_user(df, order_col)
+        if prefix:
+            df = df.select(C, "user_id", *[F.col(c).alias(f"{prefix}_{c}") for c in df.columns
+                                           if c not in (C, "user_id")])
+        return df
+
+    parts = [prep(auth_user, None, "id"), prep(profile, "profile"), prep(enrollment, "enrollment"),
+             prep(certificate, "certificate"), prep(id_map, "id_map")]
+    out = reduce(lambda a, b: a.join(b, [C, "user_id"], "full"), parts)
+    if "certificate_grade" in out.columns:
+        out = out.withColumn("certificate_grade", F.col("certificate_grade").try_cast("double"))
+    return out
+
+
+# ---------------------------------------------------------- I11 grading policy
+POLICY_SCHEMA = T.StructType([
+    T.StructField("GRADER", T.ArrayType(T.StructType([
+        T.StructField("type", T.StringType()), T.StructField("short_label", T.StringType()),
+        T.StructField("weight", T.DoubleType()), T.StructField("min_count", T.LongType()),
+        T.StructField("drop_count", T.LongType())]))),
+    T.StructField("GRADE_CUTOFFS", T.MapType(T.StringType(), T.DoubleType())),
+])
+
+
+def grading_policy(policies: DataFrame, text_col: str = "policy") -> DataFrame:
+    """One row per grader of each course's policy document, with the
+    lowest and highest grade cutoffs and their labels."""
+    p = policies.select(C, F.from_json(text_col, POLICY_SCHEMA).alias("p"))
+    cut = F.array_sort(F.map_entries("p.GRADE_CUTOFFS"),
+                       lambda a, b: F.when(a["value"] < b["value"], -1).when(a["value"] > b["value"], 1).otherwise(0))
+    p = p.select(C, F.explode("p.GRADER").alias("g"), cut.alias("cut"))
+    lo, hi = F.element_at("cut", 1), F.element_at("cut", -1)
+    return p.select(C, F.col("g.type").alias("assignment_type"), F.col("g.type").alias("name"),
+                    F.col("g.weight").alias("fraction_of_overall_grade"), F.col("g.min_count").alias("min_count"),
+                    F.col("g.drop_count").alias("drop_count"), F.col("g.short_label").alias("short_label"),
+                    lo["value"].alias("overall_lower_cutoff"), lo["key"].alias("overall_lower_cutoff_label"),
+                    hi["value"].alias("overall_upper_cutoff"), hi["key"].alias("overall_upper_cutoff_label"))
+
+
+# ---------------------------------------------------------- I12 forum (mongo)
+_OID = T.StructType([T.StructField("$oid", T.StringType())])
+MONGO_FORUM_SCHEMA = T.StructType([
+    T.StructField("_id", _OID), T.StructField("_type", T.StringType()), T.StructField("course_id", T.StringType()),
+    T.StructField("author_id", T.StringType()), T.StructField("author_username", T.StringType()),
+    T.StructField("title", T.StringType()), T.StructField("body", T.StringType()),
+    T.StructField("comment_thread_id", _OID), T.StructField("parent_id", _OID),
+    T.StructField("created_at", T.StructType([T.StructField("$date", T.StringType())])),
+    T.StructField("pinned", T.BooleanType()), T.StructField("endorsed", T.BooleanType()),
+    T.StructField("votes", T.StructType([T.StructField("count", T.LongType()), T.StructField("up", T.StringType())])),
+])
+
+
+def forum_from_mongo(lines: DataFrame, text_col: str = "value") -> DataFrame:
+    """Extended-JSON forum documents -> flat forum rows (``$oid`` and
+    ``$date`` unwrapped, course id cleaned, list values kept as JSON text)."""
+    d = lines.select(F.from_json(text_col, MONGO_FORUM_SCHEMA).alias("d")).select("d.*")
+    return d.select(clean_course_id(C).alias(C), F.col("_id.$oid").alias("mongoid"), "_type",
+                    F.col("author_id").try_cast("bigint").alias("author_id"), "author_username", "title", "body",
+                    F.col("comment_thread_id.$oid").alias("comment_thread_id"),
+                    F.col("parent_id.$oid").alias("parent_id"),
+                    F.try_to_timestamp(F.col("created_at.$date")).alias("created_at"),
+                    "pinned", "endorsed", "votes")
+
+
+# ----------------------------------------------------- I14 problem_analysis
+STATE_SCHEMA = T.StructType([
+    T.StructField("correct_map", T.MapType(T.StringType(), T.StructType([
+        T.StructField("correctness", T.StringType()), T.StructField("npoints", T.DoubleType()),
+        T.StructField("msg", T.StringType()), T.StructField("hint", T.StringType())]))),
+    T.StructField("student_answers", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("attempts", T.LongType()), T.StructField("done", T.BooleanType()),
+])
+
+
+def problem_analysis(studentmodule: DataFrame) -> DataFrame:
+    """One row per (course, user, problem) with an item struct per
+    answered input, from the problem state JSON; only states with both a
+    correctness map and answers are kept."""
+    s = studentmodule.where(F.col("module_type") == "problem").select(
+        C, F.col("student_id").alias("user_id"), F.element_at(F.split("module_id", "/"), -1).alias("problem_url_name"),
+        F.from_json("state", STATE_SCHEMA).alias("st"), F.col("grade").try_cast("double").alias("grade"),
+        F.col("max_grade").try_cast("double").alias("max_grade"), "created")
+    s = s.where((F.size("st.correct_map") > 0) & (F.size("st.student_answers") > 0))
+    answers = F.col("st.student_answers")
+    item = F.transform(F.map_entries("st.correct_map"), lambda e: F.struct(
+        e["key"].alias("answer_id"),
+        F.coalesce(F.regexp_replace(F.regexp_replace(F.to_json(F.array(answers[e["key"]])), r"^\[", ""), r"\]$", ""),
+                   F.lit("null")).alias("response"),
+        e["value"]["correctness"].alias("correctness"),
+        (F.coalesce(e["value"]["correctness"], F.lit("")) == "correct").alias("correct_bool"),
+        e["value"]["npoints"].alias("npoints"), e["value"]["msg"].alias("msg"), e["value"]["hint"].alias("hint")))
+    return s.select(C, "user_id", "problem_url_name", item.alias("item"),
+                    F.coalesce(F.col("st.attempts"), F.lit(0)).alias("attempts"), F.col("st.done").alias("done"),
+                    "grade", "max_grade", "created")
+
+
+# --------------------------------------------------------------- I15 roles
+# role name in the dumps -> flag column (fixed values)
+ROLE_NAMES = {
+    "beta_testers": "roles_isBetaTester", "ccx_coach": "roles_isCCX", "finance_admin": "roles_isFinance",
+    "instructor": "roles_isInstructor", "library_user": "roles_isLibrary", "sales_admin": "roles_isSales",
+    "staff": "roles_isStaff", "Administrator": "forumRoles_isAdmin", "Community": "forumRoles_isCommunityTA",
+    "Community TA": "forumRoles_isCommunityTA", "Moderator": "forumRoles_isModerator",
+    "Student": "forumRoles_isStudent",
+}
+
+
+def roles(access_roles: DataFrame, forum_roles: DataFrame) -> DataFrame:
+    """One row per (course, user) with eleven role flags and a label.
+
+    Label: Staff when any course-staff flag is set or any role is not a
+    student role, else Student (the source's result depended on file order).
+    """
+    rows = access_roles.select(C, "user_id", "role").unionByName(forum_roles.select(C, "user_id", "role"))
+    rows = rows.withColumn(C, clean_course_id(C))
+    aggs = []
+    for flag_col in ROLE_FLAGS:
+        names = [n for n, f in ROLE_NAMES.items() if f == flag_col]
+        aggs.append(F.max(F.when(F.col("role").isin(*names), 1).otherwise(0)).cast("bigint").alias(flag_col))
+    aggs.append(F.max(F.when(~F.coalesce(F.col("role"), F.lit("")).contains("Student"), 1).otherwise(0)).alias("_staffy"))
+    x = rows.groupBy(C, "user_id").agg(*aggs)
+    staff = reduce(lambda a, b: a | b, [F.col(f) == 1 for f in ROLE_FLAGS if f.startswith("roles_")])
+    return x.select(C, "user_id", F.when(staff | (F.col("_staffy") == 1), "Staff").otherwise("Student").alias("roles"),
+                    *ROLE_FLAGS)
+
+
+# -------------------------------------------------------- I16 email opt-in
+def email_opt_in(rows: DataFrame) -> DataFrame:
+    """I16: opt-in CSV rows -> typed rows; ``course-v1:ORG+NUM+TERM`` becomes
+    ``ORG/NUM/TERM`` (first two ``+`` to ``/``, others to ``_``)."""
+    cid = F.element_at(F.split(F.coalesce(F.col(C), F.lit("")), ":"), -1)
+    parts = F.split(cid, r"\+")
+    cleaned = F.when(F.size(parts) <= 3, F.array_join(parts, "/")).otherwise(
+        F.concat(F.array_join(F.slice(parts, 1, 3), "/"), F.lit("_"),
+                 F.array_join(F.slice(parts, 4, 1000), "_")))
+    ts = F.split(F.col("preference_set_datetime"), r"\+").getItem(0)
+    return rows.where(F.col("user_id").isNotNull()).select(
+        F.col("user_id").try_cast("bigint").alias("user_id"), cleaned.alias(C),
+        (F.lower(F.trim(F.coalesce(F.col("is_opted_in_for_email"), F.lit("")))) == "true").alias("is_opted_in_for_email"),
+        F.try_to_timestamp(ts, F.lit("yyyy-MM-dd HH:mm:ss")).alias("preference_set_datetime"))
+
+
+# -------------------------------------------------------- I17 geolocation
+def ip_to_number(ip) -> Column:
+    p = F.split(ip if isinstance(ip, Column) else F.col(ip), r"\.")
+    n = [p.getItem(i).try_cast("bigint") for i in range(4)]
+    return F.when(F.size(p) == 4, ((n[0] * 256 + n[1]) * 256 + n[2]) * 256 + n[3])
+
+
+def distinct_ips(log: DataFrame) -> DataFrame:
+    """The distinct client addresses of a log (map-side de-duplicated)."""
+    return log.where(F.col("ip").isNotNull() & (F.col("ip") != "")).select("ip").distinct()
+
+
+def geolocate_ips(ips: DataFrame, ip_ranges: DataFrame, un_regions: DataFrame | None = None,
+                  bucket_bits: int = 16) -> DataFrame:
+    """Address -> location by a range join on the numeric address.
+
+    Ranges are cut into /16 buckets (a range covering k buckets is repeated k
+    times), so the join is an equi-join on the bucket plus a range filter: no
+    nested-loop or cross join, and both sides shuffle on the bucket.  UN region
+    attributes (one row per country) join on the ISO code.  Addresses without
+    a country are dropped.
+    """
+    shift = 2 ** bucket_bits
+    r = ip_ranges.select("*", ip_to_number("start_ip").alias("_lo"), ip_to_number("end_ip").alias("_hi"))
+    r = r.select("*", F.explode(F.sequence((F.col("_lo") / shift).cast("bigint"),
+                                           (F.col("_hi") / shift).cast("bigint"))).alias("_bucket"))
+    a = ips.select("ip", ip_to_number("ip").alias("_n")).where(F.col("_n").isNotNull())
+    a = a.withColumn("_bucket", (F.col("_n") / shift).cast("bigint"))
+    j = a.join(r, "_bucket").where((F.col("_n") >= F.col("_lo")) & (F.col("_n") <= F.col("_hi")))
+    j = j.where(F.col("country_iso").isNotNull() & F.col("country_name").isNotNull())
+    out = j.select("ip", F.col("country_iso").alias("cc_by_ip"), F.col("country_name").alias("countryLabel"),
+                   "continent", "city", F.col("subdivision_iso").alias("region"), "subdivision",
+                   F.col("postal_code").alias("postalCode"), "latitude", "longitude")
+    if un_regions is not None:
+        out = out.join(un_regions.withColumnRenamed("iso", "cc_by_ip"), "cc_by_ip", "left")
+    return out
+
+
+# --------------------------------------------------------- I18 / I19 youtube
+def distinct_youtube_ids(course_axis: DataFrame) -> DataFrame:
+    """Distinct YouTube ids of the course videos (text after at most two ``:``)."""
+    yt = F.trim(F.element_at(F.split("data.ytid", ":", 3), -1))
+    return course_axis.where(F.col("data.ytid").isNotNull() & (F.col("data.ytid") != "")) \
+        .select(yt.alias("id")).where(F.col("id") != "").distinct()
+
+
+# seconds per ISO-8601 duration unit (fixed values); months and years as averages
+TIME_SECS = {"S": 1, "M": 60, "H": 3600}
+DATE_SECS = {"D": 86400, "M": 2629800, "Y": 31557600}
+
+
+def iso_duration_seconds(c) -> Column:
+    """``P[n]Y[n]M[n]DT[n]H[n]M[n]S`` -> seconds (NULL without a ``T`` part)."""
+    d = c if isinstance(c, Column) else F.col(c)
+    m = r"^P(\w*)T(\w*)"
+    ok = d.rlike(m)
+    date, time = F.regexp_extract(d, m, 1), F.regexp_extract(d, m, 2)
+    total = F.lit(0).cast("bigint")
+    for part, table in ((time, TIME_SECS), (date, DATE_SECS)):
+        for unit, secs in table.items():
+            num = F.regexp_extract(part, rf"(\d+){unit}", 1)
+            total = total + F.coalesce(F.nullif(num, F.lit("")).try_cast("bigint"), F.lit(0)) * secs
+    return F.when(ok, total)
+
+
+YOUTUBE_ITEM_SCHEMA = T.StructType([
+    T.StructField("id", T.StringType()),
+    T.StructField("snippet", T.StructType([T.StructField(n, T.StringType()) for n in
+                                           ("title", "description", "channelId", "channelTitle", "publishedAt")])),
+    T.StructField("contentDetails", T.StructType([T.StructField("duration", T.StringType())])),
+])
+
+
+def youtube_metadata(items: DataFrame, text_col: str = "value") -> DataFrame:
+    """YouTube API items -> flat rows with the duration in seconds."""
+    i = items.select(F.from_json(text_col, YOUTUBE_ITEM_SCHEMA).alias("i"))
+    return i.select(F.col("i.id").alias("id"), F.col("i.snippet.title").alias("title"),
+                    F.col("i.snippet.description").alias("description"),
+                    F.col("i.snippet.channelId").alias("channel_id"),
+                    F.col("i.snippet.channelTitle").alias("channel_title"),
+                    F.try_to_timestamp(F.col("i.snippet.publishedAt")).alias("published_at"),
+                    iso_duration_seconds(F.col("i.contentDetails.duration")).alias("duration"))
+
+
+# --------------------------------------------------- I8 / I9 course structure
+def course_axis_from_blocks(blocks: DataFrame, max_depth: int = 32, checkpoint_every: int = 8) -> DataFrame:
+    """I8: walk each course's block tree in pre-order.
+
+    ``blocks``: ``course_id, block_id, url_name, category, name, children``
+    (ordered child block ids), ``meta`` (struct of per-block metadata).  The
+    walk is a level-by-level join (one join per tree level; course trees are a
+    handful of levels deep) carrying each block's child-ordinal path; sorting
+    by that path within a course gives the pre-order ``index``.  ``path`` is the
+    chain of ``url_name``s below the root, ``chapter_mid`` the enclosing
+    chapter.  Lineage is cut every ``checkpoint_every`` levels.
+    """
+    b = blocks.select(C, "block_id", "url_name", "category", "name", "children", "meta")
+    level = (b.where(F.col("category") == "course")
+             .select(C, "block_id", F.array().cast("array<int>").alias("ord"), F.lit("/").alias("path"),
+                     F.lit(None).cast("string").alias("parent"), F.lit(None).cast("string").alias("chapter_mid")))
+    done = level
+    for depth in range(max_depth):
+        kids = (level.join(b.select(C, "block_id", "url_name", "category", "children"), [C, "block_id"])
+                .select(C, F.col("ord").alias("p_ord"), F.col("path").alias("p_path"),
+                        F.col("url_name").alias("p_url"), F.col("category").alias("p_cat"),
+                        F.col("block_id").alias("p_block"), F.col("chapter_mid").alias("p_ch"),
+                        F.posexplode("children").alias("pos", "block_id")))
+        nxt = (kids.join(b.select(C, "block_id", "url_name", "category"), [C, "block_id"])
+               .select(C, "block_id", F.concat("p_ord", F.array(F.col("pos").cast("int"))).alias("ord"),
+                       F.concat(F.when(F.col("p_path") == "/", F.lit("")).otherwise(F.col("p_path")),
+                                F.lit("/"), F.col("url_name")).alias("path"),
+                       F.col("p_url").alias("parent"),
+                       F.when(F.col("category") == "chapter", F.col("block_id")).otherwise(F.col("p_ch"))
+                       .alias("chapter_mid")))
+        if (depth + 1) % checkpoint_every == 0:
+            checkpoint_dir(nxt.sparkSession)
+            nxt = nxt.checkpoint()
+        if nxt.limit(1).count() == 0:
+            break
+        done = done.unionByName(nxt)
+        level = nxt
+    w = Window.partitionBy(C).orderBy("ord")
+    return (done.join(b, [C, "block_id"])
+            .select(C, F.row_number().over(w).cast("bigint").alias("index"), F.col("block_id").alias("module_id"),
+                    "url_name", "category", "name", "path", "parent", "chapter_mid", "meta"))
+
+
+# known response tags of a problem (fixed values, as spelled by the platform export)
+PROBLEM_TYPES = ["choiceresponse", "coderespons", "customresponse", "fieldset", "formularesponse", "imageresponse",
+                 "multiplechoiceresponse", "numericalresponse", "optionresponse", "stringresponse",
+                 "schematicresponse"]
+
+
+def bundle_problem_types(xml_rows: DataFrame) -> DataFrame:
+    """First known response tag among the direct children of each problem's XML root.
+
+    One XPath per row (``name(/*/*[self::a or self::b ...][1])``), evaluated in
+    the JVM.  Spark's XPath functions raise on malformed XML, so callers pass
+    only parseable documents.
+    """
+    test = " or ".join(f"self::{t}" for t in PROBLEM_TYPES)
+    itype = F.nullif(F.expr(f"xpath_string(xml, 'name(/*/*[{test}][1])')"), F.lit(""))
+    return xml_rows.select(C, "url_name", itype.alias("itype"))
+
+
+def bundle_video_durations(xml_rows: DataFrame) -> DataFrame:
+    """``duration`` attribute of the first ``video_asset`` child (NULL when missing or not a number)."""
+    dur = F.expr("xpath_string(xml, '/*/video_asset[1]/@duration')").try_cast("double")
+    return xml_rows.select(C, "url_name", dur.alias("duration"))
+
+
+# ===================================================== registered round trips
+def _course_v1(c="course_id") -> Column:
+    return F.concat(F.lit("course-v1:"), F.regexp_replace(c, "/", "+"))
+
+
+UIC_CONFORM_SCHEMA = T.StructType([
+    T.StructField("course_id", T.StringType()), T.StructField("user_id", T.LongType()),
+    T.StructField("username", T.StringType()), T.StructField("email", T.StringType()),
+    T.StructField("enrollment_mode", T.StringType()), T.StructField("certificate_status", T.StringType()),
+    T.StructField("profile_year_of_birth", T.LongType()), T.StructField("profile_gender", T.StringType()),
+    T.StructField("enrollment_created", T.TimestampType()), T.StructField("enrollment_is_active", T.LongType()),
+    T.StructField("y1_anomalous", T.LongType()), T.StructField("certificate_grade", T.DoubleType()),
+])
+
+
+def q_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = Tables(spark, sf_dir).user_info_combo
+    x = u.select("course_id", F.col("user_id").cast("string").alias("user_id"), "username", "email",
+                 "enrollment_mode", "certificate_status",
+                 F.when(F.col("user_id") % 13 == 0, F.lit("unknown"))
+                  .otherwise(F.col("profile_year_of_birth").cast("string")).alias("profile_year_of_birth"),
+                 F.concat(F.lit(" "), F.col("profile_gender")).alias("profile_gender"),
+                 F.date_format("enrollment_created", "yyyy-MM-dd HH:mm:ss").alias("enrollment_created"),
+                 F.col("enrollment_is_active").cast("string").alias("enrollment_is_active"), "y1_anomalous",
+                 F.lit("dropped").alias("extra_field"))
+    return conform(x, UIC_CONFORM_SCHEMA)
+
+
+def q_user_info_combo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = Tables(spark, sf_dir).user_info_combo
+    cid, uid = _course_v1().alias("course_id"), F.col("user_id")
+    one = F.lit(1).alias("seq")
+    auth = u.where(uid % 11 != 5).select(cid, uid.alias("id"), "username", "email", one)
+    prof = u.where(uid % 7 != 3).select(cid, "user_id", F.col("profile_gender").alias("gender"),
+                                        F.col("profile_year_of_birth").cast("string").alias("year_of_birth"),
+                                        F.coalesce("profile_level_of_education", F.lit("NULL")).alias("level_of_education"),
+                                        F.col("profile_country").alias("country"), one)
+    enr = u.select(cid, "user_id", F.col("enrollment_created").alias("created"),
+                   F.col("enrollment_is_active").alias("is_active"), F.col("enrollment_mode").alias("mode"), one)
+    stale = u.where(uid % 17 == 0).select(cid, "user_id", F.col("enrollment_created").alias("created"),
+                                          F.col("enrollment_is_active").alias("is_active"),
+                                          F.lit("stale").alias("mode"), F.lit(0).alias("seq"))
+    cert = u.where(F.col("certificate_status").isNotNull()).select(
+        cid, "user_id", F.col("certificate_status").alias("status"), F.lit("0.8").alias("grade"),
+        F.col("certificate_created_date").alias("created_date"), one)
+    idm = u.where(uid % 5 != 0).select(cid, "user_id", F.concat(F.lit("h"), uid.cast("string")).alias("hash_id"), one)
+    out = user_info_combo(auth, prof, enr.unionByName(stale), cert, idm)
+    return out.select("course_id", "user_id", "username", "email", "profile_gender",
+                      F.col("profile_year_of_birth").cast("bigint").alias("profile_year_of_birth"),
+                      "profile_level_of_education", "profile_country", "enrollment_created", "enrollment_is_active",
+                      "enrollment_mode", "certificate_status", "certificate_grade", "certificate_created_date",
+                      "id_map_hash_id")
+
+
+def q_grades_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = Tables(spark, sf_dir).grades_persistent
+    lines = g.select(F.concat_ws("\t", F.col("user_id").cast("string"), _course_v1(),
+                                 F.col("percent_grade").cast("string"),
+                                 F.when(F.col("letter_grade") == "", F.lit("NULL")).otherwise(F.col("letter_grade")))
+                     .alias("value"))
+    return grades_persistent_from_tsv(lines)
+
+
+def q_studentmodule_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sm = Tables(spark, sf_dir).studentmodule
+    parts = F.split("module_id", "/")
+    block = F.concat(F.lit("block-v1:"), parts.getItem(0), F.lit("+"), parts.getItem(1), F.lit("+"), parts.getItem(2),
+                     F.lit("+type@"), parts.getItem(3), F.lit("+block@"), parts.getItem(4))
+    state = F.when(F.col("student_id") % 9 == 0, F.lit('{"attempts": \u00001}')).otherwise(F.lit('{"attempts": 1}'))
+    lines = sm.select(F.concat_ws("\t", F.lit("0"), "module_type", block, F.col("student_id").cast("string"), state,
+                                  F.coalesce("grade", F.lit("")),
+                                  F.date_format("created", "yyyy-MM-dd HH:mm:ss"), "max_grade").alias("value"))
+    return studentmodule_from_tsv(lines).select("course_id", "module_type", "module_id", "student_id", "state",
+                                                "grade", "max_grade", "created")
+
+
+def q_problem_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pa = Tables(spark, sf_dir).problem_analysis
+    cmap = F.map_from_entries(F.transform("item", lambda i: F.struct(
+        i["answer_id"], F.struct(F.when(i["correct_bool"], "correct").otherwise("incorrect").alias("correctness"),
+                                 F.lit(None).cast("double").alias("npoints"), F.lit("").alias("msg"),
+                                 F.lit("").alias("hint")))))
+    ans = F.when(F.col("user_id") % 10 == 0, F.create_map().cast("map<string,string>")).otherwise(
+        F.map_from_entries(F.transform("item", lambda i: F.struct(
+            i["answer_id"], F.concat(F.lit("choice_"), (F.col("user_id") % 4).cast("string"))))))
+    state = F.to_json(F.struct(cmap.alias("correct_map"), ans.alias("student_answers"),
+                               F.col("attempts").alias("attempts"), F.col("done").alias("done")))
+    sm = pa.select("course_id", F.lit("problem").alias("module_type"),
+                   F.concat("course_id", F.lit("/problem/"), "problem_url_name").alias("module_id"),
+                   F.col("user_id").alias("student_id"), state.alias("state"),
+                   F.col("grade").cast("string").alias("grade"), F.lit("50").alias("max_grade"), "created")
+    out = problem_analysis(sm)
+    return out.select("course_id", "user_id", "problem_url_name", "attempts", "grade", "max_grade",
+                      F.explode("item").alias("i")).select(
+        "course_id", "user_id", "problem_url_name", "attempts", "grade", "max_grade",
+        F.col("i.answer_id").alias("answer_id"), F.col("i.response").alias("response"),
+        F.col("i.correctness").alias("correctness"), F.col("i.correct_bool").alias("correct_bool"))
+
+
+def q_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = Tables(spark, sf_dir).roles
+    first_name = {}
+    for n, f in ROLE_NAMES.items():
+        first_name.setdefault(f, n)
+    access = [F.when(F.col(f) == 1, F.lit(first_name[f])) for f in ROLE_FLAGS if f.startswith("roles_")]
+    forum = [F.when(F.col(f) == 1, F.lit(first_name[f])) for f in ROLE_FLAGS if f.startswith("forumRoles_")]
+
+    def rows(names):
+        return (r.select(_course_v1().alias("course_id"), "user_id", F.explode(F.array(*names)).alias("role"))
+                .where(F.col("role").isNotNull()))
+
+    return roles(rows(access), rows(forum))
+
+
+def q_email_opt_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = Tables(spark, sf_dir).user_info_combo
+    rows = u.select(F.col("user_id").cast("string").alias("user_id"), "username", "email",
+                    _course_v1().alias("course_id"),
+                    F.when(F.col("user_id") % 3 == 0, "True").otherwise("False").alias("is_opted_in_for_email"),
+                    F.concat(F.date_format("enrollment_created", "yyyy-MM-dd HH:mm:ss"), F.lit("+00:00"))
+                    .alias("preference_set_datetime"))
+    return email_opt_in(rows)
+
+
+def _ip_ranges(spark, sf_dir) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    nation = t.spark.read.parquet(f"{sf_dir}/nation.parquet").where(F.col("n_nationkey") < 6)
+    a = F.col("n_nationkey").cast("string")
+    half = F.explode(F.array(F.struct(F.lit(0).alias("lo"), F.lit(1).alias("hi"), F.lit("low").alias("part")),
+                             F.struct(F.lit(2).alias("lo"), F.lit(3).alias("hi"), F.lit("high").alias("part"))))
+    x = nation.select("n_nationkey", "n_name", half.alias("h"))
+    return x.select(
+        F.concat(F.lit("10."), a, F.lit(".0."), F.col("h.lo").cast("string")).alias("start_ip"),
+        F.concat(F.lit("10."), a, F.lit(".0."), F.col("h.hi").cast("string")).alias("end_ip"),
+        F.concat(F.lit("C"), a).alias("country_iso"), F.col("n_name").alias("country_name"),
+        F.when(F.col("n_nationkey") % 3 == 0, "Europe").when(F.col("n_nationkey") % 3 == 1, "Asia")
+         .otherwise("Americas").alias("continent"),
+        F.concat(F.lit("city"), a, F.lit("_"), F.col("h.part")).alias("city"),
+        F.concat(F.lit("r"), a).alias("subdivision_iso"), F.lit(None).cast("string").alias("subdivision"),
+        F.concat(F.lit("P"), a).alias("postal_code"),
+        (F.col("n_nationkey") * 10.0).alias("latitude"), (-F.col("n_nationkey").cast("double")).alias("longitude"))
+
+
+def _un_regions(spark, sf_dir) -> DataFrame:
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    region = spark.read.parquet(f"{sf_dir}/region.parquet")
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        F.concat(F.lit("C"), F.col("n_nationkey").cast("string")).alias("iso"),
+        F.col("r_name").alias("un_major_region"),
+        F.when(F.col("n_nationkey") % 3 == 0, "High").otherwise("Middle").alias("un_economic_group"))
+
+
+def q_geolocate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ips = distinct_ips(Tables(spark, sf_dir).tracking_log)
+    return geolocate_ips(ips, _ip_ranges(spark, sf_dir), _un_regions(spark, sf_dir))
+
+
+def q_youtube_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_youtube_ids(Tables(spark, sf_dir).course_axis)
+
+
+def q_youtube_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    y = Tables(spark, sf_dir).youtube
+    n = F.substring("id", 3, 20).try_cast("bigint")
+    d = F.col("duration")
+    iso = F.concat(F.when(n % 5 == 0, F.lit("P1D")).otherwise(F.lit("P")), F.lit("T"),
+                   (d / 60).cast("bigint").cast("string"), F.lit("M"), (d % 60).cast("string"), F.lit("S"))
+    item = F.to_json(F.struct(
+        "id", F.struct(F.col("title").alias("title"), F.lit("").alias("description"),
+                       F.concat(F.lit("UC"), (n % 7).cast("string")).alias("channelId"),
+                       F.lit("channel").alias("channelTitle"), F.lit("2023-05-01T00:00:00Z").alias("publishedAt"))
+        .alias("snippet"), F.struct(iso.alias("duration")).alias("contentDetails")))
+    return youtube_metadata(y.select(item.alias("value"))).select("id", "title", "channel_id", "published_at",
+                                                                  "duration")
+
+
+def course_blocks(course_axis: DataFrame) -> DataFrame:
+    """Export-shaped blocks of the bridged course structure (children in order)."""
+    kids = (course_axis.where(F.col("parent").isNotNull())
+            .groupBy("course_id", F.col("parent").alias("url_name"))
+            .agg(F.array_sort(F.collect_list(F.struct("index", "module_id"))).alias("_k"))
+            .select("course_id", "url_name", F.transform("_k", lambda k: k["module_id"]).alias("children")))
+    return (course_axis.join(kids, ["course_id", "url_name"], "left")
+            .select("course_id", F.col("module_id").alias("block_id"), "url_name", "category", "name",
+                    F.coalesce("children", F.array().cast("array<string>")).alias("children"),
+                    F.struct("gformat", "due", "visible_to_staff_only").alias("meta")))
+
+
+def q_course_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = course_blocks(Tables(spark, sf_dir).course_axis)
+    return course_axis_from_blocks(blocks).select("course_id", "index", "module_id", "url_name", "category", "path",
+                                                  "parent", "chapter_mid")
+
+
+def q_problem_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ax = Tables(spark, sf_dir).course_axis.where(F.col("category") == "problem")
+    it = F.col("data.itype")
+    xml = F.concat(F.lit('<problem display_name="'), F.col("name"), F.lit('"><p>Question</p>'),
+                   F.when(it.isNotNull(), F.concat(F.lit("<"), it, F.lit("><choicegroup/></"), it, F.lit(">")))
+                    .otherwise(F.lit("<solution><p>none</p></solution>")), F.lit("</problem>"))
+    return bundle_problem_types(ax.select("course_id", "url_name", xml.alias("xml")))
+
+
+def q_video_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ax = Tables(spark, sf_dir).course_axis.where(F.col("category") == "video")
+    xml = F.concat(F.lit('<video url_name="'), F.col("url_name"), F.lit('"><source src="x"/><video_asset duration="'),
+                   F.col("data.duration").cast("string"), F.lit('"/></video>'))
+    return bundle_video_durations(ax.select("course_id", "url_name", xml.alias("xml")))
+
+
+def q_forum_mongo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = Tables(spark, sf_dir).forum
+
+    def oid(c):
+        return F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("$oid")))
+
+    doc = F.to_json(F.struct(F.struct(F.col("mongoid").alias("$oid")).alias("_id"), "_type",
+                             _course_v1().alias("course_id"), F.col("author_id").cast("string").alias("author_id"),
+                             "author_username", "title", "body", oid("comment_thread_id").alias("comment_thread_id"),
+                             oid("parent_id").alias("parent_id"),
+                             F.struct(F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("$date"))
+                             .alias("created_at"), "pinned", "endorsed", "votes"))
+    out = forum_from_mongo(f.select(doc.alias("value")))
+    return out.select("course_id", "mongoid", "_type", "author_id", "author_username", "title", "body",
+                      "comment_thread_id", "parent_id", "created_at", "pinned", "endorsed",
+                      F.col("votes.count").alias("votes_count"))
+
+
+QUERIES = {
+    "conform_user_info": q_conform,
+    "ingest_user_info_combo": q_user_info_combo,
+    "ingest_grades_persistent": q_grades_tsv,
+    "ingest_studentmodule": q_studentmodule_tsv,
+    "ingest_problem_analysis": q_problem_analysis,
+    "ingest_roles": q_roles,
+    "ingest_email_opt_in": q_email_opt_in,
+    "geolocate_ips": q_geolocate,
+    "distinct_youtube_ids": q_youtube_ids,
+    "youtube_metadata": q_youtube_metadata,
+    "course_axis_walk": q_course_axis,
+    "bundle_problem_types": q_problem_types,
+    "bundle_video_durations": q_video_durations,
+    "ingest_forum_mongo": q_forum_mongo,
+}
+
+
+def q_grading_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = Tables(spark, sf_dir).grading_policy
+    docs = g.groupBy("course_id").agg(
+        F.to_json(F.struct(
+            F.collect_list(F.struct(F.col("assignment_type").alias("type"), "short_label",
+                                    F.col("fraction_of_overall_grade").alias("weight"), "min_count", "drop_count"))
+            .alias("GRADER"),
+            F.map_from_arrays(F.array(F.first("overall_cutoff_lower_label"), F.first("overall_cutoff_upper_label")),
+                              F.array(F.first("overall_lower_cutoff"), F.first("overall_upper_cutoff")))
+            .alias("GRADE_CUTOFFS"))).alias("policy"))
+    return grading_policy(docs)
+
+
+QUERIES["ingest_grading_policy"] = q_grading_policy

@@ -26,3 +26,16 @@ def oracle(name: str) -> str:
     _order(name, order)
     ctes = ",\n".join(f"{n} as (\n{ALL[n][0].strip()}\n)" for n in order)
     return f"with {ctes}\nselect * from {name}"
+
+
+def with_deps(deps: list[str], body: str) -> str:
+    """``body`` preceded by the CTEs of ``deps`` (and theirs); a body that starts
+    with its own ``with`` is merged into the same clause."""
+    order: list[str] = []
+    for d in deps:
+        _order(d, order)
+    ctes = ",\n".join(f"{n} as (\n{ALL[n][0].strip()}\n)" for n in order)
+    body = body.strip()
+    if body.lower().startswith("with "):
+        return f"with {ctes},\n{body[5:]}"
+    return f"with {ctes}\n{body}"

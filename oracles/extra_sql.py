@@ -1,6 +1,6 @@
 """DuckDB oracles for the ingest and table-upkeep queries (``mooclens.plans.extra_queries``)."""
 
-from oracles import ALL, oracle
+from oracles import oracle, with_deps
 from oracles.reports_sql import PERSON_COURSE_DEPS, person_course_sql
 
 _KNOWN = ("'play_video', 'seq_goto', 'seq_next', 'seq_prev', 'seek_video', 'load_video', 'save_problem_success', "
@@ -13,23 +13,7 @@ _IS_KNOWN = (f"((contains(event_type, 'problem_') or event_type in ({_KNOWN})) a
 _KEPT = "not (seq % 50 = 0 and (seq // 50) % 4 in (0, 1, 2))"
 
 
-def _with(deps: list[str], body: str) -> str:
-    order: list[str] = []
-
-    def visit(n):
-        if n in order:
-            return
-        for d in ALL[n][1]:
-            visit(d)
-        order.append(n)
-
-    for d in deps:
-        visit(d)
-    ctes = ",\n".join(f"{n} as (\n{ALL[n][0].strip()}\n)" for n in order)
-    body = body.strip()
-    if body.lower().startswith("with "):
-        return f"with {ctes},\n{body[5:]}"
-    return f"with {ctes}\n{body}"
+_with = with_deps
 
 
 EXTRA = {
