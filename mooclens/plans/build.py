@@ -30,7 +30,7 @@ def build_reports(spark: SparkSession, tables, out_dir: str, names: list[str] |
     for name in order:
         t0 = time.perf_counter()
         try:
-            df = resolve(name, tables, params, memo)
+            df = resolve(name, tables, params, memo, share=False)
             path = f"{out_dir}/{name}"
             (df.write.mode("append" if append else "overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("course_id").parquet(path))

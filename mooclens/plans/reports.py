@@ -26,6 +26,7 @@ class Report:
     inputs: list[str]
     optional: list[str] = field(default_factory=list)
     params: list[str] = field(default_factory=list)   # parameter names the operator accepts
+    multi_use: bool = False   # the operator reads its inputs in more than one branch
 
 
 CATALOG: dict[str, Report] = {
@@ -73,7 +74,8 @@ CATALOG: dict[str, Report] = {
                              "pc_nchapters", "course_modal_language", "person_enrollment_verified",
                              "course_modal_agent"],
                             optional=["grades_persistent", "pc_forum", "roles", "pc_video_watched", "geoip"]),
-    "time_on_asset_totals": Report(timing.time_on_asset_totals, ["time_on_asset_daily", "person_course"]),
+    "time_on_asset_totals": Report(timing.time_on_asset_totals, ["time_on_asset_daily", "person_course"],
+                                   multi_use=True),
 }
 
 
@@ -81,16 +83,31 @@ def register(name: str, report: Report) -> None:
     CATALOG[name] = report
 
 
+def shared_reports(name: str) -> set[str]:
+    """Reports read by two or more reports in the build of ``name``."""
+    uses: dict[str, int] = {}
+    for r in build_order([name]):
+        for d in CATALOG[r].inputs + CATALOG[r].optional:
+            if d in CATALOG:
+                uses[d] = uses.get(d, 0) + (2 if CATALOG[r].multi_use else 1)
+    return {d for d, n in uses.items() if n >= 2}
+
+
 def resolve(name: str, tables: Mapping | object, params: Mapping | None = None,
-            memo: dict | None = None) -> DataFrame:
+            memo: dict | None = None, share: bool = True) -> DataFrame:
     """Build report ``name`` (and, recursively, the reports it reads).
 
     ``tables`` gives the base tables, by key or attribute; a missing optional
     input is passed as ``None``, and the operator degrades those columns to
-    NULL (M6).
+    NULL (M6).  With ``share``, an intermediate report that several reports of
+    this build read is computed once and checkpointed (to the shared folder of
+    ``spark.checkpoint.dir``) instead of being recomputed inside every
+    consumer's plan.
     """
     params = dict(params or {})
     memo = {} if memo is None else memo
+    if share and "__shared__" not in memo:
+        memo["__shared__"] = shared_reports(name) if name in CATALOG else set()
     if name in memo:
         return memo[name]
     if name not in CATALOG:
@@ -100,18 +117,32 @@ def resolve(name: str, tables: Mapping | object, params: Mapping | None = None,
         memo[name] = df
         return df
     rep = CATALOG[name]
-    args = [resolve(dep, tables, params, memo) for dep in rep.inputs]
+    args = [resolve(dep, tables, params, memo, share) for dep in rep.inputs]
     kwargs = {}
     for opt in rep.optional:
-        kwargs[opt] = _maybe(opt, tables, params, memo)
+        kwargs[opt] = _maybe(opt, tables, params, memo, share)
     for p in rep.params:
         if p in params:
             kwargs[p] = params[p]
     df = rep.fn(*args, **kwargs)
+    if name in memo.get("__shared__", ()):
+        df = _stash(df, name, memo)
     memo[name] = df
     return df
 
 
+def _stash(df: DataFrame, name: str, memo: dict) -> DataFrame:
+    """Write an intermediate report once to the shared checkpoint folder and
+    read it back: computed a single time, lineage cut, survives executor loss."""
+    import uuid
+
+    from mooclens.session import checkpoint_dir
+    run = memo.setdefault("__run__", uuid.uuid4().hex[:12])
+    path = f"{checkpoint_dir(df.sparkSession)}/mooclens-stash/{run}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _base(tables, name):
     if isinstance(tables, Mapping):
         return tables.get(name)
@@ -121,9 +152,9 @@ def _base(tables, name):
         return None
 
 
-def _maybe(name, tables, params, memo):
+def _maybe(name, tables, params, memo, share=True):
     if name in CATALOG:
-        return resolve(name, tables, params, memo)
+        return resolve(name, tables, params, memo, share)
     return _base(tables, name)
 
 
