@@ -5,15 +5,17 @@ from mooclens.streaming.log_stream import run_log_ingest_once
 
 
 def test_stream_matches_batch(spark, tables, tmp_path):
+    import uuid
+    name = "t" + uuid.uuid4().hex[:10]   # checkpoints live in the shared folder: one per run
     raw = tables.raw_log_lines
     landing = tmp_path / "landing"
     raw.select("value").coalesce(2).write.text(str(landing / "day1"))
     out = tmp_path / "out"
-    run_log_ingest_once(spark, str(landing / "*"), str(out), name=f"t{tmp_path.name}")
-    got = spark.read.parquet(str(out / f"t{tmp_path.name}"))
+    run_log_ingest_once(spark, str(landing / "*"), str(out), name=name)
+    got = spark.read.parquet(str(out / name))
     rows, dead = ingest_lines(raw)
     assert got.count() == rows.count()
-    assert spark.read.parquet(str(out / f"t{tmp_path.name}_dead_letters")).count() == dead.count()
+    assert spark.read.parquet(str(out / (name + "_dead_letters"))).count() == dead.count()
     # a second run with no new files adds nothing
-    run_log_ingest_once(spark, str(landing / "*"), str(out), name=f"t{tmp_path.name}")
-    assert spark.read.parquet(str(out / f"t{tmp_path.name}")).count() == rows.count()
+    run_log_ingest_once(spark, str(landing / "*"), str(out), name=name)
+    assert spark.read.parquet(str(out / name)).count() == rows.count()
