@@ -90,7 +90,7 @@ def _event_text(ev: Column) -> Column:
     return F.when(ev.isNull(), F.lit("{}")).when(valid, ev).otherwise(F.to_json(F.struct(ev.alias("event"))))
 
 
-def normalize_log(records: DataFrame, seq_col: str = "seq") -> DataFrame:
+def normalize_log(records: DataFrame, seq_col: str = "seq", keep: list[str] | None = None) -> DataFrame:
     """I4: parsed raw records -> the ``tracking_log`` table layout.
 
     Course and module ids are derived (I2, I3); known event types keep their
@@ -140,6 +140,7 @@ def normalize_log(records: DataFrame, seq_col: str = "seq") -> DataFrame:
                  ctx["org_id"].alias("org_id"), ctx["module"].alias("module"), agent_json.alias("agent"),
                  ctx["course_user_tags"].alias("course_user_tags")).alias("context"),
         F.when(known, typed).otherwise(generic).alias("event_struct"),
+        *(keep or []),
     )
 
 
@@ -161,11 +162,11 @@ def ingest_lines(lines: DataFrame, courses: list[str] | None = None, dynamic_dat
     if "seq" not in lines.columns:
         lines = lines.withColumn("seq", F.monotonically_increasing_id())
     good, dead = parse_log_lines(lines)
-    norm = normalize_log(good)
     if file_col and not dynamic_date:
-        norm = norm.withColumn("log_date", file_date(good[file_col]))
+        norm = normalize_log(good, keep=[file_col])
+        norm = norm.withColumn("log_date", file_date(F.col(file_col))).drop(file_col)
     else:
-        norm = norm.withColumn("log_date", F.to_date("time"))
+        norm = normalize_log(good).withColumn("log_date", F.to_date("time"))
     has_user = (F.coalesce(F.col("username"), F.lit("")) != "") | F.col("context.user_id").isNotNull()
     norm = norm.where(has_user)
     if courses:
