@@ -371,35 +371,64 @@ def youtube_metadata(items: DataFrame, text_col: str = "value") -> DataFrame:
 
 
 # --------------------------------------------------- I8 / I9 course structure
+# block metadata inherited from the nearest ancestor with a truthy value (self first):
+# output column -> metadata key (fixed values)
+INHERITED_META = {"name": "display_name", "gformat": "format", "due": "due", "start": "start", "graded": "graded",
+                  "visible_to_staff_only": "visible_to_staff_only"}
+
+
+def _truthy(c: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.BooleanType):
+        return F.coalesce(c, F.lit(False))
+    if isinstance(dtype, T.StringType):
+        return F.coalesce(c != "", F.lit(False))
+    return c.isNotNull()
+
+
 def course_axis_from_blocks(blocks: DataFrame, max_depth: int = 32, checkpoint_every: int = 8) -> DataFrame:
     """I8: walk each course's block tree in pre-order.
 
-    ``blocks``: ``course_id, block_id, url_name, category, name, children``
-    (ordered child block ids), ``meta`` (struct of per-block metadata).  The
-    walk is a level-by-level join (one join per tree level; course trees are a
-    handful of levels deep) carrying each block's child-ordinal path; sorting
-    by that path within a course gives the pre-order ``index``.  ``path`` is the
-    chain of ``url_name``s below the root, ``chapter_mid`` the enclosing
-    chapter.  Lineage is cut every ``checkpoint_every`` levels.
+    ``blocks``: ``course_id, block_id, url_name, category, children`` (ordered
+    child block ids) and ``meta`` (struct with ``display_name, format, due,
+    start, end, graded, visible_to_staff_only, weight, showanswer, ytid``).
+    The walk is a level-by-level join (one join per tree level; course trees
+    are a handful of levels deep) carrying each block's child-ordinal path and
+    its inherited metadata; sorting by the path within a course gives the
+    pre-order ``index``.  ``path`` is the chain of ``url_name``s below the
+    root; ``chapter_mid`` is the last chapter met in pre-order; inherited
+    fields take the nearest truthy value up the tree; a block with a grading
+    format and no due / start date gets the course's end / start.  Lineage
+    is cut every ``checkpoint_every`` levels.
     """
-    b = blocks.select(C, "block_id", "url_name", "category", "name", "children", "meta")
+    mtype = blocks.schema["meta"].dataType
+    inh_fields = [(out, key, mtype[key].dataType) for out, key in INHERITED_META.items()
+                  if key in mtype.fieldNames()]
+    b = blocks.select(C, "block_id", "url_name", "category", "children", "meta")
+
+    def inherit(own_meta: Column, parent_inh: Column | None) -> Column:
+        parts = []
+        for out, key, dt in inh_fields:
+            own = own_meta[key]
+            v = own if parent_inh is None else F.when(_truthy(own, dt), own).otherwise(parent_inh[out])
+            parts.append(v.alias(out))
+        return F.struct(*parts)
+
     level = (b.where(F.col("category") == "course")
              .select(C, "block_id", F.array().cast("array<int>").alias("ord"), F.lit("/").alias("path"),
-                     F.lit(None).cast("string").alias("parent"), F.lit(None).cast("string").alias("chapter_mid")))
+                     F.lit(None).cast("string").alias("parent"), F.lit(None).cast("string").alias("parent_cat"),
+                     inherit(F.col("meta"), None).alias("inh")))
     done = level
     for depth in range(max_depth):
         kids = (level.join(b.select(C, "block_id", "url_name", "category", "children"), [C, "block_id"])
                 .select(C, F.col("ord").alias("p_ord"), F.col("path").alias("p_path"),
                         F.col("url_name").alias("p_url"), F.col("category").alias("p_cat"),
-                        F.col("block_id").alias("p_block"), F.col("chapter_mid").alias("p_ch"),
-                        F.posexplode("children").alias("pos", "block_id")))
-        nxt = (kids.join(b.select(C, "block_id", "url_name", "category"), [C, "block_id"])
+                        F.col("inh").alias("p_inh"), F.posexplode("children").alias("pos", "block_id")))
+        nxt = (kids.join(b.select(C, "block_id", "url_name", "meta"), [C, "block_id"])
                .select(C, "block_id", F.concat("p_ord", F.array(F.col("pos").cast("int"))).alias("ord"),
                        F.concat(F.when(F.col("p_path") == "/", F.lit("")).otherwise(F.col("p_path")),
                                 F.lit("/"), F.col("url_name")).alias("path"),
-                       F.col("p_url").alias("parent"),
-                       F.when(F.col("category") == "chapter", F.col("block_id")).otherwise(F.col("p_ch"))
-                       .alias("chapter_mid")))
+                       F.col("p_url").alias("parent"), F.col("p_cat").alias("parent_cat"),
+                       inherit(F.col("meta"), F.col("p_inh")).alias("inh")))
         if (depth + 1) % checkpoint_every == 0:
             checkpoint_dir(nxt.sparkSession)
             nxt = nxt.checkpoint()
@@ -407,10 +436,32 @@ def course_axis_from_blocks(blocks: DataFrame, max_depth: int = 32, checkpoint_e
             break
         done = done.unionByName(nxt)
         level = nxt
+    root = b.where(F.col("category") == "course").select(
+        C, F.col("meta.start").alias("_root_start"), F.col("meta.end").alias("_root_end"))
     w = Window.partitionBy(C).orderBy("ord")
-    return (done.join(b, [C, "block_id"])
-            .select(C, F.row_number().over(w).cast("bigint").alias("index"), F.col("block_id").alias("module_id"),
-                    "url_name", "category", "name", "path", "parent", "chapter_mid", "meta"))
+    x = done.join(b, [C, "block_id"]).join(root, C, "left")
+    cat = F.col("category")
+    has_format = F.coalesce(F.col("inh.gformat") != "", F.lit(False))
+    is_split = cat.contains("split_test") | F.coalesce(F.col("parent_cat"), F.lit("")).contains("split_test")
+    meta = F.col("meta")
+    return x.select(
+        C, F.row_number().over(w).cast("bigint").alias("index"), F.col("block_id").alias("module_id"),
+        "url_name", "category", F.col("inh.name").alias("name"), F.col("inh.gformat").alias("gformat"),
+        F.when(has_format, F.coalesce("inh.due", "_root_end")).otherwise(F.col("inh.due")).try_cast("timestamp")
+        .alias("due"),
+        F.when(has_format, F.coalesce("inh.start", "_root_start")).otherwise(F.col("inh.start"))
+        .try_cast("timestamp").alias("start"),
+        F.coalesce(F.col("inh.graded"), F.lit(False)).alias("graded"),
+        F.col("inh.visible_to_staff_only").alias("visible_to_staff_only"),
+        "path", "parent",
+        F.last(F.when(cat == "chapter", F.col("block_id")), ignorenulls=True).over(
+            w.rowsBetween(Window.unboundedPreceding, 0)).alias("chapter_mid"),
+        is_split.alias("is_split"),
+        F.when(is_split, F.when(cat.contains("split_test"), F.col("url_name")).otherwise(F.col("parent")))
+        .alias("split_url_name"),
+        F.struct(meta["ytid"].alias("ytid"), meta["weight"].alias("weight"),
+                 F.when(cat.contains("problem"), F.size("children") + 1).alias("num_items"),
+                 F.coalesce(meta["showanswer"] != "never", F.lit(False)).alias("has_solution")).alias("data"))
 
 
 # known response tags of a problem (fixed values, as spelled by the platform export)
@@ -619,16 +670,32 @@ def course_blocks(course_axis: DataFrame) -> DataFrame:
             .groupBy("course_id", F.col("parent").alias("url_name"))
             .agg(F.array_sort(F.collect_list(F.struct("index", "module_id"))).alias("_k"))
             .select("course_id", "url_name", F.transform("_k", lambda k: k["module_id"]).alias("children")))
+    cat = F.col("category")
+    seq = cat == "sequential"
+    ts = "yyyy-MM-dd'T'HH:mm:ss"
+    # metadata only where an author would set it: format / due / graded on the
+    # sequential (its blocks inherit them), dates of the course on the root
+    meta = F.struct(
+        F.col("name").alias("display_name"),
+        F.when(seq, F.col("gformat")).alias("format"),
+        F.when(seq, F.date_format("due", ts)).alias("due"),
+        F.when(cat == "course", F.lit("2024-01-01T00:00:00")).alias("start"),
+        F.when(cat == "course", F.lit("2024-03-01T00:00:00")).alias("end"),
+        F.when(seq, F.col("gformat").isNotNull()).alias("graded"),
+        F.when(F.col("visible_to_staff_only"), F.lit(True)).alias("visible_to_staff_only"),
+        F.col("data.weight").alias("weight"), F.lit(None).cast("string").alias("showanswer"),
+        F.col("data.ytid").alias("ytid"))
     return (course_axis.join(kids, ["course_id", "url_name"], "left")
-            .select("course_id", F.col("module_id").alias("block_id"), "url_name", "category", "name",
-                    F.coalesce("children", F.array().cast("array<string>")).alias("children"),
-                    F.struct("gformat", "due", "visible_to_staff_only").alias("meta")))
+            .select("course_id", F.col("module_id").alias("block_id"), "url_name", "category",
+                    F.coalesce("children", F.array().cast("array<string>")).alias("children"), meta.alias("meta")))
 
 
 def q_course_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = course_blocks(Tables(spark, sf_dir).course_axis)
-    return course_axis_from_blocks(blocks).select("course_id", "index", "module_id", "url_name", "category", "path",
-                                                  "parent", "chapter_mid")
+    return course_axis_from_blocks(blocks).select(
+        "course_id", "index", "module_id", "url_name", "category", "name", "gformat", "due", "start", "graded",
+        "visible_to_staff_only", "path", "parent", "chapter_mid", F.col("data.num_items").alias("num_items"),
+        F.col("data.has_solution").alias("has_solution"), F.col("data.weight").alias("weight"))
 
 
 def q_problem_types(spark: SparkSession, sf_dir: str) -> DataFrame:
