@@ -438,16 +438,26 @@ def stored(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     parquet (the log partitioned by course and day, so a date window prunes
     partitions and scans run file-parallel) instead of recomputing them.
     """
+    import uuid
+
     from mooclens.session import checkpoint_dir, path_exists
     path = f"{checkpoint_dir(spark)}/mooclens-bridge/{_fingerprint(spark, sf_dir)}/{name}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
         df = TABLES[name](spark, sf_dir)
         parts = LAYOUT.get(name)
-        # static overwrite: the whole table is (re)written and _SUCCESS marks it complete
+        # written under a private name, then renamed into place: a concurrent
+        # first use never reads a half-written table
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
         w = (df.repartition(*parts) if parts else df).write.mode("overwrite").option("partitionOverwriteMode", "static")
         if parts:
             w = w.partitionBy(*parts)
-        w.parquet(path)
+        w.parquet(tmp)
+        jvm = spark.sparkContext._jvm
+        fs_path = jvm.org.apache.hadoop.fs.Path(path)
+        fs = fs_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        src = jvm.org.apache.hadoop.fs.Path(tmp)
+        if fs.exists(fs_path) or not fs.rename(src, fs_path):
+            fs.delete(src, True)   # another run got there first; its copy is identical
     return spark.read.parquet(path)
 
 
