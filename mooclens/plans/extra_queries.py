@@ -114,7 +114,28 @@ def person_course_minimal(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  r("person_enrollment_verified"), r("course_modal_agent"))
 
 
+def show_answer_stats_by_user_pc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R7 with the learner table given: explored / certified / verified filled in."""
+    from mooclens.operators import grades
+    t = _t(spark, sf_dir)
+    memo: dict = {}
+
+    def r(n):
+        return reports.resolve(n, t, memo=memo)
+
+    return grades.show_answer_stats_by_user(r("problem_grades"), r("show_answer"), r("user_info_combo"),
+                                            person_course=r("person_course"))
+
+
+def show_answer_stats_by_course_pc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R8 over the filled R7: the explored / certified / verified means and medians are live."""
+    from mooclens.operators import grades
+    return grades.show_answer_stats_by_course(show_answer_stats_by_user_pc(spark, sf_dir))
+
+
 QUERIES = {
+    "show_answer_stats_by_user_pc": show_answer_stats_by_user_pc,
+    "show_answer_stats_by_course_pc": show_answer_stats_by_course_pc,
     "ingest_tracking_log": ingest_tracking_log,
     "ingest_dead_letters": ingest_dead_letters,
     "load_json_table": load_json_table,

@@ -84,6 +84,29 @@ having count(*) >= 3
     "person_course_minimal": _with(PERSON_COURSE_DEPS, person_course_sql(False)),
 }
 
+_PC_FILL = """
+with pcv as (select distinct course_id, user_id, explored, certified, mode = 'verified' as verified from person_course),
+by_user as (
+  select s.course_id, s.user_id, pcv.explored, pcv.certified, pcv.verified, """ + ", ".join(
+    f"s.pct_show_answer_{g}" for g in ("problem_seen", "not_attempted", "attempted", "perfect", "partial")) + ", " + \
+    ", ".join(f"s.n_show_answer_{g}, s.{d}" for g, d in (
+        ("problem_seen", "n_problems_seen"), ("not_attempted", "n_not_attempted"), ("attempted", "n_attempted"),
+        ("perfect", "n_perfect"), ("partial", "n_partial"))) + """
+  from show_answer_stats_by_user s left join pcv on pcv.course_id = s.course_id and pcv.user_id = s.user_id)
+"""
+EXTRA["show_answer_stats_by_user_pc"] = _with(["show_answer_stats_by_user", "person_course"],
+                                               _PC_FILL + "select * from by_user")
+_G = ("problem_seen", "not_attempted", "attempted", "perfect", "partial")
+EXTRA["show_answer_stats_by_course_pc"] = _with(["show_answer_stats_by_user", "person_course"], _PC_FILL + \
+    "select course_id,\n  " + ",\n  ".join(
+        [f"avg(pct_show_answer_{g}) as avg_pct_show_answer_{g}" for g in _G]
+        + [f"avg(case when {s} then pct_show_answer_{g} end) as avg_pct_show_answer_{g}_{s}"
+           for s in ("certified", "explored", "verified") for g in _G]
+        + [f"cast(quantile_disc(pct_show_answer_{g}, 0.5) as double) as median_pct_show_answer_{g}" for g in _G]
+        + [f"cast(quantile_disc(pct_show_answer_{g}, 0.5) filter (where {s}) as double) as median_pct_show_answer_{g}_{s}"
+           for s in ("explored", "certified", "verified") for g in _G])
+    + "\nfrom by_user group by course_id")
+
 try:
     from oracles.ingest_sql import INGEST
     EXTRA.update(INGEST)
