@@ -173,15 +173,23 @@ def video_stats_day(log: DataFrame, start=None, end=None) -> DataFrame:
 
 
 # Forum URL classes, first match wins (fixed values): pattern -> action.
-_T = "/courses/(.*)/discussion/threads/[^/]+/"
-_C = "/courses/(.*)/discussion/comments/[^/]+/"
 FORUM_URL_ACTIONS = [
-    (_T + "reply", "reply"), (_T + "upvote", "upvote"), (_T + "unvote", "unvote"), (_T + "update", "update"),
-    (_T + "delete", "delete"), (_T + "close", "close"), (_T + "follow", "follow_thread"),
-    (_T + "unfollow", "unfollow_thread"), (_T + "pin", "pin"), (_T + "unpin", "unpin"),
-    (_T + "downvote", "downvote"),
-    (_C + "reply", "comment_reply"), (_C + "upvote", "comment_upvote"), (_C + "update", "comment_update"),
-    (_C + "unvote", "comment_unvote"), (_C + "delete", "comment_delete"),
+    ("/courses/(.*)/discussion/threads/[^/]+/reply", "reply"),
+    ("/courses/(.*)/discussion/threads/[^/]+/upvote", "upvote"),
+    ("/courses/(.*)/discussion/threads/[^/]+/unvote", "unvote"),
+    ("/courses/(.*)/discussion/threads/[^/]+/update", "update"),
+    ("/courses/(.*)/discussion/threads/[^/]+/delete", "delete"),
+    ("/courses/(.*)/discussion/threads/[^/]+/close", "close"),
+    ("/courses/(.*)/discussion/threads/[^/]+/follow", "follow_thread"),
+    ("/courses/(.*)/discussion/threads/[^/]+/unfollow", "unfollow_thread"),
+    ("/courses/(.*)/discussion/threads/[^/]+/pin", "pin"),
+    ("/courses/(.*)/discussion/threads/[^/]+/unpin", "unpin"),
+    ("/courses/(.*)/discussion/threads/[^/]+/downvote", "downvote"),
+    ("/courses/(.*)/discussion/comments/[^/]+/reply", "comment_reply"),
+    ("/courses/(.*)/discussion/comments/[^/]+/upvote", "comment_upvote"),
+    ("/courses/(.*)/discussion/comments/[^/]+/update", "comment_update"),
+    ("/courses/(.*)/discussion/comments/[^/]+/unvote", "comment_unvote"),
+    ("/courses/(.*)/discussion/comments/[^/]+/delete", "comment_delete"),
     ("/courses/(.*)/discussion/forum/users/[^/]+/followed", "follow_user"),
     ("/courses/(.*)/discussion/forum/users/[^/]+$", "target_user"),
     ("/courses/(.*)/discussion/forum/[^/]+/threads/[^/]+", "read"),
