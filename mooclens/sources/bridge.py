@@ -423,6 +423,8 @@ def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     import hashlib
     import os
     h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    with open(__file__, "rb") as fh:   # a change to the bridge code invalidates stored tables
+        h.update(fh.read())
     for name in ("events", "customer", "part", "supplier", "nation", "region", "lineitem", "orders", "conversations"):
         p = f"{sf_dir}/{name}.parquet"
         if os.path.exists(p):

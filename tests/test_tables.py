@@ -60,3 +60,15 @@ def test_build_reports_in_order(spark, tables, tmp_path):
     assert n == tables.tracking_log.where(F.col("username") != "").select("course_id", "username").distinct() \
         .join(tables.tracking_log.where(F.col("ip").isNotNull()).select("course_id", "username").distinct(),
               ["course_id", "username"]).count()
+
+
+def test_append_with_added_column(spark, tmp_path):
+    from pyspark.sql.types import _parse_datatype_string
+    a, b = tmp_path / "a.json", tmp_path / "b.json"
+    a.write_text('{"k": 1, "x": "one"}\n')
+    b.write_text('{"k": 2, "x": "two", "y": 2.5}\n')
+    target = str(tmp_path / "t")
+    load_table(spark, str(a), _parse_datatype_string("k bigint, x string"), target)
+    load_table(spark, str(b), _parse_datatype_string("k bigint, x string, y double"), target, append=True)
+    rows = {r.k: (r.x, r.y) for r in read_table(spark, target).collect()}
+    assert rows == {1: ("one", None), 2: ("two", 2.5)}
