@@ -145,8 +145,9 @@ def normalize_log(records: DataFrame, seq_col: str = "seq", keep: list[str] | No
 
 
 def file_date(path_col: Column) -> Column:
-    """Day encoded in a log file name (``...-YYYY-MM-DD...``), NULL when absent."""
-    d = F.regexp_extract(path_col, r"(\d{4}-\d{2}-\d{2})", 1)
+    """Day encoded in a log file's base name (``...-YYYY-MM-DD...``), NULL when absent."""
+    base = F.element_at(F.split(path_col, "/"), -1)
+    d = F.regexp_extract(base, r"(\d{4}-\d{2}-\d{2})", 1)
     return F.when(d != "", F.try_to_date(d))
 
 

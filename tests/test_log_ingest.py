@@ -28,3 +28,15 @@ def test_unknown_event_keeps_get_post_only(spark):
     rows, _ = ingest_lines(spark.createDataFrame([(1, line)], "seq long, value string"))
     r = rows.first()
     assert r.event_struct.GET == '{"a":["1"]}' and r.event_struct.POST == "null" and r.event_struct.mode is None
+
+
+def test_file_dates(spark):
+    from pyspark.sql import functions as F
+
+    from mooclens.sources.logs import file_date
+    names = ["prod-edx-2020-01-02.log.gz", "tracking.log-2024-12-31.gz", "x/2019-07-04/a.gz",
+             "nodate.gz", "bad-2020-13-45.gz", "short-2020-1-2.gz", ""]
+    df = spark.createDataFrame([(n,) for n in names], "f string")
+    got = [r.d for r in df.select(file_date(F.col("f")).alias("d")).collect()]
+    # only the base name counts (a dated folder does not date its files)
+    assert [str(d) if d else None for d in got] == ["2020-01-02", "2024-12-31", None, None, None, None, None]
