@@ -75,3 +75,31 @@ def run_query(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame], pa
     for k, v in (params or {}).items():
         args[k] = F.array(*[F.lit(x) for x in v]) if isinstance(v, list) else v
     return spark.sql(sql, args=args or None)
+
+
+def read_query_file(path: str) -> tuple[str, str]:
+    """M5: a user's ``.sql`` file -> ``(sql, description)``; the description is
+    the block of ``--`` comment lines at the top of the file."""
+    with open(path, encoding="utf8") as fh:
+        text = fh.read()
+    desc = []
+    for line in text.splitlines():
+        s = line.strip()
+        if s.startswith("--"):
+            desc.append(s[2:].strip())
+        elif s:
+            break
+    return text, "\n".join(desc)
+
+
+def run_query_file(spark: SparkSession, path: str, tables: Mapping[str, DataFrame], params: list[str] | None = None,
+                   param_file: str | None = None) -> tuple[DataFrame, str]:
+    """M5: run a ``.sql`` file with ``key:type=value`` parameters and/or a JSON
+    parameter file (its values used as they are; command-line ones win)."""
+    sql, desc = read_query_file(path)
+    values: dict = {}
+    if param_file:
+        with open(param_file, encoding="utf8") as fh:
+            values.update(json.load(fh))
+    values.update(parse_params(params or []))
+    return run_query(spark, sql, tables, values), desc

@@ -72,3 +72,17 @@ def test_append_with_added_column(spark, tmp_path):
     load_table(spark, str(b), _parse_datatype_string("k bigint, x string, y double"), target, append=True)
     rows = {r.k: (r.x, r.y) for r in read_table(spark, target).collect()}
     assert rows == {1: ("one", None), 2: ("two", 2.5)}
+
+
+def test_query_file_with_params(spark, tmp_path):
+    import json
+
+    from mooclens.plans.build import run_query_file
+    q = tmp_path / "q.sql"
+    q.write_text("-- Learners above a threshold\n-- (per course)\nselect k from x where v >= :n and array_contains(:t, k)\n")
+    pf = tmp_path / "p.json"
+    pf.write_text(json.dumps({"n": 100, "t": ["b", "c"]}))
+    df = spark.createDataFrame([("a", 1), ("b", 5), ("c", 9)], "k string, v int")
+    out, desc = run_query_file(spark, str(q), {"x": df}, ["n:int=5"], str(pf))
+    assert desc == "Learners above a threshold\n(per course)"
+    assert sorted(r.k for r in out.collect()) == ["b", "c"]
