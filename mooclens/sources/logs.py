@@ -58,6 +58,9 @@ MOBILE_CONTEXT_FIELDS = ["application", "client", "received_at", "component", "o
 
 DEAD_NOT_JSON = "Not valid JSON"
 DEAD_NOT_RECORD = "The line is not a record"
+DEAD_NO_SOURCE = "Record does not have the key 'event_source'"
+DEAD_BAD_TIME = "Record time could not be parsed"
+PROBLEM_EVENTS = ["problem_check", "problem_save", "problem_reset"]
 
 
 def parse_log_lines(lines: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -163,13 +166,24 @@ def ingest_lines(lines: DataFrame, courses: list[str] | None = None, dynamic_dat
     if "seq" not in lines.columns:
         lines = lines.withColumn("seq", F.monotonically_increasing_id())
     good, dead = parse_log_lines(lines)
-    if file_col and not dynamic_date:
-        norm = normalize_log(good, keep=[file_col])
-        norm = norm.withColumn("log_date", file_date(F.col(file_col))).drop(file_col)
-    else:
-        norm = normalize_log(good).withColumn("log_date", F.to_date("time"))
+    # a problem event must name its source (the source platform fails on it)
+    no_source = F.col("raw.event_type").isin(*PROBLEM_EVENTS) & F.col("raw.event_source").isNull()
+    dead = dead.unionByName(good.where(no_source).select(F.col("value").alias("data"),
+                                                         F.lit(DEAD_NO_SOURCE).alias("reason")))
+    good = good.where(~no_source | no_source.isNull())
+    keep = ["value"] + ([file_col] if file_col else [])
+    norm = normalize_log(good, keep=keep)
+    # records that name no user are skipped (not dead letters)
     has_user = (F.coalesce(F.col("username"), F.lit("")) != "") | F.col("context.user_id").isNotNull()
     norm = norm.where(has_user)
+    if file_col and not dynamic_date:
+        norm = norm.withColumn("log_date", file_date(F.col(file_col)))
+    else:
+        # the day comes from the record: one without a readable time is a dead letter
+        dead = dead.unionByName(norm.where(F.col("time").isNull())
+                                .select(F.col("value").alias("data"), F.lit(DEAD_BAD_TIME).alias("reason")))
+        norm = norm.where(F.col("time").isNotNull()).withColumn("log_date", F.to_date("time"))
+    norm = norm.drop(*keep)
     if courses:
         norm = norm.where(F.col("course_id").isin(list(courses)))
     return norm, dead
