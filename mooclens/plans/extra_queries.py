@@ -133,7 +133,21 @@ def show_answer_stats_by_course_pc(spark: SparkSession, sf_dir: str) -> DataFram
     return grades.show_answer_stats_by_course(show_answer_stats_by_user_pc(spark, sf_dir))
 
 
+def time_on_task_2_10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R31 with non-default cutoffs (2 and 10 minutes): columns are named after them."""
+    from mooclens.operators import timing
+    return timing.time_on_task(_t(spark, sf_dir).tracking_log, timeout_short=2, timeout_long=10)
+
+
+def forum_posts_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R23 with ``dedupe=True``: responses appear once, with their responder."""
+    from mooclens.operators import forum
+    return forum.forum_posts(_t(spark, sf_dir).forum, dedupe=True)
+
+
 QUERIES = {
+    "time_on_task_2_10": time_on_task_2_10,
+    "forum_posts_dedupe": forum_posts_dedupe,
     "show_answer_stats_by_user_pc": show_answer_stats_by_user_pc,
     "show_answer_stats_by_course_pc": show_answer_stats_by_course_pc,
     "ingest_tracking_log": ingest_tracking_log,

@@ -1,7 +1,7 @@
 """DuckDB oracles for the ingest and table-upkeep queries (``mooclens.plans.extra_queries``)."""
 
 from oracles import oracle, with_deps
-from oracles.reports_sql import PERSON_COURSE_DEPS, person_course_sql
+from oracles.reports_sql import PERSON_COURSE_DEPS, REPORTS, person_course_sql, time_on_task_sql
 
 _KNOWN = ("'play_video', 'seq_goto', 'seq_next', 'seq_prev', 'seek_video', 'load_video', 'save_problem_success', "
           "'save_problem_fail', 'reset_problem_success', 'reset_problem_fail', 'show_answer', "
@@ -84,6 +84,12 @@ having count(*) >= 3
     "person_course_minimal": _with(PERSON_COURSE_DEPS, person_course_sql(False)),
 }
 
+EXTRA["time_on_task_2_10"] = _with(["tracking_log"], time_on_task_sql(2, 10))
+# forum_posts without the second response branch (the one with no responder)
+_FP = REPORTS["forum_posts"][0]
+_FP_PARTS = _FP.split("union all")
+EXTRA["forum_posts_dedupe"] = _with(["forum"], "union all".join(_FP_PARTS[:1] + _FP_PARTS[2:]))
+
 _PC_FILL = """
 with pcv as (select distinct course_id, user_id, explored, certified, mode = 'verified' as verified from person_course),
 by_user as (
