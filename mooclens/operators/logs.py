@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mooclens.functions.columns import flag, json_str, rx_extract, to_double
+from mooclens.functions.columns import json_str, rx_extract, to_double
 from mooclens.functions.windows import top1
 
 
