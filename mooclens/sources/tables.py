@@ -131,3 +131,36 @@ def merge_into(target: DataFrame, source: DataFrame, keys: list[str], match_equa
         return F.when(take_source, sc).otherwise(tc).alias(c)
 
     return j.select(*[pick(c) for c in cols])
+
+
+# declared field types -> Spark types (fixed values of the schema spec format)
+SPEC_TYPES = {"STRING": T.StringType(), "INTEGER": T.LongType(), "INT64": T.LongType(), "FLOAT": T.DoubleType(),
+              "FLOAT64": T.DoubleType(), "BOOLEAN": T.BooleanType(), "BOOL": T.BooleanType(),
+              "TIMESTAMP": T.TimestampType(), "DATE": T.DateType()}
+
+
+def schema_from_spec(fields: list[dict]) -> T.StructType:
+    """A declared table schema (list of ``{name, field_type, mode, fields}``)
+    -> ``StructType``.  ``RECORD``/``STRUCT`` nest, ``mode: REPEATED`` makes an
+    array; every field is nullable."""
+    out = []
+    for f in fields:
+        kind = (f.get("field_type") or f.get("type") or "STRING").upper()
+        if kind in ("RECORD", "STRUCT"):
+            dt: T.DataType = schema_from_spec(f.get("fields") or [])
+        else:
+            dt = SPEC_TYPES[kind]
+        if (f.get("mode") or "").upper() == "REPEATED":
+            dt = T.ArrayType(dt)
+        out.append(T.StructField(f["name"], dt, True))
+    return T.StructType(out)
+
+
+def load_schema_file(path: str, table: str | None = None) -> T.StructType:
+    """Read a JSON schema file: either ``{table: [fields]}`` or a bare list of fields."""
+    import json
+    with open(path, encoding="utf8") as fh:
+        spec = json.load(fh)
+    if isinstance(spec, dict):
+        spec = spec[table] if table else next(iter(spec.values()))
+    return schema_from_spec(spec)

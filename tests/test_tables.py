@@ -86,3 +86,26 @@ def test_query_file_with_params(spark, tmp_path):
     out, desc = run_query_file(spark, str(q), {"x": df}, ["n:int=5"], str(pf))
     assert desc == "Learners above a threshold\n(per course)"
     assert sorted(r.k for r in out.collect()) == ["b", "c"]
+
+
+def test_schema_spec_drives_a_load(spark, tmp_path):
+    import json
+
+    from mooclens.sources.tables import load_schema_file
+    spec = {"problem_analysis": [
+        {"name": "course_id", "field_type": "STRING"}, {"name": "user_id", "field_type": "INTEGER"},
+        {"name": "item", "field_type": "RECORD", "mode": "REPEATED",
+         "fields": [{"name": "answer_id", "field_type": "STRING"}, {"name": "correct_bool", "field_type": "BOOLEAN"}]},
+        {"name": "created", "field_type": "TIMESTAMP"}]}
+    sp = tmp_path / "schema.json"
+    sp.write_text(json.dumps(spec))
+    st = load_schema_file(str(sp), "problem_analysis")
+    assert st.simpleString() == ("struct<course_id:string,user_id:bigint,item:array<struct<answer_id:string,"
+                                 "correct_bool:boolean>>,created:timestamp>")
+    src = tmp_path / "pa.json"
+    src.write_text('{"course_id": "A/B/C", "user_id": 7, "item": [{"answer_id": "x_2_1", "correct_bool": true, '
+                   '"extra": 1}], "created": "2024-01-02T03:04:05Z", "unknown": "dropped"}\n')
+    load_table(spark, str(src), st, str(tmp_path / "t"))
+    r = read_table(spark, str(tmp_path / "t")).first()
+    assert r.user_id == 7 and r.item[0].answer_id == "x_2_1" and r.item[0].correct_bool is True
+    assert "unknown" not in r.asDict()
