@@ -385,7 +385,8 @@ def _truthy(c: Column, dtype: T.DataType) -> Column:
     return c.isNotNull()
 
 
-def course_axis_from_blocks(blocks: DataFrame, max_depth: int = 32, checkpoint_every: int = 8) -> DataFrame:
+def course_axis_from_blocks(blocks: DataFrame, max_depth: int = 32, checkpoint_every: int = 8,
+                            itypes: DataFrame | None = None, durations: DataFrame | None = None) -> DataFrame:
     """I8: walk each course's block tree in pre-order.
 
     ``blocks``: ``course_id, block_id, url_name, category, children`` (ordered
@@ -398,7 +399,9 @@ def course_axis_from_blocks(blocks: DataFrame, max_depth: int = 32, checkpoint_e
     root; ``chapter_mid`` is the last chapter met in pre-order; inherited
     fields take the nearest truthy value up the tree; a block with a grading
     format and no due / start date gets the course's end / start.  Lineage
-    is cut every ``checkpoint_every`` levels.
+    is cut every ``checkpoint_every`` levels.  ``itypes`` / ``durations``
+    (I9 outputs, keyed by ``course_id, url_name``) fill ``data.itype`` and
+    ``data.duration``.
     """
     mtype = blocks.schema["meta"].dataType
     inh_fields = [(out, key, mtype[key].dataType) for out, key in INHERITED_META.items()
@@ -439,7 +442,12 @@ def course_axis_from_blocks(blocks: DataFrame, max_depth: int = 32, checkpoint_e
     root = b.where(F.col("category") == "course").select(
         C, F.col("meta.start").alias("_root_start"), F.col("meta.end").alias("_root_end"))
     w = Window.partitionBy(C).orderBy("ord")
-    x = done.join(b, [C, "block_id"]).join(root, C, "left")
+    # root dates: one row per course -> broadcast
+    x = done.join(b, [C, "block_id"]).join(F.broadcast(root), C, "left")
+    x = x.join(itypes.select(C, "url_name", "itype"), [C, "url_name"], "left") if itypes is not None \
+        else x.withColumn("itype", F.lit(None).cast("string"))
+    x = x.join(durations.select(C, "url_name", "duration"), [C, "url_name"], "left") if durations is not None \
+        else x.withColumn("duration", F.lit(None).cast("double"))
     cat = F.col("category")
     has_format = F.coalesce(F.col("inh.gformat") != "", F.lit(False))
     is_split = cat.contains("split_test") | F.coalesce(F.col("parent_cat"), F.lit("")).contains("split_test")
@@ -459,9 +467,10 @@ def course_axis_from_blocks(blocks: DataFrame, max_depth: int = 32, checkpoint_e
         is_split.alias("is_split"),
         F.when(is_split, F.when(cat.contains("split_test"), F.col("url_name")).otherwise(F.col("parent")))
         .alias("split_url_name"),
-        F.struct(meta["ytid"].alias("ytid"), meta["weight"].alias("weight"),
+        F.struct(meta["ytid"].alias("ytid"), meta["weight"].alias("weight"), F.col("itype").alias("itype"),
                  F.when(cat.contains("problem"), F.size("children") + 1).alias("num_items"),
-                 F.coalesce(meta["showanswer"] != "never", F.lit(False)).alias("has_solution")).alias("data"))
+                 F.coalesce(meta["showanswer"] != "never", F.lit(False)).alias("has_solution"),
+                 F.col("duration").alias("duration")).alias("data"))
 
 
 # known response tags of a problem (fixed values, as spelled by the platform export)
@@ -692,10 +701,13 @@ def course_blocks(course_axis: DataFrame) -> DataFrame:
 
 def q_course_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = course_blocks(Tables(spark, sf_dir).course_axis)
-    return course_axis_from_blocks(blocks).select(
+    walked = course_axis_from_blocks(blocks, itypes=q_problem_types(spark, sf_dir),
+                                     durations=q_video_durations(spark, sf_dir))
+    return walked.select(
         "course_id", "index", "module_id", "url_name", "category", "name", "gformat", "due", "start", "graded",
         "visible_to_staff_only", "path", "parent", "chapter_mid", F.col("data.num_items").alias("num_items"),
-        F.col("data.has_solution").alias("has_solution"), F.col("data.weight").alias("weight"))
+        F.col("data.has_solution").alias("has_solution"), F.col("data.weight").alias("weight"),
+        F.col("data.itype").alias("itype"), F.col("data.duration").alias("duration"))
 
 
 def q_problem_types(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,7 +89,7 @@ select course_id, idx as "index", module_id, url_name, category, name, gformat,
   case when gformat is not null then coalesce(due, timestamp '2024-03-01 00:00:00') end as due,
   timestamp '2024-01-01 00:00:00' as start, graded,
   case when visible_to_staff_only then true end as visible_to_staff_only, path, parent, chapter_mid,
-  case when category = 'problem' then 1 end as num_items, false as has_solution, weight
+  case when category = 'problem' then 1 end as num_items, false as has_solution, weight, itype, duration
 from course_axis
 """),
     "bundle_problem_types": _w(["course_axis"], """
