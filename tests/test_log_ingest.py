@@ -94,3 +94,10 @@ def test_dead_letters_for_missing_source_and_bad_time(spark):
     rows, dead = ingest_lines(df, dynamic_date=True)
     assert sorted(r.reason for r in dead.collect()) == sorted([DEAD_NO_SOURCE, DEAD_BAD_TIME])
     assert [r.username for r in rows.collect()] == ["c"]
+
+
+def test_course_filter(spark, tables):
+    raw = tables.raw_log_lines
+    rows, _ = ingest_lines(raw, courses=["DemoX/C1/T1"])
+    got = {r.course_id for r in rows.select("course_id").distinct().collect()}
+    assert got == {"DemoX/C1/T1"}

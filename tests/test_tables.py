@@ -109,3 +109,19 @@ def test_schema_spec_drives_a_load(spark, tmp_path):
     r = read_table(spark, str(tmp_path / "t")).first()
     assert r.user_id == 7 and r.item[0].answer_id == "x_2_1" and r.item[0].correct_bool is True
     assert "unknown" not in r.asDict()
+
+
+def test_conform_coercions(spark):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from mooclens.sources.ingest import conform
+    df = spark.createDataFrame(
+        [("false", "nan", "12", (1, "x")), ("", "inf", "twelve", None), (None, "2.5", "7", (2, "y"))],
+        "flag string, score string, n string, blob struct<a:int,b:string>")
+    out = conform(df, _parse_datatype_string("flag boolean, score double, n bigint, blob string, missing date"))
+    rows = out.collect()
+    assert [r.flag for r in rows] == [True, False, None]          # truthiness: "false" is true
+    assert [r.score for r in rows] == [None, None, 2.5]            # NaN / Inf -> NULL
+    assert [r.n for r in rows] == [12, None, 7]                    # unparsable -> NULL
+    assert rows[0].blob == '{"a":1,"b":"x"}' and rows[1].blob is None
+    assert all(r.missing is None for r in rows)
