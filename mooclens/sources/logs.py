@@ -45,7 +45,8 @@ EVENT_SCHEMA = _st(
     ("event_type", S), ("course_id", S),
 )
 
-# Event types whose payload is kept as a typed struct (fixed values).
+# Event types whose payload is kept as a typed struct, and markers that
+# exclude an event type from it (fixed values).
 KNOWN_EVENT_TYPES = [
     "play_video", "seq_goto", "seq_next", "seq_prev", "seek_video", "load_video", "save_problem_success",
     "save_problem_fail", "reset_problem_success", "reset_problem_fail", "show_answer",
