@@ -55,7 +55,8 @@ CATALOG: dict[str, Report] = {
     "show_answer_stats_by_user": Report(grades.show_answer_stats_by_user,
                                         ["problem_grades", "show_answer", "user_info_combo"]),
     "show_answer_stats_by_course": Report(grades.show_answer_stats_by_course, ["show_answer_stats_by_user"]),
-    "course_item": Report(items.course_item, ["problem_analysis", "course_axis", "grading_policy"]),
+    "course_item": Report(items.course_item, ["problem_analysis", "course_axis", "grading_policy"],
+                          params=["min_responses"]),
     "person_item": Report(items.person_item, ["problem_analysis", "course_item"]),
     "person_problem": Report(items.person_problem, ["person_item", "course_item"]),
     "course_problem": Report(items.course_problem, ["person_item", "course_item"]),
