@@ -479,22 +479,47 @@ PROBLEM_TYPES = ["choiceresponse", "coderespons", "customresponse", "fieldset",
                  "schematicresponse"]
 
 
+@F.pandas_udf(T.BooleanType())
+def xml_well_formed(docs):
+    """Arrow-batched per-row check that a document parses as XML (a small
+    helper: Spark's XPath functions raise on malformed input)."""
+    from xml.etree import ElementTree
+
+    def ok(d):
+        if d is None:
+            return None
+        try:
+            ElementTree.fromstring(d)
+            return True
+        except ElementTree.ParseError:
+            return False
+
+    return docs.map(ok)
+
+
+def _guarded(xml_rows: DataFrame) -> DataFrame:
+    # the check becomes its own column first, so XPath only runs on parseable rows
+    return xml_rows.withColumn("_xml_ok", xml_well_formed(F.col("xml")))
+
+
 def bundle_problem_types(xml_rows: DataFrame) -> DataFrame:
     """First known response tag among the direct children of each problem's XML root.
 
     One XPath per row (``name(/*/*[self::a or self::b ...][1])``), evaluated in
-    the JVM.  Spark's XPath functions raise on malformed XML, so callers pass
-    only parseable documents.
+    the JVM; a document that does not parse gets a NULL type instead of
+    failing the job.
     """
     test = " or ".join(f"self::{t}" for t in PROBLEM_TYPES)
     itype = F.nullif(F.expr(f"xpath_string(xml, 'name(/*/*[{test}][1])')"), F.lit(""))
-    return xml_rows.select(C, "url_name", itype.alias("itype"))
+    return _guarded(xml_rows).select(C, "url_name", F.when(F.col("_xml_ok"), itype).alias("itype"))
 
 
 def bundle_video_durations(xml_rows: DataFrame) -> DataFrame:
-    """``duration`` attribute of the first ``video_asset`` child (NULL when missing or not a number)."""
+    """``duration`` attribute of the first ``video_asset`` child (NULL when
+    missing, not a number, or the document does not parse -- such videos are
+    skipped, as in the source)."""
     dur = F.expr("xpath_string(xml, '/*/video_asset[1]/@duration')").try_cast("double")
-    return xml_rows.select(C, "url_name", dur.alias("duration"))
+    return _guarded(xml_rows).select(C, "url_name", F.when(F.col("_xml_ok"), dur).alias("duration"))
 
 
 # ===================================================== registered round trips

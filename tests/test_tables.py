@@ -125,3 +125,19 @@ def test_conform_coercions(spark):
     assert [r.n for r in rows] == [12, None, 7]                    # unparsable -> NULL
     assert rows[0].blob == '{"a":1,"b":"x"}' and rows[1].blob is None
     assert all(r.missing is None for r in rows)
+
+
+def test_xml_helpers_skip_malformed_documents(spark):
+    from mooclens.sources.ingest import bundle_problem_types, bundle_video_durations
+    rows = [("A/B/C", "p1", "<problem><p>q</p><numericalresponse/></problem>"),
+            ("A/B/C", "p2", "<problem><p>q</p><stringresponse>"),           # malformed
+            ("A/B/C", "p3", "<problem><div><optionresponse/></div></problem>")]  # nested only: no type
+    df = spark.createDataFrame(rows, "course_id string, url_name string, xml string")
+    got = {r.url_name: r.itype for r in bundle_problem_types(df).collect()}
+    assert got == {"p1": "numericalresponse", "p2": None, "p3": None}
+    vids = spark.createDataFrame([("A/B/C", "v1", '<video><video_asset duration="12.5"/></video>'),
+                                  ("A/B/C", "v2", '<video><video_asset duration="x"/></video'),
+                                  ("A/B/C", "v3", '<video><video_asset duration="abc"/></video>')],
+                                 "course_id string, url_name string, xml string")
+    assert {r.url_name: r.duration for r in bundle_video_durations(vids).collect()} == \
+        {"v1": 12.5, "v2": None, "v3": None}
