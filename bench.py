@@ -2,7 +2,7 @@
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
      BENCH_STANDALONE (comma list of reports timed from base tables),
-     BENCH_EVENT_LOG (dir; optional Spark event log for stage timings)
+     BENCH_EVENT_LOG (folder for Spark's event log; default a fresh scratch folder)
 
 Workload = the reference's "report" step: all 36 reports built in dependency
 order for all courses at once, each written (partitioned by course) and read
@@ -35,9 +35,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     standalone = [q for q in os.environ.get("BENCH_STANDALONE", ",".join(STANDALONE)).split(",") if q]
-    extra = {}
-    if os.environ.get("BENCH_EVENT_LOG"):
-        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    # Spark's event log, written to a fresh scratch folder, gives shuffle bytes per report
+    import tempfile
+    event_dir = os.environ.get("BENCH_EVENT_LOG") or tempfile.mkdtemp(prefix="mooclens-evlog-")
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir,
+             "spark.eventLog.compress": "false"}
     spark = get_spark(f"local[{cpus}]", app="mooclens-bench", shuffle_partitions=cpus * 2, **extra)
 
     t0 = time.perf_counter()
@@ -62,8 +64,45 @@ def main() -> None:
            "standalone": {n: run(n) for n in standalone},
            "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""), "cpus": cpus,
            "bridge_sec": round(bridge_sec, 3)}
-    print(json.dumps(out))
+    app_id = spark.sparkContext.applicationId
     spark.stop()
+    shuffle = shuffle_bytes_by_report(event_dir, app_id)
+    out["shuffle_bytes"] = {k: shuffle.get(k, 0) for k in out["queries"]}
+    out["shuffle_bytes_total"] = sum(out["shuffle_bytes"].values())
+    print(json.dumps(out))
+
+
+def _event_files(event_dir: str, app_id: str) -> list[str]:
+    entry = next((os.path.join(event_dir, f) for f in os.listdir(event_dir) if app_id in f), None)
+    if entry is None:
+        return []
+    if not os.path.isdir(entry):
+        return [entry]
+    # rolling event log: events_<n>_<app id> files, read in order
+    files = sorted((f for f in os.listdir(entry) if f.startswith("events_")), key=lambda f: int(f.split("_")[1]))
+    return [os.path.join(entry, f) for f in files]
+
+
+def shuffle_bytes_by_report(event_dir: str, app_id: str) -> dict[str, int]:
+    """Sum shuffle bytes written per ``report:<name>`` job description from the event log."""
+    stage_owner: dict[int, str] = {}
+    totals: dict[str, int] = {}
+    for path in _event_files(event_dir, app_id):
+        with open(path, encoding="utf8") as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    desc = (ev.get("Properties") or {}).get("spark.job.description") or ""
+                    if desc.startswith("report:"):
+                        for sid in ev.get("Stage IDs", []):
+                            stage_owner[sid] = desc[len("report:"):]
+                elif kind == "SparkListenerTaskEnd":
+                    owner = stage_owner.get(ev.get("Stage ID"))
+                    metrics = (ev.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    if owner:
+                        totals[owner] = totals.get(owner, 0) + int(metrics.get("Shuffle Bytes Written", 0))
+    return totals
 
 
 if __name__ == "__main__":

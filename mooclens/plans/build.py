@@ -27,8 +27,10 @@ def build_reports(spark: SparkSession, tables, out_dir: str, names: list[str] |
     order = build_order(names or list(CATALOG))
     memo: dict[str, DataFrame] = {}
     status = []
+    sc = spark.sparkContext
     for name in order:
         t0 = time.perf_counter()
+        sc.setJobDescription(f"report:{name}")   # tags the report's jobs (event log, UI)
         try:
             df = resolve(name, tables, params, memo, share=False)
             path = f"{out_dir}/{name}"
@@ -42,6 +44,7 @@ def build_reports(spark: SparkSession, tables, out_dir: str, names: list[str] |
             status.append({"report": name, "status": "error", "error": str(e).splitlines()[0][:500],
                            "seconds": round(time.perf_counter() - t0, 3)})
             memo.pop(name, None)
+    sc.setJobDescription(None)
     return status
 
 
