@@ -49,26 +49,33 @@ def _sum_below(x, limit):
     return F.sum(F.when(x < limit, x))
 
 
-def time_on_task(log: DataFrame, timeout_short: int = 5, timeout_long: int = 30, start=None, end=None,
-                 bucket_unit: str | None = DEFAULT_BUCKET) -> DataFrame:
-    """Per (user, day) time on the platform and per activity class.
-
-    ``total_*`` use the gap to the previous event of the same class,
-    ``serial_*`` the gap to the previous event of any class.  Cutoffs are in
-    minutes and compared strictly on whole seconds.
+def learner_activity(log: DataFrame, start=None, end=None, bucket_unit: str | None = DEFAULT_BUCKET) -> DataFrame:
+    """Learner events with their previous-event times (shared by R13 and R31).
+
+    Rows: the log without ``/xblock/`` events and without an empty username;
+    columns: ``course_id, username, time, seq, event_type``, the four class
+    flags, ``is_xevent``, and the time of the previous event overall
+    (``last_time``), of the same class (``last_<class>``) and of any class
+    (``last_xevent``).  One skew-safe window pass; a build stores it once and
+    both reports read it.
     """
     et = F.col("event_type")
     flags = _class_flags(et)
     x = (log_window(log, start, end)
          .where(~et.contains("/xblock/") & F.col("username").isNotNull() & (F.col("username") != ""))
-         .select("course_id", "username", "time", "seq", *[flags[n].alias(f"is_{n}") for n, _ in CLASSES]))
+         .select("course_id", "username", "time", "seq", "event_type",
+                 *[flags[n].alias(f"is_{n}") for n, _ in CLASSES]))
     is_x = F.col("is_video") | F.col("is_problem") | F.col("is_forum") | F.col("is_text")
     x = x.withColumn("is_xevent", is_x)
     prev = {"last_time": F.col("time"),
             **{f"last_{n}": F.when(F.col(f"is_{n}"), F.col("time")) for n, _ in CLASSES},
             "last_xevent": F.when(F.col("is_xevent"), F.col("time"))}
-    x = previous_values(x, KEYS, ORDER, prev, time_bucket("time", bucket_unit), monotone=True)
-    x = x.where(F.col("last_time").isNotNull())
+    return previous_values(x, KEYS, ORDER, prev, time_bucket("time", bucket_unit), monotone=True)
+
+
+def time_on_task_from_activity(act: DataFrame, timeout_short: int = 5, timeout_long: int = 30) -> DataFrame:
+    """R31 over ``learner_activity`` rows (see ``time_on_task``)."""
+    x = act.where(F.col("last_time").isNotNull())
     dts = [_secs("time", "last_time").alias("dt")]
     for n, _ in CLASSES:
         dts.append(F.when(F.col(f"is_{n}"), _secs("time", f"last_{n}")).alias(f"dt_{n}"))
@@ -84,6 +91,17 @@ def time_on_task(log: DataFrame, timeout_short: int = 5, timeout_long: int = 30,
     return x.groupBy("course_id", "date", "username").agg(*aggs)
 
 
+def time_on_task(log: DataFrame, timeout_short: int = 5, timeout_long: int = 30, start=None, end=None,
+                 bucket_unit: str | None = DEFAULT_BUCKET) -> DataFrame:
+    """Per (user, day) time on the platform and per activity class.
+
+    ``total_*`` use the gap to the previous event of the same class,
+    ``serial_*`` the gap to the previous event of any class.  Cutoffs are in
+    minutes and compared strictly on whole seconds.
+    """
+    return time_on_task_from_activity(learner_activity(log, start, end, bucket_unit), timeout_short, timeout_long)
+
+
 def time_on_task_totals(tot: DataFrame) -> DataFrame:
     """Time on task summed over days."""
     vals = [c for c in tot.columns if c not in ("course_id", "date", "username")]

@@ -27,6 +27,7 @@ class Report:
     optional: list[str] = field(default_factory=list)
     params: list[str] = field(default_factory=list)   # parameter names the operator accepts
     multi_use: bool = False   # the operator reads its inputs in more than one branch
+    internal: bool = False    # a shared intermediate, built and stored but not a report of its own
 
 
 CATALOG: dict[str, Report] = {
@@ -42,8 +43,10 @@ CATALOG: dict[str, Report] = {
     "video_stats_day": Report(logs.video_stats_day, ["tracking_log"], params=["start", "end"]),
     "forum_events": Report(logs.forum_events, ["tracking_log"], params=["start", "end"]),
     "ora_events": Report(logs.ora_events, ["tracking_log"], params=["start", "end"]),
-    "time_on_task": Report(timing.time_on_task, ["tracking_log"],
-                           params=["timeout_short", "timeout_long", "start", "end"]),
+    # one skew-safe previous-event pass over the log, read by time_on_task and person_course_day
+    "learner_activity": Report(timing.learner_activity, ["tracking_log"], params=["start", "end"], internal=True),
+    "time_on_task": Report(timing.time_on_task_from_activity, ["learner_activity"],
+                           params=["timeout_short", "timeout_long"]),
     "time_on_task_totals": Report(timing.time_on_task_totals, ["time_on_task"]),
     "time_on_asset_daily": Report(timing.time_on_asset_daily, ["tracking_log"], params=["start", "end"]),
     "pc_day_trlang": Report(language.pc_day_trlang, ["tracking_log"], params=["start", "end"]),
@@ -66,9 +69,9 @@ CATALOG: dict[str, Report] = {
     "video_axis": Report(video.video_axis, ["course_axis"], optional=["youtube"]),
     "pc_video_watched": Report(video.pc_video_watched,
                                ["video_stats_day", "user_info_combo", "roles", "video_axis"]),
-    "person_course_day": Report(activity.person_course_day,
-                                ["tracking_log", "video_stats_day", "forum_events", "person_problem",
-                                 "course_problem", "course_axis", "user_info_combo"], params=["start", "end"]),
+    "person_course_day": Report(activity.person_course_day_from_activity,
+                                ["learner_activity", "video_stats_day", "forum_events", "person_problem",
+                                 "course_problem", "course_axis", "user_info_combo"]),
     "pc_day_totals": Report(activity.pc_day_totals, ["person_course_day"]),
     "person_course": Report(learner.person_course,
                             ["user_info_combo", "course_axis", "grading_policy", "course_modal_ip", "pc_day_totals",
