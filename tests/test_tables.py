@@ -141,3 +141,14 @@ def test_xml_helpers_skip_malformed_documents(spark):
                                  "course_id string, url_name string, xml string")
     assert {r.url_name: r.duration for r in bundle_video_durations(vids).collect()} == \
         {"v1": 12.5, "v2": None, "v3": None}
+
+
+def test_build_reports_collects_errors_or_fails_fast(spark, tmp_path):
+    from mooclens.plans.build import build_reports
+    # a log without the columns the reports need: every report errors
+    broken = {"tracking_log": spark.createDataFrame([(1,)], "x int")}
+    status = build_reports(spark, broken, str(tmp_path / "a"), ["show_answer", "course_modal_ip"])
+    assert [s["status"] for s in status] == ["error", "error", "error"]
+    assert all(s["error"] for s in status)
+    with pytest.raises(Exception):
+        build_reports(spark, broken, str(tmp_path / "b"), ["show_answer"], fail_fast=True)
