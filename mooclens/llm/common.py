@@ -156,3 +156,14 @@ def sliding(h: np.ndarray, w: int, fold=np.minimum) -> np.ndarray:
     return fold(m[:len(m) - rest], m[rest:]) if rest else m
 
 
+class Numbers(dict):
+    """Numbers of keys in order of appearance; ``new`` gathers those not seen before."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[int] = []
+
+    def __missing__(self, key: int) -> int:
+        self.new.append(key)
+        number = self[key] = len(self)
+        return number

@@ -8,9 +8,11 @@ from __future__ import annotations
 import os
 
 from .common import table
+from .decontaminate import contamination_digest
 from .packing import pack
 from .secret_scan import secret_digest
 from .simhash import simhash_digest
+from .toxicity import toxicity_digest
 
 
 def tokenizer_path() -> str:
@@ -21,6 +23,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_toxicity(spark, sf_dir):
+    return toxicity_digest(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_simhash_near_dedup(spark, sf_dir):
     return simhash_digest(spark, table(spark, sf_dir, "documents"))
 
@@ -29,9 +35,14 @@ def op7_best_fit_packing(spark, sf_dir):
     return pack(spark, table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_benchmark_decontamination(spark, sf_dir):
+    return contamination_digest(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_secret_scans(spark, sf_dir):
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_simhash_near_dedup, op7_best_fit_packing, op10_secret_scans)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op6_simhash_near_dedup, op7_best_fit_packing,
+                                    op9_benchmark_decontamination, op10_secret_scans)}
 ORACLES: dict[str, str] = {}
