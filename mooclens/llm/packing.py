@@ -24,9 +24,9 @@ rows are packed each on its own; null ids are kept; an empty table gives no rows
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from bisect import bisect_left, insort
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +35,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import rows_of, stored
+from .common import LOWER, Numbers, byte_class, rows_of, runs, span_hashes, stored
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_200_000
+
+SOLID = byte_class(lambda b: b not in b" \n\t\r")
+CLOSING = byte_class(lambda b: b in b".,")
+ENDS_WORD = byte_class(lambda b: 97 <= b <= 122 or 48 <= b <= 57)
 
 
 class WordTokenizer:
@@ -48,12 +52,14 @@ class WordTokenizer:
     The tokenizer lower-cases, drops white space and keeps letters apart from
     punctuation before it merges, so a text's ids are the ids of its
     blank-separated chunks in turn, and a closing ``.`` or ``,`` after an ASCII letter
-    or digit is a chunk of its own. Chunks recur; their ids are kept in a bounded
-    table, which the tasks of one worker process share.
+    or digit is a chunk of its own. A run of documents is cut into chunks at once;
+    each distinct chunk is looked up by a 64-bit hash in a bounded table of
+    ids, which the tasks of one worker process share. Chunks over ``LONG`` bytes
+    stay out of the table.
     """
 
+    LONG = 64
     _shared: dict[str, "WordTokenizer"] = {}
-    _closing = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \n])")
 
     @classmethod
     def of(cls, path: str) -> "WordTokenizer":
@@ -65,44 +71,87 @@ class WordTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side already
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes_word[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[bytes, int] = {b"": 0}
+        self.number = Numbers()
+        self.learnt = 0
         self.flat = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1 << 16, np.int64)  # chunk k has ids flat[start[k]:start[k + 1]]
 
-    def learn(self, chunks: list[bytes]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
-        n, have = len(self.number), len(self.number) + len(chunks)
+    def _encode_chunks(self, chunks: list[str]) -> list[list[int]]:
+        one_by_one = lambda part: [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+        if not all(c.isalpha() for c in chunks):
+            return one_by_one(chunks)
+        # all letters: one word each, whose last id tells where it ends
+        ids = self.tokenizer.encode_batch_fast([" ".join(chunks)], add_special_tokens=False)[0].ids
+        ends = (np.flatnonzero(self.closes_word[ids]) + 1).tolist()
+        if len(ends) != len(chunks):
+            return one_by_one(chunks)
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
+
+    def learn(self, chunks: list[str]) -> None:
+        """Append the ids of these chunks, numbered from ``learnt`` on."""
+        ids: list[list[int]] = [[]] * len(chunks)
+        for plain in (True, False):
+            some = [i for i, c in enumerate(chunks) if c.isalpha() == plain]
+            for a in range(0, len(some), 256):
+                for i, x in zip(some[a:a + 256], self._encode_chunks([chunks[i] for i in some[a:a + 256]])):
+                    ids[i] = x
+        n, self.learnt = self.learnt, self.learnt + len(chunks)
         ends = self.start[n] + np.cumsum([len(x) for x in ids])
-        while len(self.start) <= have:
+        while len(self.start) <= self.learnt:
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
         while len(self.flat) < ends[-1]:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.start[n]:ends[-1]] = [i for x in ids for i in x]
-        self.start[n + 1:have + 1] = ends
-        self.number.update(zip(chunks, range(n, have)))
-
-    def encode(self, text: str) -> np.ndarray:
-        raw = text.encode()
-        if b"<|" not in raw:  # the strings of special tokens are told by case
-            raw = self._closing.sub(rb" \1", raw.lower())
-        chunks = raw.replace(b"\n", b" ").replace(b"\t", b" ").replace(b"\r", b" ").split(b" ")
-        parts = []
-        for a in range(0, len(chunks), 1 << 16):
-            some = chunks[a:a + (1 << 16)]
-            if len(self.number) > CACHE_WORDS:
-                self.clear()
-            number = self.number
-            if new := [c for c in dict.fromkeys(some) if c not in number]:
-                self.learn(new)
-            k = np.array([number[c] for c in some], np.int64)
-            s = self.start[k]
-            n = self.start[k + 1] - s
-            within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            parts.append(self.flat[np.repeat(s, n) + within])
-        return np.concatenate(parts)
+        self.flat[self.start[n]:ends[-1]] = np.fromiter(chain.from_iterable(ids), np.uint32)
+        self.start[n + 1:self.learnt + 1] = ends
+
+    def encode(self, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all documents of a run, and where each document's begin and end."""
+        docs = len(off) - 1
+        if len(self.number) > CACHE_WORDS:
+            self.clear()
+        solid = SOLID[buf]
+        cut = np.zeros(len(buf) + 1, bool)  # a chunk cannot go on over these places
+        cut[off[:-1]] = True
+        if b"<|" not in buf.tobytes():  # the strings of special tokens are told by case
+            buf = LOWER[buf]
+            closing = CLOSING[buf[1:]] & ENDS_WORD[buf[:-1]]
+            closing[:-1] &= ~solid[2:]
+            cut[1:-1] |= closing
+        joins = solid[1:] & solid[:-1] & ~cut[1:-1] if len(buf) else solid
+        starts = np.flatnonzero(solid & ~np.concatenate([[False], joins])) if len(buf) else np.zeros(0, np.int64)
+        ends = np.flatnonzero(solid & ~np.concatenate([joins, [False]])) + 1 if len(buf) else starts
+        keys = span_hashes(buf, starts, ends)
+        raw = buf.tobytes()
+        text_of = lambda i: raw[starts[i]:ends[i]].decode()
+        uniq, first, place = np.unique(keys, return_index=True, return_inverse=True)
+        far = ends[first] - starts[first] > self.LONG
+        known = np.zeros(len(uniq), np.int64)
+        known[~far] = np.fromiter(map(self.number.__getitem__, uniq[~far].tolist()), np.int64)
+        if self.number.new:
+            new, self.number.new = np.array(self.number.new, np.uint64), []
+            self.learn([text_of(i) for i in first[np.searchsorted(uniq, new)]])
+        k = known[place]
+        s = self.start[k]
+        n = self.start[k + 1] - s
+        if far.any():  # their ids follow the table's
+            long = np.flatnonzero(ends - starts > self.LONG)
+            ids = [self._encode_chunks([text_of(i)])[0] for i in long]
+            n[long] = [len(x) for x in ids]
+            s[long] = len(self.flat) + np.cumsum(n[long]) - n[long]
+            table = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.uint32)])
+        else:
+            table = self.flat
+        after = np.cumsum(n)
+        total = int(after[-1]) if len(after) else 0
+        ids = table[np.repeat(s - (after - n), n) + np.arange(total)]
+        of_doc = np.searchsorted(starts, off)
+        return ids, np.concatenate([[0], after])[of_doc[:docs + 1]]
 
 
 PIECES = [("piece", T.IntegerType()), ("start", T.LongType()), ("length", T.LongType()), ("ids_crc32", T.LongType())]
@@ -123,16 +172,18 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
         block, used = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             row, piece, start, length, crc, ids, rank = [], [], [], [], [], [], []
-            for i, text in enumerate(batch.column(1)):
-                tokens = np.append(encoder.encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
-                for p, a in enumerate(range(0, len(tokens), capacity)):
-                    cut = tokens[a:a + capacity]
-                    row.append(i), piece.append(p), start.append(a), length.append(len(cut))
-                    crc.append(zlib.crc32(cut.tobytes()))
-                    rank.append(int(used[len(cut)]))
-                    used[len(cut)] += 1
-                    if keep_ids:
-                        ids.append(cut.astype(np.int32))
+            for a, b, buf, off in runs(batch.column(1)):
+                tokens, at = encoder.encode(buf, off)
+                for d in range(b - a):
+                    own = np.append(tokens[at[d]:at[d + 1]], np.uint32(end_id)).astype("<u4")
+                    for p, x in enumerate(range(0, len(own), capacity)):
+                        cut = own[x:x + capacity]
+                        row.append(a + d), piece.append(p), start.append(x), length.append(len(cut))
+                        crc.append(zlib.crc32(cut.tobytes()))
+                        rank.append(int(used[len(cut)]))
+                        used[len(cut)] += 1
+                        if keep_ids:
+                            ids.append(cut.astype(np.int32))
             data = [rows_of(batch.column(0)).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                     pa.array(length, pa.int64()), pa.array(crc, pa.int64()), *([pa.array(ids, pa.list_(pa.int32()))] if keep_ids else []),
                     pa.array([block] * len(row), pa.int32()), pa.array(rank, pa.int64())]
