@@ -9,9 +9,14 @@ import os
 
 from .common import table
 from .decontaminate import contamination_digest
+from .licenses import license_digest
 from .packing import pack
+from .quality import quality_digest
+from .revisits import ORACLE as REVISITS_SQL
+from .revisits import revisit_digest
 from .secret_scan import secret_digest
 from .simhash import simhash_digest
+from .suffix_dedup import suffix_digest
 from .toxicity import toxicity_digest
 
 
@@ -27,6 +32,18 @@ def op1_toxicity(spark, sf_dir):
     return toxicity_digest(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_license_scans(spark, sf_dir):
+    return license_digest(table(spark, sf_dir, "documents"))
+
+
+def op4_suffix_array_dedup(spark, sf_dir):
+    return suffix_digest(spark, table(spark, sf_dir, "documents"))
+
+
+def op5_warc_revisits(spark, sf_dir):
+    return revisit_digest(table(spark, sf_dir, "pages"))
+
+
 def op6_simhash_near_dedup(spark, sf_dir):
     return simhash_digest(spark, table(spark, sf_dir, "documents"))
 
@@ -35,6 +52,10 @@ def op7_best_fit_packing(spark, sf_dir):
     return pack(spark, table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_quality_rules(spark, sf_dir):
+    return quality_digest(spark, table(spark, sf_dir, "documents"))
+
+
 def op9_benchmark_decontamination(spark, sf_dir):
     return contamination_digest(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,6 +64,6 @@ def op10_secret_scans(spark, sf_dir):
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op6_simhash_near_dedup, op7_best_fit_packing,
-                                    op9_benchmark_decontamination, op10_secret_scans)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_license_scans, op4_suffix_array_dedup, op5_warc_revisits, op6_simhash_near_dedup,
+                                    op7_best_fit_packing, op8_quality_rules, op9_benchmark_decontamination, op10_secret_scans)}
+ORACLES: dict[str, str] = {"op5_warc_revisits": REVISITS_SQL}
