@@ -11,6 +11,7 @@ from .common import table
 from .decontaminate import contamination_digest
 from .licenses import license_digest
 from .packing import pack
+from .pii import pii_digest
 from .quality import quality_digest
 from .revisits import ORACLE as REVISITS_SQL
 from .revisits import revisit_digest
@@ -32,6 +33,10 @@ def op1_toxicity(spark, sf_dir):
     return toxicity_digest(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_pii(spark, sf_dir):
+    return pii_digest(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_license_scans(spark, sf_dir):
     return license_digest(table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,6 @@ def op10_secret_scans(spark, sf_dir):
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_license_scans, op4_suffix_array_dedup, op5_warc_revisits, op6_simhash_near_dedup,
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_pii, op3_license_scans, op4_suffix_array_dedup, op5_warc_revisits, op6_simhash_near_dedup,
                                     op7_best_fit_packing, op8_quality_rules, op9_benchmark_decontamination, op10_secret_scans)}
 ORACLES: dict[str, str] = {"op5_warc_revisits": REVISITS_SQL}

@@ -27,14 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mix, powers, prefix_sums, runs, sliding, stored, text_key
+from .common import bit_pages, maybe_in, mix, powers, prefix_sums, runs, sliding, stored, text_key
 from .suffix_sort import suffix_arrays
 
 SPAN = 200
 GRAM = 64
 LIMIT = 16 << 10  # bytes of a group that is sorted as it is
 SORT_BYTES = 2 << 20  # of a batch of groups
-PAGE_BITS = 16  # pages of the table of bits: 2^16 of 2^11 bits each, 16 MB at most
 
 
 class Occurrences:
@@ -110,24 +109,6 @@ def _occurrences(docs: DataFrame, text_col: str, span: int, gram: int, what: str
     return docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text")).mapInArrow(work, kinds[what])
 
 
-def bit_pages(spark: SparkSession, hashes: DataFrame) -> DataFrame:
-    """A table of bits over the column ``h``: at most 2^PAGE_BITS rows (page, bits as 32 longs)."""
-    h = F.col("h")
-    bits = hashes.select(F.shiftrightunsigned(h, 64 - PAGE_BITS).alias("page"), F.shiftrightunsigned(h, 58 - PAGE_BITS).bitwiseAND(31).cast("int").alias("word"),
-                         F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {52 - PAGE_BITS}) & 63 as int))").alias("bit"))
-    words = bits.groupBy("page", "word").agg(F.bit_or("bit").alias("bit"))
-    row = [F.coalesce(F.bit_or(F.when(F.col("word") == w, F.col("bit"))), F.lit(0).cast("long")) for w in range(32)]
-    return stored(spark, words.groupBy("page").agg(F.array(*row).alias("bits")), "bits")
-
-
-def maybe_in(rows: DataFrame, h, pages: DataFrame) -> DataFrame:
-    """The rows whose hash has its bit set; the pages' number and size bound the broadcast."""
-    rows = rows.select("*", h.alias("_h")).select("*", F.shiftrightunsigned("_h", 64 - PAGE_BITS).alias("page"))
-    word = F.expr(f"bits[cast(shiftrightunsigned(_h, {58 - PAGE_BITS}) & 31 as int)]")
-    set_ = word.bitwiseAND(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(_h, {52 - PAGE_BITS}) & 63 as int))")) != 0
-    return rows.join(F.broadcast(pages), "page").filter(set_).drop("page", "bits", "_h")
-
-
 def repeated_windows(groups: list[list[bytes]], span: int) -> list[list[np.ndarray]]:
     """Per group and byte string, whether the window at each start equals another window of the group."""
     size = np.array([sum(len(s) + 1 for s in g) for g in groups])
