@@ -144,14 +144,15 @@ def scan_licenses(docs: DataFrame, templates=None, least: float = LEAST, id_col:
                 found: dict[int, list] = {}
                 last = None
                 for d, t, diagonal in index.candidates(words, doc).tolist():
-                    if last and last[:2] == (d, t) and diagonal - last[2] <= BAND:
+                    size = len(index.words[t])
+                    band = min(BAND + size // 8, max(2, size // 2))  # narrow for short notices, which may follow each other closely
+                    if last and last[:2] == (d, t) and diagonal - last[2] <= min(BAND, band):
                         continue  # the same alignment's band
                     last = (d, t, diagonal)
                     lo, hi = np.searchsorted(doc, [d, d + 1])
-                    band = BAND + len(index.words[t]) // 8
                     hits, s, e = align(index.words[t], words[lo:hi], diagonal - int(lo), band)
-                    if hits >= least * len(index.words[t]):
-                        found.setdefault(d, []).append((hits, index.names[t], hits / len(index.words[t]), int(starts[lo + s]), int(ends[lo + e - 1])))
+                    if hits >= least * size:
+                        found.setdefault(d, []).append((hits, index.names[t], hits / size, int(starts[lo + s]), int(ends[lo + e - 1])))
                 for d, matches in found.items():
                     kept = []
                     for m in sorted(matches, key=lambda m: (-m[0], -m[2], m[3], m[1])):
