@@ -11,17 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mooclens.plans.reports import CATALOG, build_order, resolve
+from mooclens.session import delete_path, escape_partition, path_exists
 
 
 def build_reports(spark: SparkSession, tables, out_dir: str, names: list[str] | None = None,
-                  params: Mapping | None = None, append: bool = False, fail_fast: bool = False) -> list[dict]:
+                  params: Mapping | None = None, append: bool = False, fail_fast: bool = False,
+                  courses: list[str] | None = None) -> list[dict]:
     """M3: build reports (and the reports they read) in dependency order.
 
     All courses are built in one job per report.  Each report is written to
-    ``out_dir/<name>`` partitioned by ``course_id`` -- replacing only the
-    courses present in the new output (dynamic partition overwrite), or
-    appending -- and later reports read the stored result instead of
-    recomputing it.  Errors are collected per report; with ``fail_fast`` the
+    ``out_dir/<name>`` partitioned by ``course_id``: the whole report is
+    replaced (a course that has become empty goes), or, with ``courses``, just
+    the rows of those courses, or rows are appended.  Later reports read the
+    stored result instead of recomputing it.  The write is rebalanced by
+    course, so small courses make one file and large ones several.  Errors are collected per report; with ``fail_fast`` the
     first one is raised.  Returns one status dict per report.
     """
     order = build_order(names or list(CATALOG))
@@ -34,14 +37,20 @@ def build_reports(spark: SparkSession, tables, out_dir: str, names: list[str] |
         try:
             df = resolve(name, tables, params, memo, share=False)
             path = f"{out_dir}/{name}"
-            (df.write.mode("append" if append else "overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("course_id").parquet(path))
+            if courses is not None:
+                df = df.where(F.col("course_id").isin(list(courses)))
+                if not append and path_exists(spark, path):
+                    for course in set(courses) & {r[0] for r in spark.read.parquet(path).select("course_id").distinct().collect()}:
+                        delete_path(spark, f"{path}/course_id={escape_partition(spark, course)}")
+            mode = "dynamic" if courses is not None else "static"
+            (df.hint("rebalance", "course_id").write.mode("append" if append else "overwrite")
+             .option("partitionOverwriteMode", mode).partitionBy("course_id").parquet(path))
             memo[name] = spark.read.parquet(path)
             status.append({"report": name, "status": "ok", "seconds": round(time.perf_counter() - t0, 3)})
         except Exception as e:  # noqa: BLE001 - collected per report, like the source
             if fail_fast:
                 raise
-            status.append({"report": name, "status": "error", "error": str(e).splitlines()[0][:500],
+            status.append({"report": name, "status": "error", "error": str(e),
                            "seconds": round(time.perf_counter() - t0, 3)})
             memo.pop(name, None)
     sc.setJobDescription(None)

@@ -12,6 +12,7 @@ bridged table back (see ``oracles/ingest_sql.py``).
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -89,32 +90,73 @@ def read_tsv(lines: DataFrame, schema: T.StructType, text_col: str = "value", qu
     return lines.select(F.from_csv(clean, schema.simpleString(), opts).alias("_r")).select("_r.*")
 
 
-def grades_persistent_from_tsv(lines: DataFrame) -> DataFrame:
-    """Persistent-grade dump -> typed rows; course ids cleaned, "NULL" -> NULL."""
-    schema = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("course_id", T.StringType()),
-                           T.StructField("percent_grade", T.DoubleType()),
-                           T.StructField("letter_grade", T.StringType())])
-    return read_tsv(lines, schema).withColumn(C, clean_course_id(C)).select(
-        C, "user_id", "percent_grade", "letter_grade")
+def dump_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """Lines of dump files (gzip or plain): ``file``, ``value`` and ``at``, the order within the file."""
+    return spark.read.text(paths).select(
+        F.input_file_name().alias("file"), "value",
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("at"))
 
 
-STUDENTMODULE_TSV = T.StructType([
-    T.StructField("id", T.LongType()), T.StructField("module_type", T.StringType()),
-    T.StructField("module_id", T.StringType()), T.StructField("student_id", T.LongType()),
-    T.StructField("state", T.StringType()), T.StructField("grade", T.StringType()),
-    T.StructField("created", T.StringType()), T.StructField("max_grade", T.StringType()),
-])
-
+def dump_records(lines: DataFrame, quote: str = "'") -> DataFrame:
+    """Header-led, tab-separated dump lines -> ``file`` and ``r``, a map from the
+    header's column names to the texts of a line.
 
-def studentmodule_from_tsv(lines: DataFrame) -> DataFrame:
-    """Courseware-state dump -> rows; NUL bytes dropped, block ids turned
-    into ``course_id`` and ``ORG/NUM/TERM/type/id`` module ids.  Grade texts
-    are kept as text ("NULL" included) for the grade report to interpret."""
-    x = read_tsv(lines, STUDENTMODULE_TSV, null_value=None)
-    return x.select(course_from_block("module_id").alias(C), "id", "module_type",
-                    module_from_block("module_id").alias("module_id"), "student_id", "state", "grade",
-                    "max_grade", F.coalesce(F.try_to_timestamp("created"), F.col("created").try_cast("timestamp"))
-                    .alias("created"))
+    Every file's first line names its columns, so files may order them
+    differently.  NUL bytes are dropped.  Headers are one row per file; the
+    longest one sets the number of fields that are read of every line.
+    """
+    lines = lines.withColumn("value", F.regexp_replace("value", "\u0000", ""))
+    head = lines.groupBy("file").agg(F.min(F.struct("at", "value")).alias("h"))
+    head = head.select("file", F.col("h.at").alias("head_at"), F.transform(F.split("h.value", "\t"), F.trim).alias("names"))
+    width = head.agg(F.max(F.size("names"))).first()[0] or 1
+    fields = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
+    row = F.from_csv("value", fields.simpleString(), {"sep": "\t", "quote": quote})
+    x = lines.join(head, "file").where(F.col("at") > F.col("head_at")).select("file", "names", row.alias("row"),
+                                                                                   F.size(F.split("value", "\t")).alias("fields"))
+    # the parser gives NULL for an empty field: only fields that a short line lacks are NULL
+    texts = F.slice(F.array(*[F.coalesce(F.col(f"row.c{i}"), F.when(F.col("fields") > i, F.lit(""))) for i in range(width)]), F.lit(1), F.size("names"))
+    return x.select("file", F.map_from_arrays("names", texts).alias("r"))
+
+
+def _typed(records: DataFrame, columns: dict[str, str], null_texts: tuple[str, ...] = ("NULL",), any_case: bool = False) -> DataFrame:
+    """Declared columns of dump records; ``null_texts`` become NULL, absent columns too."""
+    out = []
+    for name, kind in columns.items():
+        text = F.col("r")[name]
+        seen = F.upper(text) if any_case else text
+        text = F.when(~seen.isin(*null_texts), text)
+        out.append((F.coalesce(F.try_to_timestamp(text), text.try_cast("timestamp")) if kind == "timestamp" else
+                    text if kind == "string" else text.try_cast(kind)).alias(name))
+    return records.select(*out)
+
+
+# declared columns of the dump tables (fixed values)
+GRADES_PERSISTENT = {"course_id": "string", "user_id": "bigint", "grading_policy_hash": "string", "percent_grade": "double", "letter_grade": "string",
+                     "passed_timestamp": "timestamp", "created": "timestamp", "modified": "timestamp"}
+GRADES_SUBSECTION = {"course_id": "string", "user_id": "bigint", "usage_key": "string", "earned_all": "double", "possible_all": "double",
+                     "earned_graded": "double", "possible_graded": "double", "first_attempted": "timestamp", "created": "timestamp",
+                     "modified": "timestamp"}
+STUDENTMODULE = {"id": "bigint", "module_type": "string", "module_id": "string", "student_id": "bigint", "state": "string", "grade": "string",
+                 "created": "timestamp", "modified": "timestamp", "max_grade": "string", "done": "string", "course_id": "string"}
+
+
+def grades_persistent(records: DataFrame, columns: dict[str, str] | None = None) -> DataFrame:
+    """Persistent course grades (``GRADES_SUBSECTION`` for subsection grades)
+    from dump records; course ids cleaned, "NULL" -> NULL."""
+    return _typed(records, columns or GRADES_PERSISTENT).withColumn(C, clean_course_id(C))
+
+
+def grades_persistent_subsection(records: DataFrame) -> DataFrame:
+    """Persistent subsection grades from dump records."""
+    return grades_persistent(records, GRADES_SUBSECTION)
+
+
+def studentmodule(records: DataFrame) -> DataFrame:
+    """Courseware state from dump records: block ids become
+    ``ORG/NUM/TERM/type/id`` module ids, course ids are cleaned, and "null" in
+    any case is NULL.  A dump without a course column takes it from the block id."""
+    x = _typed(records, STUDENTMODULE, ("NULL",), any_case=True)
+    return x.withColumn(C, F.coalesce(clean_course_id(C), course_from_block("module_id"))).withColumn("module_id", module_from_block("module_id"))
 
 
 # ----------------------------------------------------- I7 user_info_combo merge
@@ -127,7 +169,7 @@ def _last_per_user(df: DataFrame, order_col: str | None) -> DataFrame:
 
 
 def _nullify(df: DataFrame) -> DataFrame:
-    return df.select(*[F.when(F.col(c) != "NULL", F.col(c)).alias(c) if t == "string" else F.col(c)
+    return df.select(*[F.when(~F.trim(F.col(c)).isin("NULL", "null"), F.trim(F.col(c))).alias(c) if t == "string" else F.col(c)
                        for c, t in df.dtypes])
 
 
@@ -136,8 +178,10 @@ def user_info_combo(auth_user: DataFrame, profile: DataFrame, enrollment: DataFr
     """Merge the five user dumps into one row per (course, user).
 
     Each source keeps its last row per user (``order_col``), columns get their
-    source prefix, "NULL" text becomes NULL, and the sources are full-outer
-    joined on ``(course_id, user_id)``; rows without a user id are dropped.
+    source prefix, texts are stripped, "NULL" and "null" become NULL, and the
+    sources are full-outer joined on ``(course_id, user_id)``; rows without a
+    user id are dropped.  A user that the account dump does not name takes the
+    ``username`` of the first other dump that has one.
     """
     def prep(df, prefix, rename_id=None):
         df = _nullify(df)
@@ -153,6 +197,9 @@ def user_info_combo(auth_user: DataFrame, profile: DataFrame, enrollment: DataFr
     parts = [prep(auth_user, None, "id"), prep(profile, "profile"), prep(enrollment, "enrollment"),
              prep(certificate, "certificate"), prep(id_map, "id_map")]
     out = reduce(lambda a, b: a.join(b, [C, "user_id"], "full"), parts)
+    others = [c for c in ("profile_username", "enrollment_username", "certificate_username", "id_map_username") if c in out.columns]
+    if others and "username" in out.columns:
+        out = out.withColumn("username", F.coalesce("username", *others))
     if "certificate_grade" in out.columns:
         out = out.withColumn("certificate_grade", F.col("certificate_grade").try_cast("double"))
     return out
@@ -213,25 +260,28 @@ STATE_SCHEMA = T.StructType([
     T.StructField("correct_map", T.MapType(T.StringType(), T.StructType([
         T.StructField("correctness", T.StringType()), T.StructField("npoints", T.DoubleType()),
         T.StructField("msg", T.StringType()), T.StructField("hint", T.StringType())]))),
-    T.StructField("student_answers", T.MapType(T.StringType(), T.StringType())),
     T.StructField("attempts", T.LongType()), T.StructField("done", T.BooleanType()),
 ])
 
 
 def problem_analysis(studentmodule: DataFrame) -> DataFrame:
-    """One row per (course, user, problem) with an item struct per
-    answered input, from the problem state JSON; only states with both a
-    correctness map and answers are kept."""
-    s = studentmodule.where(F.col("module_type") == "problem").select(
+    """One row per (course, user, problem) with an item struct per answered
+    input, from the state JSON of any module whose state names both a
+    correctness map and answers (they may be empty).
+
+    Answers keep their JSON: a text comes out quoted, a list as a list, a
+    missing answer as ``null``.  Doubled backslashes of the dump are undone first.
+    """
+    state = F.replace(F.coalesce("state", F.lit("{}")), F.lit("\\\\"), F.lit("\\"))
+    s = studentmodule.select(
         C, F.col("student_id").alias("user_id"), F.element_at(F.split("module_id", "/"), -1).alias("problem_url_name"),
-        F.from_json("state", STATE_SCHEMA).alias("st"), F.col("grade").try_cast("double").alias("grade"),
-        F.col("max_grade").try_cast("double").alias("max_grade"), "created")
-    s = s.where((F.size("st.correct_map") > 0) & (F.size("st.student_answers") > 0))
-    answers = F.col("st.student_answers")
-    item = F.transform(F.map_entries("st.correct_map"), lambda e: F.struct(
-        e["key"].alias("answer_id"),
-        F.coalesce(F.regexp_replace(F.regexp_replace(F.to_json(F.array(answers[e["key"]])), r"^\[", ""), r"\]$", ""),
-                   F.lit("null")).alias("response"),
+        state.alias("state"), F.col("grade").try_cast("double").alias("grade"), F.col("max_grade").try_cast("double").alias("max_grade"), "created")
+    s = s.withColumn("keys", F.json_object_keys("state"))
+    s = s.where(F.array_contains("keys", "correct_map") & F.array_contains("keys", "student_answers") & F.try_parse_json("state").isNotNull())
+    s = s.withColumn("st", F.from_json("state", STATE_SCHEMA))
+    s = s.withColumn("answers", F.expr("cast(try_variant_get(parse_json(state), '$.student_answers', 'variant') as map<string, variant>)"))
+    item = F.transform(F.map_entries(F.coalesce("st.correct_map", F.create_map().cast(STATE_SCHEMA["correct_map"].dataType))), lambda e: F.struct(
+        e["key"].alias("answer_id"), F.coalesce(F.to_json(F.col("answers")[e["key"]]), F.lit("null")).alias("response"),
         e["value"]["correctness"].alias("correctness"),
         (F.coalesce(e["value"]["correctness"], F.lit("")) == "correct").alias("correct_bool"),
         e["value"]["npoints"].alias("npoints"), e["value"]["msg"].alias("msg"), e["value"]["hint"].alias("hint")))
@@ -278,7 +328,7 @@ def email_opt_in(rows: DataFrame) -> DataFrame:
     parts = F.split(cid, r"\+")
     cleaned = F.when(F.size(parts) <= 3, F.array_join(parts, "/")).otherwise(
         F.concat(F.array_join(F.slice(parts, 1, 3), "/"), F.lit("_"),
-                 F.array_join(F.slice(parts, 4, 1000), "_")))
+                 F.array_join(F.slice(parts, F.lit(4), F.size(parts)), "_")))
     ts = F.split(F.col("preference_set_datetime"), r"\+").getItem(0)
     return rows.where(F.col("user_id").isNotNull()).select(
         F.col("user_id").try_cast("bigint").alias("user_id"), cleaned.alias(C),
@@ -288,9 +338,31 @@ def email_opt_in(rows: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------- I17 geolocation
 def ip_to_number(ip) -> Column:
+    """IPv4 address as a number; NULL unless four parts of 0 to 255."""
     p = F.split(ip if isinstance(ip, Column) else F.col(ip), r"\.")
-    n = [p.getItem(i).try_cast("bigint") for i in range(4)]
-    return F.when(F.size(p) == 4, ((n[0] * 256 + n[1]) * 256 + n[2]) * 256 + n[3])
+    n = [F.get(p, F.lit(i)).try_cast("bigint") for i in range(4)]
+    ok = reduce(lambda a, b: a & b, [x.between(0, 255) for x in n])
+    return F.when((F.size(p) == 4) & ok, ((n[0] * 256 + n[1]) * 256 + n[2]) * 256 + n[3])
+
+
+def ip_key(ip) -> Column:
+    """An address as text that sorts like the address: ``4`` and 8 hex digits, or ``6`` and 32 (NULL: neither).
+
+    ``::`` stands for as many zero groups as are missing; a dotted tail counts as two groups.
+    """
+    c = F.lower(F.trim(ip if isinstance(ip, Column) else F.col(ip)))
+    tail = ip_to_number(F.regexp_extract(c, r"(\d+\.\d+\.\d+\.\d+)$", 1))
+    groups = F.concat(F.lower(F.hex((tail / 65536).cast("bigint"))), F.lit(":"), F.lower(F.hex(tail % 65536)))
+    v6 = F.when(c.contains("."), F.concat(F.regexp_replace(c, r"\d+\.\d+\.\d+\.\d+$", ""), groups)).otherwise(c)
+    sides = F.split(v6, "::")
+    parts = lambda side: F.filter(F.split(side, ":"), lambda g: g != "")
+    left, right = parts(sides.getItem(0)), F.coalesce(parts(F.try_element_at(sides, F.lit(2))), F.array().cast("array<string>"))
+    gap = F.lit(8) - F.size(left) - F.size(right)
+    full = F.when(F.size(sides) == 1, left).when((F.size(sides) == 2) & (gap >= 1), F.concat(left, F.array_repeat(F.lit("0"), gap), right))
+    good = (F.size(full) == 8) & F.forall(full, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
+    v4 = ip_to_number(c)
+    return (F.when(v4.isNotNull(), F.concat(F.lit("4"), F.lpad(F.lower(F.hex(v4)), 8, "0")))
+            .when(good, F.concat(F.lit("6"), F.array_join(F.transform(full, lambda g: F.lpad(g, 4, "0")), ""))))
 
 
 def distinct_ips(log: DataFrame) -> DataFrame:
@@ -298,24 +370,24 @@ def distinct_ips(log: DataFrame) -> DataFrame:
     return log.where(F.col("ip").isNotNull() & (F.col("ip") != "")).select("ip").distinct()
 
 
-def geolocate_ips(ips: DataFrame, ip_ranges: DataFrame, un_regions: DataFrame | None = None,
-                  bucket_bits: int = 16) -> DataFrame:
-    """Address -> location by a range join on the numeric address.
+def geolocate_ips(ips: DataFrame, ip_ranges: DataFrame, un_regions: DataFrame | None = None) -> DataFrame:
+    """Address -> location by a range join, IPv4 and IPv6 alike.
 
-    Ranges are cut into /16 buckets (a range covering k buckets is repeated k
-    times), so the join is an equi-join on the bucket plus a range filter: no
-    nested-loop or cross join, and both sides shuffle on the bucket.  UN region
-    attributes (one row per country) join on the ISO code.  Addresses without
-    a country are dropped.
+    Addresses become texts that sort like them.  Ranges are cut by their leading
+    16 bits (a range over k blocks is repeated k times, at most 65,536), so the
+    join is an equi-join on family and block plus a range filter: no
+    nested-loop or cross join.  UN region attributes (one row per country) join on the ISO code.
+    Addresses without a country are dropped.
     """
-    shift = 2 ** bucket_bits
-    r = ip_ranges.select("*", ip_to_number("start_ip").alias("_lo"), ip_to_number("end_ip").alias("_hi"))
-    r = r.select("*", F.explode(F.sequence((F.col("_lo") / shift).cast("bigint"),
-                                           (F.col("_hi") / shift).cast("bigint"))).alias("_bucket"))
-    a = ips.select("ip", ip_to_number("ip").alias("_n")).where(F.col("_n").isNotNull())
-    a = a.withColumn("_bucket", (F.col("_n") / shift).cast("bigint"))
-    j = a.join(r, "_bucket").where((F.col("_n") >= F.col("_lo")) & (F.col("_n") <= F.col("_hi")))
-    j = j.where(F.col("country_iso").isNotNull() & F.col("country_name").isNotNull())
+    # leading 16 bits: the family and four hex digits
+    block = lambda c: F.conv(F.substring(c, 2, 4), 16, 10).cast("int")
+    r = ip_ranges.select(F.struct("*").alias("place"), ip_key("start_ip").alias("lo"), ip_key("end_ip").alias("hi"))
+    r = r.where(F.col("lo").isNotNull() & (F.substring("lo", 1, 1) == F.substring("hi", 1, 1)) & (F.col("lo") <= F.col("hi")))
+    r = r.select("place", "lo", "hi", F.explode(F.sequence(block("lo"), block("hi"))).alias("block"))
+    a = ips.select("ip", ip_key("ip").alias("key")).where(F.col("key").isNotNull()).withColumn("block", block("key"))
+    j = a.join(r, (a["block"] == r["block"]) & (F.substring("key", 1, 1) == F.substring("lo", 1, 1))).where(
+        (F.col("key") >= F.col("lo")) & (F.col("key") <= F.col("hi")))
+    j = j.select("ip", "place.*").where(F.col("country_iso").isNotNull() & F.col("country_name").isNotNull())
     out = j.select("ip", F.col("country_iso").alias("cc_by_ip"), F.col("country_name").alias("countryLabel"),
                    "continent", "city", F.col("subdivision_iso").alias("region"), "subdivision",
                    F.col("postal_code").alias("postalCode"), "latitude", "longitude")
@@ -385,24 +457,26 @@ def _truthy(c: Column, dtype: T.DataType) -> Column:
     return c.isNotNull()
 
 
-def course_axis_from_blocks(blocks: DataFrame, max_depth: int = 32, checkpoint_every: int = 8,
-                            itypes: DataFrame | None = None, durations: DataFrame | None = None) -> DataFrame:
+def course_axis_from_blocks(blocks: DataFrame, itypes: DataFrame | None = None, durations: DataFrame | None = None) -> DataFrame:
     """I8: walk each course's block tree in pre-order.
 
     ``blocks``: ``course_id, block_id, url_name, category, children`` (ordered
     child block ids) and ``meta`` (struct with ``display_name, format, due,
     start, end, graded, visible_to_staff_only, weight, showanswer, ytid``).
-    The walk is a level-by-level join (one join per tree level; course trees
-    are a handful of levels deep) carrying each block's child-ordinal path and
-    its inherited metadata; sorting by the path within a course gives the
-    pre-order ``index``.  ``path`` is the chain of ``url_name``s below the
-    root; ``chapter_mid`` is the last chapter met in pre-order; inherited
-    fields take the nearest truthy value up the tree; a block with a grading
-    format and no due / start date gets the course's end / start.  Lineage
-    is cut every ``checkpoint_every`` levels.  ``itypes`` / ``durations``
-    (I9 outputs, keyed by ``course_id, url_name``) fill ``data.itype`` and
-    ``data.duration``.
+    The walk is level by level, one join per level, until a level is empty; each
+    level is stored in the shared folder, so no plan grows with the depth.  A
+    level carries each block's child-ordinal path and its inherited metadata;
+    sorting by the path within a course gives the pre-order ``index``.  A block
+    that is its own ancestor is an error, and so is a course without a root
+    block.  ``path`` is the chain of ``url_name``s below the root;
+    ``chapter_mid`` is the last chapter met in pre-order; inherited fields take
+    the nearest truthy value up the tree; a block with a grading format and no
+    due / start date gets the course's end / start.  ``module_id`` and
+    ``chapter_mid`` are block ids in their ``ORG/NUM/TERM/type/id`` form.
+    ``itypes`` / ``durations`` (I9 outputs, keyed by ``course_id, url_name``)
+    fill ``data.itype`` and ``data.duration``.
     """
+    spark = blocks.sparkSession
     mtype = blocks.schema["meta"].dataType
     inh_fields = [(out, key, mtype[key].dataType) for out, key in INHERITED_META.items()
                   if key in mtype.fieldNames()]
@@ -416,34 +490,38 @@ def course_axis_from_blocks(blocks: DataFrame, max_depth: int = 32, checkpoint_e
             parts.append(v.alias(out))
         return F.struct(*parts)
 
-    level = (b.where(F.col("category") == "course")
-             .select(C, "block_id", F.array().cast("array<int>").alias("ord"), F.lit("/").alias("path"),
-                     F.lit(None).cast("string").alias("parent"), F.lit(None).cast("string").alias("parent_cat"),
-                     inherit(F.col("meta"), None).alias("inh")))
-    done = level
-    for depth in range(max_depth):
-        kids = (level.join(b.select(C, "block_id", "url_name", "category", "children"), [C, "block_id"])
-                .select(C, F.col("ord").alias("p_ord"), F.col("path").alias("p_path"),
-                        F.col("url_name").alias("p_url"), F.col("category").alias("p_cat"),
-                        F.col("inh").alias("p_inh"), F.posexplode("children").alias("pos", "block_id")))
-        nxt = (kids.join(b.select(C, "block_id", "url_name", "meta"), [C, "block_id"])
-               .select(C, "block_id", F.concat("p_ord", F.array(F.col("pos").cast("int"))).alias("ord"),
-                       F.concat(F.when(F.col("p_path") == "/", F.lit("")).otherwise(F.col("p_path")),
-                                F.lit("/"), F.col("url_name")).alias("path"),
-                       F.col("p_url").alias("parent"), F.col("p_cat").alias("parent_cat"),
-                       inherit(F.col("meta"), F.col("p_inh")).alias("inh")))
-        if (depth + 1) % checkpoint_every == 0:
-            checkpoint_dir(nxt.sparkSession)
-            nxt = nxt.checkpoint()
-        if nxt.limit(1).count() == 0:
+    def kept(df: DataFrame) -> DataFrame:
+        path = f"{checkpoint_dir(spark)}/axis-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    rootless = b.groupBy(C).agg(F.max(F.col("category") == "course").alias("has")).where("not has").limit(5).collect()
+    if rootless:
+        raise ValueError(f"no root course block in {[r[0] for r in rootless]}")
+    own = b.select("*")
+    level = kept(own.where(F.col("category") == "course").select(
+        "*", F.array().cast("array<int>").alias("ord"), F.lit("/").alias("at"), F.lit(None).cast("string").alias("parent"),
+        F.lit(None).cast("string").alias("parent_cat"), inherit(F.col("meta"), None).alias("inh"), F.array("block_id").alias("chain")))
+    levels = [level]
+    while True:
+        kids = level.select(C, F.col("ord").alias("p_ord"), F.when(F.col("at") == "/", F.lit("")).otherwise(F.col("at")).alias("p_at"),
+                            F.col("url_name").alias("parent"), F.col("category").alias("parent_cat"), F.col("inh").alias("p_inh"),
+                            F.col("chain").alias("p_chain"), F.posexplode("children").alias("pos", "block_id"))
+        level = kept(kids.join(own, [C, "block_id"]).select(
+            *b.columns, F.concat("p_ord", F.array(F.col("pos").cast("int"))).alias("ord"), F.concat("p_at", F.lit("/"), F.col("url_name")).alias("at"),
+            "parent", "parent_cat", inherit(F.col("meta"), F.col("p_inh")).alias("inh"),
+            F.when(F.array_contains("p_chain", F.col("block_id")), F.lit(None)).otherwise(F.concat("p_chain", F.array("block_id"))).alias("chain")))
+        if level.isEmpty():
             break
-        done = done.unionByName(nxt)
-        level = nxt
+        loop = level.where(F.col("chain").isNull()).first()
+        if loop:
+            raise ValueError(f"block {loop['block_id']} of {loop[C]} is its own ancestor")
+        levels.append(level)
+    done = reduce(lambda x, y: x.unionByName(y), levels).drop("chain").withColumnRenamed("at", "path")
     root = b.where(F.col("category") == "course").select(
         C, F.col("meta.start").alias("_root_start"), F.col("meta.end").alias("_root_end"))
     w = Window.partitionBy(C).orderBy("ord")
-    # root dates: one row per course -> broadcast
-    x = done.join(b, [C, "block_id"]).join(F.broadcast(root), C, "left")
+    x = done.join(root, C, "left")  # one row per course
     x = x.join(itypes.select(C, "url_name", "itype"), [C, "url_name"], "left") if itypes is not None \
         else x.withColumn("itype", F.lit(None).cast("string"))
     x = x.join(durations.select(C, "url_name", "duration"), [C, "url_name"], "left") if durations is not None \
@@ -453,7 +531,7 @@ def course_axis_from_blocks(blocks: DataFrame, max_depth: int = 32, checkpoint_e
     is_split = cat.contains("split_test") | F.coalesce(F.col("parent_cat"), F.lit("")).contains("split_test")
     meta = F.col("meta")
     return x.select(
-        C, F.row_number().over(w).cast("bigint").alias("index"), F.col("block_id").alias("module_id"),
+        C, F.row_number().over(w).cast("bigint").alias("index"), module_from_block("block_id").alias("module_id"),
         "url_name", "category", F.col("inh.name").alias("name"), F.col("inh.gformat").alias("gformat"),
         F.when(has_format, F.coalesce("inh.due", "_root_end")).otherwise(F.col("inh.due")).try_cast("timestamp")
         .alias("due"),
@@ -462,7 +540,7 @@ def course_axis_from_blocks(blocks: DataFrame, max_depth: int = 32, checkpoint_e
         F.coalesce(F.col("inh.graded"), F.lit(False)).alias("graded"),
         F.col("inh.visible_to_staff_only").alias("visible_to_staff_only"),
         "path", "parent",
-        F.last(F.when(cat == "chapter", F.col("block_id")), ignorenulls=True).over(
+        F.last(F.when(cat == "chapter", module_from_block("block_id")), ignorenulls=True).over(
             w.rowsBetween(Window.unboundedPreceding, 0)).alias("chapter_mid"),
         is_split.alias("is_split"),
         F.when(is_split, F.when(cat.contains("split_test"), F.col("url_name")).otherwise(F.col("parent")))
@@ -576,26 +654,52 @@ def q_user_info_combo(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "id_map_hash_id")
 
 
-def q_grades_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _dump(spark: SparkSession, df: DataFrame, columns: dict[str, Column], course: str = C) -> DataFrame:
+    """Write a table as header-led dump files, one gzip file per course, and read their lines back."""
+    names = list(columns)
+    data = df.select(F.col(course).alias("course"), F.lit(1).alias("o"), F.concat_ws("\t", *[
+        F.coalesce(c.cast("string"), F.lit("NULL")) for c in columns.values()]).alias("value"))
+    head = df.select(F.col(course).alias("course")).distinct().select("course", F.lit(0).alias("o"), F.lit("\t".join(names)).alias("value"))
+    path = f"{checkpoint_dir(spark)}/dump-{uuid.uuid4().hex}"
+    (data.unionByName(head).repartition("course").sortWithinPartitions("course", "o").drop("o")
+     .write.partitionBy("course").option("compression", "gzip").text(path))
+    return dump_lines(spark, f"{path}/*/*.gz")
+
+
+_SECOND = "yyyy-MM-dd HH:mm:ss"
+
+
+def q_grades_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = Tables(spark, sf_dir).grades_persistent
-    lines = g.select(F.concat_ws("\t", F.col("user_id").cast("string"), _course_v1(),
-                                 F.col("percent_grade").cast("string"),
-                                 F.when(F.col("letter_grade") == "", F.lit("NULL")).otherwise(F.col("letter_grade")))
-                     .alias("value"))
-    return grades_persistent_from_tsv(lines)
+    day = F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("user_id") % 1000 * 60), _SECOND)
+    lines = _dump(spark, g, {
+        "course_id": _course_v1(), "user_id": F.col("user_id"), "grading_policy_hash": F.md5(F.col("course_id")), "percent_grade": F.col("percent_grade"),
+        "letter_grade": F.when(F.col("letter_grade") != "", F.col("letter_grade")), "passed_timestamp": F.when(F.col("letter_grade") != "", day),
+        "created": day, "modified": day})
+    return grades_persistent(dump_records(lines))
+
+
+def q_grades_subsection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = Tables(spark, sf_dir).grades_persistent.where(F.col("user_id") % 2 == 0)
+    lines = _dump(spark, g, {
+        "user_id": F.col("user_id"), "course_id": _course_v1(), "usage_key": F.concat(F.lit("block-v1:x+type@sequential+block@s"), F.col("user_id") % 7),
+        "possible_all": F.lit("10.0"), "earned_all": F.col("percent_grade") * 10, "first_attempted": F.when(F.col("user_id") % 4 == 0, "2024-02-01 10:00:00"),
+        "created": F.lit("2024-02-01 10:00:00")})
+    return grades_persistent_subsection(dump_records(lines))
 
 
-def q_studentmodule_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_studentmodule_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     sm = Tables(spark, sf_dir).studentmodule
     parts = F.split("module_id", "/")
     block = F.concat(F.lit("block-v1:"), parts.getItem(0), F.lit("+"), parts.getItem(1), F.lit("+"), parts.getItem(2),
                      F.lit("+type@"), parts.getItem(3), F.lit("+block@"), parts.getItem(4))
     state = F.when(F.col("student_id") % 9 == 0, F.lit('{"attempts": \u00001}')).otherwise(F.lit('{"attempts": 1}'))
-    lines = sm.select(F.concat_ws("\t", F.lit("0"), "module_type", block, F.col("student_id").cast("string"), state,
-                                  F.coalesce("grade", F.lit("")),
-                                  F.date_format("created", "yyyy-MM-dd HH:mm:ss"), "max_grade").alias("value"))
-    return studentmodule_from_tsv(lines).select("course_id", "module_type", "module_id", "student_id", "state",
-                                                "grade", "max_grade", "created")
+    stamp = F.date_format("created", _SECOND)
+    lines = _dump(spark, sm, {
+        "id": F.col("student_id") + 7, "module_type": F.col("module_type"), "module_id": block, "student_id": F.col("student_id"), "state": state,
+        "grade": F.when(F.col("student_id") % 5 == 0, F.lit("null")).otherwise(F.col("grade")), "created": stamp, "modified": stamp,
+        "max_grade": F.col("max_grade"), "done": F.lit("na"), "course_id": _course_v1()})
+    return studentmodule(dump_records(lines))
 
 
 def q_problem_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -604,14 +708,16 @@ def q_problem_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
         i["answer_id"], F.struct(F.when(i["correct_bool"], "correct").otherwise("incorrect").alias("correctness"),
                                  F.lit(None).cast("double").alias("npoints"), F.lit("").alias("msg"),
                                  F.lit("").alias("hint")))))
-    ans = F.when(F.col("user_id") % 10 == 0, F.create_map().cast("map<string,string>")).otherwise(
-        F.map_from_entries(F.transform("item", lambda i: F.struct(
-            i["answer_id"], F.concat(F.lit("choice_"), (F.col("user_id") % 4).cast("string"))))))
-    state = F.to_json(F.struct(cmap.alias("correct_map"), ans.alias("student_answers"),
-                               F.col("attempts").alias("attempts"), F.col("done").alias("done")))
-    sm = pa.select("course_id", F.lit("problem").alias("module_type"),
-                   F.concat("course_id", F.lit("/problem/"), "problem_url_name").alias("module_id"),
-                   F.col("user_id").alias("student_id"), state.alias("state"),
+    # learners by id: no answers at all, a list, a text with an escaped quote (doubled in dumps), a text
+    u = F.col("user_id")
+    answer = (F.when(u % 4 == 3, F.lit('["choice_0","choice_2"]')).when(u % 4 == 2, F.lit('"say \\\\"hi\\\\""'))
+              .otherwise(F.concat(F.lit('"choice_'), (u % 4).cast("string"), F.lit('"'))))
+    answers = F.when(u % 10 == 0, F.lit("{}")).otherwise(F.concat(F.lit("{"), F.array_join(F.transform(
+        "item", lambda i: F.concat(F.lit('"'), i["answer_id"], F.lit('":'), answer)), ","), F.lit("}")))
+    state = F.concat(F.lit('{"correct_map":'), F.to_json(cmap), F.lit(',"student_answers":'), answers, F.lit(',"attempts":'),
+                     F.col("attempts").cast("string"), F.lit(',"done":'), F.coalesce(F.col("done").cast("string"), F.lit("null")), F.lit("}"))
+    sm = pa.select("course_id", F.concat("course_id", F.lit("/problem/"), "problem_url_name").alias("module_id"), u.alias("student_id"),
+                   F.when(u % 13 == 0, F.lit('{"correct_map":{},"attempts":1}')).otherwise(state).alias("state"),
                    F.col("grade").cast("string").alias("grade"), F.lit("50").alias("max_grade"), "created")
     out = problem_analysis(sm)
     return out.select("course_id", "user_id", "problem_url_name", "attempts", "grade", "max_grade",
@@ -772,8 +878,9 @@ def q_forum_mongo(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "conform_user_info": q_conform,
     "ingest_user_info_combo": q_user_info_combo,
-    "ingest_grades_persistent": q_grades_tsv,
-    "ingest_studentmodule": q_studentmodule_tsv,
+    "ingest_grades_persistent": q_grades_dump,
+    "ingest_grades_subsection": q_grades_subsection,
+    "ingest_studentmodule": q_studentmodule_dump,
     "ingest_problem_analysis": q_problem_analysis,
     "ingest_roles": q_roles,
     "ingest_email_opt_in": q_email_opt_in,

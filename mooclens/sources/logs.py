@@ -4,19 +4,22 @@ The source processes each gzip file line by line in a process pool and keeps
 one open output file per (course, day).  Here the whole job is one DataFrame
 plan: ``spark.read.text`` (a gzip file is one task, so lines are spread with a
 round-robin repartition right after the read), JSON parsing with a fixed
-schema, column expressions for ids and the event struct, and one
-``write.partitionBy("course_id", "log_date")``; Spark sorts by the partition
+schema, column expressions for ids and the event struct, and one write
+partitioned by course, day and source file; Spark sorts by the partition
 columns before writing, which replaces the open-file juggling.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mooclens.functions.ids import (course_id_candidate, course_id_from_text, module_id_candidate,
                                     module_id_from_text)
+from mooclens.session import checkpoint_dir
 
 S, L, D = T.StringType(), T.LongType(), T.DoubleType()
 
@@ -61,16 +64,15 @@ DEAD_NOT_JSON = "Not valid JSON"
 DEAD_NOT_RECORD = "The line is not a record"
 DEAD_NO_SOURCE = "Record does not have the key 'event_source'"
 DEAD_BAD_TIME = "Record time could not be parsed"
+SKIPPED = "names no user"
 PROBLEM_EVENTS = ["problem_check", "problem_save", "problem_reset"]
 
 
-def parse_log_lines(lines: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Split raw lines into parsed records and dead letters.
+def _parsed(lines: DataFrame, text_col: str = "value") -> DataFrame:
+    """Every line with its parsed ``raw`` struct and a ``reason`` where it is no record.
 
     A record is the JSON text from the first ``{``; lines without one are
     "not a record", lines whose JSON does not parse are "not valid JSON".
-    Returns ``(records, dead_letters)``; records carry a ``raw`` struct and the
-    other input columns, dead letters the original line and a ``reason``.
     """
     line = F.trim(F.col(text_col))
     pos = F.instr(line, "{")
@@ -80,12 +82,8 @@ def parse_log_lines(lines: DataFrame, text_col: str = "value") -> tuple[DataFram
     # object ('{...}]') is caught by requiring the object to end the line
     reason = (F.when(F.col("_body").isNull(), F.lit(DEAD_NOT_RECORD))
               .when(F.try_parse_json("_body").isNull() | ~F.col("_body").endswith("}"), F.lit(DEAD_NOT_JSON)))
-    x = x.withColumn("_reason", reason)
-    dead = x.where(F.col("_reason").isNotNull()).select(F.col(text_col).alias("data"), F.col("_reason").alias("reason"))
-    good = (x.where(F.col("_reason").isNull())
-            .withColumn("raw", F.from_json("_body", RAW_LOG_SCHEMA))
-            .drop("_body", "_reason"))
-    return good, dead
+    x = x.withColumn("reason", reason)
+    return x.withColumn("raw", F.when(F.col("reason").isNull(), F.from_json("_body", RAW_LOG_SCHEMA))).drop("_body")
 
 
 def _event_text(ev: Column) -> Column:
@@ -155,56 +153,77 @@ def file_date(path_col: Column) -> Column:
     return F.when(d != "", F.try_to_date(d))
 
 
-def ingest_lines(lines: DataFrame, courses: list[str] | None = None, dynamic_date: bool = True,
-                 file_col: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """I1 + I4 + the record filters of I6 on a DataFrame of lines.
+def classified_lines(lines: DataFrame, dynamic_date: bool = True, file_col: str | None = None) -> DataFrame:
+    """I1 + I4 in one projection: the normalised columns of every line, its text
+    ``value``, ``log_date`` and ``reason`` (NULL: a record; ``SKIPPED``: names no
+    user; else why it is a dead letter).
 
-    Keeps records that name a user (username or context user id) and, when
-    ``courses`` is given, belong to one of them.  ``log_date`` is the day in
-    the file name unless ``dynamic_date`` (then the record's own day).
-    Returns ``(tracking_log rows, dead letters)``.
+    ``log_date`` is the day in the file name unless ``dynamic_date``; a file
+    without a day in its name takes the record's own.
     """
     if "seq" not in lines.columns:
         lines = lines.withColumn("seq", F.monotonically_increasing_id())
-    good, dead = parse_log_lines(lines)
-    # a problem event must name its source (the source platform fails on it)
-    no_source = F.col("raw.event_type").isin(*PROBLEM_EVENTS) & F.col("raw.event_source").isNull()
-    dead = dead.unionByName(good.where(no_source).select(F.col("value").alias("data"),
-                                                         F.lit(DEAD_NO_SOURCE).alias("reason")))
-    good = good.where(~no_source | no_source.isNull())
     keep = ["value"] + ([file_col] if file_col else [])
-    norm = normalize_log(good, keep=keep)
+    x = _parsed(lines)
+    # a problem event must name its source (the source platform fails on it)
+    no_source = F.coalesce(F.col("raw.event_type").isin(*PROBLEM_EVENTS) & F.col("raw.event_source").isNull(), F.lit(False))
+    x = x.withColumn("reason", F.coalesce("reason", F.when(no_source, F.lit(DEAD_NO_SOURCE))))
+    x = normalize_log(x, keep=[*keep, "reason"])
     # records that name no user are skipped (not dead letters)
     has_user = (F.coalesce(F.col("username"), F.lit("")) != "") | F.col("context.user_id").isNotNull()
-    norm = norm.where(has_user)
-    if file_col and not dynamic_date:
-        norm = norm.withColumn("log_date", file_date(F.col(file_col)))
-    else:
-        # the day comes from the record: one without a readable time is a dead letter
-        dead = dead.unionByName(norm.where(F.col("time").isNull())
-                                .select(F.col("value").alias("data"), F.lit(DEAD_BAD_TIME).alias("reason")))
-        norm = norm.where(F.col("time").isNotNull()).withColumn("log_date", F.to_date("time"))
-    norm = norm.drop(*keep)
+    day = F.to_date("time")
+    x = x.withColumn("log_date", F.coalesce(file_date(F.col(file_col)), day) if file_col and not dynamic_date else day)
+    return x.withColumn("reason", F.coalesce("reason", F.when(~has_user, F.lit(SKIPPED)), F.when(F.col("log_date").isNull(), F.lit(DEAD_BAD_TIME))))
+
+
+def ingest_lines(lines: DataFrame, courses: list[str] | None = None, dynamic_date: bool = True,
+                 file_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """I1 + I4 + the record filters of I6 on a DataFrame of lines.
+
+    Keeps records that name a user (username or context user id) and, when
+    ``courses`` is given, belong to one of them.
+    Returns ``(tracking_log rows, dead letters)``.
+    """
+    x = classified_lines(lines, dynamic_date, file_col)
+    dead = x.where(F.col("reason") != SKIPPED).select(F.col("value").alias("data"), "reason")
+    rows = x.where(F.col("reason").isNull()).drop("value", "reason", *([file_col] if file_col else []))
     if courses:
-        norm = norm.where(F.col("course_id").isin(list(courses)))
-    return norm, dead
+        rows = rows.where(F.col("course_id").isin(list(courses)))
+    return rows, dead
 
 
 def split_tracking_logs(spark: SparkSession, paths: list[str] | str, out_dir: str, courses: list[str] | None = None,
-                        dynamic_date: bool = False, partitions: int | None = None) -> dict:
+                        dynamic_date: bool = False, partitions: int | None = None, max_file_rows: int = 2_000_000) -> dict:
     """The whole job: read (gzip) log files, parse, normalise, write the
-    table partitioned by course and day (appending; re-running a day replaces
-    only that day's partitions), and write dead letters next to it.
+    table and the dead letters.
+
+    Lines are read and parsed once; the classified rows are stored in the
+    shared folder and both outputs are written from there.  Every row is
+    filed under its source file, so files of one day stand side by side, and
+    a file that is loaded again replaces just its own rows and dead letters.
+    Rows are partitioned by ``course`` (the course id, or ``UNKNOWN`` where
+    that has fewer than three parts; ``course_id`` itself is kept),
+    ``log_date`` and ``source_file``.  The write is rebalanced: AQE splits a
+    large course-day over tasks and joins small ones.
     """
-    lines = spark.read.text(paths).withColumn("_file", F.input_file_name())
+    lines = spark.read.text(paths).withColumn("_file", F.input_file_name()).withColumn("seq", F.monotonically_increasing_id())
     # a gzip file is a single task: spread the lines before the heavy parsing
     lines = lines.repartition(partitions or spark.sparkContext.defaultParallelism)
-    lines = lines.withColumn("seq", F.monotonically_increasing_id())
-    rows, dead = ingest_lines(lines, courses, dynamic_date, file_col="_file")
-    rows = rows.withColumn("course_id", F.when(F.size(F.split("course_id", "/")) >= 3, F.col("course_id"))
-                           .otherwise(F.lit("UNKNOWN")))
-    (rows.repartition("course_id", "log_date").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("course_id", "log_date")
-     .parquet(f"{out_dir}/tracking_log"))
-    dead.write.mode("append").parquet(f"{out_dir}/dead_letters")
-    return {"tracking_log": f"{out_dir}/tracking_log", "dead_letters": f"{out_dir}/dead_letters"}
+    x = classified_lines(lines, dynamic_date, file_col="_file")
+    name = F.regexp_replace(F.element_at(F.split("_file", "/"), -1), "[^A-Za-z0-9._-]", "_")
+    x = x.withColumn("source_file", F.concat(name, F.lit("-"), F.substring(F.md5("_file"), 1, 12))).drop("_file")
+    stage = f"{checkpoint_dir(spark)}/split-{uuid.uuid4().hex}"
+    x.write.parquet(stage)
+    x = spark.read.parquet(stage)
+    counts = {r["what"]: r["n"] for r in x.groupBy(F.when(F.col("reason").isNull(), "rows").when(F.col("reason") == SKIPPED, "skipped")
+                                                   .otherwise("dead").alias("what")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = x.where(F.col("reason").isNull()).drop("value", "reason")
+    if courses:
+        rows = rows.where(F.col("course_id").isin(list(courses)))
+    rows = rows.withColumn("course", F.when(F.size(F.split("course_id", "/")) >= 3, F.col("course_id")).otherwise(F.lit("UNKNOWN")))
+    dead = x.where(F.col("reason") != SKIPPED).select("source_file", F.col("value").alias("data"), "reason")
+    out = {"tracking_log": (rows, ["course", "log_date", "source_file"]), "dead_letters": (dead, ["source_file"])}
+    for table, (df, keys) in out.items():
+        (df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .option("maxRecordsPerFile", max_file_rows).partitionBy(*keys).parquet(f"{out_dir}/{table}"))
+    return {**{t: f"{out_dir}/{t}" for t in out}, "counts": {k: counts.get(k, 0) for k in ("rows", "dead", "skipped")}}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mooclens.session import path_exists
+from mooclens.session import delete_path, path_exists
 
 
 class BadRowsError(ValueError):
@@ -56,7 +56,9 @@ def load_table(spark: SparkSession, paths: str | list[str], schema: T.StructType
         rows = raw.where(F.col(corrupt).isNull()).drop(corrupt)
     else:
         raise ValueError(f"unsupported format {fmt!r}")
-    n_bad = bad.count() if max_bad_rows >= 0 else 0
+    if max_bad_rows < 0:
+        raise ValueError("max_bad_rows must not be negative")
+    n_bad = bad.count()
     if n_bad > max_bad_rows:
         raise BadRowsError(f"{n_bad} bad rows (allowed {max_bad_rows}) in {paths}")
     w = rows.write.mode("append" if append else "overwrite")
@@ -92,20 +94,20 @@ class DuplicateKeyError(ValueError):
 
 
 def merge_into(target: DataFrame, source: DataFrame, keys: list[str], match_equal: list[str] | None = None,
-               match_unequal: list[str] | None = None, check_duplicates: bool = False) -> DataFrame:
+               match_unequal: list[str] | None = None, check_duplicates: bool = True) -> DataFrame:
     """M2: upsert ``source`` into ``target`` on ``keys``; returns the merged table.
 
     Source rows without a match are inserted.  A matched target row takes all
     non-key values of the source row when every ``match_equal`` column is
     equal and every ``match_unequal`` column differs (``<>``: a NULL on either
     side is not a difference); otherwise it stays.  Keys compare with ``=``,
-    so NULL keys never match.  One full outer join, no per-key loops; with
-    ``check_duplicates`` a source key appearing twice raises, as a warehouse
-    MERGE would.
+    so NULL keys never match.  One full outer join, no per-key loops.  A source
+    key that appears twice raises, as a warehouse MERGE would; without
+    ``check_duplicates`` the caller vouches for the keys.
     """
     if check_duplicates:
-        dup = source.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count()
-        if dup:
+        named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        if not source.where(named).groupBy(*keys).count().where(F.col("count") > 1).isEmpty():
             raise DuplicateKeyError(f"merge source has duplicate keys on {keys}")
     cols = target.columns
     for c in source.columns:
@@ -164,3 +166,17 @@ def load_schema_file(path: str, table: str | None = None) -> T.StructType:
     if isinstance(spec, dict):
         spec = spec[table] if table else next(iter(spec.values()))
     return schema_from_spec(spec)
+
+
+def merge_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str], partition_by: list[str] | None = None, **options) -> DataFrame:
+    """M2 end to end: merge ``source`` into the stored table at ``path`` (made
+    if absent) and write it back.  The merged rows are stored beside the table
+    first, so the table is never read and replaced in one job, and a failed
+    job leaves it as it was."""
+    target = read_table(spark, path) if path_exists(spark, path) else source.limit(0)
+    beside = f"{path.rstrip('/')}__merged"
+    merge_into(target, source, keys, **options).write.mode("overwrite").parquet(beside)
+    w = spark.read.parquet(beside).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    delete_path(spark, beside)
+    return read_table(spark, path)

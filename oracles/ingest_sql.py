@@ -24,18 +24,29 @@ select course_id, user_id,
 from user_info_combo
 """),
     "ingest_grades_persistent": _w(["grades_persistent"], """
-select course_id, user_id, percent_grade, nullif(letter_grade, '') as letter_grade from grades_persistent
+with g as (select *, timestamp '2024-01-01 00:00:00' + to_minutes(cast(user_id % 1000 as int)) as t from grades_persistent)
+select course_id, user_id, md5(course_id) as grading_policy_hash, percent_grade, nullif(letter_grade, '') as letter_grade,
+  case when letter_grade <> '' then t end as passed_timestamp, t as created, t as modified
+from g
+"""),
+    "ingest_grades_subsection": _w(["grades_persistent"], """
+select course_id, user_id, 'block-v1:x+type@sequential+block@s' || cast(user_id % 7 as varchar) as usage_key,
+  percent_grade * 10 as earned_all, 10.0::double as possible_all, cast(null as double) as earned_graded, cast(null as double) as possible_graded,
+  case when user_id % 4 = 0 then timestamp '2024-02-01 10:00:00' end as first_attempted, timestamp '2024-02-01 10:00:00' as created,
+  cast(null as timestamp) as modified
+from grades_persistent where user_id % 2 = 0
 """),
     "ingest_studentmodule": _w(["studentmodule"], """
-select course_id, module_type, module_id, student_id, '{"attempts": 1}' as state, nullif(grade, '') as grade,
-  max_grade, created
+select student_id + 7 as id, module_type, module_id, student_id, '{"attempts": 1}' as state,
+  case when student_id % 5 <> 0 and upper(grade) <> 'NULL' then grade end as grade, created, created as modified, max_grade, 'na' as done, course_id
 from studentmodule
 """),
     "ingest_problem_analysis": _w(["problem_analysis"], """
-select course_id, user_id, problem_url_name, attempts, grade, max_grade, answer_id,
-  '"choice_' || cast(user_id % 4 as varchar) || '"' as response,
+select course_id, user_id, problem_url_name, attempts, grade, 50.0::double as max_grade, answer_id,
+  case when user_id % 10 = 0 then 'null' when user_id % 4 = 3 then '["choice_0","choice_2"]' when user_id % 4 = 2 then '"say \\"hi\\""'
+    else '"choice_' || cast(user_id % 4 as varchar) || '"' end as response,
   case when correct_bool then 'correct' else 'incorrect' end as correctness, correct_bool
-from problem_analysis where user_id % 10 <> 0
+from problem_analysis where user_id % 13 <> 0
 """),
     "ingest_roles": _w(["roles"], """
 select course_id, user_id,

@@ -1,34 +1,63 @@
-"""The batch split job: gzip log files -> table partitioned by course and day (+ dead letters)."""
+"""The batch split job: gzip log files -> table by course, day and source file (+ dead letters)."""
 
 import gzip
-
-from pyspark.sql import functions as F
+import json
 
 from mooclens.sources.logs import split_tracking_logs
 from mooclens.sources.tables import load_table, read_table
 
 
-def test_split_job_partitions_by_course_and_file_day(spark, tables, tmp_path):
-    raw = tables.raw_log_lines.orderBy("seq").limit(400).collect()
+def _write(folder, name, lines):
+    folder.mkdir(exist_ok=True)
+    with gzip.open(folder / name, "wt") as fh:
+        fh.writelines(f"{x}\n" for x in lines)
+
+
+def _record(user, course="course-v1:Uni+Bio1+2025", day="2024-01-05", **more):
+    return json.dumps({"time": f"{day}T10:00:00Z", "username": user, "event_type": "play_video", "event_source": "browser", "event": {},
+                       "context": {"course_id": course}, **more})
+
+
+def _counts(spark, paths):
+    rows = spark.read.parquet(paths["tracking_log"])
+    return rows, rows.count(), spark.read.parquet(paths["dead_letters"]).count()
+
+
+def test_rows_in_are_rows_out_dead_or_skipped_and_a_second_run_changes_nothing(spark, tables, tmp_path):
+    raw = [r.value for r in tables.raw_log_lines.orderBy("seq").limit(400).collect()]
+    src = tmp_path / "logs"
+    _write(src, "tracking.log-2024-01-05.gz", raw[:200])
+    _write(src, "tracking.log-2024-01-06.gz", raw[200:])
+    for _ in range(2):
+        paths = split_tracking_logs(spark, str(src / "*.gz"), str(tmp_path / "out"))
+        t, n, dead = _counts(spark, paths)
+        assert n + dead + paths["counts"]["skipped"] == len(raw) and paths["counts"]["rows"] == n
+    assert sorted(str(r.log_date) for r in t.select("log_date").distinct().collect()) == ["2024-01-05", "2024-01-06"]
+    split_tracking_logs(spark, str(src / "tracking.log-2024-01-06.gz"), str(tmp_path / "out"))
+    assert _counts(spark, paths)[1:] == (n, dead)
+
+
+def test_two_files_of_one_day_stand_side_by_side(spark, tmp_path):
+    """Loaded in turn, by file day and by record day; late records too."""
+    for dynamic in (False, True):
+        src, out = tmp_path / f"logs{dynamic}", str(tmp_path / f"out{dynamic}")
+        _write(src, "a-2024-01-05.gz", [_record("one"), "junk", "{broken"])
+        _write(src, "b-2024-01-05.gz", [_record("two"), _record("")])
+        _write(src, "c-2024-01-06.gz", [_record("late", day="2024-01-05")])
+        for f in ("a-2024-01-05.gz", "b-2024-01-05.gz", "c-2024-01-06.gz", "b-2024-01-05.gz"):
+            paths = split_tracking_logs(spark, str(src / f), out, dynamic_date=dynamic)
+        t, n, dead = _counts(spark, paths)
+        assert sorted(r.username for r in t.collect()) == ["late", "one", "two"] and dead == 2
+
+
+def test_short_course_ids_and_dateless_files_keep_their_records(spark, tmp_path):
     src = tmp_path / "logs"
-    src.mkdir()
-    half = len(raw) // 2
-    for name, chunk in (("tracking.log-2024-01-05.gz", raw[:half]), ("tracking.log-2024-01-06.gz", raw[half:])):
-        with gzip.open(src / name, "wt") as fh:
-            for r in chunk:
-                fh.write(r.value + "\n")
-    out = tmp_path / "out"
-    paths = split_tracking_logs(spark, str(src / "*.gz"), str(out), dynamic_date=False)
-    t = spark.read.parquet(paths["tracking_log"])
-    dead = spark.read.parquet(paths["dead_letters"]).count()
-    n = t.count()
-    assert n + dead == len(raw)
-    days = sorted(str(r.log_date) for r in t.select("log_date").distinct().collect())
-    assert days == ["2024-01-05", "2024-01-06"]
-    assert t.where(F.col("course_id") == "UNKNOWN").count() == 0
-    # re-running a day replaces only that day's partitions
-    split_tracking_logs(spark, str(src / "tracking.log-2024-01-06.gz"), str(out), dynamic_date=False)
-    assert spark.read.parquet(paths["tracking_log"]).count() == n
+    _write(src, "tracking.log.gz", [_record("a", course="Uni/Bio1"), _record("b"), _record("c", time="some day")])
+    paths = split_tracking_logs(spark, str(src / "*.gz"), str(tmp_path / "out"))
+    rows = {r.username: r for r in spark.read.parquet(paths["tracking_log"]).collect()}
+    assert set(rows) == {"a", "b"} and rows["a"].course == "UNKNOWN" and rows["b"].course == rows["b"].course_id
+    assert rows["a"].course_id != "UNKNOWN" and str(rows["b"].log_date) == "2024-01-05"
+    assert spark.read.parquet(paths["dead_letters"]).first().data.endswith("}")
 
 
 def test_csv_load_with_bad_rows(spark, tmp_path):
