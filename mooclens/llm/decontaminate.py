@@ -41,10 +41,10 @@ def word_hashes(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return span_hashes(LOWER[buf], starts, ends), doc
 
 
-def winnow(words: np.ndarray, doc: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+def winnow(words: np.ndarray, doc: np.ndarray, span: int, k: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(word position, fingerprint) of the k-grams kept so that every ``span``
-    words in a row of one document contain a kept k-gram."""
-    k = (span + 1) // 2
+    words in a row of one document contain a kept k-gram (by default half as long)."""
+    k = k or (span + 1) // 2
     w = span - k + 1
     if len(words) < span:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)

@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 from .common import ALNUM_WORD, LOWER, runs, span_hashes, word_spans
 from .decontaminate import winnow
 
-SPAN = 4  # any four words in a row of a template hold one of its fingerprints
+SPAN = 5  # any five words in a row of a template hold one of its fingerprints
+GRAM = 4  # words of a fingerprint
 LEAST = 0.8
 BAND = 12
 GAP, CHANGE, HIT = 1, 1, 2
@@ -77,7 +78,7 @@ class LicenseIndex:
             for text in texts:
                 buf = np.frombuffer(text.encode(), np.uint8)
                 words = _words(buf, np.array([0, len(buf)]))[0]
-                pos, fp = winnow(words, np.zeros(len(words), np.int64), min(SPAN, len(words)))
+                pos, fp = winnow(words, np.zeros(len(words), np.int64), min(SPAN, len(words)), GRAM)
                 fps.append(fp)
                 where.append(np.stack([np.full(len(pos), len(self.words)), pos], 1))
                 self.names.append(name)
@@ -87,7 +88,7 @@ class LicenseIndex:
 
     def candidates(self, words: np.ndarray, doc: np.ndarray):
         """(document, template, diagonal) named by shared fingerprints, sorted."""
-        pos, fp = winnow(words, doc, SPAN)
+        pos, fp = winnow(words, doc, SPAN, GRAM)
         lo, hi = np.searchsorted(self.fps, fp, "left"), np.searchsorted(self.fps, fp, "right")
         n = hi - lo
         each = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
