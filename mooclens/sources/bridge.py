@@ -284,8 +284,8 @@ def _grade_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     od = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = F.col("l_orderkey") % 3
     r = (li.join(od, li.l_orderkey == od.o_orderkey)
-         .groupBy(c.alias("c"), (F.col("o_custkey") % 150).alias("user_id"),
-                  (12 * (F.col("l_partkey") % 16) + (9 + 4 * c) % 12).alias("pid"))
+         .groupBy(c.alias("c"), F.col("o_custkey").alias("user_id"),
+                  (12 * F.greatest(F.floor(F.col("l_partkey") / 12) - 1, F.lit(0)) + (9 + 4 * c) % 12).alias("pid"))
          .agg(F.max("l_quantity").alias("grade"), F.max("l_linenumber").alias("attempts"),
               F.max("l_shipdate").cast("timestamp").alias("created")))
     return r
@@ -420,16 +420,18 @@ LAYOUT = {"tracking_log": ["course_id", "log_date"]}
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Names a data set by path, file sizes and times, through the Hadoop file system of its path."""
     import hashlib
-    import os
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    h = hashlib.sha1(sf_dir.encode())
     with open(__file__, "rb") as fh:   # a change to the bridge code invalidates stored tables
         h.update(fh.read())
+    jvm = spark.sparkContext._jvm
     for name in ("events", "customer", "part", "supplier", "nation", "region", "lineitem", "orders", "conversations"):
-        p = f"{sf_dir}/{name}.parquet"
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(p):
+            for st in fs.listStatus(p):
+                h.update(f"{name}:{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}".encode())
     return h.hexdigest()[:16]
 
 

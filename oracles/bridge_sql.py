@@ -128,8 +128,8 @@ from customer cross join cs where (c_custkey + c) % 4 <> 0
 """
 
 GRADE_ROWS = """
-select l_orderkey % 3 as c, o_custkey % 150 as user_id,
-        12*(l_partkey % 16) + (9 + 4*(l_orderkey % 3)) % 12 as pid,
+select l_orderkey % 3 as c, o_custkey as user_id,
+        12*greatest(l_partkey // 12 - 1, 0) + (9 + 4*(l_orderkey % 3)) % 12 as pid,
         max(l_quantity) as grade, max(l_linenumber) as attempts, max(l_shipdate) as created
       from lineitem join orders on l_orderkey = o_orderkey group by 1, 2, 3
 """
