@@ -7,17 +7,20 @@ holds the matching DuckDB text.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mooclens.operators import learner, logs
 from mooclens.plans import reports
-from mooclens.plans.build import run_query
+from mooclens.plans.build import build_reports, run_query
+from mooclens.session import checkpoint_dir
 from mooclens.sources import ingest
 from mooclens.sources.bridge import Tables
-from mooclens.sources.logs import ingest_lines
-from mooclens.sources.tables import merge_into, read_json_lines
+from mooclens.sources.logs import ingest_lines, split_tracking_logs
+from mooclens.sources.tables import merge_into, merge_table, read_json_lines
 
 
 def _t(spark, sf_dir) -> Tables:
@@ -37,6 +40,38 @@ def ingest_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dead.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _scratch(spark: SparkSession, what: str) -> str:
+    return f"{checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}"
+
+
+def split_tracking_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gzip files of platform lines through the split job, one file loaded twice, and read back."""
+    path = _scratch(spark, "split")
+    lines = _t(spark, sf_dir).raw_log_lines
+    (lines.select("value", F.pmod(F.col("seq"), F.lit(2)).alias("part")).repartition("part").write.partitionBy("part")
+     .option("compression", "gzip").text(f"{path}/logs"))
+    for files in (f"{path}/logs/*/*.gz", f"{path}/logs/part=1/*.gz"):
+        out = split_tracking_logs(spark, files, f"{path}/out", dynamic_date=True)
+    rows = spark.read.parquet(out["tracking_log"])
+    return rows.select("course_id", "time", "username", "ip", "event_source", "event_type", "module_id", "event",
+                       F.col("event_struct.mode").alias("mode"), F.col("event_struct.GET").alias("get"))
+
+
+def merge_table_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 end to end: the location table is stored, merged twice with the same changes, and read back."""
+    geo, path = _t(spark, sf_dir).geoip, f"{_scratch(spark, 'geo')}/table"
+    merge_table(spark, path, geo, ["ip"])
+    return merge_table(spark, path, _merge_source(geo), ["ip"], match_unequal=["city"])
+
+
+def build_reports_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3 with a course filter: two courses are built into a stored report, one of them again."""
+    path = _scratch(spark, "build")
+    for courses in (["DemoX/C0/T1", "DemoX/C2/T1"], ["DemoX/C2/T1"]):
+        build_reports(spark, _t(spark, sf_dir), path, ["enrollday_all"], courses=courses, fail_fast=True)
+    return spark.read.parquet(f"{path}/enrollday_all")
+
+
 FORUM_SCHEMA = T.StructType([
     T.StructField("course_id", T.StringType()), T.StructField("mongoid", T.StringType()),
     T.StructField("_type", T.StringType()), T.StructField("author_id", T.LongType()),
@@ -152,6 +187,9 @@ QUERIES = {
     "show_answer_stats_by_course_pc": show_answer_stats_by_course_pc,
     "ingest_tracking_log": ingest_tracking_log,
     "ingest_dead_letters": ingest_dead_letters,
+    "split_tracking_log": split_tracking_log,
+    "merge_table_written": merge_table_written,
+    "build_reports_subset": build_reports_subset,
     "load_json_table": load_json_table,
     "merge_into_geoip": merge_into_geoip,
     "log_window_show_answer": log_window_show_answer,

@@ -232,27 +232,38 @@ def grading_policy(policies: DataFrame, text_col: str = "policy") -> DataFrame:
 
 # ---------------------------------------------------------- I12 forum (mongo)
 _OID = T.StructType([T.StructField("$oid", T.StringType())])
+_DATE = T.StructType([T.StructField("$date", T.StringType())])
+# declared columns by kind (fixed values)
+FORUM_TEXTS = ("_type author_username title body thread_type commentable_id sk abuse_flaggers historical_abuse_flaggers at_position_list "
+               "tags_array").split()
+FORUM_FLAGS = "pinned endorsed anonymous anonymous_to_peers visible closed".split()
+FORUM_COUNTS = "author_id child_count comment_count group_id".split()
+FORUM_IDS = "comment_thread_id parent_id".split()
+FORUM_DATES = "created_at updated_at last_activity_at".split()
+FORUM_VOTES = {"count": "bigint", "point": "bigint", "up_count": "bigint", "down_count": "bigint", "up": "string", "down": "string"}
 MONGO_FORUM_SCHEMA = T.StructType([
-    T.StructField("_id", _OID), T.StructField("_type", T.StringType()), T.StructField("course_id", T.StringType()),
-    T.StructField("author_id", T.StringType()), T.StructField("author_username", T.StringType()),
-    T.StructField("title", T.StringType()), T.StructField("body", T.StringType()),
-    T.StructField("comment_thread_id", _OID), T.StructField("parent_id", _OID),
-    T.StructField("created_at", T.StructType([T.StructField("$date", T.StringType())])),
-    T.StructField("pinned", T.BooleanType()), T.StructField("endorsed", T.BooleanType()),
-    T.StructField("votes", T.StructType([T.StructField("count", T.LongType()), T.StructField("up", T.StringType())])),
+    T.StructField("_id", _OID), T.StructField("course_id", T.StringType()), T.StructField("parent_ids", T.ArrayType(_OID)),
+    *[T.StructField(n, T.StringType()) for n in (*FORUM_TEXTS, *FORUM_FLAGS, *FORUM_COUNTS)],
+    *[T.StructField(n, _OID) for n in FORUM_IDS], *[T.StructField(n, _DATE) for n in FORUM_DATES],
+    T.StructField("votes", T.StructType([T.StructField(n, T.StringType()) for n in FORUM_VOTES])),
+    T.StructField("endorsement", T.StructType([T.StructField("user_id", T.StringType()), T.StructField("time", _DATE)])),
 ])
 
 
 def forum_from_mongo(lines: DataFrame, text_col: str = "value") -> DataFrame:
     """Extended-JSON forum documents -> flat forum rows (``$oid`` and
-    ``$date`` unwrapped, course id cleaned, list values kept as JSON text)."""
+    ``$date`` unwrapped, course id cleaned, list values kept as JSON text,
+    "NULL" texts NULL)."""
     d = lines.select(F.from_json(text_col, MONGO_FORUM_SCHEMA).alias("d")).select("d.*")
-    return d.select(clean_course_id(C).alias(C), F.col("_id.$oid").alias("mongoid"), "_type",
-                    F.col("author_id").try_cast("bigint").alias("author_id"), "author_username", "title", "body",
-                    F.col("comment_thread_id.$oid").alias("comment_thread_id"),
-                    F.col("parent_id.$oid").alias("parent_id"),
-                    F.try_to_timestamp(F.col("created_at.$date")).alias("created_at"),
-                    "pinned", "endorsed", "votes")
+    text = lambda c: F.when(c != "NULL", c)
+    return d.select(
+        clean_course_id(C).alias(C), F.col("_id.$oid").alias("mongoid"), *[text(F.col(n)).alias(n) for n in FORUM_TEXTS],
+        *[F.col(n).try_cast("boolean").alias(n) for n in FORUM_FLAGS], *[F.col(n).try_cast("bigint").alias(n) for n in FORUM_COUNTS],
+        *[F.col(f"{n}.$oid").alias(n) for n in FORUM_IDS], *[F.try_to_timestamp(F.col(f"{n}.$date")).alias(n) for n in FORUM_DATES],
+        F.to_json(F.transform("parent_ids", lambda p: p["$oid"])).alias("parent_ids"),
+        F.when(F.col("votes").isNotNull(), F.struct(*[F.col(f"votes.{n}").try_cast(t).alias(n) for n, t in FORUM_VOTES.items()])).alias("votes"),
+        F.when(F.col("endorsement").isNotNull(), F.struct(F.col("endorsement.user_id").alias("user_id"),
+                                                          F.try_to_timestamp(F.col("endorsement.time.$date")).alias("time"))).alias("endorsement"))
 
 
 # ----------------------------------------------------- I14 problem_analysis
@@ -330,8 +341,9 @@ def email_opt_in(rows: DataFrame) -> DataFrame:
         F.concat(F.array_join(F.slice(parts, 1, 3), "/"), F.lit("_"),
                  F.array_join(F.slice(parts, F.lit(4), F.size(parts)), "_")))
     ts = F.split(F.col("preference_set_datetime"), r"\+").getItem(0)
+    side = [(F.col(n) if n in rows.columns else F.lit(None).cast("string")).alias(n) for n in ("username", "email", "full_name")]
     return rows.where(F.col("user_id").isNotNull()).select(
-        F.col("user_id").try_cast("bigint").alias("user_id"), cleaned.alias(C),
+        F.col("user_id").try_cast("bigint").alias("user_id"), *side, cleaned.alias(C),
         (F.lower(F.trim(F.coalesce(F.col("is_opted_in_for_email"), F.lit("")))) == "true").alias("is_opted_in_for_email"),
         F.try_to_timestamp(ts, F.lit("yyyy-MM-dd HH:mm:ss")).alias("preference_set_datetime"))
 
@@ -859,6 +871,7 @@ def q_video_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_forum_mongo(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = Tables(spark, sf_dir).forum
+    _author = F.col("author_id").cast("string")
 
     def oid(c):
         return F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("$oid")))
@@ -868,11 +881,17 @@ def q_forum_mongo(spark: SparkSession, sf_dir: str) -> DataFrame:
                              "author_username", "title", "body", oid("comment_thread_id").alias("comment_thread_id"),
                              oid("parent_id").alias("parent_id"),
                              F.struct(F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("$date"))
-                             .alias("created_at"), "pinned", "endorsed", "votes"))
+                             .alias("created_at"), "pinned", "endorsed", "votes",
+                             F.struct(F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("$date")).alias("updated_at"),
+                             F.when(F.col("parent_id").isNotNull(), F.array(F.struct(F.col("parent_id").alias("$oid")))).alias("parent_ids"),
+                             F.array(_author).alias("abuse_flaggers"), F.lit("NULL").alias("sk"),
+                             F.struct(_author.alias("user_id"), F.struct(F.lit("2024-03-04T05:06:07Z").alias("$date")).alias("time"))
+                             .alias("endorsement")))
     out = forum_from_mongo(f.select(doc.alias("value")))
     return out.select("course_id", "mongoid", "_type", "author_id", "author_username", "title", "body",
                       "comment_thread_id", "parent_id", "created_at", "pinned", "endorsed",
-                      F.col("votes.count").alias("votes_count"))
+                      F.col("votes.count").alias("votes_count"), "updated_at", "parent_ids", "abuse_flaggers", "sk",
+                      F.col("endorsement.user_id").alias("endorser"), F.col("endorsement.time").alias("endorsed_at"))
 
 
 QUERIES = {

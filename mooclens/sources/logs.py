@@ -32,21 +32,32 @@ def _st(*fields):
 RAW_LOG_SCHEMA = _st(
     ("time", S), ("username", S), ("ip", S), ("event_source", S), ("event_type", S), ("agent", S),
     ("page", S), ("host", S), ("name", S), ("session", S), ("course_id", S), ("module_id", S),
-    ("event", S),
+    ("event", S), ("vname", S), ("datafn", S), ("_id", _st(("$oid", S))),
     ("context", _st(("course_id", S), ("user_id", S), ("org_id", S), ("path", S), ("agent", S),
+                    ("username", S), ("ip", S), ("host", S), ("session", S),
                     ("module", _st(("display_name", S), ("usage_key", S), ("original_usage_key", S),
                                    ("original_usage_version", S))),
                     ("application", S), ("client", S), ("received_at", S), ("component", S),
                     ("open_in_browser_url", S), ("asides", S), ("course_user_tags", S))),
 )
 
-# Event payload fields that reports read; nested objects are kept as JSON text.
-EVENT_SCHEMA = _st(
-    ("user_id", L), ("mode", S), ("query", S), ("GET", S), ("POST", S), ("answers", S), ("attempts", L),
-    ("success", S), ("grade", D), ("max_grade", D), ("problem_id", S), ("state", S), ("correct_map", S),
-    ("submission", S), ("id", S), ("currentTime", D), ("speed", S), ("new_speed", S), ("old_speed", S),
-    ("event_type", S), ("course_id", S),
-)
+# Declared leaves of the event payload by type (fixed values). They are read as
+# JSON text and cast, so a number written as a text counts, and nested values
+# of text leaves stay JSON text.
+EVENT_LEAVES = {
+    "string": ("POST GET course_id mode data code id problem type problem_id answers submission success correct_map failure course query corrected_text "
+               "child_id partition_name group_name old_state new_state status is_user_staff chapter direction name chapter_title caseSensitive findPrevious "
+               "highlightAll item_id submission_returned_uuid requesting_student_id saved_response created_at submission_uuid submitted_at corrections "
+               "options_selected scorer_id feedback score_type parts scored_at feedback_text options thumbnail_title location permutation url "
+               "descriptionText description title aws_secret_key uploadedFileDir aws_access_key bucketName uploadedFileName error old_description "
+               "old_title old_url old_descriptionText toggle reason isProblematic oldReason selection element "
+               "state speed new_speed old_speed event_type answer rubric").split(),
+    "bigint": "user_id new old attempts total_results page group_id partition_id attempt_number downvotes upvotes newVotes oldVotes category".split(),
+    "double": "currentTime new_time old_time grade max_grade current_time amount".split(),
+}
+EVENT_SCHEMA = T.StructType([T.StructField(n, {"string": S, "bigint": L, "double": D}[k]) for k, names in EVENT_LEAVES.items() for n in names])
+_EVENT_TEXT = T.StructType([T.StructField(f.name, S) for f in EVENT_SCHEMA] + [T.StructField("child-id", S)])
+
 
 # Event types whose payload is kept as a typed struct, and markers that
 # exclude an event type from it (fixed values).
@@ -104,7 +115,11 @@ def normalize_log(records: DataFrame, seq_col: str = "seq", keep: list[str] | No
     # staged projections: each derived value becomes a column before it is
     # reused, so generated code stays small (no copies of big expressions)
     x = records.select("*", _event_text(r["event"]).alias("_event"))
-    x = x.select("*", F.from_json("_event", EVENT_SCHEMA).alias("event_obj"))
+    x = x.select("*", F.from_json("_event", _EVENT_TEXT).alias("_leaves"))
+    leaf = F.col("_leaves")
+    texts = {f.name: F.coalesce(leaf[f.name], leaf["child-id"]) if f.name == "child_id" else leaf[f.name] for f in EVENT_SCHEMA}
+    x = x.select("*", F.struct(*[(texts[f.name] if f.dataType == S else texts[f.name].try_cast(f.dataType)).alias(f.name)
+                                 for f in EVENT_SCHEMA]).alias("event_obj"))
     rec = F.struct(r["course_id"].alias("course_id"), r["context"].alias("context"), r["page"].alias("page"),
                    r["event_type"].alias("event_type"), r["name"].alias("name"), F.col("event_obj").alias("event_obj"))
     x = x.select("*", course_id_candidate(rec).alias("_cid"), module_id_candidate(rec).alias("_mid"))
@@ -140,8 +155,10 @@ def normalize_log(records: DataFrame, seq_col: str = "seq", keep: list[str] | No
         F.col("_event").alias("event"),
         F.struct(ctx_user.alias("user_id"), ctx["path"].alias("path"), ctx["course_id"].alias("course_id"),
                  ctx["org_id"].alias("org_id"), ctx["module"].alias("module"), agent_json.alias("agent"),
-                 ctx["course_user_tags"].alias("course_user_tags")).alias("context"),
+                 ctx["course_user_tags"].alias("course_user_tags"),
+                 *[ctx[n].alias(n) for n in ("username", "ip", "host", "session")]).alias("context"),
         F.when(known, typed).otherwise(generic).alias("event_struct"),
+        *[r[n].alias(n) for n in ("host", "name", "session", "vname", "datafn")], r["_id"]["$oid"].alias("mongoid"),
         *(keep or []),
     )
 

@@ -1,6 +1,7 @@
 """DuckDB oracles for the ingest and table-upkeep queries (``mooclens.plans.extra_queries``)."""
 
 from oracles import oracle, with_deps
+from oracles.ingest_sql import INGEST
 from oracles.reports_sql import PERSON_COURSE_DEPS, REPORTS, person_course_sql, time_on_task_sql
 
 _KNOWN = ("'play_video', 'seq_goto', 'seq_next', 'seq_prev', 'seek_video', 'load_video', 'save_problem_success', "
@@ -113,8 +114,7 @@ EXTRA["show_answer_stats_by_course_pc"] = _with(["show_answer_stats_by_user", "p
            for s in ("explored", "certified", "verified") for g in _G])
     + "\nfrom by_user group by course_id")
 
-try:
-    from oracles.ingest_sql import INGEST
-    EXTRA.update(INGEST)
-except ImportError:
-    pass
+EXTRA.update(INGEST)
+EXTRA["split_tracking_log"] = f"select * exclude (seq) from ({EXTRA['ingest_tracking_log']})"
+EXTRA["merge_table_written"] = EXTRA["merge_into_geoip"]
+EXTRA["build_reports_subset"] = f"select * from ({oracle('enrollday_all')}) where course_id in ('DemoX/C0/T1', 'DemoX/C2/T1')"

@@ -61,7 +61,7 @@ where roles_isBetaTester + roles_isInstructor + roles_isStaff + roles_isCCX + ro
       + forumRoles_isStudent > 0
 """),
     "ingest_email_opt_in": _w(["user_info_combo"], """
-select user_id, course_id, user_id % 3 = 0 as is_opted_in_for_email,
+select user_id, username, email, cast(null as varchar) as full_name, course_id, user_id % 3 = 0 as is_opted_in_for_email,
   date_trunc('second', enrollment_created) as preference_set_datetime
 from user_info_combo
 """),
@@ -111,7 +111,10 @@ select course_id, url_name, duration from course_axis where category = 'video'
 """),
     "ingest_forum_mongo": _w(["forum"], """
 select course_id, mongoid, _type, author_id, author_username, title, body, comment_thread_id, parent_id, created_at,
-  pinned, endorsed, votes_count
+  pinned, endorsed, votes_count, date_trunc('second', created_at) as updated_at,
+  case when parent_id is not null then '["' || parent_id || '"]' end as parent_ids,
+  '["' || cast(author_id as varchar) || '"]' as abuse_flaggers, cast(null as varchar) as sk, cast(author_id as varchar) as endorser,
+  timestamp '2024-03-04 05:06:07' as endorsed_at
 from forum
 """),
     "ingest_grading_policy": _w(["grading_policy"], """
