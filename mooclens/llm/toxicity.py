@@ -144,12 +144,12 @@ def train(texts: pa.Array, toxic: np.ndarray, epochs: int = EPOCHS) -> Model:
     """Joint fit of embeddings and softmax by Adam on the log loss; deterministic."""
     if not len(toxic):
         return Model(np.zeros(BUCKETS, np.float32), -60.0)
-    sizes, bucket, value = [], [], []
-    for a, b, buf, off in runs(texts, RUN_BYTES // 2):
+    bucket, value = [], []  # per document
+    for a, b, buf, off in runs(texts, RUN_BYTES // 4):
         d, k, v = Bags(buf, off).rows()
-        sizes.append(np.bincount(d, minlength=b - a)), bucket.append(k.astype(np.int32)), value.append(v)
-    first = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-    bucket, value = np.concatenate(bucket), np.concatenate(value)
+        cut = np.searchsorted(d, np.arange(1, b - a))
+        bucket += np.split(k.astype(np.int32), cut)
+        value += np.split(v.astype(np.float32), cut)
     rng = np.random.default_rng(7)
     share = np.clip(toxic.mean(), 1e-3, 1 - 1e-3)
     embed = rng.normal(0, 0.1, (DIM, BUCKETS)).astype(np.float32)
@@ -162,10 +162,9 @@ def train(texts: pa.Array, toxic: np.ndarray, epochs: int = EPOCHS) -> Model:
         rate = RATE * (1 - epoch / epochs)
         for a in range(0, len(order), BATCH):
             pick = order[a:a + BATCH]
-            size = first[pick + 1] - first[pick]
-            row = np.repeat(np.arange(len(pick)), size)
-            at = np.repeat(first[pick], size) + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-            b, v = bucket[at], value[at] * np.float32(GAIN)
+            row = np.repeat(np.arange(len(pick)), [len(bucket[i]) for i in pick])
+            b = np.concatenate([bucket[i] for i in pick])
+            v = np.concatenate([value[i] for i in pick]) * np.float32(GAIN)
             mean = np.stack([np.bincount(row, embed[k][b] * v, len(pick)) for k in range(DIM)], 1).astype(np.float32)
             z = mean @ soft.T + bias
             z -= z.max(1, keepdims=True)
