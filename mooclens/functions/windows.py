@@ -7,15 +7,21 @@ partition (``lag`` is the case of an always-non-null expression).  A plain
 one task; a bot or a load-test account can own a large share of a log.  Here the
 window runs on ``keys + [bucket]`` (an hour of time by default), and the value
 carried into each bucket from the earlier ones comes from a per-bucket summary
-table (one row per key and hour) joined back.  Result is identical to the
-unsplit window.
+table (one row per key and hour) joined back.  The window's rows are stored in
+the shared folder and both the summary and the join read them there, so the log
+is scanned, its expressions evaluated and its rows shuffled for the window once.
+Result is identical to the unsplit window.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mooclens.session import checkpoint_dir
+
 # Width of the sub-partitions of a key; None runs the plain (unsplit) window.
 DEFAULT_BUCKET = "hour"
 
@@ -48,10 +54,12 @@ def previous_values(df: DataFrame, keys: list[str], order: list[str], values: di
     tmp = {n: f"_pv_{i}" for i, n in enumerate(names)}
     x = df.withColumn(b, bucket).select("*", *[values[n].alias(tmp[n] + "_v") for n in names])
 
-    # in-bucket running values first: the bucket summary below reads the same
-    # (keys, bucket)-partitioned rows, so it reuses this shuffle and adds none
+    # in-bucket running values, stored: the bucket summary and the join below read them
     w = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     x = x.select("*", *[F.last(tmp[n] + "_v", ignorenulls=True).over(w).alias(tmp[n] + "_w") for n in names])
+    path = f"{checkpoint_dir(df.sparkSession)}/window-{uuid.uuid4().hex}"
+    x.write.option("compression", "zstd").parquet(path)
+    x = df.sparkSession.read.schema(x.schema).parquet(path)
 
     # last non-null value of each expression inside each (keys, bucket)
     ordkey = F.struct(*[F.col(o) for o in order])

@@ -36,3 +36,10 @@ def test_gap_window_is_split_below_the_learner(tables):
 def test_modal_ip_is_an_aggregate_not_a_sort(tables):
     text = _plan(logs.course_modal_ip(logs.pc_day_ip_counts(tables.tracking_log)))
     assert "row_number" not in text and "Window" not in text
+
+
+def test_gap_window_scans_the_log_once(spark, tables):
+    """The log is read by the one job that stores the window's rows; the report's own plan reads those."""
+    log_files = {f.rsplit("/", 1)[0].split("/tracking_log")[0] for f in tables.tracking_log.inputFiles()}
+    report = timing.time_on_task(tables.tracking_log)
+    assert all("/window-" in f for f in report.inputFiles()) and log_files
