@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NCOURSES = 3
+HOT_LEARNER = 7
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,7 +68,9 @@ def tracking_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One burst of 8 log rows per driver event (80,000 rows at sf0.01)."""
     # the driver's events file is one row group (one scan task); spread it
     # before the 8x fan-out so the log is built by all cores
-    ev = read(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    # a third of every course's events belong to one learner
+    hot = F.floor(F.col("event_id") / 3) % 3 == 0
+    ev = read(spark, sf_dir, "events").select("event_id", F.when(hot, F.lit(HOT_LEARNER)).otherwise(F.col("user_id")).cast("bigint").alias("user_id"), "ts")
     ev = ev.repartition(spark.sparkContext.defaultParallelism, "event_id")
     b = ev.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"),
                   F.explode(F.sequence(F.lit(0), F.lit(7))).alias("j"))

@@ -8,7 +8,7 @@ They are used as CTEs in front of the report oracles.
 
 TRACKING_LOG = """
 with j as (select * from (values (0),(1),(2),(3),(4),(5),(6),(7)) t(j)),
-b as (select event_id, user_id, ts, j, event_id % 3 as c, (event_id + 5*j) % 27 as e,
+b as (select event_id, case when event_id // 3 % 3 = 0 then 7 else user_id end as user_id, ts, j, event_id % 3 as c, (event_id + 5*j) % 27 as e,
         (event_id*7 + j) % 16 as q, event_id % 18 as k, event_id*8 + j as seq,
         'DemoX/C' || cast(event_id % 3 as string) || '/T1' as course_id
       from events cross join j),
