@@ -10,7 +10,7 @@ on both sides; the lengths that occur (at most 13) decide which are taken.
 Document fingerprints stream into a join with the benchmark's (Spark broadcasts
 these only when their stored size is small, else both sides are shuffled by
 fingerprint). A hit names a diagonal (document position minus item position); the
-texts that were hit are read again, and along each diagonal equal words are
+texts that were hit are read again (a bounded table of bits keeps the others from being shuffled), and along each diagonal equal words are
 extended to the full shared span. Spans of a window or more count.
 
 Results belong to texts, keyed by a 128-bit digest, so copies are verified
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ALNUM_WORD, LOWER, gram_hashes, mix, runs, sliding, span_hashes, stored, text_key, word_spans
+from .common import ALNUM_WORD, LOWER, bit_pages, gram_hashes, maybe_in, mix, runs, sliding, span_hashes, stored, text_key, word_spans
 
 WINDOW = 13
 
@@ -161,7 +161,9 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     hits = rows.filter("item is not null").select("key", "item", "diagonal").distinct().join(items, "item")
     hits = hits.groupBy("key").agg(F.collect_list(F.struct("words", "ids", "diagonal")).alias("hits"))
     texts = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text"))
-    texts = texts.join(rows.filter("item is not null").select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    # only texts that may have been hit are shuffled, and copies are combined before that; the join decides
+    pages = bit_pages(spark, rows.filter("item is not null").select(F.xxhash64("key").alias("h")).distinct())
+    texts = maybe_in(texts, F.xxhash64("key"), pages).dropDuplicates(["key"])
     result = _verify(texts.join(hits, "key").select("key", "text", "hits"), window)
     heads = rows.filter("n_words is not null").select("id", "key", "n_words")
     out = heads.join(result, "key", "left")
