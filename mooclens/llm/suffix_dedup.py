@@ -216,7 +216,8 @@ def repeats(spark: SparkSession, docs: DataFrame, span: int = SPAN, gram: int =
     pages = bit_pages(spark, anchors.filter("n > 1"))
     places = stored(spark, maybe_in(_occurrences(docs, text_col, span, gram, "places"), F.col("anchor"), pages), "places")
     kinds = stored(spark, places.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"), F.first("lo").alias("lo"), F.first("hi").alias("hi")), "kinds")
-    sizes = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum(F.col("hi") - F.col("lo") + span + 1).alias("volume")).filter("kinds > 1")
+    sizes = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.sum(F.col("hi") - F.col("lo") + span + 1).alias("volume"))
+    sizes = stored(spark, sizes.filter("kinds > 1").select("anchor", "volume"), "sizes")  # stored: a hot anchor's join can then be split
     mixed = stored(spark, kinds.join(sizes, "anchor").select("anchor", "whole", "n", "volume"), "mixed")
     pages = bit_pages(spark, mixed.select(F.xxhash64("anchor", "whole").alias("h")))
     rows = maybe_in(_occurrences(docs, text_col, span, gram, "bytes"), F.xxhash64("anchor", "whole"), pages).dropDuplicates(["anchor", "whole"])
