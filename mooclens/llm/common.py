@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from mooclens.session import checkpoint_dir
 
-RUN_BYTES = 2 << 20
+RUN_BYTES = 1 << 20
 PAGE_BITS = 16  # pages of a table of bits: 2^16 of 2^11 bits each, 16 MB at most
 
 _ODD = 0x9E3779B97F4A7C15  # base of the polynomial hash; odd, so it has an inverse mod 2^64

@@ -39,7 +39,7 @@ from .common import LOWER, Numbers, byte_class, rows_of, runs, span_hashes, stor
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 800_000
 
 SOLID = byte_class(lambda b: b not in b" \n\t\r")
 CLOSING = byte_class(lambda b: b in b".,")

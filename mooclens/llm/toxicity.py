@@ -35,7 +35,7 @@ BATCH = 64
 RATE = 0.01
 GAIN = 60.0  # of the average: a telling word is one in fifty or so
 DECAY = 1e-5
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 250_000
 
 
 @dataclass(frozen=True)
@@ -145,7 +145,7 @@ def train(texts: pa.Array, toxic: np.ndarray, epochs: int = EPOCHS) -> Model:
     if not len(toxic):
         return Model(np.zeros(BUCKETS, np.float32), -60.0)
     bucket, value = [], []  # per document
-    for a, b, buf, off in runs(texts, RUN_BYTES // 4):
+    for a, b, buf, off in runs(texts, RUN_BYTES // 2):
         d, k, v = Bags(buf, off).rows()
         cut = np.searchsorted(d, np.arange(1, b - a))
         bucket += np.split(k.astype(np.int32), cut)
