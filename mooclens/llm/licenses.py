@@ -1,12 +1,15 @@
-"""License scan: winnowed fingerprints, inverted index, banded alignment (operator 3).
+"""License scan: fingerprints, inverted index, banded alignment (operator 3).
 
 Templates and documents are word sequences (lower-cased, letters and digits).
-The templates' winnowed k-grams form an inverted index, fingerprint -> (template,
-position), a fixed small table that every task holds. Fingerprints that a document
-shares with a template name candidate diagonals; around each, template
-and document are aligned locally within a band, which allows words to be inserted,
-left out or changed. A match is reported if it covers ``least`` of the template's words,
-with its coverage and its span in the text. Nothing is shuffled.
+A match covers ``least`` of its template's n words, so it holds one of any n - m + 1
+places of the template, where m words are enough. The n - m + 1 least common ones are the
+template's fingerprints: words, since words may be inserted anywhere and no longer gram need stand
+intact. They form an inverted index, word -> (template, position), a fixed small table that every
+task holds. A document's words found there name diagonals; those whose surroundings
+hold m words of the template at all are aligned locally within a band,
+which allows words to be inserted, left out or changed, at every diagonal whose band holds
+the fingerprint. So the matches are those that aligning at every diagonal of every
+document would give. Each has its coverage and its span in the text. Nothing is shuffled.
 
 Edge cases: a null or empty text has no matches; a license named twice is
 reported twice; equal rows get equal answers; other columns are ignored. Offsets are code
@@ -22,12 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import ALNUM_WORD, LOWER, runs, span_hashes, word_spans
-from .decontaminate import winnow
 
-SPAN = 5  # any five words in a row of a template hold one of its fingerprints
-GRAM = 4  # words of a fingerprint
 LEAST = 0.8
 BAND = 12
+CELLS = 1 << 18  # of alignments computed at a time
+#: Words that are taken as fingerprints last; this decides on time only.
+COMMON = frozenset("a all an and any are as be by for from in is it no not of on or provided that the this to under use with work you".split())
 GAP, CHANGE, HIT = 1, 1, 2
 
 # fixed values: notices as they stand in files and pages
@@ -71,61 +74,120 @@ def _words(buf: np.ndarray, off: np.ndarray):
 
 
 class LicenseIndex:
-    def __init__(self, templates=None):
-        self.names, self.words = [], []
-        fps, where = [], []
+    def __init__(self, templates=None, least: float = LEAST):
+        self.names, self.words, self.least, self.bands = [], [], [], []
+        spelt = []
         for name, texts in (templates or TEMPLATES).items():
             for text in texts:
                 buf = np.frombuffer(text.encode(), np.uint8)
-                words = _words(buf, np.array([0, len(buf)]))[0]
-                pos, fp = winnow(words, np.zeros(len(words), np.int64), min(SPAN, len(words)), GRAM)
-                fps.append(fp)
-                where.append(np.stack([np.full(len(pos), len(self.words)), pos], 1))
+                words, starts, ends, _ = _words(buf, np.array([0, len(buf)]))
+                size = len(words)
                 self.names.append(name)
                 self.words.append(words)
-        order = np.argsort(np.concatenate(fps), kind="stable")
-        self.fps, self.where = np.concatenate(fps)[order], np.concatenate(where)[order]
-
-    def candidates(self, words: np.ndarray, doc: np.ndarray):
-        """(document, template, diagonal) named by shared fingerprints, sorted."""
-        pos, fp = winnow(words, doc, SPAN, GRAM)
-        lo, hi = np.searchsorted(self.fps, fp, "left"), np.searchsorted(self.fps, fp, "right")
-        n = hi - lo
-        each = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
-        pos, post = np.repeat(pos, n), self.where[each]
-        return np.unique(np.stack([doc[pos], post[:, 0], pos - post[:, 1]], 1), axis=0)
-
-
-def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int):
-    """Best local alignment with document position - template position within
-    ``band`` of ``diagonal``: (matched words, first word, end word)."""
+                self.least.append(max(1, int(np.ceil(least * size))))
+                self.bands.append(min(BAND + size // 8, max(2, size // 2)))  # narrow for short notices, which may follow each other closely
+                spelt.append([LOWER[buf[x:y]].tobytes().decode() for x, y in zip(starts, ends)])
+        self.vocabulary = np.unique(np.concatenate(self.words))
+        self.ids = [np.searchsorted(self.vocabulary, w) for w in self.words]
+        uses = np.bincount(np.concatenate(self.ids))
+        self.holds = np.zeros((len(self.words), len(self.vocabulary) + 1), bool)  # last column: words of no template
+        keys, where = [], []
+        for t, (ids, words) in enumerate(zip(self.ids, spelt)):
+            self.holds[t, ids] = True
+            rare = sorted(range(len(ids)), key=lambda i: (words[i] in COMMON, uses[ids[i]], -len(words[i]), i))[:len(ids) - self.least[t] + 1]
+            keys += [int(ids[i]) for i in rare]
+            where += [(t, i) for i in rare]
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.where = np.array(keys)[order], np.array(where)[order]
+
+    def numbers(self, words: np.ndarray) -> np.ndarray:
+        """Each word's number in the vocabulary, or its size for words of no template."""
+        at = np.minimum(np.searchsorted(self.vocabulary, words), len(self.vocabulary) - 1)
+        return np.where(self.vocabulary[at] == words, at, len(self.vocabulary))
+
+    def candidates(self, ids: np.ndarray, doc: np.ndarray, first: np.ndarray):
+        """Per template its (document, diagonal) named by fingerprints with enough words around them, sorted. ``first``: first word of each document, and the end."""
+        lo, hi = np.searchsorted(self.keys, ids, "left"), np.searchsorted(self.keys, ids, "right")
+        at = np.flatnonzero(hi > lo)
+        n, low = hi[at] - lo[at], lo[at]
+        pos, post = np.repeat(at, n), self.where[np.repeat(low - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+        order = np.argsort(post[:, 0], kind="stable")
+        pos, post = pos[order], post[order]
+        cut = np.searchsorted(post[:, 0], np.arange(len(self.words) + 1))
+        for t in np.flatnonzero(np.diff(cut)).tolist():
+            p, i = pos[cut[t]:cut[t + 1]], post[cut[t]:cut[t + 1], 1]
+            reach = 2 * self.bands[t]
+            seen = np.concatenate([[0], np.cumsum(self.holds[t][ids])])
+            d = doc[p]
+            start, end = np.maximum(p - i - reach, first[d]), np.minimum(p - i + len(self.ids[t]) + reach, first[d + 1])
+            enough = seen[end] - seen[start] >= self.least[t]
+            if enough.any():
+                yield t, np.unique(np.stack([d, p - i], 1)[enough], axis=0)
+
+    def matches(self, words: np.ndarray, doc: np.ndarray, docs: int):
+        """(document, template, matched words, first word, end word) of the alignments that cover enough."""
+        first = np.searchsorted(doc, np.arange(docs + 1))
+        ids = self.numbers(words)
+        for t, named in self.candidates(ids, doc, first):
+            band = self.bands[t]
+            hits, s, e, score = align_all(self.ids[t], ids, first[named[:, 0]], first[named[:, 0] + 1], named[:, 1], band)
+            # an intact notice is the best alignment at every diagonal whose band holds it
+            rest = named[score < HIT * len(self.ids[t])]
+            more = np.unique(np.stack([np.repeat(rest[:, 0], 2 * band + 1), (rest[:, 1][:, None] + np.arange(-band, band + 1)).ravel()], 1), axis=0)
+            found = [(named[:, 0], hits, s, e)]
+            if len(more):
+                found.append((more[:, 0], *align_all(self.ids[t], ids, first[more[:, 0]], first[more[:, 0] + 1], more[:, 1], band)[:3]))
+            d, hits, s, e = (np.concatenate(x) for x in zip(*found))
+            keep = hits >= self.least[t]
+            for row in np.unique(np.stack([d, hits, s, e], 1)[keep], axis=0).tolist():
+                yield row[0], t, *row[1:]
+
+
+def align_all(template: np.ndarray, words: np.ndarray, lo: np.ndarray, hi: np.ndarray, diagonal: np.ndarray, band: int):
+    """Best local alignments with document position - template position within ``band`` of each
+    ``diagonal``, in ``words`` from ``lo`` to ``hi``: matched words, first word, end word, score."""
     width = 2 * band + 1
-    offset = np.arange(width)
-    score, hits, first = np.zeros(width, np.int64), np.zeros(width, np.int64), np.full(width, -1)
-    best = (0, 0, -1, -1)
+    step = max(1, CELLS // width)
+    if len(diagonal) > step:
+        parts = [align_all(template, words, lo[a:a + step], hi[a:a + step], diagonal[a:a + step], band) for a in range(0, len(diagonal), step)]
+        return tuple(np.concatenate(x) for x in zip(*parts))
+    n = len(diagonal)
+    out = np.zeros(n, np.int64), np.full(n, -1), np.full(n, -1), np.zeros(n, np.int64)
+    if not n or not len(words):
+        return out
+    offset, row = np.arange(width), np.arange(n)
+    lo, hi = lo[:, None], hi[:, None]
+    score, hits, first = np.zeros((n, width), np.int64), np.zeros((n, width), np.int64), np.full((n, width), -1)
+    up = lambda x, last: np.concatenate([x[:, 1:], np.full((n, 1), last)], 1)
     for i, w in enumerate(template):
-        j = offset + (diagonal - band + i)  # document position of each cell of the row
-        inside = (j >= 0) & (j < len(words))
-        same = np.zeros(width, bool)
-        same[inside] = words[j[inside]] == w
+        j = offset + (diagonal[:, None] - band + i)  # document position of each cell of the row
+        inside = (j >= lo) & (j < hi)
+        same = inside & (words[np.clip(j, 0, len(words) - 1)] == w)
         # from the row before: the diagonal step keeps the cell's place, leaving out a template word moves it one up
-        step = score + np.where(same, HIT, -CHANGE)
-        skip = np.append(score[1:], 0) - GAP
-        take = step >= skip
-        new = np.where(take, step, skip)
-        got = np.where(take, hits + same, np.append(hits[1:], 0))
-        start = np.where(take, np.where((first < 0) & same, j, first), np.append(first[1:], -1))
+        straight = score + np.where(same, HIT, -CHANGE)
+        skip = up(score, 0) - GAP
+        take = straight >= skip
+        new = np.where(take, straight, skip)
+        got = np.where(take, hits + same, up(hits, 0))
+        start = np.where(take, np.where((first < 0) & same, j, first), up(first, -1))
         dead = (new <= 0) | ~inside
         new, got, start = np.where(dead, 0, new), np.where(dead, 0, got), np.where(dead, -1, start)
         # inserted document words: a running maximum along the row
         lift = new + GAP * offset
-        top = np.maximum.accumulate(lift)
-        source = np.maximum.accumulate(np.where(lift == top, offset, 0))
-        score, hits, first = np.maximum(top - GAP * offset, 0), got[source], start[source]
-        k = int(score.argmax())
-        if score[k] > best[0]:
-            best = (int(score[k]), int(hits[k]), int(first[k]), int(j[k]) + 1)
-    return best[1:]
+        top = np.maximum.accumulate(lift, axis=1)
+        source = np.maximum.accumulate(np.where(lift == top, offset, 0), axis=1)
+        score = np.maximum(top - GAP * offset, 0)
+        hits, first = np.take_along_axis(got, source, 1), np.take_along_axis(start, source, 1)
+        k = score.argmax(1)
+        better = score[row, k] > out[3]
+        for x, y in zip(out, (hits[row, k], first[row, k], j[row, k] + 1, score[row, k])):
+            x[better] = y[better]
+    return out
+
+
+def align(template: np.ndarray, words: np.ndarray, diagonal: int, band: int):
+    """One alignment of ``align_all``: (matched words, first word, end word)."""
+    return tuple(int(x[0]) for x in align_all(template, words, np.array([0]), np.array([len(words)]), np.array([diagonal]), band)[:3])
 
 
 def scan_licenses(docs: DataFrame, templates=None, least: float = LEAST, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -137,23 +199,14 @@ def scan_licenses(docs: DataFrame, templates=None, least: float = LEAST, id_col:
     def work(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
         arrow = to_arrow_schema(schema)
-        index = LicenseIndex(templates)
+        index = LicenseIndex(templates, least)
         for batch in batches:
             out = [[] for _ in range(batch.num_rows)]
-            for a, _, buf, off in runs(batch.column(1)):
+            for a, b, buf, off in runs(batch.column(1)):
                 words, starts, ends, doc = _words(buf, off)
                 found: dict[int, list] = {}
-                last = None
-                for d, t, diagonal in index.candidates(words, doc).tolist():
-                    size = len(index.words[t])
-                    band = min(BAND + size // 8, max(2, size // 2))  # narrow for short notices, which may follow each other closely
-                    if last and last[:2] == (d, t) and diagonal - last[2] <= min(BAND, band):
-                        continue  # the same alignment's band
-                    last = (d, t, diagonal)
-                    lo, hi = np.searchsorted(doc, [d, d + 1])
-                    hits, s, e = align(index.words[t], words[lo:hi], diagonal - int(lo), band)
-                    if hits >= least * size:
-                        found.setdefault(d, []).append((hits, index.names[t], hits / size, int(starts[lo + s]), int(ends[lo + e - 1])))
+                for d, t, hits, x, y in index.matches(words, doc, b - a):
+                    found.setdefault(d, []).append((hits, index.names[t], hits / len(index.words[t]), int(starts[x]), int(ends[y - 1])))
                 for d, matches in found.items():
                     kept = []
                     for m in sorted(matches, key=lambda m: (-m[0], -m[2], m[3], m[1])):

@@ -45,3 +45,46 @@ def test_documents_and_odd(documents, odd, nothing):
         if not lines:
             assert got[r.doc_id] == 0 or "licensed under" in (r.text or "").lower() or "released under" in r.text.lower()
     assert L.license_digest(odd).count() == odd.count() and L.license_digest(nothing).count() == 0
+
+
+def brute(text):
+    """Matched words of every template's best alignment at any diagonal, where they are enough."""
+    index, out = L.LicenseIndex(), set()
+    buf = np.frombuffer(text.encode(), np.uint8)
+    words = L._words(buf, np.array([0, len(buf)]))[0]
+    for t, template in enumerate(index.words):
+        diagonal = np.arange(-len(template), len(words) + 1)
+        zero = np.zeros(len(diagonal), np.int64)
+        hits, first, end, _ = L.align_all(template, words, zero, zero + len(words), diagonal, index.bands[t])
+        out |= {(t, h, f, e) for h, f, e in zip(hits.tolist(), first.tolist(), end.tolist()) if h >= L.LEAST * len(template)}
+    return out
+
+
+def test_short_notices_with_words_changed_inserted_or_left_out(spark):
+    texts = ["Released under an MIT License", "Released under MIT License", "Licensed under the Apache Licence, Version 2.0", "Licensed under the CC BY 4.0",
+             "Released, under the, er, MIT or so License", "Released by an MIT License"]
+    got = found(spark, texts)
+    assert [[m[0] for m in got[i]] for i in range(4)] == [["mit"], ["mit"], ["apache-2.0"], ["cc-by-4.0"]]
+    assert [m[1] for i in range(4) for m in got[i]] == [0.8, 0.8, 0.88, 1.0] and got[5] == []
+
+
+def test_matches_are_those_of_every_diagonal():
+    rng, index = np.random.default_rng(5), L.LicenseIndex()
+    notices, texts = [t.split() for ts in L.TEMPLATES.values() for t in ts], []
+    for n in notices * 2:
+        rate, words = rng.choice([0.05, 0.1, 0.2]), []
+        for w in n:
+            roll = rng.random()
+            words += [] if roll < rate / 3 else ["other"] if roll < rate / 1.5 else [w, *["and"] * int(rng.integers(1, 4))] if roll < rate else [w]
+        texts.append(" ".join([*["the"] * int(rng.integers(0, 3)), *words, *notices[int(rng.integers(0, len(notices)))][:int(rng.integers(0, 9))]]))
+    buf, off = np.frombuffer("".join(texts).encode(), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    words, _, _, doc = L._words(buf, off)
+    first = np.searchsorted(doc, np.arange(len(texts)))
+    got = [set() for _ in texts]
+    for d, t, hits, s, e in index.matches(words, doc, len(texts)):
+        got[d].add((t, hits, s - int(first[d]), e - int(first[d])))
+    for text, g in zip(texts, got):
+        best = lambda rows: {t: max((h, -s) for u, h, s, _ in rows if u == t) for t in {r[0] for r in rows}}
+        want = brute(text)
+        assert g <= want and best(g) == best(want)
+    assert sum(map(bool, got)) > len(texts) // 2
