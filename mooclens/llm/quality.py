@@ -4,7 +4,7 @@ Every document gets its base counts in one vectorised pass, together with
 the hashes of its normalised lines (lower-cased A-Z, white space runs as one blank).
 A line's frequency is the number of documents of a host that hold it; each
 document names a line once, so the count is a plain sum, combined map-side. Lines
-above the limit are boilerplate: they are removed, and a document that keeps
+above ``LINE_DOCS`` documents are boilerplate, on small and large hosts alike: they are removed, and a document that keeps
 fewer than ``least_words`` words, or less than ``least_share`` of its words, is
 rejected as depleted.
 
@@ -27,8 +27,8 @@ from .common import BLACK_WORD, LOWER, byte_class, gram_hashes, mix, prefix_sums
 
 LEAST_WORDS = 20
 LEAST_SHARE = 0.3  # of a document's words that must be left
-LINE_DOCS = 100  # a line is boilerplate above this many documents of a host ...
-LINE_SHARE = 0.05  # ... and above this share of them
+LINE_DOCS = 10  # a line is boilerplate above this many documents of a host, however large the host is ...
+LINE_SHARE = 0.0  # ... and, for callers who want it, above this share of them
 REPEAT_WINDOW = 8
 
 SYMBOL = byte_class(lambda b: b in b"#*$%&|<>")

@@ -64,3 +64,27 @@ def test_common_line_and_depleted_documents(spark):
     check(spark, docs, 50, 0.05)
     got = Q.quality(spark, docs, 50, 0.05)
     assert got.filter("kept").count() == 100 and got.filter(F.col("doc_id") >= 200).filter("kept").count() == 0
+
+
+def test_production_limits_on_small_and_large_hosts(spark):
+    """The same count of documents makes a line boilerplate on a host of 22 and on one of 3,000."""
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    line = "Read more of our stories on the front page"
+    rows = [(1000 * h + i, own(1000 * h + i) + ("\n" + line if i < 11 else "\nnot quite so often" if i < 21 else ""), "en", f"host{h}", 0)
+            for h, size in ((0, 21), (1, 3000)) for i in range(size)]
+    rows += [(9000 + h, line + "\nand little else", "en", f"host{h}", 0) for h in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in Q.quality(spark, docs).collect()}
+    for h in (0, 1):
+        assert all(got[1000 * h + i].n_removed_words == 9 * (i < 11) and got[1000 * h + i].kept for i in range(21))
+        assert not got[9000 + h].kept and got[9000 + h].n_removed_words == 9
+    few = [(i, own(i) + "\n" + line * (i < 11), "en", "host", 0) for i in range(12)]
+    few += [(20, " ".join(f"u{k}" for k in range(15)) + "\n" + line, "en", "host", 0)]
+    got = {r.doc_id: r for r in Q.quality(spark, spark.createDataFrame(few, docs.schema)).collect()}
+    assert not got[20].base_failed and not got[20].kept and got[0].kept
+
+
+def test_production_limits_remove_lines_of_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    got = Q.quality(spark, docs)
+    assert got.filter("n_removed_words > 0").count() > 0
