@@ -1,15 +1,18 @@
 """Personal data and the terms that give it away (operator 2).
 
 Base spans are e-mail and IP addresses, card and phone numbers, found by pattern and checked.
-Each distinct value is a protected entity. A term (run of letters and digits) in an
-entity's context, ``CONTEXT`` code points to either side, discloses it as far as
-the corpus ties the two: with N documents, e in c_e, t in c_t, t in e's context in c_et of
+Each distinct value is a protected entity: e-mail addresses but for case, IP
+addresses but for leading zeros, cards and phones by their digits. A term (run of letters and digits) of a
+document that holds an entity, base spans left out, discloses it as far as
+the corpus ties the two: with N documents, e in c_e, t in c_t, both in c_et of
 them, the mutual information ln(N c_et / (c_e c_t)) is held against the entity's own
 information ln(N / c_e). From ``GENERALISE`` of it on the term is generalised, from ``REMOVE`` on it is
-removed, in the contexts of that entity. ``LEAST`` documents must show the two together.
+removed, at every place of the documents that hold the entity. ``LEAST`` documents must show the two
+together, or the only one that holds the entity: then c_e = c_et = 1, the share is
+1 - ln c_t / ln N, and the term's own frequency decides.
 
 All counts are over all documents and use built-in functions only. Document frequencies are
-counted for the terms of contexts alone: a bounded table of bits sorts out
+counted for the terms of documents with entities alone: a bounded table of bits sorts out
 the other words before the shuffle, exact counts follow.
 
 The patterns are written so that Java's matcher takes each run of characters once
@@ -31,7 +34,6 @@ from .common import bit_pages, maybe_in, stored
 
 KINDS = ("email", "ip", "card", "phone")
 ACTIONS = ("generalise", "remove")
-CONTEXT = 64
 LEAST = 2
 GENERALISE = 0.5
 REMOVE = 0.9
@@ -63,21 +65,24 @@ def _valid(kind: Column, value: Column) -> Column:
             .otherwise(F.length(digits).between(9, 15)))
 
 
+def _entity(kind: Column, value: Column) -> Column:
+    """The same number however a value is written."""
+    key = F.lower(value)
+    return F.xxhash64(kind, key)
+
+
 def _matches(text: Column, kind: str) -> Column:
-    """Array of (gap before the match since the last one, value, text before, text after)."""
+    """Array of (gap before the match since the last one, value)."""
     shape = F.lit(SHAPES[kind])
     pieces, values = F.split(text, SHAPES[kind], -1), F.regexp_extract_all(text, shape, F.lit(0))
-    rows = F.transform(
-        F.arrays_zip(F.slice(pieces, 1, 1 << 30).alias("before"), values.alias("value"), F.slice(pieces, 2, 1 << 30).alias("after")),
-        lambda r: F.struct(F.length(r["before"]).alias("gap"), r["value"].alias("value"), F.substring(r["before"], -CONTEXT, CONTEXT).alias("before"),
-                           F.substring(r["after"], 1, CONTEXT).alias("after"), (F.length(r["after"]) > CONTEXT).alias("more")))
+    rows = F.transform(F.arrays_zip(pieces.alias("before"), values.alias("value")), lambda r: F.struct(F.length(r["before"]).alias("gap"), r["value"].alias("value")))
     rows = F.filter(rows, lambda r: r["value"].isNotNull())
     there = F.lit(True) if NEEDS[kind] is None else F.contains(text, F.lit(NEEDS[kind]))
     return F.when(there, rows)
 
 
 def _base_spans(rows: DataFrame) -> DataFrame:
-    """Valid base spans: rid, kind number, start, end, value, before, after, more, gap."""
+    """Valid base spans: rid, kind number, entity, start, end."""
     parts = None
     for k, kind in enumerate(KINDS):
         one = rows.select("rid", F.lit(k).alias("kind"), F.posexplode(kind).alias("at", "m")).select("rid", "kind", "at", "m.*")
@@ -85,55 +90,81 @@ def _base_spans(rows: DataFrame) -> DataFrame:
     order = Window.partitionBy("rid", "kind").orderBy("at")
     size = F.length("value")
     spans = parts.withColumn("end", F.sum(F.col("gap") + size).over(order).cast("long")).withColumn("start", F.col("end") - size)
-    return spans.filter(_valid(F.col("kind"), F.col("value")))
-
-
-def _context_terms(spans: DataFrame) -> DataFrame:
-    """Terms of each span's context: rid, entity, term, start, end."""
-    entity = F.xxhash64("kind", F.lower("value"))
-    before = F.when(F.col("gap") > CONTEXT, F.regexp_replace("before", r"^[\p{L}\p{N}]+", "")).otherwise(F.col("before"))  # a word cut by the edge is no term
-    after = F.when(F.col("more"), F.regexp_replace("after", r"[\p{L}\p{N}]+$", "")).otherwise(F.col("after"))
-    sides = spans.select("rid", entity.alias("entity"), F.explode(F.array(
-        F.struct(before.alias("text"), (F.col("start") - F.length(before)).alias("from")), F.struct(after.alias("text"), F.col("end").alias("from")))).alias("side"))
-    sides = sides.select("rid", "entity", "side.*")
-    sides = sides.select("rid", "entity", "from", F.split("text", WORD_BREAK, -1).alias("words"), F.split("text", r"[\p{L}\p{N}]+", -1).alias("breaks"))
+    return spans.filter(_valid(F.col("kind"), F.col("value"))).select("rid", "kind", _entity(F.col("kind"), F.col("value")).alias("entity"), "start", "end")
+
+
+def _masked(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """(rid, text) of the documents with base spans, these blanked; offsets stay."""
+    before = Window.partitionBy("rid").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select("rid", "start", "end", F.coalesce(F.max("end").over(before), F.lit(0)).alias("done"))
+    spans = spans.filter(F.col("end") > F.col("done")).groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("start", "end", "done"))).alias("spans"))
+    text = F.expr("""concat(array_join(transform(spans, s -> concat(substring(text, s.done + 1, greatest(s.start - s.done, 0)),
+                     repeat(' ', cast(s.end - greatest(s.start, s.done) as int)))), ''), substring(text, element_at(spans, -1).end + 1))""")
+    return rows.select("rid", "text").join(spans, "rid").select("rid", text.alias("text"))
+
+
+def _is_term(word: str) -> Column:
+    return (F.length(word) >= TERM_CHARS) & F.col(word).rlike(r"\p{L}")
+
+
+def _terms(text: str) -> Column:
+    """The distinct words of a text in lower case."""
+    return F.array_distinct(F.transform(F.split(text, WORD_BREAK, -1), F.lower))
+
+
+def _places(texts: DataFrame) -> DataFrame:
+    """Every occurrence of every term: rid, term, start, end."""
+    words = F.filter(F.split("text", WORD_BREAK, -1), lambda w: w != "")
     # breaks are the text around words; a word at the very start has an empty break before it
-    sides = sides.withColumn("words", F.filter("words", lambda w: w != ""))
-    terms = sides.select("rid", "entity", "from", "words", "breaks", F.posexplode("words").alias("i", "word"))
-    here = F.expr("aggregate(slice(words, 1, i), 0, (t, w) -> t + length(w)) + aggregate(slice(breaks, 1, i + 1), 0, (t, w) -> t + length(w))")
-    terms = terms.select("rid", "entity", F.lower("word").alias("term"), (F.col("from") + here).alias("start"), F.length("word").alias("size"))
-    return terms.filter(F.col("size") >= TERM_CHARS).filter(F.col("term").rlike(r"\p{L}")).select("rid", "entity", "term", "start", (F.col("start") + F.col("size")).alias("end"))
+    words = texts.select("rid", F.posexplode(F.arrays_zip(F.split("text", r"[\p{L}\p{N}]+", -1).alias("gap"), words.alias("word"))).alias("i", "w"))
+    words = words.select("rid", "i", F.length("w.gap").alias("gap"), "w.word").filter(F.col("word").isNotNull())
+    size = F.length("word")
+    words = words.withColumn("end", F.sum(F.col("gap") + size).over(Window.partitionBy("rid").orderBy("i")).cast("long"))
+    return words.filter(_is_term("word")).select("rid", F.lower("word").alias("term"), (F.col("end") - size).alias("start"), "end")
 
 
 def document_frequency(spark: SparkSession, texts: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, c_t): documents of ``texts`` (column text) that hold each term of ``terms``."""
     pages = bit_pages(spark, terms.select(F.xxhash64("term").alias("h")))
-    words = texts.select(F.explode(F.array_distinct(F.split(F.lower("text"), WORD_BREAK, -1))).alias("term")).filter(F.length("term") >= TERM_CHARS)
+    words = texts.select(F.explode(_terms("text")).alias("term")).filter(F.length("term") >= TERM_CHARS)
     counts = maybe_in(words, F.xxhash64("term"), pages).groupBy("term").agg(F.count(F.lit(1)).alias("c_t"))
     return counts.join(terms, "term")
 
 
-def disclosures(spark: SparkSession, texts: DataFrame, spans: DataFrame, context: DataFrame, n: int, least: int = LEAST,
+def disclosures(spark: SparkSession, texts: DataFrame, spans: DataFrame, terms: DataFrame, n: int, least: int = LEAST,
                 generalise: float = GENERALISE) -> DataFrame:
-    """(entity, term, share): pairs whose mutual information is ``generalise`` or more of the entity's own."""
-    once = context.select("rid", "entity", "term").distinct()
-    pairs = stored(spark, once.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("c_et")).filter(F.col("c_et") >= least), "pairs")
-    entities = spans.select("rid", F.xxhash64("kind", F.lower("value")).alias("entity")).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("c_e"))
-    frequency = document_frequency(spark, texts, stored(spark, pairs.select("term").distinct(), "terms"))
-    tied = pairs.join(entities, "entity").join(frequency, "term").filter(F.col("c_e") < n)
-    share = F.log(F.lit(float(n)) * F.col("c_et") / (F.col("c_e") * F.col("c_t"))) / F.log(F.lit(float(n)) / F.col("c_e"))
-    return tied.select("entity", "term", share.alias("share")).filter(F.col("share") >= generalise)
+    """(rid, term, share): terms of documents whose mutual information with one of the document's entities is
+    ``generalise`` or more of the entity's own. ``terms``: rid, term, once per document."""
+    held = spans.select("rid", "entity").distinct()
+    held = stored(spark, held.join(held.groupBy("entity").agg(F.count(F.lit(1)).alias("c_e")).filter(F.col("c_e") < n), "entity"), "entities")
+    most = held.agg(F.max("c_e")).first()[0] or 1
+    # c_et <= c_e, so that a term above the threshold has c_t <= N (c_e / N) ** generalise; the others need no pairs
+    limit = lambda c_e: n * F.pow(c_e / max(n, 1), F.lit(generalise)) * (1 + 1e-9) + 1e-9
+    frequency = document_frequency(spark, texts, stored(spark, terms.select("term").distinct(), "terms"))
+    tied = stored(spark, terms.join(frequency.filter(F.col("c_t") <= limit(F.lit(float(most)))), "term"), "tied")
+    own = F.log(F.lit(float(n)) / F.col("c_e"))
+    share = F.log(F.lit(float(n)) * F.col("c_et") / (F.col("c_e") * F.col("c_t"))) / own
+    shared = held.filter(F.col("c_e") > 1)
+    pairs = shared.join(tied, "rid").filter((F.col("c_t") > 1) & (F.col("c_t") <= limit(F.col("c_e"))))
+    pairs = pairs.groupBy("entity", "term", "c_e", "c_t").agg(F.count(F.lit(1)).alias("c_et")).filter(F.col("c_et") >= least)
+    pairs = pairs.select("entity", "term", share.alias("share")).filter(F.col("share") >= generalise)
+    told = shared.join(pairs, "entity").select("rid", "term", "share")
+    return told.groupBy("rid", "term").agg(F.max("share").alias("share"))
 
 
 def _found(spark: SparkSession, docs: DataFrame, text_col: str, keep: Column):
     """(stored rows: rid, ``kept``; spans: rid, kind number, start, end)."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(keep.alias("kept"), text.alias("text"), F.monotonically_increasing_id().alias("rid"))
-    rows = stored(spark, rows.select("rid", "kept", *[_matches(F.col("text"), k).alias(k) for k in KINDS]), "matches")
+    rows = rows.select("rid", "kept", "text", *[_matches(F.col("text"), k).alias(k) for k in KINDS])
+    test = lambda k: lambda m: _valid(F.lit(k), m["value"])
+    valid = [F.coalesce(F.exists(kind, test(k)), F.lit(False)) for k, kind in enumerate(KINDS)]
+    rows = stored(spark, rows.withColumn("text", F.when(valid[0] | valid[1] | valid[2] | valid[3], F.col("text"))), "matches")
     spans = stored(spark, _base_spans(rows), "spans")
-    context = stored(spark, _context_terms(spans), "context")
-    told = disclosures(spark, docs.select(text.alias("text")), spans, context, rows.count())
-    extra = context.join(told, ["entity", "term"]).groupBy("rid", "start", "end").agg(F.max("share").alias("share"))
+    masked = stored(spark, _masked(rows.filter(F.col("text").isNotNull()), spans), "masked")
+    terms = masked.select("rid", F.explode(_terms("text")).alias("term")).filter(_is_term("term"))
+    told = disclosures(spark, docs.select(text.alias("text")), spans, terms, rows.count())
+    extra = _places(masked).join(told, ["rid", "term"])
     extra = extra.select("rid", F.when(F.col("share") >= REMOVE, len(KINDS) + 1).otherwise(len(KINDS)).alias("kind"), "start", "end")
     return rows.select("rid", "kept"), spans.select("rid", "kind", "start", "end").unionByName(extra)
 

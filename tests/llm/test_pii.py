@@ -90,3 +90,22 @@ def test_disclosing_terms(spark):
     assert "remove" in got[100] and "generalise" in got[100] or share["Ferdinand"] >= P.REMOVE
     clean = {r.doc_id: r.text for r in P.sanitise(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert "ferdi@" not in clean[100] and "Ferdinand" not in clean[100] and "[EMAIL]" in clean[100] and clean[0] == text[0]
+
+
+def told(spark, rows):
+    text = dict(rows)
+    got = P.pii_digest(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = {r.doc_id: [x.split(":") for x in r.spans.split(",") if x.startswith(P.ACTIONS)] for r in got}
+    return {k: [(kind, text[k][int(a):int(b)]) for kind, a, b in s] for k, s in spans.items()}
+
+
+FILLER = [(i, f"filler{i} Main common words with other numbers 12 and 34 here") for i in range(60)]
+
+
+def test_terms_beyond_neighbouring_matches(spark):
+    """Numbers beside a card, or a second address, hide no term."""
+    rows = FILLER + [(100 + i, "Ulrike Doe, 12 Main St, 4111 1111 1111 1111 a@x.org, b@y.org Zacharias") for i in range(2)]
+    got = told(spark, rows)
+    for k in (100, 101):
+        assert {"Ulrike", "Doe", "Zacharias"} <= {t for _, t in got[k]} and "Main" not in {t for _, t in got[k]}
+        assert not {t for _, t in got[k]} & {"org", "1111"}
