@@ -144,11 +144,13 @@ def disclosures(spark: SparkSession, texts: DataFrame, spans: DataFrame, terms:
     tied = stored(spark, terms.join(frequency.filter(F.col("c_t") <= limit(F.lit(float(most)))), "term"), "tied")
     own = F.log(F.lit(float(n)) / F.col("c_e"))
     share = F.log(F.lit(float(n)) * F.col("c_et") / (F.col("c_e") * F.col("c_t"))) / own
+    single = tied.join(held.filter(F.col("c_e") == 1).select("rid", "c_e").distinct(), "rid").withColumn("c_et", F.lit(1))
+    single = single.select("rid", "term", share.alias("share"))
     shared = held.filter(F.col("c_e") > 1)
     pairs = shared.join(tied, "rid").filter((F.col("c_t") > 1) & (F.col("c_t") <= limit(F.col("c_e"))))
     pairs = pairs.groupBy("entity", "term", "c_e", "c_t").agg(F.count(F.lit(1)).alias("c_et")).filter(F.col("c_et") >= least)
     pairs = pairs.select("entity", "term", share.alias("share")).filter(F.col("share") >= generalise)
-    told = shared.join(pairs, "entity").select("rid", "term", "share")
+    told = single.filter(F.col("share") >= generalise).unionByName(shared.join(pairs, "entity").select("rid", "term", "share"))
     return told.groupBy("rid", "term").agg(F.max("share").alias("share"))
 
 

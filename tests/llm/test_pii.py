@@ -109,3 +109,12 @@ def test_terms_beyond_neighbouring_matches(spark):
     for k in (100, 101):
         assert {"Ulrike", "Doe", "Zacharias"} <= {t for _, t in got[k]} and "Main" not in {t for _, t in got[k]}
         assert not {t for _, t in got[k]} & {"org", "1111"}
+
+
+def test_single_documents_and_every_occurrence(spark):
+    """An address of one document is told by that document's rare words, wherever they stand."""
+    far = "common words with other numbers " * 5
+    rows = FILLER + [(100, f"Éva Wolfeschlegel wrote common words {far} jan@x.org {far} Wolfeschlegel again")]
+    got = told(spark, rows)
+    assert [t for kind, t in got[100] if kind == "remove"] == ["Éva", "Wolfeschlegel", "wrote", "Wolfeschlegel", "again"]
+    assert not [t for _, t in got[100] if t in ("common", "words", "numbers")] and not any(got[k] for k, _ in FILLER)
