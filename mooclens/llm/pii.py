@@ -67,7 +67,8 @@ def _valid(kind: Column, value: Column) -> Column:
 
 def _entity(kind: Column, value: Column) -> Column:
     """The same number however a value is written."""
-    key = F.lower(value)
+    key = (F.when(kind == 0, F.lower(value)).when(kind == 1, F.regexp_replace(value, "(?<![0-9])0+(?=[0-9])", ""))
+           .otherwise(F.regexp_replace(value, "[^0-9]", "")))
     return F.xxhash64(kind, key)
 
 

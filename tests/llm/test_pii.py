@@ -118,3 +118,13 @@ def test_single_documents_and_every_occurrence(spark):
     got = told(spark, rows)
     assert [t for kind, t in got[100] if kind == "remove"] == ["Éva", "Wolfeschlegel", "wrote", "Wolfeschlegel", "again"]
     assert not [t for _, t in got[100] if t in ("common", "words", "numbers")] and not any(got[k] for k, _ in FILLER)
+
+
+def test_one_entity_however_written(spark):
+    cards = ["4111 1111 1111 1111", "4111-1111-1111-1111", "4111111111111111"]
+    rows = FILLER + [(100 + i, f"Rosalinde own{i} common {c}") for i, c in enumerate(cards)]
+    rows += [(200, "Kunibert common at +1 (234) 567-8901"), (201, "Kunibert common at +1 234 567 8901")]
+    rows += [(300, "Adelgunde common at 10.0.0.1"), (301, "Adelgunde common at 010.0.0.01")]
+    got = told(spark, rows)
+    for k, name in ((100, "Rosalinde"), (101, "Rosalinde"), (102, "Rosalinde"), (200, "Kunibert"), (201, "Kunibert"), (300, "Adelgunde"), (301, "Adelgunde")):
+        assert got[k] == [("remove", name)]
