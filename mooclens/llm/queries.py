@@ -9,8 +9,12 @@ import os
 
 from .common import table
 from .decontaminate import contamination_digest
+from .html_text import text_digest
 from .licenses import license_digest
+from .merkle import ORACLE as MERKLE_SQL
+from .merkle import manifest_digest
 from .packing import pack
+from .periodic import runs_digest
 from .pii import pii_digest
 from .quality import quality_digest
 from .revisits import ORACLE as REVISITS_SQL
@@ -69,6 +73,19 @@ def op10_secret_scans(spark, sf_dir):
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    return manifest_digest(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    return runs_digest(table(spark, sf_dir, "documents"))
+
+
+def op13_html_extraction(spark, sf_dir):
+    return text_digest(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_pii, op3_license_scans, op4_suffix_array_dedup, op5_warc_revisits, op6_simhash_near_dedup,
-                                    op7_best_fit_packing, op8_quality_rules, op9_benchmark_decontamination, op10_secret_scans)}
-ORACLES: dict[str, str] = {"op5_warc_revisits": REVISITS_SQL}
+                                    op7_best_fit_packing, op8_quality_rules, op9_benchmark_decontamination, op10_secret_scans, op11_merkle_manifest, op12_periodic_runs,
+                                    op13_html_extraction)}
+ORACLES: dict[str, str] = {"op5_warc_revisits": REVISITS_SQL, "op11_merkle_manifest": MERKLE_SQL}
