@@ -3,13 +3,16 @@
 Base spans are e-mail and IP addresses, card and phone numbers, found by pattern and checked.
 Each distinct value is a protected entity: e-mail addresses but for case, IP
 addresses but for leading zeros, cards and phones by their digits. A term (run of letters and digits) of a
-document that holds an entity, base spans left out, discloses it as far as
-the corpus ties the two: with N documents, e in c_e, t in c_t, both in c_et of
-them, the mutual information ln(N c_et / (c_e c_t)) is held against the entity's own
-information ln(N / c_e). From ``GENERALISE`` of it on the term is generalised, from ``REMOVE`` on it is
-removed, at every place of the documents that hold the entity. ``LEAST`` documents must show the two
-together, or the only one that holds the entity: then c_e = c_et = 1, the share is
-1 - ln c_t / ln N, and the term's own frequency decides.
+document that holds an entity, base spans left out, discloses it as far as the corpus ties the two: of the c_t
+documents with the term, c_et hold the entity, so whoever reads the term is left with log2(c_t / c_et) bits to find
+out. Up to ``GENERALISE`` bits the term is generalised, up to ``REMOVE`` bits it is removed, at every place of
+the documents that hold the entity. Two kinds of evidence count: ``LEAST`` documents that show both, or, for an entity of one
+document, a place of the term within ``CONTEXT`` code points of it: 256 code points hold the
+sentences around an address, while a rare word pages away says nothing of it.
+
+The verdict on a term comes from c_t and c_et alone, whatever the size of the corpus. The one exception
+are entities that many documents show: a term must also make the entity at least twice as likely as it is in any document (N c_et >= 2 c_e c_t),
+which holds of itself for every entity of up to a quarter of the documents.
 
 All counts are over all documents and use built-in functions only. Document frequencies are
 counted for the terms of documents with entities alone: a bounded table of bits sorts out
@@ -34,9 +37,10 @@ from .common import bit_pages, maybe_in, stored
 
 KINDS = ("email", "ip", "card", "phone")
 ACTIONS = ("generalise", "remove")
-LEAST = 2
-GENERALISE = 0.5
-REMOVE = 0.9
+LEAST = 2  # documents that must show a term with an entity of several documents
+GENERALISE = 1.0  # bits that a generalised term leaves to find out, at most
+REMOVE = 0.25  # ... and a removed one
+CONTEXT = 256  # code points between a term and an entity of one document, at most
 TERM_CHARS = 3
 
 _LOCAL = "A-Za-z0-9._%+-"
@@ -132,27 +136,48 @@ def document_frequency(spark: SparkSession, texts: DataFrame, terms: DataFrame)
     return counts.join(terms, "term")
 
 
-def disclosures(spark: SparkSession, texts: DataFrame, spans: DataFrame, terms: DataFrame, n: int, least: int = LEAST,
-                generalise: float = GENERALISE) -> DataFrame:
-    """(rid, term, share): terms of documents whose mutual information with one of the document's entities is
-    ``generalise`` or more of the entity's own. ``terms``: rid, term, once per document."""
+def _classes(spans: DataFrame, n: int) -> DataFrame:
+    """(rid, class, c_e): entities of one and the same set of documents are one class, as no count tells them apart."""
     held = spans.select("rid", "entity").distinct()
-    held = stored(spark, held.join(held.groupBy("entity").agg(F.count(F.lit(1)).alias("c_e")).filter(F.col("c_e") < n), "entity"), "entities")
+    sets = held.groupBy("entity").agg(F.count(F.lit(1)).alias("c_e"), F.bit_xor(F.xxhash64("rid")).alias("a"), F.bit_xor(F.xxhash64("rid", F.lit(1))).alias("b"))
+    sets = sets.filter(F.col("c_e") < n).select("entity", "c_e", F.xxhash64("c_e", "a", "b").alias("class"))
+    return held.join(sets, "entity").select("rid", "class", "c_e").distinct()
+
+
+def _near(places: DataFrame, spans: DataFrame) -> DataFrame:
+    """(rid, term) of the terms with a place within ``CONTEXT`` code points of a span (rid, start, end) of their document."""
+    cell = lambda c: F.floor(c / CONTEXT)
+    around = spans.select("rid", "start", "end", F.explode(F.sequence(cell(F.col("start")) - 1, cell(F.col("end")) + 1)).alias("cell"))
+    around = around.groupBy("rid", "cell").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("spans"))  # at most a few hundred fit into three cells
+    near = places.withColumn("cell", F.explode(F.array_distinct(F.array(cell(F.col("start")), cell(F.col("end")))))).join(around, ["rid", "cell"])
+    close = F.exists("spans", lambda s: (F.col("start") - s["end"] <= CONTEXT) & (s["start"] - F.col("end") <= CONTEXT))
+    return near.filter(close).select("rid", "term").distinct()
+
+
+def disclosures(spark: SparkSession, texts: DataFrame, spans: DataFrame, places: DataFrame, n: int, least: int = LEAST, generalise: float = GENERALISE) -> DataFrame:
+    """(rid, term, bits): terms of documents that leave ``generalise`` bits or less of one of the document's entities to find out.
+    ``places``: rid, term, start, end of every occurrence."""
+    held = stored(spark, _classes(spans, n), "entities")
     most = held.agg(F.max("c_e")).first()[0] or 1
-    # c_et <= c_e, so that a term above the threshold has c_t <= N (c_e / N) ** generalise; the others need no pairs
-    limit = lambda c_e: n * F.pow(c_e / max(n, 1), F.lit(generalise)) * (1 + 1e-9) + 1e-9
+    room = 2.0 ** generalise * (1 + 1e-9)  # c_t / c_et, at most
+    terms = stored(spark, places.select("rid", "term").distinct(), "document-terms")
     frequency = document_frequency(spark, texts, stored(spark, terms.select("term").distinct(), "terms"))
-    tied = stored(spark, terms.join(frequency.filter(F.col("c_t") <= limit(F.lit(float(most)))), "term"), "tied")
-    own = F.log(F.lit(float(n)) / F.col("c_e"))
-    share = F.log(F.lit(float(n)) * F.col("c_et") / (F.col("c_e") * F.col("c_t"))) / own
-    single = tied.join(held.filter(F.col("c_e") == 1).select("rid", "c_e").distinct(), "rid").withColumn("c_et", F.lit(1))
-    single = single.select("rid", "term", share.alias("share"))
-    shared = held.filter(F.col("c_e") > 1)
-    pairs = shared.join(tied, "rid").filter((F.col("c_t") > 1) & (F.col("c_t") <= limit(F.col("c_e"))))
-    pairs = pairs.groupBy("entity", "term", "c_e", "c_t").agg(F.count(F.lit(1)).alias("c_et")).filter(F.col("c_et") >= least)
-    pairs = pairs.select("entity", "term", share.alias("share")).filter(F.col("share") >= generalise)
-    told = single.filter(F.col("share") >= generalise).unionByName(shared.join(pairs, "entity").select("rid", "term", "share"))
-    return told.groupBy("rid", "term").agg(F.max("share").alias("share"))
+    tied = stored(spark, terms.join(frequency.filter(F.col("c_t") <= room * most), "term"), "tied")
+    bits = F.log2(F.col("c_t") / F.col("c_et"))
+    likelier = n * F.col("c_et") >= 2 * F.col("c_e") * F.col("c_t")
+
+    alone = held.filter(F.col("c_e") == 1).select("rid").distinct()
+    rare = tied.filter(F.col("c_t") <= room).join(alone, "rid").withColumn("c_et", F.lit(1)).withColumn("c_e", F.lit(1)).filter(likelier)
+    of_one = spans.join(spans.groupBy("entity").agg(F.count_distinct("rid").alias("c_e")).filter("c_e = 1"), "entity").select("rid", "start", "end")
+    single = rare.join(_near(places.join(rare.select("rid", "term"), ["rid", "term"]), of_one), ["rid", "term"]).select("rid", "term", bits.alias("bits"))
+
+    # what a document shows of each entity, stored: the few told (class, term) go back to these rows and to no others
+    shown = held.filter(F.col("c_e") > 1).join(tied, "rid").filter((F.col("c_t") > 1) & (F.col("c_t") <= room * F.col("c_e")))
+    shown = stored(spark, shown.select("rid", "class", "term", "c_e", "c_t"), "shown")
+    pairs = shown.groupBy("class", "term", "c_e", "c_t").agg(F.count(F.lit(1)).alias("c_et")).filter((F.col("c_et") >= least) & (F.col("c_t") <= room * F.col("c_et")))
+    pairs = stored(spark, pairs.filter(likelier).select("class", "term", bits.alias("bits")), "told")
+    several = shown.select("rid", "class", "term").join(pairs, ["class", "term"]).select("rid", "term", "bits")
+    return single.unionByName(several).groupBy("rid", "term").agg(F.min("bits").alias("bits"))
 
 
 def _found(spark: SparkSession, docs: DataFrame, text_col: str, keep: Column):
@@ -165,10 +190,10 @@ def _found(spark: SparkSession, docs: DataFrame, text_col: str, keep: Column):
     rows = stored(spark, rows.withColumn("text", F.when(valid[0] | valid[1] | valid[2] | valid[3], F.col("text"))), "matches")
     spans = stored(spark, _base_spans(rows), "spans")
     masked = stored(spark, _masked(rows.filter(F.col("text").isNotNull()), spans), "masked")
-    terms = masked.select("rid", F.explode(_terms("text")).alias("term")).filter(_is_term("term"))
-    told = disclosures(spark, docs.select(text.alias("text")), spans, terms, rows.count())
-    extra = _places(masked).join(told, ["rid", "term"])
-    extra = extra.select("rid", F.when(F.col("share") >= REMOVE, len(KINDS) + 1).otherwise(len(KINDS)).alias("kind"), "start", "end")
+    places = stored(spark, _places(masked), "places")
+    told = disclosures(spark, docs.select(text.alias("text")), spans, places, rows.count())
+    extra = places.join(told, ["rid", "term"])
+    extra = extra.select("rid", F.when(F.col("bits") <= REMOVE, len(KINDS) + 1).otherwise(len(KINDS)).alias("kind"), "start", "end")
     return rows.select("rid", "kept"), spans.select("rid", "kind", "start", "end").unionByName(extra)
 
 

@@ -5,6 +5,8 @@ import math
 import random
 import re
 
+import regex
+
 from mooclens.llm import pii as P
 
 
@@ -72,26 +74,104 @@ def test_odd(spark, odd, nothing):
     assert clean.columns == odd.columns and clean.count() == odd.count()
 
 
+def entity(text, kind, a, b):
+    value = text[a:b]
+    if kind == 0:
+        return 0, value.lower()
+    return kind, ".".join(str(int(x)) for x in value.split(".")) if kind == 1 else re.sub("[^0-9]", "", value)
+
+
+def expected(rows):
+    """Added spans of every document by the rule's counts, kept in plain dictionaries."""
+    docs, holders, users, both = [], {}, {}, {}
+    for r, (_, text) in enumerate(rows):
+        text = text or ""
+        spans = base(text)
+        blank = list(text)
+        for a, _, b in spans:
+            blank[a:b] = " " * (b - a)
+        places = [(m[0].lower(), m.start(), m.end()) for m in regex.finditer(r"[\p{L}\p{N}]+", "".join(blank))]
+        places = [p for p in places if p[2] - p[1] >= P.TERM_CHARS and regex.search(r"\p{L}", p[0])]
+        docs.append((spans, places))
+        for e in {entity(text, k, a, b) for a, k, b in spans}:
+            holders.setdefault(e, set()).add(r)
+        for t in {m.lower() for m in regex.findall(r"[\p{L}\p{N}]+", text)}:
+            users.setdefault(t, set()).add(r)
+    out = []
+    for r, (_, text) in enumerate(rows):
+        spans, places = docs[r]
+        told = {}
+        for a, k, b in spans:
+            h = holders[entity(text, k, a, b)]
+            if len(h) == len(rows):
+                continue
+            for t, x, y in places:
+                c_t, c_et = len(users[t]), len(users[t] & h)
+                if len(h) == 1 and not (x - b <= P.CONTEXT and a - y <= P.CONTEXT) or len(h) > 1 and c_et < P.LEAST:
+                    continue
+                if c_t <= c_et * 2 ** P.GENERALISE and len(rows) * c_et >= 2 * len(h) * c_t:
+                    told[t] = min(told.get(t, 9.0), math.log2(c_t / c_et))
+        out.append(sorted(f"{P.ACTIONS[told[t] <= P.REMOVE]}:{x}:{y}" for t, x, y in places if t in told))
+    return out
+
+
+def added(spark, rows):
+    got = P.pii_digest(spark, spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")).collect()
+    return [sorted(x for x in r.spans.split(",") if x.startswith(P.ACTIONS)) for r in sorted(got, key=lambda r: r.doc_id)]
+
+
+def test_added_spans_of_a_table(spark, documents):
+    """Every added span of the test documents, and of documents that share entities, against plain counts."""
+    rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    rng = random.Random(9)
+    names = [f"Name{i}x" for i in range(30)]
+    for i in range(120):
+        k = rng.randrange(12)
+        rows.append((5000 + i, f"{rng.choice(names)} {rng.choice(names)} mail{k % 7} tel +4930{1000000 + k} or m{k}@x.org " + "word " * rng.choice([3, 80]) + rng.choice(names)))
+    want = expected(rows)
+    assert added(spark, rows) == want and sum(map(len, want)) > 200
+
+
 def test_disclosing_terms(spark):
     """A name that goes with one address is told, a common word is not, nor one that is seen once."""
     rows = [(i, f"word{i} common stuff here, unrelated and long enough " * 3) for i in range(40)]
     rows += [(100 + i, f"the common mail of Ferdinand is ferdi@x.org and once{i} here") for i in range(3)] + [(200, "Ferdinand elsewhere in common")]
     got = check(spark, spark.createDataFrame(rows, "doc_id long, text string"))
     text = dict(rows)
-    terms = {k: {text[k][int(a):int(b)] for kind, a, b in (x.split(":") for x in s.split(",")) if kind in P.ACTIONS} for k, s in got.items() if s}
-    n, share = 44, {}
-    for t, c in (("Ferdinand", 4), ("mail", 3), ("common", 44), ("the", 3), ("and", 43), ("here", 43)):
-        share[t] = math.log(n * 3 / (3 * c)) / math.log(n / 3)
-    want = {t for t, s in share.items() if s >= P.GENERALISE}
-    assert {"Ferdinand", "mail"} <= want and "common" not in want
+    spans = {k: {(kind, text[k][int(a):int(b)]) for kind, a, b in (x.split(":") for x in s.split(",")) if kind in P.ACTIONS} for k, s in got.items() if s}
     for k in (100, 101, 102):
-        assert terms[k] == want
-    assert 200 not in terms
-    assert "remove" in got[100] and "generalise" in got[100] or share["Ferdinand"] >= P.REMOVE
+        assert spans[k] == {("generalise", "Ferdinand"), ("remove", "mail"), ("remove", "the")}
+    assert 200 not in spans
     clean = {r.doc_id: r.text for r in P.sanitise(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert "ferdi@" not in clean[100] and "Ferdinand" not in clean[100] and "[EMAIL]" in clean[100] and clean[0] == text[0]
 
 
+def test_same_counts_same_verdict(spark):
+    """More documents without the terms change nothing."""
+    rows = [(i, f"common words of shared{i % 5} texts") for i in range(30)]
+    rows += [(100, "Ferdinand wrote rare1 twice2 from f@x.org"), (101, "twice2 common"), (102, "g@x.org Gudrun twice3 thrice"), (103, "g@x.org Gudrun thrice"), (104, "thrice twice3")]
+    small = added(spark, rows)
+    filler = [(1000 + i, f"nothing to see {i % 7} at all") for i in range(3000)]
+    assert added(spark, rows + filler)[:len(rows)] == small and sum(map(len, small)) >= 6
+
+
+def test_an_entity_of_very_many_documents(spark):
+    """The rows that tie terms to an entity grow with the documents that hold it, not with their square."""
+    made = {}
+    for m in (200, 800):
+        rows = [(i, f"contact@site.org pair{i // 2} also{(i + 1) // 2} twin{i // 2}") for i in range(m)] + [(5000 + i, f"else {i}") for i in range(9 * m)]
+        seen = []
+        keep = P.stored
+        P.stored = lambda spark, df, name, *a: (seen.append((name, out := keep(spark, df, name, *a))), out)[1]
+        try:
+            got = added(spark, rows)
+        finally:
+            P.stored = keep
+        made[m] = max(df.count() for name, df in seen if name in ("shown", "told", "tied"))
+        assert got == expected(rows)
+    assert made[800] <= 4.5 * made[200] and made[800] <= 4 * 800
+
+
 def told(spark, rows):
     text = dict(rows)
     got = P.pii_digest(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
