@@ -13,8 +13,9 @@ replace the stored ones, but for those that a 304 may not change.
 
 Native DataFrame code throughout. Edge cases: a null URL or time matches nothing
 (``no_original``); a response at the very time of a revisit is not earlier;
-of responses at one time the greatest id wins; null headers are none; repeated revisits
-are resolved each on its own; other columns are ignored.
+of responses at one time the greatest id wins; null headers are none; of
+a header that one record names twice (``Date`` and ``date``) the last value counts; very long values are kept whole; repeated revisits
+are resolved each on its own; an empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -77,7 +78,13 @@ def resolve_revisits(records: DataFrame, bucket: int = BUCKET) -> DataFrame:
     state = F.when(F.col("o").isNull(), "no_original").when(by_tag, F.when(_tag(F.col("etag")) == _tag(o("etag")), "resolved").otherwise("mismatch"))
     state = state.when(by_date, F.when(F.col("last_modified") == o("last_modified"), "resolved").otherwise("mismatch")).otherwise("unchecked")
     names = lambda m: F.coalesce(m, F.create_map().cast("map<string,string>"))
-    low = lambda m: F.transform_keys(names(m), lambda k, v: F.lower(k))
+
+    def low(m):
+        """Headers by lower-case name; of several spellings of a name the last one counts."""
+        each = F.transform(F.map_entries(names(m)), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+        back = F.reverse(F.transform(each, lambda e: e["key"]))
+        return F.map_from_entries(F.filter(each, lambda e, i: F.array_position(back, e["key"]) == F.size(back) - i))
+
     fresh = F.map_filter(low(F.col("headers")), lambda k, v: ~k.isin(*NOT_MERGED))
     stored = low(o("headers"))
     merged = F.map_concat(F.map_filter(stored, lambda k, v: ~F.map_contains_key(fresh, k)), fresh)

@@ -33,6 +33,19 @@ def test_rules(spark):
     assert got[3].original_id is None and got[13].original_id == 12
 
 
+def test_headers_named_twice(spark):
+    """Header names are case-blind: one record may spell a name in several ways. Long values, clashing columns."""
+    long = "x" * 300_000
+    rows = [(1, "a.org", 10, "response", '"t"', None, {"Date": "1", "date": "2", "DATE": "3", "X-Long": long, "Etag": "a"}, "d", 5),
+            (2, "a.org", 20, "revisit", '"t"', None, {"dAte": "4", "Date": "5", "Content-Length": "9", "content-length": "8"}),
+            (3, "a.org", 20, "revisit", '"t"', None, {}), (3, "a.org", 20, "revisit", '"t"', None, {})]
+    rows = [(*r, *[None] * (9 - len(r)), 7, "s", "k") for r in rows]
+    records = spark.createDataFrame(rows, SCHEMA.replace(", state string", "") + ", slot long, state string, url_key string")
+    got = {r.record_id: r for r in R.resolve_revisits(records).collect()}
+    assert got[2].headers == {"date": "5", "x-long": long, "etag": "a"}
+    assert got[3].headers == {"date": "3", "x-long": long, "etag": "a"} and R.resolve_revisits(records).count() == 3
+
+
 def test_buckets_equal_plain_search(spark):
     rng = random.Random(4)
     rows = [(i, f"u{rng.randint(0, 3)}.org", rng.randint(0, 400), rng.choice(["response", "revisit"]), rng.choice([None, "a", "b"]), None, None, "d", 1) for i in range(400)]
