@@ -9,15 +9,17 @@ on both sides; the lengths that occur (at most 13) decide which are taken.
 
 Document fingerprints stream into a join with the benchmark's (Spark broadcasts
 these only when their stored size is small, else both sides are shuffled by
-fingerprint). A hit names a diagonal (document position minus item position); the
-texts that were hit are read again (a bounded table of bits keeps the others from being shuffled), and along each diagonal equal words are
+fingerprint). On either side a fingerprint is one row with all its positions, so a word that
+a text and an item repeat a thousand times each is one row of the join, not a million. A hit names diagonals
+(document position minus item position); the texts that were hit are read again (a bounded table of bits keeps the others from being shuffled), and along each diagonal equal words are
 extended to the full shared span. Spans of a window or more count.
 
 Results belong to texts, keyed by a 128-bit digest, so copies are verified
 once and repeated rows are harmless.
 
 Edge cases: a null or empty text, or one of separators alone, has no words, no
-hits and is clean; items without words never occur; items of equal words hit
+hits and is clean; very long texts are taken whole, and so are texts and items that repeat a few words throughout (memory: that of
+one text, its items and their positions); an empty table of documents gives an empty result; items without words never occur; items of equal words hit
 together; repeated item ids count once; an empty benchmark leaves every document
 clean; other columns are ignored.
 """
@@ -75,25 +77,31 @@ def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.filter(F.size("words") > 0).groupBy("words").agg(F.collect_set("id").alias("ids")).select(digest.alias("item"), "words", "ids")
 
 
+def _by_fingerprint(doc: np.ndarray, pos: np.ndarray, fp: np.ndarray):
+    """One entry per document and fingerprint: documents, fingerprints, and a list column of the positions."""
+    order = np.lexsort((pos, fp, doc))
+    doc, pos, fp = doc[order], pos[order], fp[order]
+    at = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (fp[1:] != fp[:-1])]))
+    ends = np.append(at, len(pos))
+    return doc[at], fp[at].view(np.int64), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pos, pa.int64()))
+
+
 def _item_fingerprints(items: DataFrame, window: int) -> DataFrame:
     def work(batches):
         for batch in batches:
-            row, pos, fp = [], [], []
             for i, words in enumerate(batch.column(1)):
                 words = np.array(words.as_py(), np.int64).view(np.uint64)
                 p, f = winnow(words, np.zeros(len(words), np.int64), min(window, len(words)))
-                row.append(np.full(len(p), i)), pos.append(p), fp.append(f.view(np.int64))
-            if row:
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(row))), pa.array(np.concatenate(pos)), pa.array(np.concatenate(fp))],
-                                                 names=["item", "ipos", "fp"])
+                row, fp, places = _by_fingerprint(np.full(len(p), i), p, f)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), places, pa.array(fp)], names=["item", "ipos", "fp"])
 
-    return items.select("item", "words").mapInArrow(work, "item binary, ipos long, fp long")
+    return items.select("item", "words").mapInArrow(work, "item binary, ipos array<long>, fp long")
 
 
 def _document_fingerprints(docs: DataFrame, spans: list[int], id_col: str, text_col: str) -> DataFrame:
-    """Per document one row with ``n_words`` and no ``dpos``, then one row per fingerprint."""
+    """Per document one row with ``n_words`` and no ``dpos``, then one row per distinct fingerprint with its positions."""
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType), T.StructField("key", T.BinaryType()), T.StructField("n_words", T.LongType()),
-                           T.StructField("dpos", T.LongType()), T.StructField("fp", T.LongType())])
+                           T.StructField("dpos", T.ArrayType(T.LongType())), T.StructField("fp", T.LongType())])
 
     def work(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
@@ -106,21 +114,32 @@ def _document_fingerprints(docs: DataFrame, spans: list[int], id_col: str, text_
                 head = pa.array(np.arange(a, b))
                 # a head's fp matches nothing; it only spreads the heads over a shuffled join
                 spread = mix(np.arange(b - a, dtype=np.uint64) + np.uint64(len(buf))).view(np.int64)
-                yield pa.RecordBatch.from_arrays([ids.take(head), keys.take(head), pa.array(n), pa.nulls(b - a, pa.int64()), pa.array(spread)], schema=arrow)
+                yield pa.RecordBatch.from_arrays([ids.take(head), keys.take(head), pa.array(n), pa.nulls(b - a, arrow.field(3).type), pa.array(spread)], schema=arrow)
                 first = np.searchsorted(doc, np.arange(b - a))
                 for span in spans:
                     pos, fp = winnow(words, doc, span)
                     if len(pos):
-                        at = pa.array(doc[pos] + a)
-                        none = pa.nulls(len(pos), arrow.field(0).type)
-                        yield pa.RecordBatch.from_arrays([none, keys.take(at), pa.nulls(len(pos), pa.int64()), pa.array(pos - first[doc[pos]]),
-                                                          pa.array(fp.view(np.int64))], schema=arrow)
+                        own, fps, places = _by_fingerprint(doc[pos], pos - first[doc[pos]], fp)
+                        none = pa.nulls(len(own), arrow.field(0).type)
+                        yield pa.RecordBatch.from_arrays([none, keys.take(pa.array(own + a)), pa.nulls(len(own), pa.int64()), places.cast(arrow.field(3).type),
+                                                          pa.array(fps)], schema=arrow)
 
     return docs.select(F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text")).mapInArrow(work, schema)
 
 
+def _diagonals(places, n_doc: int, n_item: int) -> np.ndarray:
+    """All differences of a document position and an item position with one fingerprint."""
+    marks = np.zeros(n_doc + n_item, bool)
+    for d, i in places:
+        d, i = np.asarray(d), np.asarray(i)
+        few, many, sign = (i, d, -1) if len(i) < len(d) else (d, i, 1)
+        for x in few:
+            marks[(sign * (x - many)) + n_item] = True
+    return np.flatnonzero(marks) - n_item
+
+
 def _verify(texts: DataFrame, window: int) -> DataFrame:
-    """``texts``: key, text, hits (array of words, ids, diagonal) -> key, n_hit, items."""
+    """``texts``: key, text, hits (array of words, ids, places: positions in text and item) -> key, n_hit, items."""
     def work(batches):
         for batch in batches:
             n_hit, found = np.zeros(batch.num_rows, np.int64), []
@@ -131,17 +150,19 @@ def _verify(texts: DataFrame, window: int) -> DataFrame:
                 for d in range(b - a):
                     own = words[cut[d]:cut[d + 1]]
                     covered, ids = np.zeros(len(own) + 1, np.int64), set()
-                    for hit in hits[a + d].as_py():
-                        item = np.array(hit["words"], np.int64).view(np.uint64)
-                        lo = max(0, hit["diagonal"])
-                        hi = min(len(own), hit["diagonal"] + len(item))
-                        same = own[lo:hi] == item[lo - hit["diagonal"]:hi - hit["diagonal"]]
-                        edges = np.flatnonzero(np.diff(np.concatenate([[0], same.view(np.int8), [0]])))
-                        for s, e in zip(edges[::2], edges[1::2]):
-                            if e - s >= min(window, len(item)):
-                                covered[lo + s] += 1
-                                covered[lo + e] -= 1
-                                ids.update(hit["ids"])
+                    for hit in hits[a + d]:
+                        item = hit["words"].values.to_numpy(zero_copy_only=False).view(np.uint64)
+                        need = min(window, len(item))
+                        places = [(p["dpos"].values.to_numpy(), p["ipos"].values.to_numpy()) for p in hit["places"]]
+                        for diagonal in _diagonals(places, len(own), len(item)).tolist():
+                            lo, hi = max(0, diagonal), min(len(own), diagonal + len(item))
+                            same = own[lo:hi] == item[lo - diagonal:hi - diagonal]
+                            edges = np.flatnonzero(np.diff(np.concatenate([[0], same.view(np.int8), [0]])))
+                            for s, e in zip(edges[::2], edges[1::2]):
+                                if e - s >= need:
+                                    covered[lo + s] += 1
+                                    covered[lo + e] -= 1
+                                    ids.update(hit["ids"].as_py())
                     n_hit[a + d] = int((np.cumsum(covered) > 0).sum())
                     found.append(sorted(ids))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_hit), pa.array(found, pa.list_(pa.string()))], names=["key", "n_hit", "items"])
@@ -157,9 +178,10 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     spans = sorted(r[0] for r in items.select(F.least(F.size("words"), F.lit(window))).distinct().collect())  # at most `window` numbers
     fps = stored(spark, _item_fingerprints(items, window), "item-fingerprints")
     rows = _document_fingerprints(docs, spans, id_col, text_col).join(fps, "fp", "left")
-    rows = stored(spark, rows.filter("dpos is null or item is not null").select("id", "key", "n_words", "item", (F.col("dpos") - F.col("ipos")).alias("diagonal")), "hits")
-    hits = rows.filter("item is not null").select("key", "item", "diagonal").distinct().join(items, "item")
-    hits = hits.groupBy("key").agg(F.collect_list(F.struct("words", "ids", "diagonal")).alias("hits"))
+    rows = stored(spark, rows.filter("dpos is null or item is not null").select("id", "key", "n_words", "item", "fp", "dpos", "ipos"), "hits")
+    hits = rows.filter("item is not null").dropDuplicates(["key", "item", "fp"])
+    hits = hits.groupBy("key", "item").agg(F.collect_list(F.struct("dpos", "ipos")).alias("places")).join(items, "item")
+    hits = hits.groupBy("key").agg(F.collect_list(F.struct("words", "ids", "places")).alias("hits"))
     texts = docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text"))
     # only texts that may have been hit are shuffled, and copies are combined before that; the join decides
     pages = bit_pages(spark, rows.filter("item is not null").select(F.xxhash64("key").alias("h")).distinct())

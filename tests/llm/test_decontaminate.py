@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 from mooclens.llm import decontaminate as D
 
@@ -59,3 +60,23 @@ def test_every_place_of_a_shared_span_is_found(spark):
     base = [f"w{k}" for k in range(13)]
     docs = [(k, " ".join(["x"] * k + base + ["y"] * (k % 5))) for k in range(40)] + [(100, " ".join(["x"] * 50)), (101, " ".join(base[:12]))]
     check(spark, spark.createDataFrame(docs, "doc_id long, text string"), [(1, " ".join(base)), (2, " ".join(["x"] * 14))])
+
+
+def test_texts_and_items_that_repeat_words(spark):
+    """Ties of every position with every other: one row each, in time and memory of the text."""
+    rows = [(1, " ".join(["w"] * 20_000)), (2, " ".join(["a b"] * 3000)), (3, " ".join(["a b c"] * 100 + ["w"] * 12)), (4, " ".join(["w"] * 20 + ["a", "b"] * 9))]
+    items = [(1, " ".join(["w"] * 1000)), (2, " ".join(["b a"] * 300)), (3, " ".join(["w"] * 13)), (4, "w w w w w")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    began = time.time()
+    got = sorted(tuple(r)[:4] for r in D.contamination_digest(spark, docs, benchmark).collect())
+    assert time.time() - began < 60
+    assert got == [(1, 20_000, 20_000, 3), (2, 6000, 6000, 1), (3, 312, 12, 1), (4, 38, 38, 4)]
+    seen = []
+    keep = D.stored
+    D.stored = lambda spark, df, name, *a: (seen.append((name, out := keep(spark, df, name, *a))), out)[1]
+    try:
+        D.contamination(spark, docs, benchmark).count()
+    finally:
+        D.stored = keep
+    assert max(df.count() for name, df in seen if name == "hits") < 40
