@@ -1,18 +1,18 @@
 """License scan: fingerprints, inverted index, banded alignment (operator 3).
 
 Templates and documents are word sequences (lower-cased, letters and digits).
-A match covers ``least`` of its template's n words, so it holds one of any n - m + 1
-places of the template, where m words are enough. The n - m + 1 least common ones are the
-template's fingerprints: words, since words may be inserted anywhere and no longer gram need stand
-intact. They form an inverted index, word -> (template, position), a fixed small table that every
+Of a template's words, ordered by rarity, winnowing keeps the least one of every window of w
+places; single words (k = 1), since words may be inserted anywhere and no longer gram need stand intact.
+A match covers ``least`` of its template's n words, m at least, so it holds one of any n - m + 1
+places: w is the largest window that keeps so many, and no match is without a fingerprint. They form an inverted index, word -> (template, position), a fixed small table that every
 task holds. A document's words found there name diagonals; those whose surroundings
 hold m words of the template at all are aligned locally within a band,
 which allows words to be inserted, left out or changed, at every diagonal whose band holds
 the fingerprint. So the matches are those that aligning at every diagonal of every
 document would give. Each has its coverage and its span in the text. Nothing is shuffled.
 
-Edge cases: a null or empty text has no matches; a license named twice is
-reported twice; equal rows get equal answers; other columns are ignored. Offsets are code
+Edge cases: a null or empty text has no matches; very long texts are scanned whole, in runs; a license named twice is
+reported twice; of alignments that cover the same words the better, then the earlier one counts; an empty table gives an empty result; equal rows get equal answers; other columns are ignored. Offsets are code
 points, end exclusive; coverage counts matched template words.
 """
 
@@ -29,7 +29,7 @@ from .common import ALNUM_WORD, LOWER, runs, span_hashes, word_spans
 LEAST = 0.8
 BAND = 12
 CELLS = 1 << 18  # of alignments computed at a time
-#: Words that are taken as fingerprints last; this decides on time only.
+#: Words that count as the most common ones; this decides on time only.
 COMMON = frozenset("a all an and any are as be by for from in is it no not of on or provided that the this to under use with work you".split())
 GAP, CHANGE, HIT = 1, 1, 2
 
@@ -73,6 +73,17 @@ def _words(buf: np.ndarray, off: np.ndarray):
     return span_hashes(LOWER[buf], starts, ends), starts, ends, doc
 
 
+def winnowed(rank: list, need: int) -> list[int]:
+    """Places with the least rank of some window of w places, for the largest w that keeps ``need`` of them."""
+    kept = set(range(len(rank)))
+    for w in range(2, len(rank) + 1):
+        fewer = {min(range(i, i + w), key=rank.__getitem__) for i in range(len(rank) - w + 1)}
+        if len(fewer) < need:
+            break
+        kept = fewer
+    return sorted(kept)
+
+
 class LicenseIndex:
     def __init__(self, templates=None, least: float = LEAST):
         self.names, self.words, self.least, self.bands = [], [], [], []
@@ -94,9 +105,9 @@ class LicenseIndex:
         keys, where = [], []
         for t, (ids, words) in enumerate(zip(self.ids, spelt)):
             self.holds[t, ids] = True
-            rare = sorted(range(len(ids)), key=lambda i: (words[i] in COMMON, uses[ids[i]], -len(words[i]), i))[:len(ids) - self.least[t] + 1]
-            keys += [int(ids[i]) for i in rare]
-            where += [(t, i) for i in rare]
+            kept = winnowed([(words[i] in COMMON, uses[ids[i]], -len(words[i]), i) for i in range(len(ids))], len(ids) - self.least[t] + 1)
+            keys += [int(ids[i]) for i in kept]
+            where += [(t, i) for i in kept]
         order = np.argsort(keys, kind="stable")
         self.keys, self.where = np.array(keys)[order], np.array(where)[order]
 

@@ -88,3 +88,17 @@ def test_matches_are_those_of_every_diagonal():
         want = brute(text)
         assert g <= want and best(g) == best(want)
     assert sum(map(bool, got)) > len(texts) // 2
+
+
+def test_fingerprints_are_winnowed_and_miss_no_match():
+    """Every window has its least word kept, and there are enough places that no match avoids them all."""
+    import itertools
+    index = L.LicenseIndex()
+    for t, ids in enumerate(index.ids):
+        kept = {i for (u, i) in index.where.tolist() if u == t}
+        need = len(ids) - index.least[t] + 1
+        assert len(kept) >= need
+        if len(ids) <= 12:
+            assert all(kept & set(c) for c in itertools.combinations(range(len(ids)), index.least[t]))
+    rank = [5, 3, 9, 1, 7, 2, 8]
+    assert L.winnowed(rank, 2) == [1, 3, 5] and L.winnowed(rank, 7) == list(range(7)) and L.winnowed(rank, 1) == [3]
