@@ -7,20 +7,21 @@ partition (``lag`` is the case of an always-non-null expression).  A plain
 one task; a bot or a load-test account can own a large share of a log.  Here the
 window runs on ``keys + [bucket]`` (an hour of time by default), and the value
 carried into each bucket from the earlier ones comes from a per-bucket summary
-table (one row per key and hour) joined back.  The window's rows are stored in
-the shared folder and both the summary and the join read them there, so the log
-is scanned, its expressions evaluated and its rows shuffled for the window once.
-Result is identical to the unsplit window.
+table (one row per key and hour).  The window's rows are stored in
+the shared folder, apart by whether they still lack a value: only those that do (the first of
+a kind in their key and hour) are joined with the summary, all others never move again.  So the log
+is scanned, its expressions evaluated and its rows shuffled once.  Result is identical to the unsplit window.
+``before`` carries values in from rows that are not there at all (earlier days).
 """
 
 from __future__ import annotations
 
-import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mooclens.session import checkpoint_dir
+from mooclens.session import scratch_path
 
 # Width of the sub-partitions of a key; None runs the plain (unsplit) window.
 DEFAULT_BUCKET = "hour"
@@ -31,14 +32,17 @@ def time_bucket(time_col: str = "time", unit: str | None = DEFAULT_BUCKET) -> Co
 
 
 def previous_values(df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column],
-                    bucket: Column | None = None, monotone: bool = False) -> DataFrame:
+                    bucket: Column | None = None, monotone: bool = False, needed: dict[str, Column] | None = None,
+                    before: DataFrame | None = None) -> DataFrame:
     """Add one column per ``values`` entry: the last non-null value of that
     expression among the rows strictly before the current one in its ``keys``
     partition, ordered by ``order`` (which must be unique within a partition).
 
     ``bucket`` must be monotone in ``order`` (e.g. the hour of the ordering
-    time).  Keys must be non-null (callers filter them) so the carry join can
-    reuse the window's hash partitioning.
+    time).  Keys must be non-null (callers filter them).
+
+    ``needed`` names rows that want a value at all (default: every row); others get NULL.
+    ``before``: ``keys`` and one column per value, the last value of each key before its first row here.
 
     ``monotone=True`` declares that every value, where non-null, never
     decreases along ``order`` (e.g. ``lag(time)`` ordered by time): the last
@@ -46,9 +50,9 @@ def previous_values(df: DataFrame, keys: list[str], order: list[str], values: di
     ``max(struct(order, value))`` that needs a sort-based aggregate.
     """
     names = list(values)
+    want = {n: (needed or {}).get(n, F.lit(True)) for n in names}
     if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return df.select("*", *[F.last(values[n], ignorenulls=True).over(w).alias(n) for n in names])
+        bucket = F.lit(0)
 
     b = "_pv_bucket"
     tmp = {n: f"_pv_{i}" for i, n in enumerate(names)}
@@ -57,8 +61,10 @@ def previous_values(df: DataFrame, keys: list[str], order: list[str], values: di
     # in-bucket running values, stored: the bucket summary and the join below read them
     w = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     x = x.select("*", *[F.last(tmp[n] + "_v", ignorenulls=True).over(w).alias(tmp[n] + "_w") for n in names])
-    path = f"{checkpoint_dir(df.sparkSession)}/window-{uuid.uuid4().hex}"
-    x.write.option("compression", "zstd").parquet(path)
+    lacks = reduce(lambda p, q: p | q, [F.coalesce(want[n], F.lit(False)) & F.col(tmp[n] + "_w").isNull() for n in names])
+    x = x.select(*df.columns, b, *[tmp[n] + "_v" for n in names], *[F.when(want[n], F.col(tmp[n] + "_w")).alias(tmp[n] + "_w") for n in names], lacks.alias("_pv_lacks"))
+    path = scratch_path(df.sparkSession, "window")
+    x.write.option("compression", "zstd").partitionBy("_pv_lacks").parquet(path)
     x = df.sparkSession.read.schema(x.schema).parquet(path)
 
     # last non-null value of each expression inside each (keys, bucket)
@@ -73,20 +79,35 @@ def previous_values(df: DataFrame, keys: list[str], order: list[str], values: di
     wb = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     carry = last_in_bucket.select(*keys, b, *[
         F.last(tmp[n] + "_b", ignorenulls=True).over(wb).alias(tmp[n] + "_c") for n in names])
-    x = x.join(carry, keys + [b], "left")
-    out = x.select(*df.columns, *[F.coalesce(tmp[n] + "_w", tmp[n] + "_c").alias(n) for n in names])
-    return out
+    if before is not None:
+        early = before.select(*keys, *[F.col(n).alias(tmp[n] + "_e") for n in names])
+        carry = carry.join(early, keys, "left").select(*keys, b, *[F.coalesce(tmp[n] + "_c", tmp[n] + "_e").alias(tmp[n] + "_c") for n in names])
+    done = x.where("not _pv_lacks").select(*df.columns, *[F.col(tmp[n] + "_w").alias(n) for n in names])
+    rest = x.where("_pv_lacks").join(carry, keys + [b], "left")
+    rest = rest.select(*df.columns, *[F.coalesce(F.col(tmp[n] + "_w"), F.when(want[n], F.col(tmp[n] + "_c"))).alias(n) for n in names])
+    return done.unionByName(rest)
+
+
+def last_values(df: DataFrame, keys: list[str], order: list[str], values: dict[str, Column], monotone: bool = False) -> DataFrame:
+    """Per ``keys`` the last non-null value of each expression, as a column that ``max`` merges with
+    those of later rows: the value itself if it is monotone, else (order, value)."""
+    place = F.struct(*order)
+    kept = {n: v if monotone else F.when(v.isNotNull(), F.struct(place.alias("o"), v.alias("v"))) for n, v in values.items()}
+    return df.groupBy(*keys).agg(*[F.max(v).alias(n) for n, v in kept.items()])
+
+
+def lag_wrapped(cols: dict[str, str]) -> dict[str, Column]:
+    return {f"_lag_{n}": F.struct(F.col(c).alias("v"), F.lit(1).alias("p")) for n, c in cols.items()}
 
 
 def lag_values(df: DataFrame, keys: list[str], order: list[str], cols: dict[str, str],
-               bucket: Column | None = None) -> DataFrame:
+               bucket: Column | None = None, before: DataFrame | None = None) -> DataFrame:
     """``lag(col, 1)`` for possibly-null columns: the previous row's value.
 
     Wrapped in a struct so a NULL value of the previous row is carried as
-    such instead of being skipped.
+    such instead of being skipped.  ``before`` has the columns of ``lag_wrapped``.
     """
-    wrapped = {f"_lag_{n}": F.struct(F.col(c).alias("v"), F.lit(1).alias("p")) for n, c in cols.items()}
-    x = previous_values(df, keys, order, wrapped, bucket)
+    x = previous_values(df, keys, order, lag_wrapped(cols), bucket, before=before)
     return x.select(*df.columns, *[F.col(f"_lag_{n}").getField("v").alias(n) for n in cols])
 
 

@@ -235,7 +235,8 @@ def forum_events(log: DataFrame, start=None, end=None) -> DataFrame:
                     F.col("event_struct.GET").alias("event_GET")))
 
 
-EMPTY_PAYLOAD = '{"POST": {}, "GET": {}}'
+#: An object of an empty POST and an empty GET, however it is spelled.
+EMPTY_PAYLOAD = r'^\s*\{\s*"(POST|GET)"\s*:\s*\{\s*\}\s*,\s*"(?!\1")(?:POST|GET)"\s*:\s*\{\s*\}\s*\}\s*$'
 
 
 def ora_events(log: DataFrame, start=None, end=None) -> DataFrame:
@@ -261,7 +262,7 @@ def ora_events(log: DataFrame, start=None, end=None) -> DataFrame:
              .when(create, rx_extract(json_str(ev, "$.answer.file_key"), ".*(i4x://.*)"))
              .when(et.rlike("/courses/.*/xblock/i4x:.*"), F.regexp_replace(xblock, ";_", "/")))
     base = (log_window(log, start, end)
-            .where(et.like("%openassessment%") & (ev != EMPTY_PAYLOAD))
+            .where(et.like("%openassessment%") & ev.isNotNull() & ~ev.rlike(EMPTY_PAYLOAD))
             .select("time", "username", "course_id", action.alias("action"), uuid.alias("submission_uuid"),
                     F.when(assess, json_str(ev, "$.parts[0].option.points")).alias("part1_points"),
                     F.when(assess, json_str(ev, "$.parts[0].feedback")).alias("part1_feedback"),

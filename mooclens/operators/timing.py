@@ -10,27 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mooclens.functions.windows import DEFAULT_BUCKET, previous_values, time_bucket
+from mooclens.functions.windows import DEFAULT_BUCKET, last_values, previous_values, time_bucket
 from mooclens.operators.logs import log_window
 
 KEYS = ["course_id", "username"]
 ORDER = ["time", "seq"]
 
-# Event classes of the time-on-task report (fixed patterns, tested as "contains").
-VIDEO_RX = r"\w+_video|\w+_transcript"
-PROBLEM_RX = r"problem_\w+"
-FORUM_RX = r"^edx\.forum\..*|/discussion/forum|/discussion/threads|/discussion/comments"
-TEXT_RX = r"^textbook\..*|/wiki/"
-CLASSES = [("video", VIDEO_RX), ("problem", PROBLEM_RX), ("forum", FORUM_RX), ("text", TEXT_RX)]
+# Event classes of the time-on-task report (fixed values).
+CLASSES = ["video", "problem", "forum", "text"]
 
 
 def _class_flags(et):
-    """The four class tests above, written as cheaper equivalents.
-
-    A "contains" match of ``\\w+_video`` needs just one word character before
-    ``_video``; ``^edx\\.forum\\..*`` is a prefix test and the rest are
-    literal substrings.
-    """
     return {
         "video": et.rlike(r"\w_video|\w_transcript"),
         "problem": et.rlike(r"problem_\w"),
@@ -49,42 +39,59 @@ def _sum_below(x, limit):
     return F.sum(F.when(x < limit, x))
 
 
-def learner_activity(log: DataFrame, start=None, end=None, bucket_unit: str | None = DEFAULT_BUCKET) -> DataFrame:
-    """Learner events with their previous-event times (shared by R13 and R31).
-
-    Rows: the log without ``/xblock/`` events and without an empty username;
-    columns: ``course_id, username, time, seq, event_type``, the four class
-    flags, ``is_xevent``, and the time of the previous event overall
-    (``last_time``), of the same class (``last_<class>``) and of any class
-    (``last_xevent``).  One skew-safe window pass; a build stores it once and
-    both reports read it.
-    """
+def activity_rows(log: DataFrame, start=None, end=None) -> DataFrame:
+    """Learner events with their class flags."""
     et = F.col("event_type")
     flags = _class_flags(et)
     x = (log_window(log, start, end)
          .where(~et.contains("/xblock/") & F.col("username").isNotNull() & (F.col("username") != ""))
          .select("course_id", "username", "time", "seq", "event_type",
-                 *[flags[n].alias(f"is_{n}") for n, _ in CLASSES]))
+                 *[flags[n].alias(f"is_{n}") for n in CLASSES]))
     is_x = F.col("is_video") | F.col("is_problem") | F.col("is_forum") | F.col("is_text")
-    x = x.withColumn("is_xevent", is_x)
-    prev = {"last_time": F.col("time"),
-            **{f"last_{n}": F.when(F.col(f"is_{n}"), F.col("time")) for n, _ in CLASSES},
+    return x.withColumn("is_xevent", is_x)
+
+
+#: Values whose last occurrence a learner's next event looks up, and the rows that look them up.
+ACTIVITY_VALUES = ["last_time", *[f"last_{n}" for n in CLASSES], "last_xevent"]
+
+
+def _activity_values():
+    return {"last_time": F.col("time"), **{f"last_{n}": F.when(F.col(f"is_{n}"), F.col("time")) for n in CLASSES},
             "last_xevent": F.when(F.col("is_xevent"), F.col("time"))}
-    return previous_values(x, KEYS, ORDER, prev, time_bucket("time", bucket_unit), monotone=True)
+
+
+def learner_activity(log: DataFrame, start=None, end=None, bucket_unit: str | None = DEFAULT_BUCKET, before: DataFrame | None = None) -> DataFrame:
+    """Learner events with their previous-event times (shared by R13 and R31).
+
+    Rows: the log without ``/xblock/`` events and without an empty username;
+    columns: ``course_id, username, time, seq, event_type``, the four class
+    flags, ``is_xevent``, and the time of the previous event overall
+    (``last_time``); on rows of a class also that of the previous event of the same class
+    (``last_<class>``) and of any class
+    (``last_xevent``).  One skew-safe window pass; a build stores it once and
+    both reports read it.  ``before``: the last times of each learner before these rows.
+    """
+    needed = {**{f"last_{n}": F.col(f"is_{n}") for n in CLASSES}, "last_xevent": F.col("is_xevent")}
+    return previous_values(activity_rows(log, start, end), KEYS, ORDER, _activity_values(), time_bucket("time", bucket_unit), monotone=True, needed=needed, before=before)
+
+
+def activity_state(log: DataFrame) -> DataFrame:
+    """Per (day, learner) the last times that ``learner_activity`` of later days looks up."""
+    return last_values(activity_rows(log).withColumn("day", F.to_date("time")), ["day", *KEYS], ORDER, _activity_values(), monotone=True)
 
 
 def time_on_task_from_activity(act: DataFrame, timeout_short: int = 5, timeout_long: int = 30) -> DataFrame:
     """R31 over ``learner_activity`` rows (see ``time_on_task``)."""
     x = act.where(F.col("last_time").isNotNull())
     dts = [_secs("time", "last_time").alias("dt")]
-    for n, _ in CLASSES:
+    for n in CLASSES:
         dts.append(F.when(F.col(f"is_{n}"), _secs("time", f"last_{n}")).alias(f"dt_{n}"))
         dts.append(F.when(F.col(f"is_{n}"), _secs("time", "last_xevent")).alias(f"serial_dt_{n}"))
     x = x.select("course_id", "username", F.to_date("time").alias("date"), *dts)
     s, lg = timeout_short * 60.0, timeout_long * 60.0
     aggs = [_sum_below(F.col("dt"), s).alias(f"total_time_{timeout_short}"),
             _sum_below(F.col("dt"), lg).alias(f"total_time_{timeout_long}")]
-    for n, _ in CLASSES:
+    for n in CLASSES:
         aggs += [_sum_below(F.col(f"dt_{n}"), s).alias(f"total_{n}_time_{timeout_short}"),
                  _sum_below(F.col(f"dt_{n}"), lg).alias(f"total_{n}_time_{timeout_long}"),
                  _sum_below(F.col(f"serial_dt_{n}"), lg).alias(f"serial_{n}_time_{timeout_long}")]
@@ -115,14 +122,26 @@ def _strip_module_tail(m):
              .otherwise(m))
 
 
-def time_on_asset_daily(log: DataFrame, start=None, end=None, bucket_unit: str | None = DEFAULT_BUCKET) -> DataFrame:
+ASSET_KEYS = [*KEYS, "module_id"]
+ASSET_VALUES = ["last_time_umid"]
+
+
+def _asset_rows(log: DataFrame, start=None, end=None) -> DataFrame:
+    return (log_window(log, start, end)
+            .select("course_id", "username", "time", "seq", _strip_module_tail(F.col("module_id")).alias("module_id"))
+            .where(F.col("module_id").isNotNull() & F.col("username").isNotNull() & (F.col("username") != "")
+                   & ~F.col("module_id").contains('"')))
+
+
+def asset_state(log: DataFrame) -> DataFrame:
+    """Per (day, learner, module) the last time that ``time_on_asset_daily`` of later days looks up."""
+    return last_values(_asset_rows(log).withColumn("day", F.to_date("time")), ["day", *ASSET_KEYS], ORDER, {"last_time_umid": F.col("time")}, monotone=True)
+
+
+def time_on_asset_daily(log: DataFrame, start=None, end=None, bucket_unit: str | None = DEFAULT_BUCKET, before: DataFrame | None = None) -> DataFrame:
     """Per (day, module, user) seconds between consecutive events on the same module."""
-    x = (log_window(log, start, end)
-         .select("course_id", "username", "time", "seq", _strip_module_tail(F.col("module_id")).alias("module_id"))
-         .where(F.col("module_id").isNotNull() & F.col("username").isNotNull() & (F.col("username") != "")
-                & ~F.col("module_id").contains('"')))
-    x = previous_values(x, ["course_id", "username", "module_id"], ORDER, {"last_time_umid": F.col("time")},
-                        time_bucket("time", bucket_unit), monotone=True)
+    x = previous_values(_asset_rows(log, start, end), ASSET_KEYS, ORDER, {"last_time_umid": F.col("time")},
+                        time_bucket("time", bucket_unit), monotone=True, before=before)
     dt = F.expr("timestampdiff(SECOND, last_time_umid, time)")
     return (x.select("course_id", F.to_date("time").alias("date"), "username", "module_id", dt.alias("dt_umid"))
             .groupBy("course_id", "date", "username", "module_id")
@@ -149,12 +168,13 @@ def time_on_asset_totals(daily: DataFrame, person_course: DataFrame) -> DataFram
         med("time_umid5").alias("median_tmid5"), med("time_umid30").alias("median_tmid30"),
         med(F.when(cert, F.col("time_umid5"))).alias("cert_median_tmid5"),
         med(F.when(cert, F.col("time_umid30"))).alias("cert_median_tmid30"))
-    per_user = d.groupBy(*keys, "username", F.when(cert, F.col("username")).alias("certified_username")).agg(
+    per_user = d.groupBy(*keys, "username").agg(
+        F.max(F.coalesce(cert, F.lit(False)).cast("int")).alias("is_certified"),
         F.sum("time_umid5").alias("t5"), F.sum("time_umid30").alias("t30"),
         F.sum(F.when(cert, F.col("time_umid5"))).alias("c5"), F.sum(F.when(cert, F.col("time_umid30"))).alias("c30"))
     totals = per_user.groupBy(*keys).agg(
-        F.count_distinct("username").alias("n_unique_users"),
-        F.count_distinct("certified_username").alias("n_unique_certified"),
+        F.count(F.lit(1)).alias("n_unique_users"),
+        F.sum("is_certified").cast("bigint").alias("n_unique_certified"),
         F.avg("t5").alias("mean_tmid5"), F.avg("c5").alias("cert_mean_tmid5"),
         F.avg("t30").alias("mean_tmid30"), F.avg("c30").alias("cert_mean_tmid30"),
         F.sum("t5").alias("total_tmid5"), F.sum("c5").alias("cert_total_tmid5"),

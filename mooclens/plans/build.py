@@ -5,27 +5,29 @@ from __future__ import annotations
 import datetime as dt
 import json
 import time
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mooclens.plans.reports import CATALOG, build_order, resolve
-from mooclens.session import delete_path, escape_partition, path_exists
+from mooclens.session import clear_scratch, delete_path, escape_partition, path_exists, settle_folder, swap_folder
 
 
 def build_reports(spark: SparkSession, tables, out_dir: str, names: list[str] | None = None,
                   params: Mapping | None = None, append: bool = False, fail_fast: bool = False,
-                  courses: list[str] | None = None) -> list[dict]:
+                  courses: list[str] | None = None, rebalance: bool = True) -> list[dict]:
     """M3: build reports (and the reports they read) in dependency order.
 
     All courses are built in one job per report.  Each report is written to
     ``out_dir/<name>`` partitioned by ``course_id``: the whole report is
     replaced (a course that has become empty goes), or, with ``courses``, just
-    the rows of those courses, or rows are appended.  Later reports read the
+    the rows of those courses, or rows are appended.  A replacement is written aside and swapped in once it is whole, so a
+    report that fails leaves its old rows.  Later reports read the
     stored result instead of recomputing it.  The write is rebalanced by
-    course, so small courses make one file and large ones several.  Errors are collected per report; with ``fail_fast`` the
-    first one is raised.  Returns one status dict per report.
+    course, so small courses make one file and large ones several (``rebalance=False`` spares that shuffle).  Errors are collected per report; with ``fail_fast`` the
+    first one is raised.  Intermediate tables go when the build ends.  Returns one status dict per report.
     """
     order = build_order(names or list(CATALOG))
     memo: dict[str, DataFrame] = {}
@@ -37,14 +39,24 @@ def build_reports(spark: SparkSession, tables, out_dir: str, names: list[str] |
         try:
             df = resolve(name, tables, params, memo, share=False)
             path = f"{out_dir}/{name}"
+            settle_folder(spark, path)
             if courses is not None:
                 df = df.where(F.col("course_id").isin(list(courses)))
-                if not append and path_exists(spark, path):
-                    for course in set(courses) & {r[0] for r in spark.read.parquet(path).select("course_id").distinct().collect()}:
-                        delete_path(spark, f"{path}/course_id={escape_partition(spark, course)}")
-            mode = "dynamic" if courses is not None else "static"
-            (df.hint("rebalance", "course_id").write.mode("append" if append else "overwrite")
-             .option("partitionOverwriteMode", mode).partitionBy("course_id").parquet(path))
+            df = df.hint("rebalance", "course_id") if rebalance else df
+            if append:
+                df.write.mode("append").partitionBy("course_id").parquet(path)
+            else:
+                aside = f"{out_dir}/_new-{name}-{uuid.uuid4().hex}"
+                try:
+                    df.write.partitionBy("course_id").parquet(aside)
+                    if courses is None or not path_exists(spark, path):
+                        swap_folder(spark, aside, path)
+                    else:
+                        for course in courses:
+                            part = f"course_id={escape_partition(spark, course)}"
+                            swap_folder(spark, f"{aside}/{part}" if path_exists(spark, f"{aside}/{part}") else None, f"{path}/{part}")
+                finally:
+                    delete_path(spark, aside)
             memo[name] = spark.read.parquet(path)
             status.append({"report": name, "status": "ok", "seconds": round(time.perf_counter() - t0, 3)})
         except Exception as e:  # noqa: BLE001 - collected per report, like the source
@@ -54,6 +66,7 @@ def build_reports(spark: SparkSession, tables, out_dir: str, names: list[str] |
                            "seconds": round(time.perf_counter() - t0, 3)})
             memo.pop(name, None)
     sc.setJobDescription(None)
+    clear_scratch(spark)
     return status
 
 

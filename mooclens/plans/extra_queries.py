@@ -7,20 +7,18 @@ holds the matching DuckDB text.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mooclens.operators import learner, logs
-from mooclens.plans import reports
+from mooclens.plans import ingest_queries, reports
 from mooclens.plans.build import build_reports, run_query
-from mooclens.session import checkpoint_dir
-from mooclens.sources import ingest
+from mooclens.plans.incremental import REPORT_STATE, build_days
+from mooclens.session import scratch_path
 from mooclens.sources.bridge import Tables
 from mooclens.sources.logs import ingest_lines, split_tracking_logs
-from mooclens.sources.tables import merge_into, merge_table, read_json_lines
+from mooclens.sources.tables import append_evolving, json_rows, load_table, merge_bucketed, merge_into, merge_table, read_evolving, read_table
 
 
 def _t(spark, sf_dir) -> Tables:
@@ -41,14 +39,15 @@ def ingest_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scratch(spark: SparkSession, what: str) -> str:
-    return f"{checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    return f"{scratch_path(spark, 'queries')}/{what}"
 
 
 def split_tracking_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gzip files of platform lines through the split job, one file loaded twice, and read back."""
     path = _scratch(spark, "split")
     lines = _t(spark, sf_dir).raw_log_lines
-    (lines.select("value", F.pmod(F.col("seq"), F.lit(2)).alias("part")).repartition("part").write.partitionBy("part")
+    files = 2 + lines.count() // 50_000  # about 50,000 lines each
+    (lines.select("value", F.pmod(F.col("seq"), F.lit(files)).alias("part")).repartition("part").write.partitionBy("part")
      .option("compression", "gzip").text(f"{path}/logs"))
     for files in (f"{path}/logs/*/*.gz", f"{path}/logs/part=1/*.gz"):
         out = split_tracking_logs(spark, files, f"{path}/out", dynamic_date=True)
@@ -57,11 +56,80 @@ def split_tracking_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("event_struct.mode").alias("mode"), F.col("event_struct.GET").alias("get"))
 
 
+USERS = ["course_id", "user_id", "username", "email", "enrollment_mode"]
+
+
+def _user_changes(users: DataFrame) -> DataFrame:
+    """Changed e-mails, changed names under an unchanged e-mail, and new users."""
+    k = F.col("user_id") % 7
+    changed = users.where(k == 1).withColumn("email", F.concat("email", F.lit("*"))).withColumn("enrollment_mode", F.lit("changed"))
+    same = users.where(k == 2).withColumn("username", F.concat("username", F.lit("!")))
+    new = users.where(k == 3).withColumn("user_id", F.col("user_id") + 1_000_000_000).withColumn("email", F.lit("new"))
+    return changed.unionByName(same).unionByName(new)
+
+
+def merge_into_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: upsert of the user table; only rows whose e-mail differs are updated."""
+    users = _t(spark, sf_dir).user_info_combo.select(*USERS)
+    return merge_into(users, _user_changes(users), USERS[:2], match_unequal=["email"])
+
+
 def merge_table_written(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2 end to end: the location table is stored, merged twice with the same changes, and read back."""
-    geo, path = _t(spark, sf_dir).geoip, f"{_scratch(spark, 'geo')}/table"
-    merge_table(spark, path, geo, ["ip"])
-    return merge_table(spark, path, _merge_source(geo), ["ip"], match_unequal=["city"])
+    """M2 end to end: the user table is stored, merged twice with the same changes, and read back."""
+    users, path = _t(spark, sf_dir).user_info_combo.select(*USERS), f"{_scratch(spark, 'users')}/table"
+    for change in (users, _user_changes(users)):
+        merge_table(spark, path, change, USERS[:2], match_unequal=["email"])
+    return merge_table(spark, path, _user_changes(users), USERS[:2], match_unequal=["email"])
+
+
+def merge_bucketed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2 by hash bucket: only buckets with a changed key are read and rewritten."""
+    users, path = _t(spark, sf_dir).user_info_combo.select(*USERS), f"{_scratch(spark, 'users')}/table"
+    merge_bucketed(spark, path, users, USERS[:2], buckets=16)
+    return merge_bucketed(spark, path, _user_changes(users), USERS[:2], match_unequal=["email"])
+
+
+def _days_in_three_builds(name: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        t, path = _t(spark, sf_dir), _scratch(spark, "days")
+        days = sorted(str(r[0]) for r in t.tracking_log.select("log_date").distinct().collect())
+        k = -(-len(days) // 3)
+        for part in (days[:k], days[2 * k:], days[k:2 * k]):
+            if part:
+                build_days(spark, t, path, part, [name])
+        return spark.read.parquet(f"{path}/{name}")
+    run.__name__ = f"incremental_{name}"
+    run.__doc__ = f"M3: {name} built for a first, a last and a late middle third of the log's days, without their history."
+    return run
+
+
+def append_evolving_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: three loads of JSON files, each wider than the one before: a score becomes a double, a day a time, a struct grows, a column is new."""
+    g, path = _t(spark, sf_dir).grades_persistent, _scratch(spark, "grades")
+    who, score = ["course_id", "user_id"], F.col("percent_grade") * 100
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("user_id") % 50).cast("int"))
+    loads = [
+        (0, "course_id string, user_id bigint, score bigint, day date, info struct<a:bigint>",
+         [*who, F.floor(score).alias("score"), day.alias("day"), F.struct(F.col("user_id").alias("a")).alias("info")]),
+        (1, "user_id bigint, course_id string, score double, day date, info struct<b:string,a:bigint>, letter string",
+         [*who, score.alias("score"), day.alias("day"), F.struct(F.lit("b").alias("b"), F.col("user_id").alias("a")).alias("info"), F.col("letter_grade").alias("letter")]),
+        (2, "course_id string, user_id bigint, score bigint, day timestamp",
+         [*who, F.floor(score).alias("score"), F.concat(day.cast("string"), F.lit("T10:00:00")).alias("day")])]
+    for k, schema, cols in loads:
+        files = f"{path}/files{k}"
+        g.where(F.col("user_id") % 3 == k).select(F.to_json(F.struct(*cols)).alias("value")).write.option("compression", "gzip").text(files)
+        append_evolving(spark, f"{path}/table", json_rows(spark.read.text(files), T._parse_datatype_string(schema)))
+    x = read_evolving(spark, f"{path}/table")
+    return x.select("course_id", "user_id", "score", "day", F.col("info.a").alias("a"), F.col("info.b").alias("b"), "letter")
+
+
+def load_csv_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: CSV files whose quoted fields hold commas, quotes and line breaks."""
+    u, path = _t(spark, sf_dir).user_info_combo, _scratch(spark, "csv")
+    rows = u.select("course_id", "user_id", F.concat(F.col("username"), F.lit(',\n"x"')).alias("note"))
+    rows.write.option("header", "true").option("quoteAll", "true").option("escape", '"').csv(f"{path}/files")
+    load_table(spark, f"{path}/files", T._parse_datatype_string("course_id string, user_id bigint, note string"), f"{path}/table", fmt="csv")
+    return read_table(spark, f"{path}/table")
 
 
 def build_reports_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,35 +152,18 @@ FORUM_SCHEMA = T.StructType([
 
 
 def load_json_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M1: forum posts as JSON lines (some broken) loaded against a declared schema."""
+    """M1: files of forum posts as JSON lines (some broken) loaded against a declared schema."""
     f = _t(spark, sf_dir).forum
     broken = (F.col("_type") == "CommentThread") & (F.substring("mongoid", 2, 20).try_cast("bigint") % 29 == 7)
     lines = f.select(F.when(broken, F.concat(F.lit("not json "), F.col("mongoid")))
                      .otherwise(F.to_json(F.struct(*[F.col(c) for c in f.columns]))).alias("value"))
-    rows, _ = read_json_lines(lines, FORUM_SCHEMA)
+    path = _scratch(spark, "json")
+    lines.write.option("compression", "gzip").text(f"{path}/files")
+    load_table(spark, f"{path}/files", FORUM_SCHEMA, f"{path}/table", max_bad_rows=lines.count())
+    rows = read_table(spark, f"{path}/table")
     return rows.select(*[c for c in FORUM_SCHEMA.fieldNames() if c != "votes"], F.col("votes.count").alias("votes_count"))
 
 
-def _merge_source(geo: DataFrame) -> DataFrame:
-    a = F.split("ip", r"\.").getItem(1).cast("int")
-    b = F.split("ip", r"\.").getItem(3).cast("int")
-    k = a * 4 + b
-    g = geo.withColumn("_k", k).withColumn("_a", a).withColumn("_b", b)
-    changed = g.where(F.col("_k") % 3 == 1).withColumn("city", F.concat("city", F.lit("*"))) \
-        .withColumn("latitude", F.col("latitude") + 1.0)
-    same_city = g.where(F.col("_k") % 3 == 2).withColumn("latitude", F.col("latitude") + 100.0)
-    new = g.where(F.col("_k") % 3 == 2).withColumn(
-        "ip", F.concat(F.lit("10."), (F.col("_a") + 10).cast("string"), F.lit(".0."), F.col("_b").cast("string"))) \
-        .withColumn("city", F.lit("new"))
-    return changed.unionByName(same_city).unionByName(new).drop("_k", "_a", "_b")
-
-
-def merge_into_geoip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M2: upsert a changed copy of the location table; only rows whose city differs are updated."""
-    geo = _t(spark, sf_dir).geoip
-    return merge_into(geo, _merge_source(geo), ["ip"], match_unequal=["city"])
-
-
 WINDOW = ("2024-01-10", "2024-01-20")
 
 
@@ -191,9 +242,13 @@ QUERIES = {
     "merge_table_written": merge_table_written,
     "build_reports_subset": build_reports_subset,
     "load_json_table": load_json_table,
-    "merge_into_geoip": merge_into_geoip,
+    "merge_into_users": merge_into_users,
+    "merge_bucketed_users": merge_bucketed_users,
+    "append_evolving_grades": append_evolving_grades,
+    "load_csv_quoted": load_csv_quoted,
+    **{f"incremental_{n}": _days_in_three_builds(n) for n in REPORT_STATE},
     "log_window_show_answer": log_window_show_answer,
     "user_query": user_query,
     "person_course_minimal": person_course_minimal,
 }
-QUERIES.update(ingest.QUERIES)
+QUERIES.update(ingest_queries.QUERIES)

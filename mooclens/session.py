@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Timestamps are compared and bucketed by day, so
 # the session zone must be UTC; AQE re-plans joins (runtime, size-checked
@@ -73,6 +74,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def paths_exist(spark: SparkSession, pattern: str) -> bool:
+    """Whether any file or folder matches a pattern."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p))
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through the Hadoop file system of ``path``."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -82,3 +89,99 @@ def delete_path(spark: SparkSession, path: str) -> None:
 def escape_partition(spark: SparkSession, value: str) -> str:
     """A value as Spark spells it in a partition folder's name."""
     return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder for an intermediate table of this application, in the shared folder."""
+    return f"{checkpoint_dir(spark)}/mooclens-scratch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def stored_scratch(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as an intermediate table and read it back: lineage ends there."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables. DataFrames that still read them end with an
+    error, so jobs call this once their output is written."""
+    delete_path(spark, f"{checkpoint_dir(spark)}/mooclens-scratch/{spark.sparkContext.applicationId}")
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder that Spark would read (none if it does not exist)."""
+    fs, p = _fs(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(n for n in names if n[0] not in "._")
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the target's parent is made, the target must not exist."""
+    fs, p = _fs(spark, source)
+    _, q = _fs(spark, target)
+    fs.mkdirs(q.getParent())
+    if fs.exists(q) or not fs.rename(p, q):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def swap_folder(spark: SparkSession, source: str | None, target: str) -> None:
+    """Put a finished folder in the place of ``target`` (``None``: only take that away).
+
+    The old folder steps aside under a name that readers skip and goes once the new one stands. A job that dies in between
+    leaves it there, and the next swap, or ``settle_folder``, brings it back.
+    """
+    settle_folder(spark, target)
+    parent, _, name = target.rstrip("/").rpartition("/")
+    old = f"{parent}/_old-{name}"
+    if path_exists(spark, target):
+        move_path(spark, target, old)
+    if source is not None:
+        try:
+            move_path(spark, source, target)
+        except Exception:
+            settle_folder(spark, target)
+            raise
+    delete_path(spark, old)
+
+
+def settle_folder(spark: SparkSession, target: str) -> None:
+    """Finish a swap that was broken off: the old folder comes back unless the new one stands."""
+    parent, _, name = target.rstrip("/").rpartition("/")
+    old = f"{parent}/_old-{name}"
+    if path_exists(spark, old):
+        if path_exists(spark, target):
+            delete_path(spark, old)
+        else:
+            move_path(spark, old, target)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, written whole or not at all: under another name first, then renamed."""
+    fs, _ = _fs(spark, path)
+    parent, _, name = path.rpartition("/")
+    beside = f"{parent}/_new-{name}-{uuid.uuid4().hex}"
+    _, p = _fs(spark, beside)
+    out = fs.create(p)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    swap_folder(spark, beside, path)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file, or None."""
+    if not path_exists(spark, path):
+        return None
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -112,6 +112,7 @@ def tracking_log(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(e == 21, F.concat(F.lit('{"submission_uuid": "sub'), k,
                                      F.lit('", "attempt_number": 1, "answer": {"text": "ok", "file_key": "a/i4x://DemoX/C/ora/o'),
                                      k, F.lit('"}}')))
+             .when((e == 22) & (eid % 11 == 5), F.when(even, F.lit('{"POST":{},"GET":{}}')).otherwise(F.lit('{"GET": {}, "POST": { }}')))
              .when(e == 22, F.concat(F.lit('{"submission_uuid": "sub'), k, F.lit('", "parts": [{"option": {"points": '),
                                      _s(j), F.lit('}, "feedback": "f'), _s(j), F.lit('"}]}')))
              .otherwise(F.lit("{}")))
@@ -358,11 +359,6 @@ def grades_persistent(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(pg >= 0.8, "A").when(pg >= 0.5, "Pass").otherwise("").alias("letter_grade"))
 
 
-ROLE_FLAGS = ["roles_isBetaTester", "roles_isInstructor", "roles_isStaff", "roles_isCCX",
-              "roles_isFinance", "roles_isLibrary", "roles_isSales", "forumRoles_isAdmin",
-              "forumRoles_isCommunityTA", "forumRoles_isModerator", "forumRoles_isStudent"]
-
-
 def roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = user_info_combo(spark, sf_dir)
     uid = F.col("user_id")

@@ -5,14 +5,12 @@ Each builder is a DataFrame function over rows read from the export files
 the source each builder walks one course's files in memory; here every builder
 handles all courses in one job, keyed by ``(course_id, ...)``.
 
-``QUERIES`` registers one round-trip query per builder: its input is written
-from the bridged tables in the export's shape, and the builder must give the
-bridged table back (see ``oracles/ingest_sql.py``).
+Dump files are read by ``sources.dumps``, addresses located by ``sources.geo``.
 """
 
 from __future__ import annotations
 
-import uuid
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -20,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mooclens.functions.ids import clean_course_id, course_from_block, module_from_block
-from mooclens.session import checkpoint_dir
-from mooclens.sources.bridge import ROLE_FLAGS, Tables
+from mooclens.session import paths_exist, stored_scratch
+from mooclens.sources.dumps import dump_records
 
 C = "course_id"
 
@@ -90,34 +88,6 @@ def read_tsv(lines: DataFrame, schema: T.StructType, text_col: str = "value", qu
     return lines.select(F.from_csv(clean, schema.simpleString(), opts).alias("_r")).select("_r.*")
 
 
-def dump_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """Lines of dump files (gzip or plain): ``file``, ``value`` and ``at``, the order within the file."""
-    return spark.read.text(paths).select(
-        F.input_file_name().alias("file"), "value",
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("at"))
-
-
-def dump_records(lines: DataFrame, quote: str = "'") -> DataFrame:
-    """Header-led, tab-separated dump lines -> ``file`` and ``r``, a map from the
-    header's column names to the texts of a line.
-
-    Every file's first line names its columns, so files may order them
-    differently.  NUL bytes are dropped.  Headers are one row per file; the
-    longest one sets the number of fields that are read of every line.
-    """
-    lines = lines.withColumn("value", F.regexp_replace("value", "\u0000", ""))
-    head = lines.groupBy("file").agg(F.min(F.struct("at", "value")).alias("h"))
-    head = head.select("file", F.col("h.at").alias("head_at"), F.transform(F.split("h.value", "\t"), F.trim).alias("names"))
-    width = head.agg(F.max(F.size("names"))).first()[0] or 1
-    fields = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
-    row = F.from_csv("value", fields.simpleString(), {"sep": "\t", "quote": quote})
-    x = lines.join(head, "file").where(F.col("at") > F.col("head_at")).select("file", "names", row.alias("row"),
-                                                                                   F.size(F.split("value", "\t")).alias("fields"))
-    # the parser gives NULL for an empty field: only fields that a short line lacks are NULL
-    texts = F.slice(F.array(*[F.coalesce(F.col(f"row.c{i}"), F.when(F.col("fields") > i, F.lit(""))) for i in range(width)]), F.lit(1), F.size("names"))
-    return x.select("file", F.map_from_arrays("names", texts).alias("r"))
-
-
 def _typed(records: DataFrame, columns: dict[str, str], null_texts: tuple[str, ...] = ("NULL",), any_case: bool = False) -> DataFrame:
     """Declared columns of dump records; ``null_texts`` become NULL, absent columns too."""
     out = []
@@ -160,6 +130,37 @@ def studentmodule(records: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------- I7 user_info_combo merge
+# the user dumps: file name, quote character, id column, columns (fixed values)
+USER_DUMPS = {
+    "auth_user": ("auth_user-analytics.sql", '"', "id", "username email is_staff last_login date_joined"),
+    "profile": ("auth_userprofile-analytics.sql", None, "user_id", "username name language location meta courseware gender mailing_address year_of_birth level_of_education goals "
+                "allow_certificate country city"),
+    "enrollment": ("student_courseenrollment-analytics.sql", None, "user_id", "username created is_active mode"),
+    "certificate": ("certificates_generatedcertificate-analytics.sql", None, "user_id", "username id download_url grade key distinction status verify_uuid download_uuid name "
+                    "created_date modified_date error_reason mode"),
+    "id_map": ("user_id_map-analytics.sql", None, "user_id", "username hash_id"),
+}
+
+
+def user_dumps(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """The five user dumps below ``base/<course>/``, as ``user_info_combo`` takes them.
+
+    The course is the name of the folder above the dump (``ORG__NUM__TERM``; ``course=`` before it is dropped) unless a row names its own; ``seq`` is the row's place in its file. A dump
+    may be one file or a folder of files. A row without ``user_id`` takes its ``id``.
+    """
+    out = {}
+    for part, (name, quote, uid, columns) in USER_DUMPS.items():
+        paths = [f"{base}/*/{spelt}" for spelt in (name, f"dump={name}/*") if paths_exist(spark, f"{base}/*/{spelt}")]
+        if not paths:
+            raise FileNotFoundError(f"no {name} below {base}")
+        r = dump_records(spark, paths, quote)
+        folder = F.regexp_extract("file", rf"/(?:course=)?([^/]+)/(?:dump=)?{re.escape(name)}", 1)
+        course = F.coalesce(F.when(F.col("r")[C] != "", F.col("r")[C]), F.regexp_replace(folder, "__", "/"))
+        who = F.coalesce(F.col("r")[uid], F.col("r")["id"]).try_cast("bigint")
+        out[part] = r.select(course.alias(C), who.alias(uid if part == "auth_user" else "user_id"), *[F.col("r")[c].alias(c) for c in columns.split()], F.col("at").alias("seq"))
+    return out
+
+
 def _last_per_user(df: DataFrame, order_col: str | None) -> DataFrame:
     if order_col is None or order_col not in df.columns:
         return df.dropDuplicates([C, "user_id"])
@@ -302,6 +303,9 @@ def problem_analysis(studentmodule: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------- I15 roles
+# flag columns (fixed values)
+ROLE_FLAGS = ["roles_isBetaTester", "roles_isInstructor", "roles_isStaff", "roles_isCCX", "roles_isFinance", "roles_isLibrary", "roles_isSales",
+              "forumRoles_isAdmin", "forumRoles_isCommunityTA", "forumRoles_isModerator", "forumRoles_isStudent"]
 # role name in the dumps -> flag column (fixed values)
 ROLE_NAMES = {
     "beta_testers": "roles_isBetaTester", "ccx_coach": "roles_isCCX", "finance_admin": "roles_isFinance",
@@ -348,66 +352,6 @@ def email_opt_in(rows: DataFrame) -> DataFrame:
         F.try_to_timestamp(ts, F.lit("yyyy-MM-dd HH:mm:ss")).alias("preference_set_datetime"))
 
 
-# -------------------------------------------------------- I17 geolocation
-def ip_to_number(ip) -> Column:
-    """IPv4 address as a number; NULL unless four parts of 0 to 255."""
-    p = F.split(ip if isinstance(ip, Column) else F.col(ip), r"\.")
-    n = [F.get(p, F.lit(i)).try_cast("bigint") for i in range(4)]
-    ok = reduce(lambda a, b: a & b, [x.between(0, 255) for x in n])
-    return F.when((F.size(p) == 4) & ok, ((n[0] * 256 + n[1]) * 256 + n[2]) * 256 + n[3])
-
-
-def ip_key(ip) -> Column:
-    """An address as text that sorts like the address: ``4`` and 8 hex digits, or ``6`` and 32 (NULL: neither).
-
-    ``::`` stands for as many zero groups as are missing; a dotted tail counts as two groups.
-    """
-    c = F.lower(F.trim(ip if isinstance(ip, Column) else F.col(ip)))
-    tail = ip_to_number(F.regexp_extract(c, r"(\d+\.\d+\.\d+\.\d+)$", 1))
-    groups = F.concat(F.lower(F.hex((tail / 65536).cast("bigint"))), F.lit(":"), F.lower(F.hex(tail % 65536)))
-    v6 = F.when(c.contains("."), F.concat(F.regexp_replace(c, r"\d+\.\d+\.\d+\.\d+$", ""), groups)).otherwise(c)
-    sides = F.split(v6, "::")
-    parts = lambda side: F.filter(F.split(side, ":"), lambda g: g != "")
-    left, right = parts(sides.getItem(0)), F.coalesce(parts(F.try_element_at(sides, F.lit(2))), F.array().cast("array<string>"))
-    gap = F.lit(8) - F.size(left) - F.size(right)
-    full = F.when(F.size(sides) == 1, left).when((F.size(sides) == 2) & (gap >= 1), F.concat(left, F.array_repeat(F.lit("0"), gap), right))
-    good = (F.size(full) == 8) & F.forall(full, lambda g: g.rlike("^[0-9a-f]{1,4}$"))
-    v4 = ip_to_number(c)
-    return (F.when(v4.isNotNull(), F.concat(F.lit("4"), F.lpad(F.lower(F.hex(v4)), 8, "0")))
-            .when(good, F.concat(F.lit("6"), F.array_join(F.transform(full, lambda g: F.lpad(g, 4, "0")), ""))))
-
-
-def distinct_ips(log: DataFrame) -> DataFrame:
-    """The distinct client addresses of a log (map-side de-duplicated)."""
-    return log.where(F.col("ip").isNotNull() & (F.col("ip") != "")).select("ip").distinct()
-
-
-def geolocate_ips(ips: DataFrame, ip_ranges: DataFrame, un_regions: DataFrame | None = None) -> DataFrame:
-    """Address -> location by a range join, IPv4 and IPv6 alike.
-
-    Addresses become texts that sort like them.  Ranges are cut by their leading
-    16 bits (a range over k blocks is repeated k times, at most 65,536), so the
-    join is an equi-join on family and block plus a range filter: no
-    nested-loop or cross join.  UN region attributes (one row per country) join on the ISO code.
-    Addresses without a country are dropped.
-    """
-    # leading 16 bits: the family and four hex digits
-    block = lambda c: F.conv(F.substring(c, 2, 4), 16, 10).cast("int")
-    r = ip_ranges.select(F.struct("*").alias("place"), ip_key("start_ip").alias("lo"), ip_key("end_ip").alias("hi"))
-    r = r.where(F.col("lo").isNotNull() & (F.substring("lo", 1, 1) == F.substring("hi", 1, 1)) & (F.col("lo") <= F.col("hi")))
-    r = r.select("place", "lo", "hi", F.explode(F.sequence(block("lo"), block("hi"))).alias("block"))
-    a = ips.select("ip", ip_key("ip").alias("key")).where(F.col("key").isNotNull()).withColumn("block", block("key"))
-    j = a.join(r, (a["block"] == r["block"]) & (F.substring("key", 1, 1) == F.substring("lo", 1, 1))).where(
-        (F.col("key") >= F.col("lo")) & (F.col("key") <= F.col("hi")))
-    j = j.select("ip", "place.*").where(F.col("country_iso").isNotNull() & F.col("country_name").isNotNull())
-    out = j.select("ip", F.col("country_iso").alias("cc_by_ip"), F.col("country_name").alias("countryLabel"),
-                   "continent", "city", F.col("subdivision_iso").alias("region"), "subdivision",
-                   F.col("postal_code").alias("postalCode"), "latitude", "longitude")
-    if un_regions is not None:
-        out = out.join(un_regions.withColumnRenamed("iso", "cc_by_ip"), "cc_by_ip", "left")
-    return out
-
-
 # --------------------------------------------------------- I18 / I19 youtube
 def distinct_youtube_ids(course_axis: DataFrame) -> DataFrame:
     """Distinct YouTube ids of the course videos (text after at most two ``:``)."""
@@ -461,6 +405,12 @@ INHERITED_META = {"name": "display_name", "gformat": "format", "due": "due", "st
                   "visible_to_staff_only": "visible_to_staff_only"}
 
 
+def _youtube_id(meta: Column, mtype: T.StructType) -> Column:
+    """``youtube_id_1_0: abc`` -> ``1:0:abc``, of the first such field with a value."""
+    found = [F.when(meta[n] != "", F.concat(F.lit(":".join([*re.findall(r"\d+", n), ""])), meta[n])) for n in mtype.fieldNames() if "youtube_id" in n]
+    return F.coalesce(*found) if found else F.lit(None).cast("string")
+
+
 def _truthy(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BooleanType):
         return F.coalesce(c, F.lit(False))
@@ -474,10 +424,13 @@ def course_axis_from_blocks(blocks: DataFrame, itypes: DataFrame | None = None,
 
     ``blocks``: ``course_id, block_id, url_name, category, children`` (ordered
     child block ids) and ``meta`` (struct with ``display_name, format, due,
-    start, end, graded, visible_to_staff_only, weight, showanswer, ytid``).
-    The walk is level by level, one join per level, until a level is empty; each
-    level is stored in the shared folder, so no plan grows with the depth.  A
-    level carries each block's child-ordinal path and its inherited metadata;
+    start, end, graded, visible_to_staff_only, weight, showanswer`` and any
+    ``youtube_id*`` fields, of which the first one set gives ``data.ytid``: the digits
+    of the field's name and the id, joined by ``:``).
+    The walk doubles pointers: a row per block starts with a pointer to its parent and what it
+    inherits on the way, and every round joins the rows at their pointers, so that paths of 1, 2, 4, 8 ... steps
+    are combined and a tree of any depth takes its logarithm in rounds, each one join, stored in the
+    shared folder.  A row carries the child ordinals of its path and its inherited metadata;
     sorting by the path within a course gives the pre-order ``index``.  A block
     that is its own ancestor is an error, and so is a course without a root
     block.  ``path`` is the chain of ``url_name``s below the root;
@@ -494,42 +447,37 @@ def course_axis_from_blocks(blocks: DataFrame, itypes: DataFrame | None = None,
                   if key in mtype.fieldNames()]
     b = blocks.select(C, "block_id", "url_name", "category", "children", "meta")
 
-    def inherit(own_meta: Column, parent_inh: Column | None) -> Column:
-        parts = []
-        for out, key, dt in inh_fields:
-            own = own_meta[key]
-            v = own if parent_inh is None else F.when(_truthy(own, dt), own).otherwise(parent_inh[out])
-            parts.append(v.alias(out))
-        return F.struct(*parts)
-
-    def kept(df: DataFrame) -> DataFrame:
-        path = f"{checkpoint_dir(spark)}/axis-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+    def inherit(mine, above) -> Column:
+        """The nearer one's truthy values, else the farther one's."""
+        return F.struct(*[F.when(_truthy(mine[out], dt), mine[out]).otherwise(above[out]).alias(out) for out, _, dt in inh_fields])
 
     rootless = b.groupBy(C).agg(F.max(F.col("category") == "course").alias("has")).where("not has").limit(5).collect()
     if rootless:
         raise ValueError(f"no root course block in {[r[0] for r in rootless]}")
-    own = b.select("*")
-    level = kept(own.where(F.col("category") == "course").select(
-        "*", F.array().cast("array<int>").alias("ord"), F.lit("/").alias("at"), F.lit(None).cast("string").alias("parent"),
-        F.lit(None).cast("string").alias("parent_cat"), inherit(F.col("meta"), None).alias("inh"), F.array("block_id").alias("chain")))
-    levels = [level]
-    while True:
-        kids = level.select(C, F.col("ord").alias("p_ord"), F.when(F.col("at") == "/", F.lit("")).otherwise(F.col("at")).alias("p_at"),
-                            F.col("url_name").alias("parent"), F.col("category").alias("parent_cat"), F.col("inh").alias("p_inh"),
-                            F.col("chain").alias("p_chain"), F.posexplode("children").alias("pos", "block_id"))
-        level = kept(kids.join(own, [C, "block_id"]).select(
-            *b.columns, F.concat("p_ord", F.array(F.col("pos").cast("int"))).alias("ord"), F.concat("p_at", F.lit("/"), F.col("url_name")).alias("at"),
-            "parent", "parent_cat", inherit(F.col("meta"), F.col("p_inh")).alias("inh"),
-            F.when(F.array_contains("p_chain", F.col("block_id")), F.lit(None)).otherwise(F.concat("p_chain", F.array("block_id"))).alias("chain")))
-        if level.isEmpty():
-            break
-        loop = level.where(F.col("chain").isNull()).first()
-        if loop:
-            raise ValueError(f"block {loop['block_id']} of {loop[C]} is its own ancestor")
-        levels.append(level)
-    done = reduce(lambda x, y: x.unionByName(y), levels).drop("chain").withColumnRenamed("at", "path")
+    own = b.withColumn("inh", F.struct(*[F.col("meta")[key].alias(out) for out, key, _ in inh_fields]))
+    edges = b.select(C, F.col("block_id").alias("up"), F.col("url_name").alias("parent"), F.col("category").alias("parent_cat"), F.posexplode("children").alias("pos", "block_id"))
+    rows = own.join(edges, [C, "block_id"], "left")  # a block in two places has two rows
+    is_root = F.col("category") == "course"
+    rows = rows.select(*b.columns, "inh", "parent", "parent_cat", F.when(~is_root, F.col("up")).alias("up"), is_root.alias("rooted"),
+                       F.when(is_root, F.array().cast("array<int>")).otherwise(F.array("pos")).alias("ord"),
+                       F.when(is_root, F.array().cast("array<string>")).otherwise(F.array("url_name")).alias("names"), F.array("block_id").alias("chain"))
+    rows = stored_scratch(spark, rows, "axis")
+    loops = rows.where("false").select(C, "block_id")
+    while not (open_ := rows.where(F.col("up").isNotNull())).isEmpty():
+        above = rows.select(C, F.col("block_id").alias("up"), F.col("inh").alias("a_inh"), F.col("rooted").alias("a_rooted"), F.col("ord").alias("a_ord"),
+                            F.col("names").alias("a_names"), F.col("chain").alias("a_chain"), F.col("up").alias("a_up"))
+        joined = open_.drop("rooted").join(above, [C, "up"]).select(
+            *b.columns, inherit(F.col("inh"), F.col("a_inh")).alias("inh"), "parent", "parent_cat", F.col("a_up").alias("up"), F.col("a_rooted").alias("rooted"),
+            F.concat("a_ord", "ord").alias("ord"), F.concat("a_names", "names").alias("names"), F.concat("a_chain", "chain").alias("chain"))
+        rows = stored_scratch(spark, rows.where(F.col("up").isNull()).unionByName(joined), "axis")
+        repeats = (F.size(F.array_distinct("chain")) < F.size("chain")) | F.array_contains("chain", F.col("up"))
+        loops = loops.unionByName(rows.where(repeats).select(C, "block_id"))
+        rows = rows.where(~F.coalesce(repeats, F.lit(False)))
+    done = rows.where("rooted")
+    loop = loops.join(done.select(C, "block_id"), [C, "block_id"], "left_semi").first()  # blocks that no root reaches do not matter
+    if loop:
+        raise ValueError(f"block {loop['block_id']} of {loop[C]} is its own ancestor")
+    done = done.withColumn("path", F.concat(F.lit("/"), F.array_join("names", "/"))).drop("chain", "names", "rooted", "up")
     root = b.where(F.col("category") == "course").select(
         C, F.col("meta.start").alias("_root_start"), F.col("meta.end").alias("_root_end"))
     w = Window.partitionBy(C).orderBy("ord")
@@ -557,7 +505,7 @@ def course_axis_from_blocks(blocks: DataFrame, itypes: DataFrame | None = None,
         is_split.alias("is_split"),
         F.when(is_split, F.when(cat.contains("split_test"), F.col("url_name")).otherwise(F.col("parent")))
         .alias("split_url_name"),
-        F.struct(meta["ytid"].alias("ytid"), meta["weight"].alias("weight"), F.col("itype").alias("itype"),
+        F.struct(_youtube_id(meta, mtype).alias("ytid"), meta["weight"].alias("weight"), F.col("itype").alias("itype"),
                  F.when(cat.contains("problem"), F.size("children") + 1).alias("num_items"),
                  F.coalesce(meta["showanswer"] != "never", F.lit(False)).alias("has_solution"),
                  F.col("duration").alias("duration")).alias("data"))
@@ -610,320 +558,3 @@ def bundle_video_durations(xml_rows: DataFrame) -> DataFrame:
     skipped, as in the source)."""
     dur = F.expr("xpath_string(xml, '/*/video_asset[1]/@duration')").try_cast("double")
     return _guarded(xml_rows).select(C, "url_name", F.when(F.col("_xml_ok"), dur).alias("duration"))
-
-
-# ===================================================== registered round trips
-def _course_v1(c="course_id") -> Column:
-    return F.concat(F.lit("course-v1:"), F.regexp_replace(c, "/", "+"))
-
-
-UIC_CONFORM_SCHEMA = T.StructType([
-    T.StructField("course_id", T.StringType()), T.StructField("user_id", T.LongType()),
-    T.StructField("username", T.StringType()), T.StructField("email", T.StringType()),
-    T.StructField("enrollment_mode", T.StringType()), T.StructField("certificate_status", T.StringType()),
-    T.StructField("profile_year_of_birth", T.LongType()), T.StructField("profile_gender", T.StringType()),
-    T.StructField("enrollment_created", T.TimestampType()), T.StructField("enrollment_is_active", T.LongType()),
-    T.StructField("y1_anomalous", T.LongType()), T.StructField("certificate_grade", T.DoubleType()),
-])
-
-
-def q_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    u = Tables(spark, sf_dir).user_info_combo
-    x = u.select("course_id", F.col("user_id").cast("string").alias("user_id"), "username", "email",
-                 "enrollment_mode", "certificate_status",
-                 F.when(F.col("user_id") % 13 == 0, F.lit("unknown"))
-                  .otherwise(F.col("profile_year_of_birth").cast("string")).alias("profile_year_of_birth"),
-                 F.concat(F.lit(" "), F.col("profile_gender")).alias("profile_gender"),
-                 F.date_format("enrollment_created", "yyyy-MM-dd HH:mm:ss").alias("enrollment_created"),
-                 F.col("enrollment_is_active").cast("string").alias("enrollment_is_active"), "y1_anomalous",
-                 F.lit("dropped").alias("extra_field"))
-    return conform(x, UIC_CONFORM_SCHEMA)
-
-
-def q_user_info_combo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    u = Tables(spark, sf_dir).user_info_combo
-    cid, uid = _course_v1().alias("course_id"), F.col("user_id")
-    one = F.lit(1).alias("seq")
-    auth = u.where(uid % 11 != 5).select(cid, uid.alias("id"), "username", "email", one)
-    prof = u.where(uid % 7 != 3).select(cid, "user_id", F.col("profile_gender").alias("gender"),
-                                        F.col("profile_year_of_birth").cast("string").alias("year_of_birth"),
-                                        F.coalesce("profile_level_of_education", F.lit("NULL")).alias("level_of_education"),
-                                        F.col("profile_country").alias("country"), one)
-    enr = u.select(cid, "user_id", F.col("enrollment_created").alias("created"),
-                   F.col("enrollment_is_active").alias("is_active"), F.col("enrollment_mode").alias("mode"), one)
-    stale = u.where(uid % 17 == 0).select(cid, "user_id", F.col("enrollment_created").alias("created"),
-                                          F.col("enrollment_is_active").alias("is_active"),
-                                          F.lit("stale").alias("mode"), F.lit(0).alias("seq"))
-    cert = u.where(F.col("certificate_status").isNotNull()).select(
-        cid, "user_id", F.col("certificate_status").alias("status"), F.lit("0.8").alias("grade"),
-        F.col("certificate_created_date").alias("created_date"), one)
-    idm = u.where(uid % 5 != 0).select(cid, "user_id", F.concat(F.lit("h"), uid.cast("string")).alias("hash_id"), one)
-    out = user_info_combo(auth, prof, enr.unionByName(stale), cert, idm)
-    return out.select("course_id", "user_id", "username", "email", "profile_gender",
-                      F.col("profile_year_of_birth").cast("bigint").alias("profile_year_of_birth"),
-                      "profile_level_of_education", "profile_country", "enrollment_created", "enrollment_is_active",
-                      "enrollment_mode", "certificate_status", "certificate_grade", "certificate_created_date",
-                      "id_map_hash_id")
-
-
-def _dump(spark: SparkSession, df: DataFrame, columns: dict[str, Column], course: str = C) -> DataFrame:
-    """Write a table as header-led dump files, one gzip file per course, and read their lines back."""
-    names = list(columns)
-    data = df.select(F.col(course).alias("course"), F.lit(1).alias("o"), F.concat_ws("\t", *[
-        F.coalesce(c.cast("string"), F.lit("NULL")) for c in columns.values()]).alias("value"))
-    head = df.select(F.col(course).alias("course")).distinct().select("course", F.lit(0).alias("o"), F.lit("\t".join(names)).alias("value"))
-    path = f"{checkpoint_dir(spark)}/dump-{uuid.uuid4().hex}"
-    (data.unionByName(head).repartition("course").sortWithinPartitions("course", "o").drop("o")
-     .write.partitionBy("course").option("compression", "gzip").text(path))
-    return dump_lines(spark, f"{path}/*/*.gz")
-
-
-_SECOND = "yyyy-MM-dd HH:mm:ss"
-
-
-def q_grades_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = Tables(spark, sf_dir).grades_persistent
-    day = F.date_format(F.timestamp_seconds(F.lit(1704067200) + F.col("user_id") % 1000 * 60), _SECOND)
-    lines = _dump(spark, g, {
-        "course_id": _course_v1(), "user_id": F.col("user_id"), "grading_policy_hash": F.md5(F.col("course_id")), "percent_grade": F.col("percent_grade"),
-        "letter_grade": F.when(F.col("letter_grade") != "", F.col("letter_grade")), "passed_timestamp": F.when(F.col("letter_grade") != "", day),
-        "created": day, "modified": day})
-    return grades_persistent(dump_records(lines))
-
-
-def q_grades_subsection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = Tables(spark, sf_dir).grades_persistent.where(F.col("user_id") % 2 == 0)
-    lines = _dump(spark, g, {
-        "user_id": F.col("user_id"), "course_id": _course_v1(), "usage_key": F.concat(F.lit("block-v1:x+type@sequential+block@s"), F.col("user_id") % 7),
-        "possible_all": F.lit("10.0"), "earned_all": F.col("percent_grade") * 10, "first_attempted": F.when(F.col("user_id") % 4 == 0, "2024-02-01 10:00:00"),
-        "created": F.lit("2024-02-01 10:00:00")})
-    return grades_persistent_subsection(dump_records(lines))
-
-
-def q_studentmodule_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sm = Tables(spark, sf_dir).studentmodule
-    parts = F.split("module_id", "/")
-    block = F.concat(F.lit("block-v1:"), parts.getItem(0), F.lit("+"), parts.getItem(1), F.lit("+"), parts.getItem(2),
-                     F.lit("+type@"), parts.getItem(3), F.lit("+block@"), parts.getItem(4))
-    state = F.when(F.col("student_id") % 9 == 0, F.lit('{"attempts": \u00001}')).otherwise(F.lit('{"attempts": 1}'))
-    stamp = F.date_format("created", _SECOND)
-    lines = _dump(spark, sm, {
-        "id": F.col("student_id") + 7, "module_type": F.col("module_type"), "module_id": block, "student_id": F.col("student_id"), "state": state,
-        "grade": F.when(F.col("student_id") % 5 == 0, F.lit("null")).otherwise(F.col("grade")), "created": stamp, "modified": stamp,
-        "max_grade": F.col("max_grade"), "done": F.lit("na"), "course_id": _course_v1()})
-    return studentmodule(dump_records(lines))
-
-
-def q_problem_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pa = Tables(spark, sf_dir).problem_analysis
-    cmap = F.map_from_entries(F.transform("item", lambda i: F.struct(
-        i["answer_id"], F.struct(F.when(i["correct_bool"], "correct").otherwise("incorrect").alias("correctness"),
-                                 F.lit(None).cast("double").alias("npoints"), F.lit("").alias("msg"),
-                                 F.lit("").alias("hint")))))
-    # learners by id: no answers at all, a list, a text with an escaped quote (doubled in dumps), a text
-    u = F.col("user_id")
-    answer = (F.when(u % 4 == 3, F.lit('["choice_0","choice_2"]')).when(u % 4 == 2, F.lit('"say \\\\"hi\\\\""'))
-              .otherwise(F.concat(F.lit('"choice_'), (u % 4).cast("string"), F.lit('"'))))
-    answers = F.when(u % 10 == 0, F.lit("{}")).otherwise(F.concat(F.lit("{"), F.array_join(F.transform(
-        "item", lambda i: F.concat(F.lit('"'), i["answer_id"], F.lit('":'), answer)), ","), F.lit("}")))
-    state = F.concat(F.lit('{"correct_map":'), F.to_json(cmap), F.lit(',"student_answers":'), answers, F.lit(',"attempts":'),
-                     F.col("attempts").cast("string"), F.lit(',"done":'), F.coalesce(F.col("done").cast("string"), F.lit("null")), F.lit("}"))
-    sm = pa.select("course_id", F.concat("course_id", F.lit("/problem/"), "problem_url_name").alias("module_id"), u.alias("student_id"),
-                   F.when(u % 13 == 0, F.lit('{"correct_map":{},"attempts":1}')).otherwise(state).alias("state"),
-                   F.col("grade").cast("string").alias("grade"), F.lit("50").alias("max_grade"), "created")
-    out = problem_analysis(sm)
-    return out.select("course_id", "user_id", "problem_url_name", "attempts", "grade", "max_grade",
-                      F.explode("item").alias("i")).select(
-        "course_id", "user_id", "problem_url_name", "attempts", "grade", "max_grade",
-        F.col("i.answer_id").alias("answer_id"), F.col("i.response").alias("response"),
-        F.col("i.correctness").alias("correctness"), F.col("i.correct_bool").alias("correct_bool"))
-
-
-def q_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = Tables(spark, sf_dir).roles
-    first_name = {}
-    for n, f in ROLE_NAMES.items():
-        first_name.setdefault(f, n)
-    access = [F.when(F.col(f) == 1, F.lit(first_name[f])) for f in ROLE_FLAGS if f.startswith("roles_")]
-    forum = [F.when(F.col(f) == 1, F.lit(first_name[f])) for f in ROLE_FLAGS if f.startswith("forumRoles_")]
-
-    def rows(names):
-        return (r.select(_course_v1().alias("course_id"), "user_id", F.explode(F.array(*names)).alias("role"))
-                .where(F.col("role").isNotNull()))
-
-    return roles(rows(access), rows(forum))
-
-
-def q_email_opt_in(spark: SparkSession, sf_dir: str) -> DataFrame:
-    u = Tables(spark, sf_dir).user_info_combo
-    rows = u.select(F.col("user_id").cast("string").alias("user_id"), "username", "email",
-                    _course_v1().alias("course_id"),
-                    F.when(F.col("user_id") % 3 == 0, "True").otherwise("False").alias("is_opted_in_for_email"),
-                    F.concat(F.date_format("enrollment_created", "yyyy-MM-dd HH:mm:ss"), F.lit("+00:00"))
-                    .alias("preference_set_datetime"))
-    return email_opt_in(rows)
-
-
-def _ip_ranges(spark, sf_dir) -> DataFrame:
-    t = Tables(spark, sf_dir)
-    nation = t.spark.read.parquet(f"{sf_dir}/nation.parquet").where(F.col("n_nationkey") < 6)
-    a = F.col("n_nationkey").cast("string")
-    half = F.explode(F.array(F.struct(F.lit(0).alias("lo"), F.lit(1).alias("hi"), F.lit("low").alias("part")),
-                             F.struct(F.lit(2).alias("lo"), F.lit(3).alias("hi"), F.lit("high").alias("part"))))
-    x = nation.select("n_nationkey", "n_name", half.alias("h"))
-    return x.select(
-        F.concat(F.lit("10."), a, F.lit(".0."), F.col("h.lo").cast("string")).alias("start_ip"),
-        F.concat(F.lit("10."), a, F.lit(".0."), F.col("h.hi").cast("string")).alias("end_ip"),
-        F.concat(F.lit("C"), a).alias("country_iso"), F.col("n_name").alias("country_name"),
-        F.when(F.col("n_nationkey") % 3 == 0, "Europe").when(F.col("n_nationkey") % 3 == 1, "Asia")
-         .otherwise("Americas").alias("continent"),
-        F.concat(F.lit("city"), a, F.lit("_"), F.col("h.part")).alias("city"),
-        F.concat(F.lit("r"), a).alias("subdivision_iso"), F.lit(None).cast("string").alias("subdivision"),
-        F.concat(F.lit("P"), a).alias("postal_code"),
-        (F.col("n_nationkey") * 10.0).alias("latitude"), (-F.col("n_nationkey").cast("double")).alias("longitude"))
-
-
-def _un_regions(spark, sf_dir) -> DataFrame:
-    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
-    region = spark.read.parquet(f"{sf_dir}/region.parquet")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.concat(F.lit("C"), F.col("n_nationkey").cast("string")).alias("iso"),
-        F.col("r_name").alias("un_major_region"),
-        F.when(F.col("n_nationkey") % 3 == 0, "High").otherwise("Middle").alias("un_economic_group"))
-
-
-def q_geolocate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ips = distinct_ips(Tables(spark, sf_dir).tracking_log)
-    return geolocate_ips(ips, _ip_ranges(spark, sf_dir), _un_regions(spark, sf_dir))
-
-
-def q_youtube_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return distinct_youtube_ids(Tables(spark, sf_dir).course_axis)
-
-
-def q_youtube_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    y = Tables(spark, sf_dir).youtube
-    n = F.substring("id", 3, 20).try_cast("bigint")
-    d = F.col("duration")
-    iso = F.concat(F.when(n % 5 == 0, F.lit("P1D")).otherwise(F.lit("P")), F.lit("T"),
-                   (d / 60).cast("bigint").cast("string"), F.lit("M"), (d % 60).cast("string"), F.lit("S"))
-    item = F.to_json(F.struct(
-        "id", F.struct(F.col("title").alias("title"), F.lit("").alias("description"),
-                       F.concat(F.lit("UC"), (n % 7).cast("string")).alias("channelId"),
-                       F.lit("channel").alias("channelTitle"), F.lit("2023-05-01T00:00:00Z").alias("publishedAt"))
-        .alias("snippet"), F.struct(iso.alias("duration")).alias("contentDetails")))
-    return youtube_metadata(y.select(item.alias("value"))).select("id", "title", "channel_id", "published_at",
-                                                                  "duration")
-
-
-def course_blocks(course_axis: DataFrame) -> DataFrame:
-    """Export-shaped blocks of the bridged course structure (children in order)."""
-    kids = (course_axis.where(F.col("parent").isNotNull())
-            .groupBy("course_id", F.col("parent").alias("url_name"))
-            .agg(F.array_sort(F.collect_list(F.struct("index", "module_id"))).alias("_k"))
-            .select("course_id", "url_name", F.transform("_k", lambda k: k["module_id"]).alias("children")))
-    cat = F.col("category")
-    seq = cat == "sequential"
-    ts = "yyyy-MM-dd'T'HH:mm:ss"
-    # metadata only where an author would set it: format / due / graded on the
-    # sequential (its blocks inherit them), dates of the course on the root
-    meta = F.struct(
-        F.col("name").alias("display_name"),
-        F.when(seq, F.col("gformat")).alias("format"),
-        F.when(seq, F.date_format("due", ts)).alias("due"),
-        F.when(cat == "course", F.lit("2024-01-01T00:00:00")).alias("start"),
-        F.when(cat == "course", F.lit("2024-03-01T00:00:00")).alias("end"),
-        F.when(seq, F.col("gformat").isNotNull()).alias("graded"),
-        F.when(F.col("visible_to_staff_only"), F.lit(True)).alias("visible_to_staff_only"),
-        F.col("data.weight").alias("weight"), F.lit(None).cast("string").alias("showanswer"),
-        F.col("data.ytid").alias("ytid"))
-    return (course_axis.join(kids, ["course_id", "url_name"], "left")
-            .select("course_id", F.col("module_id").alias("block_id"), "url_name", "category",
-                    F.coalesce("children", F.array().cast("array<string>")).alias("children"), meta.alias("meta")))
-
-
-def q_course_axis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blocks = course_blocks(Tables(spark, sf_dir).course_axis)
-    walked = course_axis_from_blocks(blocks, itypes=q_problem_types(spark, sf_dir),
-                                     durations=q_video_durations(spark, sf_dir))
-    return walked.select(
-        "course_id", "index", "module_id", "url_name", "category", "name", "gformat", "due", "start", "graded",
-        "visible_to_staff_only", "path", "parent", "chapter_mid", F.col("data.num_items").alias("num_items"),
-        F.col("data.has_solution").alias("has_solution"), F.col("data.weight").alias("weight"),
-        F.col("data.itype").alias("itype"), F.col("data.duration").alias("duration"))
-
-
-def q_problem_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ax = Tables(spark, sf_dir).course_axis.where(F.col("category") == "problem")
-    it = F.col("data.itype")
-    xml = F.concat(F.lit('<problem display_name="'), F.col("name"), F.lit('"><p>Question</p>'),
-                   F.when(it.isNotNull(), F.concat(F.lit("<"), it, F.lit("><choicegroup/></"), it, F.lit(">")))
-                    .otherwise(F.lit("<solution><p>none</p></solution>")), F.lit("</problem>"))
-    return bundle_problem_types(ax.select("course_id", "url_name", xml.alias("xml")))
-
-
-def q_video_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ax = Tables(spark, sf_dir).course_axis.where(F.col("category") == "video")
-    xml = F.concat(F.lit('<video url_name="'), F.col("url_name"), F.lit('"><source src="x"/><video_asset duration="'),
-                   F.col("data.duration").cast("string"), F.lit('"/></video>'))
-    return bundle_video_durations(ax.select("course_id", "url_name", xml.alias("xml")))
-
-
-def q_forum_mongo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = Tables(spark, sf_dir).forum
-    _author = F.col("author_id").cast("string")
-
-    def oid(c):
-        return F.when(F.col(c).isNotNull(), F.struct(F.col(c).alias("$oid")))
-
-    doc = F.to_json(F.struct(F.struct(F.col("mongoid").alias("$oid")).alias("_id"), "_type",
-                             _course_v1().alias("course_id"), F.col("author_id").cast("string").alias("author_id"),
-                             "author_username", "title", "body", oid("comment_thread_id").alias("comment_thread_id"),
-                             oid("parent_id").alias("parent_id"),
-                             F.struct(F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("$date"))
-                             .alias("created_at"), "pinned", "endorsed", "votes",
-                             F.struct(F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("$date")).alias("updated_at"),
-                             F.when(F.col("parent_id").isNotNull(), F.array(F.struct(F.col("parent_id").alias("$oid")))).alias("parent_ids"),
-                             F.array(_author).alias("abuse_flaggers"), F.lit("NULL").alias("sk"),
-                             F.struct(_author.alias("user_id"), F.struct(F.lit("2024-03-04T05:06:07Z").alias("$date")).alias("time"))
-                             .alias("endorsement")))
-    out = forum_from_mongo(f.select(doc.alias("value")))
-    return out.select("course_id", "mongoid", "_type", "author_id", "author_username", "title", "body",
-                      "comment_thread_id", "parent_id", "created_at", "pinned", "endorsed",
-                      F.col("votes.count").alias("votes_count"), "updated_at", "parent_ids", "abuse_flaggers", "sk",
-                      F.col("endorsement.user_id").alias("endorser"), F.col("endorsement.time").alias("endorsed_at"))
-
-
-QUERIES = {
-    "conform_user_info": q_conform,
-    "ingest_user_info_combo": q_user_info_combo,
-    "ingest_grades_persistent": q_grades_dump,
-    "ingest_grades_subsection": q_grades_subsection,
-    "ingest_studentmodule": q_studentmodule_dump,
-    "ingest_problem_analysis": q_problem_analysis,
-    "ingest_roles": q_roles,
-    "ingest_email_opt_in": q_email_opt_in,
-    "geolocate_ips": q_geolocate,
-    "distinct_youtube_ids": q_youtube_ids,
-    "youtube_metadata": q_youtube_metadata,
-    "course_axis_walk": q_course_axis,
-    "bundle_problem_types": q_problem_types,
-    "bundle_video_durations": q_video_durations,
-    "ingest_forum_mongo": q_forum_mongo,
-}
-
-
-def q_grading_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = Tables(spark, sf_dir).grading_policy
-    docs = g.groupBy("course_id").agg(
-        F.to_json(F.struct(
-            F.collect_list(F.struct(F.col("assignment_type").alias("type"), "short_label",
-                                    F.col("fraction_of_overall_grade").alias("weight"), "min_count", "drop_count"))
-            .alias("GRADER"),
-            F.map_from_arrays(F.array(F.first("overall_cutoff_lower_label"), F.first("overall_cutoff_upper_label")),
-                              F.array(F.first("overall_lower_cutoff"), F.first("overall_upper_cutoff")))
-            .alias("GRADE_CUTOFFS"))).alias("policy"))
-    return grading_policy(docs)
-
-
-QUERIES["ingest_grading_policy"] = q_grading_policy

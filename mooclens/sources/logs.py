@@ -11,7 +11,6 @@ columns before writing, which replaces the open-file juggling.
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +18,7 @@ from pyspark.sql import types as T
 
 from mooclens.functions.ids import (course_id_candidate, course_id_from_text, module_id_candidate,
                                     module_id_from_text)
-from mooclens.session import checkpoint_dir
+from mooclens.session import delete_path, scratch_path
 
 S, L, D = T.StringType(), T.LongType(), T.DoubleType()
 
@@ -225,11 +224,16 @@ def split_tracking_logs(spark: SparkSession, paths: list[str] | str, out_dir: st
     """
     lines = spark.read.text(paths).withColumn("_file", F.input_file_name()).withColumn("seq", F.monotonically_increasing_id())
     # a gzip file is a single task: spread the lines before the heavy parsing
-    lines = lines.repartition(partitions or spark.sparkContext.defaultParallelism)
+    return split_lines(lines.repartition(partitions or spark.sparkContext.defaultParallelism), out_dir, courses, dynamic_date, max_file_rows)
+
+
+def split_lines(lines: DataFrame, out_dir: str, courses: list[str] | None = None, dynamic_date: bool = False, max_file_rows: int = 2_000_000) -> dict:
+    """The split job for lines (``value, _file, seq``) of whole files, shared by the batch and the streaming ingest."""
+    spark = lines.sparkSession
     x = classified_lines(lines, dynamic_date, file_col="_file")
     name = F.regexp_replace(F.element_at(F.split("_file", "/"), -1), "[^A-Za-z0-9._-]", "_")
     x = x.withColumn("source_file", F.concat(name, F.lit("-"), F.substring(F.md5("_file"), 1, 12))).drop("_file")
-    stage = f"{checkpoint_dir(spark)}/split-{uuid.uuid4().hex}"
+    stage = scratch_path(spark, "split")
     x.write.parquet(stage)
     x = spark.read.parquet(stage)
     counts = {r["what"]: r["n"] for r in x.groupBy(F.when(F.col("reason").isNull(), "rows").when(F.col("reason") == SKIPPED, "skipped")
@@ -243,4 +247,5 @@ def split_tracking_logs(spark: SparkSession, paths: list[str] | str, out_dir: st
     for table, (df, keys) in out.items():
         (df.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("maxRecordsPerFile", max_file_rows).partitionBy(*keys).parquet(f"{out_dir}/{table}"))
+    delete_path(spark, stage)
     return {**{t: f"{out_dir}/{t}" for t in out}, "counts": {k: counts.get(k, 0) for k in ("rows", "dead", "skipped")}}

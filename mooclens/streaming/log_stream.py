@@ -1,10 +1,9 @@
 """Incremental tracking-log ingest (the "append today's files" workflow).
 
-New log files dropped into a landing folder are parsed with the same
-stateless transformations as the batch split job (``sources.logs``) and
-appended to the ``course_id / log_date``-partitioned table; dead letters go to
-their own table.  The file source and the checkpoint make it exactly-once per
-file, and an executor or driver restart resumes from the checkpoint.  There is
+New log files dropped into a landing folder go, a micro-batch of whole files at a
+time, through the batch split job (``sources.logs.split_lines``): each file is parsed once, and rows and dead
+letters stand in the same tables, partitioned by course, day and source file. A batch that is run again after a
+restart replaces the rows of its own files, so every file counts exactly once. There is
 no streaming state: every line is processed on its own.
 """
 
@@ -15,35 +14,29 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from mooclens.session import checkpoint_dir
-from mooclens.sources.logs import ingest_lines
+from mooclens.sources.logs import split_lines
 
 
 def start_log_ingest(spark: SparkSession, landing: str, out_dir: str, name: str = "tracking_log",
                      courses: list[str] | None = None, dynamic_date: bool = True, available_now: bool = True,
-                     max_files_per_trigger: int = 100) -> list[StreamingQuery]:
-    """Start the two streaming writers (rows, dead letters); returns the queries.
+                     max_files_per_trigger: int = 100) -> StreamingQuery:
+    """Start the streaming split job into ``out_dir/tracking_log`` and ``out_dir/dead_letters``.
 
     ``available_now`` processes what has landed and stops (scheduled runs);
-    otherwise it keeps polling every minute.
+    otherwise it keeps polling every minute. ``name`` names the checkpoint.
     """
     lines = (spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(landing)
              .withColumn("_file", F.input_file_name()))
     # a stable per-line tie-break for equal timestamps (line text + file)
     lines = lines.withColumn("seq", F.xxhash64("value", "_file"))
-    rows, dead = ingest_lines(lines, courses, dynamic_date, file_col="_file")
-    ck = f"{checkpoint_dir(spark)}/mooclens-stream/{name}"
 
-    def trig(w):
-        return w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    def batch(df, _):
+        split_lines(df, out_dir, courses, dynamic_date)
 
-    q_rows = trig(rows.writeStream.format("parquet").option("checkpointLocation", f"{ck}/rows")
-                  .partitionBy("course_id", "log_date").outputMode("append")).start(f"{out_dir}/{name}")
-    q_dead = trig(dead.writeStream.format("parquet").option("checkpointLocation", f"{ck}/dead")
-                  .outputMode("append")).start(f"{out_dir}/{name}_dead_letters")
-    return [q_rows, q_dead]
+    w = lines.writeStream.foreachBatch(batch).option("checkpointLocation", f"{checkpoint_dir(spark)}/mooclens-stream/{name}")
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()
 
 
 def run_log_ingest_once(spark: SparkSession, landing: str, out_dir: str, **kw) -> None:
     """Process everything that has landed, then return."""
-    for q in start_log_ingest(spark, landing, out_dir, available_now=True, **kw):
-        q.awaitTermination()
+    start_log_ingest(spark, landing, out_dir, available_now=True, **kw).awaitTermination()

@@ -52,6 +52,7 @@ select seq, course_id, time, cast(time as date) as log_date,
        when e in (9,10,11,12) then '{"mode": "' || case event_id % 4 when 0 then 'honor' when 3 then 'audit' else 'verified' end || '"}'
        when e = 19 then '{"target_url": "https://x.org/handler/transcript/download"}'
        when e = 21 then '{"submission_uuid": "sub' || cast(k as string) || '", "attempt_number": 1, "answer": {"text": "ok", "file_key": "a/i4x://DemoX/C/ora/o' || cast(k as string) || '"}}'
+       when e = 22 and event_id % 11 = 5 then case when event_id % 2 = 0 then '{"POST":{},"GET":{}}' else '{"GET": {}, "POST": { }}' end
        when e = 22 then '{"submission_uuid": "sub' || cast(k as string) || '", "parts": [{"option": {"points": ' || cast(j as string) || '}, "feedback": "f' || cast(j as string) || '"}]}'
        else '{}' end as event,
   case when e in (9,10,11,12) then case event_id % 4 when 0 then 'honor' when 3 then 'audit' when 1 then 'verified' else null end end as es_mode,

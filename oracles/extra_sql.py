@@ -28,7 +28,7 @@ select seq, course_id, time, username, ip, event_source, event_type,
   end as module_id,
   case when seq % 3 = 0 then cast(json(event) as varchar) else event end as event,
   case when {_IS_KNOWN} then json_extract_string(event, '$.mode') end as mode,
-  case when {_IS_KNOWN} then null else 'null' end as get
+  case when {_IS_KNOWN} then null else coalesce(cast(json_extract(event, '$.GET') as varchar), 'null') end as get
 from tracking_log where {_KEPT}
 """),
     "ingest_dead_letters": _with(["tracking_log"], """
@@ -42,35 +42,21 @@ select course_id, mongoid, _type, author_id, author_username, title, body, comme
 from forum
 where not (_type = 'CommentThread' and try_cast(substr(mongoid, 2) as bigint) % 29 = 7)
 """),
-    "merge_into_geoip": _with(["geoip"], """
-with g as (
-  select *, cast(split_part(ip, '.', 2) as int) as a, cast(split_part(ip, '.', 4) as int) as b,
-    cast(split_part(ip, '.', 2) as int) * 4 + cast(split_part(ip, '.', 4) as int) as k from geoip),
-s as (
-  select ip, cc_by_ip, countryLabel, continent, city || '*' as city, region, subdivision, postalCode,
-    un_major_region, un_economic_group, un_developing_nation, un_special_region, latitude + 1.0 as latitude, longitude
-  from g where k % 3 = 1
-  union all
-  select ip, cc_by_ip, countryLabel, continent, city, region, subdivision, postalCode, un_major_region,
-    un_economic_group, un_developing_nation, un_special_region, latitude + 100.0, longitude
-  from g where k % 3 = 2
-  union all
-  select '10.' || cast(a + 10 as varchar) || '.0.' || cast(b as varchar), cc_by_ip, countryLabel, continent, 'new',
-    region, subdivision, postalCode, un_major_region, un_economic_group, un_developing_nation, un_special_region,
-    latitude, longitude
-  from g where k % 3 = 2),
-j as (select t.*, s.ip as s_ip, s.cc_by_ip as s_cc_by_ip, s.countryLabel as s_countryLabel,
-        s.continent as s_continent, s.city as s_city, s.region as s_region, s.subdivision as s_subdivision,
-        s.postalCode as s_postalCode, s.un_major_region as s_un_major_region,
-        s.un_economic_group as s_un_economic_group, s.un_developing_nation as s_un_developing_nation,
-        s.un_special_region as s_un_special_region, s.latitude as s_latitude, s.longitude as s_longitude,
-        (t.ip is null) or (s.ip is not null and coalesce(t.city <> s.city, false)) as take
-      from geoip t full outer join s on t.ip = s.ip)
-select coalesce(ip, s_ip) as ip, """ + ", ".join(
-        f"case when take then s_{c} else {c} end as {c}" for c in
-        ["cc_by_ip", "countryLabel", "continent", "city", "region", "subdivision", "postalCode", "un_major_region",
-         "un_economic_group", "un_developing_nation", "un_special_region", "latitude", "longitude"]) + """
-from j
+    "merge_into_users": _with(["user_info_combo"], """
+with u as (select course_id, user_id, username, email, enrollment_mode from user_info_combo)
+select course_id, user_id, username, case when user_id % 7 = 1 then email || '*' else email end as email,
+  case when user_id % 7 = 1 and email is not null then 'changed' else enrollment_mode end as enrollment_mode from u
+union all
+select course_id, user_id + 1000000000, username, 'new', enrollment_mode from u where user_id % 7 = 3
+"""),
+    "append_evolving_grades": _with(["grades_persistent"], """
+with g as (select *, user_id % 3 as k, percent_grade * 100 as s, date '2024-01-01' + cast(user_id % 50 as int) as d from grades_persistent)
+select course_id, user_id, case when k = 1 then s else floor(s) end as score, d::timestamp + case when k = 2 then interval 10 hour else interval 0 hour end as day,
+  case when k < 2 then user_id end as a, case when k = 1 then 'b' end as b, case when k = 1 then letter_grade end as letter
+from g
+"""),
+    "load_csv_quoted": _with(["user_info_combo"], """
+select course_id, user_id, username || ',' || chr(10) || '"x"' as note from user_info_combo
 """),
     "log_window_show_answer": oracle("show_answer").replace(
         "select * from show_answer",
@@ -116,5 +102,9 @@ EXTRA["show_answer_stats_by_course_pc"] = _with(["show_answer_stats_by_user", "p
 
 EXTRA.update(INGEST)
 EXTRA["split_tracking_log"] = f"select * exclude (seq) from ({EXTRA['ingest_tracking_log']})"
-EXTRA["merge_table_written"] = EXTRA["merge_into_geoip"]
+EXTRA["merge_table_written"] = EXTRA["merge_bucketed_users"] = EXTRA["merge_into_users"]
 EXTRA["build_reports_subset"] = f"select * from ({oracle('enrollday_all')}) where course_id in ('DemoX/C0/T1', 'DemoX/C2/T1')"
+
+for _name in ("time_on_task", "time_on_asset_daily", "pc_day_trlang", "person_course_day"):
+    # the log's days; the full daily report also has days on which only problem results are dated
+    EXTRA[f"incremental_{_name}"] = f"select * from ({oracle(_name)}) where date in (select distinct cast(time as date) from ({oracle('tracking_log')}))"

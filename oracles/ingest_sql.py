@@ -12,15 +12,16 @@ from user_info_combo
 """),
     "ingest_user_info_combo": _w(["user_info_combo"], """
 select course_id, user_id,
-  case when user_id % 11 = 5 then null else username end as username,
-  case when user_id % 11 = 5 then null else email end as email,
-  case when user_id % 7 = 3 then null else profile_gender end as profile_gender,
-  case when user_id % 7 = 3 then null else profile_year_of_birth end as profile_year_of_birth,
-  case when user_id % 7 = 3 then null else profile_level_of_education end as profile_level_of_education,
-  case when user_id % 7 = 3 then null else profile_country end as profile_country,
+  case when user_id % 11 <> 5 then nullif(username, '') end as username,
+  case when user_id % 11 <> 5 then email end as email, case when user_id % 11 <> 5 then '0' end as is_staff,
+  case when user_id % 7 <> 3 then profile_gender end as profile_gender,
+  case when user_id % 7 <> 3 then profile_year_of_birth end as profile_year_of_birth,
+  case when user_id % 7 <> 3 then profile_level_of_education end as profile_level_of_education,
+  case when user_id % 7 <> 3 then profile_country end as profile_country,
+  case when user_id % 7 <> 3 and user_id % 2 = 0 then 'it''s "all' end as profile_goals,
   enrollment_created, enrollment_is_active, enrollment_mode, certificate_status,
-  case when certificate_status is not null then 0.8::double end as certificate_grade, certificate_created_date,
-  case when user_id % 5 = 0 then null else 'h' || cast(user_id as varchar) end as id_map_hash_id
+  case when certificate_status is not null and user_id % 3 <> 0 then 0.8::double end as certificate_grade, certificate_created_date,
+  case when user_id % 5 <> 0 then 'h' || cast(user_id as varchar) end as id_map_hash_id
 from user_info_combo
 """),
     "ingest_grades_persistent": _w(["grades_persistent"], """
@@ -34,10 +35,11 @@ select course_id, user_id, 'block-v1:x+type@sequential+block@s' || cast(user_id
   percent_grade * 10 as earned_all, 10.0::double as possible_all, cast(null as double) as earned_graded, cast(null as double) as possible_graded,
   case when user_id % 4 = 0 then timestamp '2024-02-01 10:00:00' end as first_attempted, timestamp '2024-02-01 10:00:00' as created,
   cast(null as timestamp) as modified
-from grades_persistent where user_id % 2 = 0
+from grades_persistent
 """),
     "ingest_studentmodule": _w(["studentmodule"], """
-select student_id + 7 as id, module_type, module_id, student_id, '{"attempts": 1}' as state,
+select student_id + 7 as id, module_type, module_id, student_id,
+  case when student_id % 9 <> 0 and student_id % 4 = 1 then '{"note":' || chr(9) || '"it''s",' || chr(10) || '''attempts'': 1}' else '{"attempts": 1}' end as state,
   case when student_id % 5 <> 0 and upper(grade) <> 'NULL' then grade end as grade, created, created as modified, max_grade, 'na' as done, course_id
 from studentmodule
 """),
@@ -66,24 +68,38 @@ select user_id, username, email, cast(null as varchar) as full_name, course_id,
 from user_info_combo
 """),
     "geolocate_ips": _w(["tracking_log"], """
-with ips as (select distinct ip from tracking_log where ip is not null and ip <> ''),
-n as (select ip, ((cast(split_part(ip, '.', 1) as bigint) * 256 + cast(split_part(ip, '.', 2) as bigint)) * 256
+with ips as (
+  select distinct ip, 4 as fam, ((cast(split_part(ip, '.', 1) as bigint) * 256 + cast(split_part(ip, '.', 2) as bigint)) * 256
                   + cast(split_part(ip, '.', 3) as bigint)) * 256 + cast(split_part(ip, '.', 4) as bigint) as num
-      from ips),
+  from (select ip from tracking_log where ip is not null and ip <> ''
+        union all
+        select '10.' || (n // 65536) || '.' || (n // 256 % 256) || '.' || (n % 256) from (select o_orderkey * 48271 % 16777216 as n from orders))
+  union all
+  select distinct '2001:db8:' || printf('%x', c_custkey * 7 % 65536) || ':' || printf('%x', c_custkey % 65536) || '::1', 6,
+    (c_custkey * 7 % 65536) * 65536 + c_custkey % 65536 from customer),
+cust as (
+  select c_custkey as k, case when c_custkey % 2 = 0 then b - b % s else b end as lo, s, case when c_custkey % 13 <> 0 then 'C' || (c_custkey % 25) end as iso
+  from (select c_custkey, c_custkey * 7919 % 16777216 as b, (1 << cast((c_custkey % 5 + 1) * 4 as int))::bigint as s from customer)),
 rng as (
-  select n_nationkey as a, n_name, h.lo, h.hi, h.part,
-    ((10 * 256 + n_nationkey) * 256 + 0) * 256 + h.lo as lo_num, ((10 * 256 + n_nationkey) * 256 + 0) * 256 + h.hi as hi_num
-  from nation, (values (0, 1, 'low'), (2, 3, 'high')) h(lo, hi, part) where n_nationkey < 6),
-un as (select 'C' || cast(n_nationkey as varchar) as iso, r_name as un_major_region,
-         case when n_nationkey % 3 = 0 then 'High' else 'Middle' end as un_economic_group
-       from nation join region on n_regionkey = r_regionkey)
-select n.ip, 'C' || cast(a as varchar) as cc_by_ip, n_name as countryLabel,
-  case a % 3 when 0 then 'Europe' when 1 then 'Asia' else 'Americas' end as continent,
-  'city' || cast(a as varchar) || '_' || part as city, 'r' || cast(a as varchar) as region,
-  cast(null as varchar) as subdivision, 'P' || cast(a as varchar) as postalCode,
-  a * 10.0::double as latitude, -cast(a as double) as longitude, un.un_major_region, un.un_economic_group
-from n join rng on n.num between rng.lo_num and rng.hi_num
-left join un on un.iso = 'C' || cast(a as varchar)
+  select 4 as fam, ((10 * 256 + n_nationkey) * 256 + 0) * 256 + h.lo as lo, ((10 * 256 + n_nationkey) * 256 + 0) * 256 + h.hi as hi, 'C' || n_nationkey as iso, n_name as name,
+    case n_nationkey % 3 when 0 then 'Europe' when 1 then 'Asia' else 'Americas' end as continent, 'city' || n_nationkey || '_' || h.part as city,
+    'r' || n_nationkey as region, 'P' || n_nationkey as postal, n_nationkey * 10.0::double as lat, -cast(n_nationkey as double) as lon
+  from nation, (values (0, 1, 'low'), (2, 3, 'high')) h(lo, hi, part) where n_nationkey < 6
+  union all
+  select fam, lo, hi, iso, 'name ' || iso, 'Earth', city, null, null, 1.0, 2.0 from (
+    select 4 as fam, 167772160 + lo as lo, 167772160 + least(lo + s - 1, 16777215) as hi, iso, 'cust' || k as city from cust
+    union all select 4, 167772160 + lo, 167772160 + least(lo + s - 1, 16777215), 'A', 'equal cust' || k from cust where k % 10 = 0
+    union all select 4, 167772160, 167772160 + 16777215, 'C1', 'anywhere'
+    union all select 6, (k * 7 % 65536) * 65536, (k * 7 % 65536) * 65536 + 65535, iso, 'wide ' || k from cust where k % 3 = 0
+    union all select 6, (k * 7 % 65536) * 65536 + k % 65536, (k * 7 % 65536) * 65536 + k % 65536, iso, 'narrow ' || k from cust where k % 6 = 0)),
+un as (select 'C' || n_nationkey as iso, r_name as un_major_region, case when n_nationkey % 3 = 0 then 'High' else 'Middle' end as un_economic_group
+       from nation join region on n_regionkey = r_regionkey),
+best as (
+  select ips.ip, rng.* from ips join rng on rng.fam = ips.fam and ips.num between rng.lo and rng.hi
+  qualify row_number() over (partition by ips.ip order by rng.hi - rng.lo, rng.lo desc, rng.iso nulls first, rng.name nulls first, rng.continent, rng.city) = 1)
+select ip, best.iso as cc_by_ip, best.iso as country, name as countryLabel, continent, city, region, cast(null as varchar) as subdivision, postal as postalCode,
+  lat as latitude, lon as longitude, timestamp '2024-05-06 07:08:09' as "timestamp", un_major_region, un_economic_group
+from best left join un on un.iso = best.iso where best.iso is not null
 """),
     "distinct_youtube_ids": _w(["course_axis"], """
 select distinct trim(string_split(ytid, ':')[-1]) as id from course_axis
@@ -100,7 +116,7 @@ select course_id, idx as "index", module_id, url_name, category, name, gformat,
   case when gformat is not null then coalesce(due, timestamp '2024-03-01 00:00:00') end as due,
   timestamp '2024-01-01 00:00:00' as start, graded,
   case when visible_to_staff_only then true end as visible_to_staff_only, path, parent, chapter_mid,
-  case when category = 'problem' then 1 end as num_items, false as has_solution, weight, itype, duration
+  case when ytid <> '' then '1:0:' || string_split(ytid, ':')[-1] end as ytid, case when category = 'problem' then 1 end as num_items, false as has_solution, weight, itype, duration
 from course_axis
 """),
     "bundle_problem_types": _w(["course_axis"], """
