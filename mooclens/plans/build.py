@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mooclens.plans.reports import CATALOG, build_order, resolve
-from mooclens.session import clear_scratch, delete_path, escape_partition, path_exists, settle_folder, swap_folder
+from mooclens.session import delete_path, escape_partition, path_exists, scratch_scope, settle_folder, swap_folder
 
 
 def build_reports(spark: SparkSession, tables, out_dir: str, names: list[str] | None = None,
@@ -29,7 +29,11 @@ def build_reports(spark: SparkSession, tables, out_dir: str, names: list[str] |
     course, so small courses make one file and large ones several (``rebalance=False`` spares that shuffle).  Errors are collected per report; with ``fail_fast`` the
     first one is raised.  Intermediate tables go when the build ends.  Returns one status dict per report.
     """
-    order = build_order(names or list(CATALOG))
+    with scratch_scope(spark):
+        return _build(spark, tables, out_dir, build_order(names or list(CATALOG)), params, append, fail_fast, courses, rebalance)
+
+
+def _build(spark, tables, out_dir, order, params, append, fail_fast, courses, rebalance) -> list[dict]:
     memo: dict[str, DataFrame] = {}
     status = []
     sc = spark.sparkContext
@@ -66,7 +70,6 @@ def build_reports(spark: SparkSession, tables, out_dir: str, names: list[str] |
                            "seconds": round(time.perf_counter() - t0, 3)})
             memo.pop(name, None)
     sc.setJobDescription(None)
-    clear_scratch(spark)
     return status
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from mooclens.operators import activity, language, timing
 from mooclens.operators.logs import forum_events, video_stats_day
 from mooclens.plans.reports import resolve
-from mooclens.session import delete_path, list_folder, path_exists, scratch_path, stored_scratch, swap_folder
+from mooclens.session import delete_path, list_folder, path_exists, scratch_path, scratch_scope, stored_scratch, swap_folder
 
 
 @dataclass
@@ -91,7 +91,11 @@ def build_days(spark: SparkSession, tables, out_dir: str, days: list[str], names
     day, states last: a job that fails leaves the tables as they were, and one that dies during the swaps
     is mended by building the same days again.
     """
-    names = names or list(REPORT_STATE)
+    with scratch_scope(spark):
+        return _build(spark, tables, out_dir, days, names or list(REPORT_STATE))
+
+
+def _build(spark, tables, out_dir, days, names) -> list[str]:
     states = sorted({REPORT_STATE[n] for n in names})
     later = {d for s in states for d in _built(spark, out_dir, s) if d >= min(days)}
     todo = sorted(set(days) | later)

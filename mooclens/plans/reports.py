@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
+from mooclens.session import stored_scratch
 from mooclens.operators import activity, forum, grades, items, language, learner, logs, timing, video
 
 BASE_TABLES = ("tracking_log", "course_axis", "forum", "user_info_combo", "problem_analysis", "studentmodule",
@@ -130,21 +131,15 @@ def resolve(name: str, tables: Mapping | object, params: Mapping | None = None,
             kwargs[p] = params[p]
     df = rep.fn(*args, **kwargs)
     if name in memo.get("__shared__", ()):
-        df = _stash(df, name, memo)
+        df = _stash(df, name)
     memo[name] = df
     return df
 
 
-def _stash(df: DataFrame, name: str, memo: dict) -> DataFrame:
+def _stash(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate report once to the shared checkpoint folder and
     read it back: computed a single time, lineage cut, survives executor loss."""
-    import uuid
-
-    from mooclens.session import checkpoint_dir
-    run = memo.setdefault("__run__", uuid.uuid4().hex[:12])
-    path = f"{checkpoint_dir(df.sparkSession)}/mooclens-stash/{run}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return stored_scratch(df.sparkSession, df, name)
 
 
 def _base(tables, name):

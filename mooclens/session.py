@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -91,9 +92,25 @@ def escape_partition(spark: SparkSession, value: str) -> str:
     return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
 
 
+_scopes: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder for an intermediate table of this application, in the shared folder."""
-    return f"{checkpoint_dir(spark)}/mooclens-scratch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A new folder for an intermediate table, in the shared folder; within a ``scratch_scope`` in that scope's folder."""
+    base = _scopes[-1] if _scopes else f"{checkpoint_dir(spark)}/mooclens-scratch/{spark.sparkContext.applicationId}"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Intermediate tables that are made inside go at the end: for jobs whose output is written by then."""
+    path = scratch_path(spark, "job")
+    _scopes.append(path)
+    try:
+        yield
+    finally:
+        _scopes.remove(path)
+        delete_path(spark, path)
 
 
 def stored_scratch(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -103,12 +120,6 @@ def stored_scratch(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete this application's intermediate tables. DataFrames that still read them end with an
-    error, so jobs call this once their output is written."""
-    delete_path(spark, f"{checkpoint_dir(spark)}/mooclens-scratch/{spark.sparkContext.applicationId}")
-
-
 def _fs(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
