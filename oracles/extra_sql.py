@@ -2,7 +2,7 @@
 
 from oracles import oracle, with_deps
 from oracles.ingest_sql import INGEST
-from oracles.reports_sql import PERSON_COURSE_DEPS, REPORTS, person_course_sql, time_on_task_sql
+from oracles.reports_sql import PERSON_COURSE_DEPS, forum_posts_sql, person_course_sql, time_on_task_sql
 
 _KNOWN = ("'play_video', 'seq_goto', 'seq_next', 'seq_prev', 'seek_video', 'load_video', 'save_problem_success', "
           "'save_problem_fail', 'reset_problem_success', 'reset_problem_fail', 'show_answer', "
@@ -72,10 +72,7 @@ having count(*) >= 3
 }
 
 EXTRA["time_on_task_2_10"] = _with(["tracking_log"], time_on_task_sql(2, 10))
-# forum_posts without the second response branch (the one with no responder)
-_FP = REPORTS["forum_posts"][0]
-_FP_PARTS = _FP.split("union all")
-EXTRA["forum_posts_dedupe"] = _with(["forum"], "union all".join(_FP_PARTS[:1] + _FP_PARTS[2:]))
+EXTRA["forum_posts_dedupe"] = _with(["forum"], forum_posts_sql(dedupe=True))
 
 _PC_FILL = """
 with pcv as (select distinct course_id, user_id, explored, certified, mode = 'verified' as verified from person_course),
