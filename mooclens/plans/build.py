@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
+import re
 import time
 import uuid
 from collections.abc import Mapping
@@ -11,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mooclens.plans.reports import CATALOG, build_order, resolve
+from mooclens.plans.reports import BASE_TABLES, CATALOG, build_order, resolve
 from mooclens.session import delete_path, escape_partition, path_exists, scratch_scope, settle_folder, swap_folder
 
 
@@ -131,3 +133,43 @@ def run_query_file(spark: SparkSession, path: str, tables: Mapping[str, DataFram
             values.update(json.load(fh))
     values.update(parse_params(params or []))
     return run_query(spark, sql, tables, values), desc
+
+
+def tables_read(spark: SparkSession, sql: str) -> set[str]:
+    """Names of the tables that a query reads, from its parsed plan (subqueries and common tables included)."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    return {n.strip("`") for n in re.findall(r"UnresolvedRelation \[([^\],]+)\]", plan.treeString())}
+
+
+def run_query_dir(spark: SparkSession, folder: str, tables, params: Mapping | None = None) -> dict[str, DataFrame]:
+    """M5: run all ``.sql`` files of a folder, each after the files it reads; a file's query is a view under the file's name.
+
+    Files may also read reports of the catalogue, which are built from ``tables`` as needed, and the tables
+    themselves. Files that read each other in a circle are an error. ``params`` bind the markers of any file.
+    """
+    texts = {os.path.splitext(n)[0]: read_query_file(os.path.join(folder, n))[0] for n in sorted(os.listdir(folder)) if n.endswith(".sql")}
+    reads = {name: tables_read(spark, sql) for name, sql in texts.items()}
+    memo: dict = {}
+    out: dict[str, DataFrame] = {}
+    path: list[str] = []
+
+    def visit(name: str) -> None:
+        if name in out:
+            return
+        if name in path:
+            raise ValueError(f"queries read each other: {' -> '.join([*path[path.index(name):], name])}")
+        path.append(name)
+        given = {}
+        for dep in sorted(reads[name]):
+            if dep in texts:
+                visit(dep)
+            elif dep in CATALOG or dep in BASE_TABLES:
+                given[dep] = resolve(dep, tables, params, memo)
+        own = {k: v for k, v in (params or {}).items() if re.search(rf":{k}\b", texts[name])}
+        out[name] = run_query(spark, texts[name], given, own)
+        out[name].createOrReplaceTempView(name)
+        path.pop()
+
+    for name in texts:
+        visit(name)
+    return out

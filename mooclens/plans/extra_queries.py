@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from mooclens.operators import learner, logs
 from mooclens.plans import ingest_queries, reports
-from mooclens.plans.build import build_reports, run_query
+from mooclens.plans.build import build_reports, run_query, run_query_dir
 from mooclens.plans.incremental import REPORT_STATE, build_days
 from mooclens.session import scratch_path
 from mooclens.sources.bridge import Tables
@@ -187,6 +187,25 @@ def user_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_query(spark, USER_SQL, {"tracking_log": _t(spark, sf_dir).tracking_log}, USER_PARAMS)
 
 
+USER_FILES = {
+    # reads the other file, a common table and a report
+    "a_busy_days": "with busy as (select distinct course_id from enrollday_all where diff_enrollment_honor <> 0) "
+                   "select a.course_id, a.username, a.n from b_askers a where a.course_id in (select course_id from busy) and a.n >= :least",
+    "b_askers": "-- learners who asked for answers\nselect course_id, username, count(*) as n from show_answer group by course_id, username",
+}
+
+
+def user_query_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: a folder of two SQL files, one reading the other and a report; the last one's rows."""
+    import os
+    import tempfile
+    with tempfile.TemporaryDirectory() as folder:  # read by the driver alone
+        for name, sql in USER_FILES.items():
+            with open(os.path.join(folder, f"{name}.sql"), "w", encoding="utf8") as fh:
+                fh.write(sql)
+        return run_query_dir(spark, folder, _t(spark, sf_dir), {"least": 2})["a_busy_days"]
+
+
 def person_course_minimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M6: the learner table when the optional inputs are absent (their columns are NULL)."""
     t = _t(spark, sf_dir)
@@ -249,6 +268,7 @@ QUERIES = {
     **{f"incremental_{n}": _days_in_three_builds(n) for n in REPORT_STATE},
     "log_window_show_answer": log_window_show_answer,
     "user_query": user_query,
+    "user_query_dir": user_query_dir,
     "person_course_minimal": person_course_minimal,
 }
 QUERIES.update(ingest_queries.QUERIES)

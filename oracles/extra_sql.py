@@ -67,6 +67,10 @@ from tracking_log
 where list_contains(['play_video', 'pause_video', 'problem_check'], event_type) and username <> ''
 group by course_id, username
 having count(*) >= 3
+"""),
+    "user_query_dir": _with(["show_answer", "enrollday_all"], """
+select course_id, username, count(*) as n from show_answer
+where course_id in (select course_id from enrollday_all where diff_enrollment_honor <> 0) group by course_id, username having count(*) >= 2
 """),
     "person_course_minimal": _with(PERSON_COURSE_DEPS, person_course_sql(False)),
 }
