@@ -19,3 +19,14 @@ def test_log_tasks_grow_with_events(spark, tmp_path, monkeypatch):
     assert sum(r["count"] for r in sizes) == 8 * 2000
     # one course in one hour is spread over tasks
     assert max(r["count"] for r in sizes) < 8 * 2000 / 3 / 4
+
+
+def test_number_of_splits_is_bounded(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "dump"
+    folder.mkdir()
+    lines = ["id\tstate", *[f"{i}\t'a\n\tb{i}'" for i in range(500)]]
+    (folder / "one.txt").write_text("\n".join(lines) + "\n")
+    monkeypatch.setattr(dumps, "MAX_SPLITS", 4)
+    got = dumps.dump_records(spark, f"{folder}/*.txt", split_bytes=64).select("at.block", F.col("r")["id"].alias("id"), F.col("r")["state"].alias("state")).collect()
+    assert sorted((int(r["id"]), r["state"]) for r in got) == [(i, f"a\n\tb{i}") for i in range(500)]
+    assert 1 < len({r["block"] for r in got}) <= 5
