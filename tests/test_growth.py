@@ -30,3 +30,12 @@ def test_number_of_splits_is_bounded(spark, tmp_path, monkeypatch):
     got = dumps.dump_records(spark, f"{folder}/*.txt", split_bytes=64).select("at.block", F.col("r")["id"].alias("id"), F.col("r")["state"].alias("state")).collect()
     assert sorted((int(r["id"]), r["state"]) for r in got) == [(i, f"a\n\tb{i}") for i in range(500)]
     assert 1 < len({r["block"] for r in got}) <= 5
+
+
+def test_learner_inputs_are_not_broadcast(spark):
+    uic = spark.createDataFrame([("c", "u1", 1)], "course_id string, username string, user_id bigint")
+    shown = spark.createDataFrame([("c", "u1", "m")], "course_id string, username string, module_id string")
+    pg = spark.createDataFrame([("c", 1, "m", 1.0, True, True)], "course_id string, user_id bigint, module_id string, grade double, attempted boolean, perfect boolean")
+    out = grades.show_answer_stats_by_user(pg, shown, uic)
+    assert out.collect()[0]["n_show_answer_attempted"] == 1
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
