@@ -21,6 +21,13 @@ def test_log_tasks_grow_with_events(spark, tmp_path, monkeypatch):
     assert max(r["count"] for r in sizes) < 8 * 2000 / 3 / 4
 
 
+def test_shared_reports_of_several_targets():
+    assert reports.shared_reports("person_problem", "course_problem") == {"course_item", "person_item"}
+    assert reports.shared_reports("person_problem") == {"course_item"}
+    minimal = reports.shared_reports(*reports.CATALOG["person_course"].inputs)
+    assert {"person_item", "course_item"} <= minimal
+
+
 def test_number_of_splits_is_bounded(spark, tmp_path, monkeypatch):
     folder = tmp_path / "dump"
     folder.mkdir()
