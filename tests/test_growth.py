@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from mooclens.operators import grades
 from mooclens.plans import reports
-from mooclens.sources import bridge, dumps
+from mooclens.sources import bridge, dumps, ingest
 
 
 def test_log_tasks_grow_with_events(spark, tmp_path, monkeypatch):
@@ -46,3 +46,18 @@ def test_learner_inputs_are_not_broadcast(spark):
     out = grades.show_answer_stats_by_user(pg, shown, uic)
     assert out.collect()[0]["n_show_answer_attempted"] == 1
     assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_state_texts_are_built_and_parsed_once(spark):
+    rows = [("c", 1, "c/problem/p", '"correct_map":{"a":{"correctness":"correct"},"b":null},"student_answers":{"a":["x"]},"attempts":2', "1"),
+            ("c", 2, "c/problem/p", '"correct_map":null,"student_answers":null', "1"), ("c", 3, "c/problem/p", '"correct_map":{}', "1"),
+            ("c", 4, "c/problem/p", '"student_answers":{}', "1"), ("c", 5, "c/problem/p", '"correct_map":{},"student_answers":{},', "1"), ("c", 6, "c/problem/p", None, "1")]
+    sm = spark.createDataFrame(rows, "course_id string, student_id bigint, module_id string, state string, grade string")
+    sm = sm.withColumn("state", F.concat(F.lit("{"), F.col("state"), F.lit("}"))).withColumns({"max_grade": F.lit("2"), "created": F.lit(None).cast("timestamp")})
+    out = ingest.problem_analysis(sm)
+    got = {r["user_id"]: r for r in out.collect()}
+    assert sorted(got) == [1, 2]
+    assert [(i["answer_id"], i["response"], i["correct_bool"]) for i in got[1]["item"]] == [("a", '["x"]', True), ("b", "null", False)]
+    assert (got[1]["attempts"], got[2]["attempts"], got[2]["item"]) == (2, 0, [])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert (plan.count("parseJson"), plan.count("jsonObjectKeys"), plan.count("from_json")) == (1, 0, 1)
