@@ -2,9 +2,10 @@
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from mooclens.operators import grades
+from mooclens.operators import grades, items
 from mooclens.plans import reports
 from mooclens.sources import bridge, dumps, ingest
 
@@ -61,3 +62,29 @@ def test_state_texts_are_built_and_parsed_once(spark):
     assert (got[1]["attempts"], got[2]["attempts"], got[2]["item"]) == (2, 0, [])
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert (plan.count("parseJson"), plan.count("jsonObjectKeys"), plan.count("from_json")) == (1, 0, 1)
+
+
+def test_items_are_numbered_by_stretches(spark):
+    rows = [("c" + str(i % 2), None if i < 2 else i // 4, i % 4, None if i < 12 else float(i % 5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "course_id string, content_index bigint, item_number bigint, item_weight double")
+    w = Window.partitionBy("course_id").orderBy("content_index", "item_number")
+    want = df.select("*", F.row_number().over(w).cast("bigint").alias("item_nid"), F.sum("item_weight").over(w).alias("cumulative_item_weight"))
+    got = items.numbered_in_course(df, 3)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_course_problem_groups_by_numbers(spark):
+    ci = spark.createDataFrame([("c", 1, "p1", "s1", "n", False, None, 1, 1.0), ("c", 1, "p1", "s1", "n", False, None, 2, 1.0), ("c", None, "p2", None, "m", False, None, 3, 1.0),
+                                ("c", None, "p3", None, "m", False, None, 4, 1.0)],
+                               "course_id string, problem_nid bigint, problem_id string, problem_short_id string, problem_name string, is_split boolean, split_name string, "
+                               "item_nid bigint, item_points_possible double")
+    pi = spark.createDataFrame([(u, "c", i, i % 2) for u in (7, 8) for i in (1, 2, 3, 4)], "user_id bigint, course_id string, item_nid bigint, item_grade bigint")
+    out = items.course_problem(pi, ci)
+    assert sorted((r["problem_id"], r["avg_problem_raw_score"], r["max_possible_raw_score"], r["n_unique_users_attempted"]) for r in out.collect()) == [
+        ("p1", 1.0, 2.0, 2), ("p2", 1.0, 1.0, 2), ("p3", 0.0, 1.0, 2)]
+    # no aggregate has both a learner and a problem's names as keys; the learners' rows are not sorted for the join
+    import re
+    groups = re.findall(r"Aggregate \[(.*?)\]", out._jdf.queryExecution().optimizedPlan().toString())
+    assert not any("user_id" in g and "problem_name" in g for g in groups)
+    assert "ShuffledHashJoin" in out._jdf.queryExecution().executedPlan().toString()
