@@ -164,6 +164,8 @@ def place_of(keys: DataFrame, segments: DataFrame) -> DataFrame:
         keys.select("key", F.lit(1).alias("kind"), "ip", F.lit(None).cast("string").alias("hi"), F.lit(None).cast("long").alias("rid")))
     rows = rows.repartitionByRange("key", "kind").sortWithinPartitions("key", "kind").withColumn("part", F.spark_partition_id())
 
+    texts = {c: object for c in ("ip", "key", "hi")}  # pandas' own text columns may reach Arrow in chunks, which Spark does not take
+
     def carry(batches):
         import pandas as pd
         last = (None, None)
@@ -180,9 +182,9 @@ def place_of(keys: DataFrame, segments: DataFrame) -> DataFrame:
             out["hi"] = [hi[k] for k in which[~seen]]
             out["rid"] = pd.array([rid[k] for k in which[~seen]], dtype="Int64")
             last = (hi[-1], rid[-1])
-            yield out
+            yield out.astype(texts)
         if part is not None:  # what the next partition starts with
-            yield pd.DataFrame({"part": [part], "ip": [None], "key": [None], "hi": [last[0]], "rid": pd.array([last[1]], dtype="Int64")})
+            yield pd.DataFrame({"part": [part], "ip": [None], "key": [None], "hi": [last[0]], "rid": pd.array([last[1]], dtype="Int64")}).astype(texts)
 
     merged = stored_scratch(spark, rows.mapInPandas(carry, "part int, ip string, key string, hi string, rid long"), "merged")
     ends = merged.where(F.col("key").isNull()).select("part", F.when(F.col("rid").isNotNull(), F.struct("hi", "rid")).alias("end"))
