@@ -22,6 +22,20 @@ def test_log_tasks_grow_with_events(spark, tmp_path, monkeypatch):
     assert max(r["count"] for r in sizes) < 8 * 2000 / 3 / 4
 
 
+def test_log_rows_are_made_by_compiled_code(spark, tmp_path):
+    import re
+    rows = [(i, i % 5, dt.datetime(2024, 1, 1, 23, 0)) for i in range(9)]
+    spark.createDataFrame(rows, "event_id bigint, user_id bigint, ts timestamp").write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = bridge.tracking_log(spark, str(tmp_path))._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(plan)
+    # the JVM leaves larger methods to its interpreter
+    assert 0 < max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
+
+
 def test_shared_reports_of_several_targets():
     assert reports.shared_reports("person_problem", "course_problem") == {"course_item", "person_item"}
     assert reports.shared_reports("person_problem") == {"course_item"}
