@@ -71,8 +71,10 @@ def test_days_of_quiet_keys_need_one_shuffle(spark):
     log = spark.createDataFrame(rows, "course_id string, username string, time timestamp, seq bigint, event_type string, module_id string")
     t = dt.datetime(2023, 12, 31)
     asset = spark.createDataFrame([("c", "u1", "m1", t)], "course_id string, username string, module_id string, last_time_umid timestamp")
-    plan = timing.time_on_asset_daily(log, before=asset)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "Join" not in plan
+    learner = asset.select("course_id", "username", *[F.col("last_time_umid").alias(v) for v in timing.ACTIVITY_VALUES])
+    for out in (timing.time_on_asset_daily(log, before=asset), timing.time_on_task(log, before=learner)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Join" not in plan
 
 
 def test_module_tails(spark):
