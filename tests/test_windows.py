@@ -72,7 +72,7 @@ def test_days_of_quiet_keys_need_one_shuffle(spark):
     t = dt.datetime(2023, 12, 31)
     asset = spark.createDataFrame([("c", "u1", "m1", t)], "course_id string, username string, module_id string, last_time_umid timestamp")
     learner = asset.select("course_id", "username", *[F.col("last_time_umid").alias(v) for v in timing.ACTIVITY_VALUES])
-    for out in (timing.time_on_asset_daily(log, before=asset), timing.time_on_task(log, before=learner)):
+    for out in (timing.time_on_asset_daily(log, before=asset, by_size=True), timing.time_on_task(log, before=learner, by_size=True)):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange") == 1 and "Join" not in plan
 
