@@ -10,9 +10,10 @@ Every byte covered by a ``span``-byte string that also starts anywhere else goes
 3. Occurrences with equal bytes are counted together: two or more are repeats as they stand. Anchors with different
    occurrences are settled by suffix arrays (``suffix_sort``): the occurrences' bytes are concatenated,
    sorted, and windows that are equal to a neighbour in the array are repeats.
-4. *Hot anchors*, with more than ``LIMIT`` bytes of different occurrences, are split first: the range of distances is halved, and
-   each half is grouped by the bytes that all its windows share. An occurrence without a partner falls out; at the latest, ranges of
-   one distance are single windows. So no group grows beyond ``LIMIT`` bytes and nothing is left out.
+4. *Hot anchors*, with more than ``LIMIT`` bytes of different occurrences, are split first: the range of distances is quartered, and
+   each quarter is grouped by the bytes that all its windows share. An occurrence without a partner falls out; at the latest, ranges of
+   one distance are single windows. So no group grows beyond ``LIMIT`` bytes and nothing is left out. The groups of all rounds are
+   sorted in one stage: a round stores its different rows and the few hot groups, nothing else.
 5. Repeated ranges come back to the texts by a 128-bit digest, and the removed runs are cut.
 
 Edge cases: a null or empty text has no bytes; texts below ``span`` bytes lose none; repeated rows are documents of their own, so
@@ -21,9 +22,11 @@ each is all removed from ``span`` bytes on; null ids are kept; other columns are
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,9 +104,10 @@ def _occurrences(docs: DataFrame, text_col: str, span: int, gram: int, what: str
                     out["hi"] = pa.array((o.at - o.first).astype(np.int32))
                 if what == "bytes":
                     size = o.last - o.first + span
-                    ends = np.concatenate([[0], np.cumsum(size)])
-                    data = buf[np.repeat(o.first - ends[:-1], size) + np.arange(ends[-1])]
-                    out["bytes"] = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data)])
+                    ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)  # as Arrow's offsets
+                    place = np.arange(ends[-1], dtype=np.int32)
+                    place += np.repeat(o.first.astype(np.int32) - ends[:-1], size)
+                    out["bytes"] = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(buf[place])])
                 yield pa.RecordBatch.from_pydict(out)
 
     return docs.select(text_key(F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("text")).mapInArrow(work, kinds[what])
@@ -116,7 +120,7 @@ def repeated_windows(groups: list[list[bytes]], span: int) -> list[list[np.ndarr
     flat = b"".join(s + b"\0" for g in groups for s in g)
     lengths = np.array([len(s) for g in groups for s in g])
     raw = np.frombuffer(flat, np.uint8)
-    text = raw.astype(np.int64) + 2
+    text = raw.astype(np.int16) + np.int16(2)
     ends = np.cumsum(lengths + 1) - 1
     text[ends] = 1
     text[base + size - 1] = 0
@@ -189,25 +193,30 @@ def _cells(rows: DataFrame, span: int, width: int) -> DataFrame:
     return cells.select(F.xxhash64("gid", "a", core).alias("gid"), "anchor", "whole", F.col("l").alias("lo"), F.col("h").alias("hi"), "bytes")
 
 
-def _settle_hot(spark: SparkSession, rows: DataFrame, span: int) -> list[DataFrame]:
-    """Repeated runs (anchor, whole, lo, hi) of groups of any size, by halving ranges of distances."""
-    found, width = [], 1 << (span.bit_length() - 2)
+def _settle_hot(spark: SparkSession, rows: DataFrame, span: int) -> tuple[DataFrame, DataFrame]:
+    """``rows``: groups of any size. Runs (anchor, whole, lo, hi) of equal bytes, and the rows of
+    groups below LIMIT bytes that are still to be sorted; by quartering ranges of distances."""
+    key = ["gid", "lo", "hi", "bytes"]
+    parts, again, small, width = [], [], [], 1 << (span.bit_length() - 2)
     while True:
-        rows = stored(spark, _cells(rows, span, width), "cells")
+        cells = _cells(rows, span, width)
         # equal bytes: repeats as they stand, and one witness for the others
-        equal = rows.groupBy("gid", "lo", "hi", "bytes").agg(F.count(F.lit(1)).alias("n"), F.first("anchor").alias("anchor"),
-                                                            F.first("whole").alias("whole"))
+        equal = cells.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.first("anchor").alias("anchor"), F.first("whole").alias("whole"))
         equal = stored(spark, equal, "equal")
-        again = equal.filter("n > 1").select("gid", "lo", "hi", "bytes")
-        found.append(rows.join(again, ["gid", "lo", "hi", "bytes"], "left_semi").filter("whole is not null").select("anchor", "whole", "lo", "hi"))
+        parts.append(cells.filter("whole is not null"))
+        again.append(equal.filter("n > 1").select(key))
         rows = equal.select("gid", "anchor", F.when(F.col("n") == 1, F.col("whole")).alias("whole"), "lo", "hi", "bytes")
-        sizes = rows.groupBy("gid").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("bytes") + 1).alias("volume")).filter("n > 1")
-        rows = rows.join(sizes.select("gid", "volume"), "gid")
-        found.append(_sort_groups(rows.filter(F.col("volume") <= LIMIT), span))
-        rows = stored(spark, rows.filter(F.col("volume") > LIMIT).drop("volume"), "hot")
-        if rows.isEmpty():  # at the latest with single windows: equal ones are one row
-            return found
-        width //= 2
+        sizes = rows.groupBy("gid").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("bytes") + 1).alias("volume"))
+        hot = stored(spark, sizes.filter((F.col("n") > 1) & (F.col("volume") > LIMIT)).select("gid"), "hot")  # stored: the joins can then be split
+        if hot.isEmpty():  # at the latest with single windows: equal ones are one row
+            small.append(rows)
+            break
+        small.append(rows.join(hot, "gid", "left_anti"))
+        rows, width = rows.join(hot, "gid", "left_semi"), max(1, width // 4)
+    parts, again, small = (reduce(DataFrame.unionByName, x) for x in (parts, again, small))
+    group = Window.partitionBy("gid")
+    small = small.select("*", F.count(F.lit(1)).over(group).alias("n"), F.sum(F.length("bytes") + 1).over(group).alias("volume"))
+    return parts.join(again, key, "left_semi").select("anchor", "whole", "lo", "hi"), small.filter("n > 1").drop("n")
 
 
 def repeats(spark: SparkSession, docs: DataFrame, span: int = SPAN, gram: int = GRAM, text_col: str = "text") -> DataFrame:
@@ -224,14 +233,12 @@ def repeats(spark: SparkSession, docs: DataFrame, span: int = SPAN, gram: int =
     rows = rows.join(mixed, ["anchor", "whole"])
     rows = rows.select(F.col("anchor").alias("gid"), "anchor", F.when(F.col("n") == 1, F.col("whole")).alias("whole"), "lo", "hi", "bytes", "volume")
     rows = stored(spark, rows, "different")
-    found = [kinds.filter("n > 1").select("anchor", "whole", "lo", "hi"), _sort_groups(rows.filter(F.col("volume") <= LIMIT), span)]
+    found, small = kinds.filter("n > 1").select("anchor", "whole", "lo", "hi"), rows.filter(F.col("volume") <= LIMIT)
     if not mixed.filter(F.col("volume") > LIMIT).isEmpty():
-        found += _settle_hot(spark, rows.filter(F.col("volume") > LIMIT).drop("volume"), span)
-    runs_ = found[0]
-    for f in found[1:]:
-        runs_ = runs_.unionByName(f)
-    runs_ = stored(spark, runs_.withColumnsRenamed({"lo": "a", "hi": "b"}), "runs")
-    return places.join(runs_, ["anchor", "whole"]).select("key", (F.col("at") - F.col("b")).alias("start"), (F.col("at") - F.col("a") + span).alias("end")).distinct()
+        equal, groups = _settle_hot(spark, rows.filter(F.col("volume") > LIMIT).drop("volume"), span)
+        found, small = found.unionByName(equal), small.unionByName(groups)
+    found = found.unionByName(_sort_groups(small, span)).withColumnsRenamed({"lo": "a", "hi": "b"})
+    return places.join(found, ["anchor", "whole"]).select("key", (F.col("at") - F.col("b")).alias("start"), (F.col("at") - F.col("a") + span).alias("end")).distinct()
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -28,7 +28,7 @@ def lyndon_groups(text: np.ndarray, base: np.ndarray, size: np.ndarray):
     """Group start per suffix, pointer per suffix (-1: none). ``text`` holds the strings one
     after the other; the last letter of each is its smallest and occurs once."""
     total = len(text)
-    string = np.repeat(np.arange(len(base)), size)
+    string = np.repeat(np.arange(len(base), dtype=np.int32), size)
     array = np.lexsort((text, string))
     where = np.empty(total, np.int64)
     where[array] = np.arange(total)
@@ -39,6 +39,7 @@ def lyndon_groups(text: np.ndarray, base: np.ndarray, size: np.ndarray):
     group[array] = starts[np.cumsum(new) - 1]
     end = np.zeros(total + 1, np.int64)
     end[starts] = np.append(starts[1:], total)
+    del string, letter, owner, new  # the turns need none of them
     pointer = np.full(total, -1, np.int64)
     first_of = np.zeros(total, bool)
     first_of[base] = True

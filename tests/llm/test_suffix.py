@@ -7,7 +7,9 @@ import random
 import numpy as np
 import pytest
 from mooclens.llm import suffix_dedup as D
+from mooclens.llm.common import bit_pages, maybe_in
 from mooclens.llm.suffix_sort import lyndon_groups, suffix_arrays
+from pyspark.sql import functions as F
 
 
 def batch(strings):
@@ -90,3 +92,27 @@ def test_documents(spark, documents):
 def test_odd(spark, odd, nothing):
     check(spark, odd)
     assert D.suffix_digest(spark, nothing).count() == 0
+
+
+def test_rounds_store_two_tables_each(spark, monkeypatch):
+    names = []
+    monkeypatch.setattr(D, "LIMIT", 1200)
+    monkeypatch.setattr(D, "stored", lambda s, df, name, f=D.stored: names.append(name) or f(s, df, name))
+    D.repeats(spark, passages(spark))
+    assert 1 < names.count("equal") <= 4 and names.count("hot") == names.count("equal")
+    assert sorted(set(names) - {"equal", "hot"}) == ["different", "kinds", "mixed", "places", "sizes"]
+
+
+def test_bit_pages_take_few_files(spark):
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        some = spark.range(5000).select(F.xxhash64("id").alias("h"))
+        pages = bit_pages(spark, some)
+        assert len(pages.inputFiles()) <= 8
+        assert maybe_in(some, F.col("h"), pages).count() == 5000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
