@@ -104,3 +104,34 @@ def test_course_filter(spark, tables):
     rows, _ = ingest_lines(raw, courses=["DemoX/C1/T1"])
     got = {r.course_id for r in rows.select("course_id").distinct().collect()}
     assert got == {"DemoX/C1/T1"}
+
+
+def test_each_line_is_parsed_once(spark):
+    """Filters on what was parsed do not parse again, and generated methods are small enough to be compiled."""
+    import re
+
+    from pyspark.sql import functions as F
+    lines = spark.range(3).select(F.col("id").alias("seq"), F.concat(F.lit('{"time": "'), F.col("id").cast("string"), F.lit('"}')).alias("value"))
+    rows, dead = ingest_lines(lines)
+    rows = rows.select("seq", "course_id", "time", "module_id", "event", "event_struct.mode", "event_struct.GET")
+    texts = [df._jdf.queryExecution().optimizedPlan().toString() for df in (rows, dead.groupBy("reason").count())]
+    assert [t.count("parseJson(") for t in texts] == [2, 1]  # the line and its payload; the line
+    assert texts[1].count("from_json(") == 1
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = rows.select("*")._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(plan)
+    # the JVM leaves larger methods to its interpreter
+    assert 0 < max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
+
+
+def test_payloads_of_any_shape(spark):
+    """An object's top-level values as texts; a name given twice makes the payload a plain text."""
+    got = []
+    for event in ('{"mode": {"a": [1, 2]}, "attempts": "3", "child-id": "k"}', ' [{"mode": "x"}]', '[{"mode": "x"}, 5]', "[]", "5", "null", '{"mode": "x", "mode": "y"}', "no json"):
+        r = _ingest_one(spark, {"event": event, "event_type": "problem_graded", "event_source": "server"})
+        got.append((r.event_struct.mode, r.event_struct.attempts, r.event_struct.child_id, r.event))
+    assert [g[:3] for g in got] == [('{"a":[1,2]}', 3, "k"), *[(None, None, None)] * 7]
+    assert got[6][3] == '{"event":"{\\"mode\\": \\"x\\", \\"mode\\": \\"y\\"}"}' and got[7][3] == '{"event":"no json"}'
