@@ -68,3 +68,28 @@ def test_csv_load_with_bad_rows(spark, tmp_path):
     info = load_table(spark, str(src), st, str(tmp_path / "t"), fmt="csv", max_bad_rows=1)
     assert info["bad_rows"] == 1
     assert sorted(r.user_id for r in read_table(spark, str(tmp_path / "t")).collect()) == [1, 3]
+
+
+def test_lines_move_only_where_one_file_would_keep_a_core(spark, tmp_path):
+    import random
+
+    from mooclens.sources.logs import _spread
+    many, one = tmp_path / "many", tmp_path / "one"
+    rng = random.Random(1)
+    texts = ["".join(rng.choices("abcdef", k=300)) for _ in range(40)]
+    for i in range(40):
+        _write(many, f"f{i}.gz", texts[i:i + 1])
+    _write(one, "f.gz", texts)
+    assert not _spread(spark, str(many / "*.gz")) and _spread(spark, str(one / "*.gz"))
+    _write(many, "large.gz", texts)
+    assert _spread(spark, str(many / "*.gz")) and _spread(spark, [str(many / "f0.gz"), str(one / "f.gz")])
+
+
+def test_texts_of_kept_rows_are_not_stored(spark, tmp_path, monkeypatch):
+    from mooclens.sources import logs
+    _write(tmp_path / "logs", "a-2024-01-05.gz", [_record("one"), "junk", _record("")])
+    monkeypatch.setattr(logs, "delete_path", lambda *a: None)
+    monkeypatch.setattr(logs, "scratch_path", lambda *a: str(tmp_path / "stage"))
+    paths = split_tracking_logs(spark, str(tmp_path / "logs" / "*.gz"), str(tmp_path / "out"))
+    assert sorted((r.reason or "", r.value) for r in spark.read.parquet(str(tmp_path / "stage")).collect()) == [("", None), ("The line is not a record", "junk"), ("names no user", None)]
+    assert _counts(spark, paths)[1:] == (1, 1)
