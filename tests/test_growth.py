@@ -102,3 +102,40 @@ def test_course_problem_groups_by_numbers(spark):
     groups = re.findall(r"Aggregate \[(.*?)\]", out._jdf.queryExecution().optimizedPlan().toString())
     assert not any("user_id" in g and "problem_name" in g for g in groups)
     assert "ShuffledHashJoin" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shuffles_of_stored_tables_go(spark, tmp_path):
+    import pathlib
+    import time
+
+    from mooclens.session import SHUFFLE_CLEANUP, stored_scratch
+    folder = pathlib.Path(spark._jvm.org.apache.spark.util.Utils.getLocalDir(spark.sparkContext._jsc.sc().getConf()))
+    files = lambda: {f for f in folder.parent.rglob("shuffle_*.data")}
+    old, kept = files(), spark.conf.get(SHUFFLE_CLEANUP)
+    stored = stored_scratch(spark, spark.range(10_000).repartition(3, "id"), "rows")
+    for _ in range(50):
+        if not files() - old:
+            break
+        time.sleep(0.2)
+    assert not files() - old and stored.count() == 10_000 and spark.conf.get(SHUFFLE_CLEANUP) == kept
+
+
+def test_learners_answers_are_dealt_by_item_once(spark):
+    pa = spark.createDataFrame([("c", 1, 2.0, 1, dt.datetime(2024, 1, d), [("i1", True), ("i2", None)]) for d in (1, 2)] + [("c", 2, None, 1, None, [("i1", False)])],
+                               "course_id string, user_id bigint, grade double, attempts bigint, created timestamp, item array<struct<answer_id string, correct_bool boolean>>")
+    ci = spark.createDataFrame([("c", "i1", "s1", 1), ("c", "i2", "s2", 2)], "course_id string, item_id string, item_short_id string, item_nid bigint")
+    out = items.person_item(pa, ci)
+    assert sorted((r["user_id"], r["item_nid"], r["item_grade"], r["date"] and r["date"].day) for r in out.collect()) == [(1, 1, 1, 2), (1, 2, 0, 2), (2, 1, 0, None)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = out.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") == 2  # the answers and the items
+
+
+def test_tables_smaller_than_their_shuffles_are_stored(spark, tables):
+    out = reports.resolve("person_course_day", tables)
+    read = " ".join(out.inputFiles())
+    assert "/person_problem-" in read and "/course_problem-" in read
+    assert "/person_problem-" not in " ".join(reports.resolve("person_problem", tables).inputFiles())
