@@ -137,5 +137,10 @@ def test_learners_answers_are_dealt_by_item_once(spark):
 def test_tables_smaller_than_their_shuffles_are_stored(spark, tables):
     out = reports.resolve("person_course_day", tables)
     read = " ".join(out.inputFiles())
-    assert "/person_problem-" in read and "/course_problem-" in read
+    assert "/person_problem-" in read and "/course_problem-" in read and "/events-of-day-" in read
     assert "/person_problem-" not in " ".join(reports.resolve("person_problem", tables).inputFiles())
+
+
+def test_activity_of_quiet_learners_is_not_stored(spark, tables):
+    out = reports.resolve("learner_activity", tables)
+    assert "/window-" not in " ".join(out.inputFiles()) and out.count() > 0
