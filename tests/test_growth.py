@@ -109,8 +109,8 @@ def test_shuffles_of_stored_tables_go(spark, tmp_path):
     import time
 
     from mooclens.session import SHUFFLE_CLEANUP, stored_scratch
-    folder = pathlib.Path(spark._jvm.org.apache.spark.util.Utils.getLocalDir(spark.sparkContext._jsc.sc().getConf()))
-    files = lambda: {f for f in folder.parent.rglob("shuffle_*.data")}
+    folders = [pathlib.Path(d.getPath()) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+    files = lambda: {f for d in folders for f in d.rglob("shuffle_*.data")}
     old, kept = files(), spark.conf.get(SHUFFLE_CLEANUP)
     stored = stored_scratch(spark, spark.range(10_000).repartition(3, "id"), "rows")
     for _ in range(50):
